@@ -89,3 +89,18 @@ def cohort_data(spark: SparkSession, sf_dir: str, level: str = "region", n_varia
     """(samples, genotype, phenotype) of the fixture."""
     smp = samples(spark, sf_dir, level)
     return smp, genotype(spark, sf_dir, level, n_variants, smp=smp), phenotype(spark, sf_dir, level, smp=smp)
+
+
+def embedding_rows(spark: SparkSession, sf_dir: str, split: bool = False):
+    """Dense rows from ``embeddings``: label < 5 are variants, the others phenotypes; the 64 vector
+    positions are the samples.  ``split`` cuts the positions into two cohorts A (1-32) and B (33-64)."""
+    e = table(spark, sf_dir, "embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("v"))
+    if split:
+        e = (e.select("vec_id", "label", F.lit("A").alias("cohort"), F.slice("v", 1, 32).alias("v"))
+             .unionByName(e.select("vec_id", "label", F.lit("B").alias("cohort"), F.slice("v", 33, 32).alias("v"))))
+    else:
+        e = e.withColumn("cohort", F.lit("all"))
+    key = F.col("vec_id").cast("string")
+    geno = e.where(F.col("label") < 5).select("cohort", key.alias("variant"), F.col("v").alias("dosage"))
+    phen = e.where(F.col("label") >= 5).select("cohort", key.alias("phenotype"), F.col("v").alias("values"))
+    return geno, phen

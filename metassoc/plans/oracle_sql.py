@@ -6,17 +6,27 @@ Used only as the independent oracle in the correctness check; the Spark side nev
 from __future__ import annotations
 
 
-def R(expr: str, digits: int = 6) -> str:
+def R(expr: str, digits: int = 8) -> str:
     """Rounded double; + 0.0 turns -0.0 into 0.0 so both engines hash alike."""
     return f"(round(CAST({expr} AS DOUBLE), {digits}) + 0.0)"
 
 
-def samples_cte(level: str = "region", name: str = "samples") -> str:
+def S(expr: str, digits: int = 6) -> str:
+    """Round to significant digits with exact power-of-ten scaling (mirrors catalog.sig_round)."""
+    x = f"CAST({expr} AS DOUBLE)"
+    e = f"floor(log10(abs({x})))"
+    scaled = f"(CASE WHEN {e} >= 0 THEN {x} / pow(10.0, {e}) ELSE {x} * pow(10.0, -{e}) END)"
+    r = f"round({scaled}, {digits - 1})"
+    back = f"(CASE WHEN {e} >= 0 THEN {r} * pow(10.0, {e}) ELSE {r} / pow(10.0, -{e}) END)"
+    return f"(CASE WHEN {x} IS NULL OR {x} = 0 OR isnan({x}) THEN {x} ELSE {back} END + 0.0)"
+
+
+def samples_cte(level: str = "region", name: str = "samples", where: str = "TRUE") -> str:
     cohort = "r.r_name" if level == "region" else "n.n_name"
     return f"""{name} AS (
   SELECT {cohort} AS cohort, c.c_custkey AS sample_id, c.c_acctbal / 1000.0 AS x
   FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
-  JOIN region r ON n.n_regionkey = r.r_regionkey)"""
+  JOIN region r ON n.n_regionkey = r.r_regionkey WHERE {where})"""
 
 
 def calls_cte(n_variants: int = 20) -> str:
@@ -48,22 +58,26 @@ gy AS (SELECT g.cohort, g.variant, p.phenotype, sum(g.g * p.y) AS sgy
        GROUP BY g.cohort, g.variant, p.phenotype)"""
 
 # Closed form for p = 2: M = [[sxx, -sx], [-sx, n]] / det, u = M·[sg, sgx], s = sgg - u·[sg, sgx].
-EFFECT_CTES = """cmi AS (SELECT *, n * sxx - sx * sx AS det FROM cm),
+def effect_ctes(cm: str = "cm", vm: str = "vm", pm: str = "pm", gy: str = "gy", tol: str = "1e-12") -> str:
+    return f"""cmi AS (SELECT *, n * sxx - sx * sx AS det FROM {cm}),
 vt0 AS (SELECT vm.cohort, vm.variant, cmi.n, vm.sg / (2.0 * cmi.n) AS maf, vm.sg, vm.sgx, vm.sgg,
                (cmi.sxx * vm.sg - cmi.sx * vm.sgx) / cmi.det AS u0,
                (cmi.n * vm.sgx - cmi.sx * vm.sg) / cmi.det AS u1
-        FROM vm JOIN cmi ON vm.cohort = cmi.cohort WHERE cmi.det <> 0),
+        FROM {vm} vm JOIN cmi ON vm.cohort = cmi.cohort WHERE cmi.det <> 0),
 vt AS (SELECT *, sgg - (u0 * sg + u1 * sgx) AS s FROM vt0),
 pt AS (SELECT pm.cohort, pm.phenotype, pm.sy, pm.sxy,
               pm.syy - (cmi.sxx * pm.sy * pm.sy - 2 * cmi.sx * pm.sy * pm.sxy + cmi.n * pm.sxy * pm.sxy) / cmi.det AS rss0
-       FROM pm JOIN cmi ON pm.cohort = cmi.cohort WHERE cmi.det <> 0),
+       FROM {pm} pm JOIN cmi ON pm.cohort = cmi.cohort WHERE cmi.det <> 0),
 eff0 AS (SELECT vt.cohort, vt.variant, pt.phenotype, vt.n, vt.maf, vt.s, pt.rss0,
                 (coalesce(gy.sgy, 0.0) - (vt.u0 * pt.sy + vt.u1 * pt.sxy)) / vt.s AS beta
          FROM vt JOIN pt ON vt.cohort = pt.cohort
-         LEFT JOIN gy ON gy.cohort = vt.cohort AND gy.variant = vt.variant AND gy.phenotype = pt.phenotype
-         WHERE vt.s > 1e-12 * vt.sgg AND vt.n - 3 > 0),
+         LEFT JOIN {gy} gy ON gy.cohort = vt.cohort AND gy.variant = vt.variant AND gy.phenotype = pt.phenotype
+         WHERE vt.s > {tol} * vt.sgg AND vt.n - 3 > 0),
 eff AS (SELECT *, sqrt(abs(rss0 - beta * beta * s) / (s * (n - 3))) AS se, n - 3 AS df FROM eff0)"""
 
+
+EFFECT_CTES = effect_ctes()
+
 META_CTES = """ctb AS (SELECT *, 1.0 / (se * se) AS w FROM eff WHERE se > 0 AND beta IS NOT NULL AND NOT isnan(beta)),
 m1 AS (SELECT variant, phenotype, sum(w * beta) / sum(w) AS beta, sqrt(1.0 / sum(w)) AS standard_error,
               sum(CAST(n AS DOUBLE)) AS sample_size, count(*) AS k
@@ -75,8 +89,29 @@ meta AS (SELECT m1.*, mq.q, CASE WHEN m1.k < 2 OR mq.q = 0 THEN NULL ELSE (mq.q
          FROM m1 JOIN mq ON m1.variant = mq.variant AND m1.phenotype = mq.phenotype)"""
 
 
-def fixture_ctes(level: str = "region", n_variants: int = 20, with_missing: bool = False) -> str:
-    return ",\n".join([samples_cte(level), calls_cte(n_variants), geno_cte(with_missing), PHENO_CTE])
+def fixture_ctes(level: str = "region", n_variants: int = 20, with_missing: bool = False, where: str = "TRUE") -> str:
+    return ",\n".join([samples_cte(level, where=where), calls_cte(n_variants), geno_cte(with_missing), PHENO_CTE])
+
+
+# Embeddings as dense rows: label < 5 -> variants, others -> phenotypes; vector positions = samples.
+def embed_ctes(split: bool = False) -> str:
+    if not split:
+        src = """SELECT 'all' AS cohort, vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings"""
+    else:
+        src = """SELECT 'A' AS cohort, vec_id, label, list_slice(CAST(embedding AS DOUBLE[]), 1, 32) AS v FROM embeddings
+        UNION ALL
+        SELECT 'B' AS cohort, vec_id, label, list_slice(CAST(embedding AS DOUBLE[]), 33, 64) AS v FROM embeddings"""
+    return f"""ev AS ({src}),
+eg AS (SELECT cohort, CAST(vec_id AS VARCHAR) AS variant, v AS g, len(v) AS n, list_sum(v) AS sg,
+              list_dot_product(v, v) AS sgg FROM ev WHERE label < 5),
+ep AS (SELECT cohort, CAST(vec_id AS VARCHAR) AS phenotype, v AS y, list_sum(v) AS sy,
+              list_dot_product(v, v) AS syy FROM ev WHERE label >= 5),
+eff0 AS (SELECT eg.cohort, eg.variant, ep.phenotype, eg.n, eg.sgg - eg.sg * eg.sg / eg.n AS s,
+                ep.syy - ep.sy * ep.sy / eg.n AS rss0, eg.sgg,
+                (list_dot_product(eg.g, ep.y) - eg.sg * ep.sy / eg.n) / (eg.sgg - eg.sg * eg.sg / eg.n) AS beta
+         FROM eg JOIN ep ON eg.cohort = ep.cohort
+         WHERE eg.sgg - eg.sg * eg.sg / eg.n > 1e-12 * eg.sgg),
+eff AS (SELECT *, sqrt(abs(rss0 - beta * beta * s) / (s * (n - 2))) AS se FROM eff0)"""
 
 
 def with_all(*ctes: str) -> str:
@@ -84,4 +119,4 @@ def with_all(*ctes: str) -> str:
 
 
 META_SELECT = f"""SELECT variant, phenotype, {R('beta')} AS beta, {R('standard_error')} AS standard_error,
-       {R('i_squared')} AS i_squared, {R('sample_size')} AS sample_size FROM meta"""
+       {S('i_squared')} AS i_squared, {R('sample_size')} AS sample_size FROM meta"""

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from . import fixtures as fx
 from . import jobs
 from .catalog import query
-from .oracle_sql import (EFFECT_CTES, META_CTES, META_SELECT, MOMENTS_CTES, R, fixture_ctes, with_all)
+from .oracle_sql import (EFFECT_CTES, META_CTES, META_SELECT, MOMENTS_CTES, R, S, effect_ctes, embed_ctes,
+                         fixture_ctes, with_all)
 
 N_COV = len(fx.COVARIATES)
 _BASE = fixture_ctes()
@@ -20,3 +21,238 @@ def meta_ivw(spark, sf_dir):
     """Flagship: per-cohort OLS from sufficient statistics, pooled by inverse-variance weighting with I²."""
     smp, geno, phen = fx.cohort_data(spark, sf_dir)
     return jobs.meta_analyse(smp, geno, phen, N_COV)
+
+
+def _vkey(col="variant"):
+    return F.substring(F.col(col), 2, 10).cast("int")
+
+
+def _variant_include(geno):
+    """Per-cohort include list: (cohort, variant) with (vkey + length(cohort)) % 4 <> 0."""
+    return (geno.select("cohort", "variant").distinct()
+            .where((_vkey() + F.length("cohort")) % 4 != 0))
+
+
+def _variant_exclude(geno):
+    """All-cohort exclude list: variants whose bucket is a multiple of 10."""
+    return geno.select("variant").distinct().where(_vkey() % 10 == 0)
+
+
+def _phenotype_include(phen):
+    """Per-cohort include list: (length(cohort) + priority digit) % 5 <> 0."""
+    d = F.substring("phenotype", 1, 1).cast("int")
+    return phen.select("cohort", "phenotype").distinct().where((F.length("cohort") + d) % 5 != 0)
+
+
+def _phenotype_exclude(phen):
+    return phen.select("phenotype").distinct().where(F.col("phenotype") == "5-LOW")
+
+
+_VINC_SQL = "vinc AS (SELECT DISTINCT cohort, variant FROM geno WHERE (CAST(substr(variant, 2) AS INTEGER) + length(cohort)) % 4 <> 0)"
+_VEXC_SQL = "vexc AS (SELECT DISTINCT variant FROM geno WHERE CAST(substr(variant, 2) AS INTEGER) % 10 = 0)"
+_PINC_SQL = "pinc AS (SELECT DISTINCT cohort, phenotype FROM pheno WHERE (length(cohort) + CAST(substr(phenotype, 1, 1) AS INTEGER)) % 5 <> 0)"
+_PEXC_SQL = "pexc AS (SELECT DISTINCT phenotype FROM pheno WHERE phenotype = '5-LOW')"
+
+
+def _moments_filtered(vm_where: str = "TRUE", pm_where: str = "TRUE", geno="geno", pheno="pheno") -> str:
+    return f"""cm AS (SELECT cohort, count(*) AS n, sum(x) AS sx, sum(x * x) AS sxx FROM samples GROUP BY cohort),
+vm AS (SELECT cohort, variant, sum(g) AS sg, sum(g * g) AS sgg, sum(g * x) AS sgx FROM {geno} g0 WHERE {vm_where} GROUP BY cohort, variant),
+pm AS (SELECT cohort, phenotype, sum(y) AS sy, sum(y * y) AS syy, sum(x * y) AS sxy FROM {pheno} p0 WHERE {pm_where} GROUP BY cohort, phenotype),
+gy AS (SELECT g.cohort, g.variant, p.phenotype, sum(g.g * p.y) AS sgy
+       FROM {geno} g JOIN {pheno} p ON g.cohort = p.cohort AND g.sample_id = p.sample_id
+       GROUP BY g.cohort, g.variant, p.phenotype)"""
+
+
+META_T = 1.5
+MAF_T = 0.2
+
+_MAF_EFFECT = EFFECT_CTES.replace("vt AS (SELECT *, sgg - (u0 * sg + u1 * sgx) AS s FROM vt0)",
+                                  f"vt AS (SELECT *, sgg - (u0 * sg + u1 * sgx) AS s FROM vt0 "
+                                  f"WHERE maf >= {MAF_T} AND maf <= 1 - {MAF_T} AND maf <> 0.5)")
+
+
+@query("meta_threshold", with_all(_BASE, MOMENTS_CTES, EFFECT_CTES, META_CTES) + META_SELECT
+       + f" WHERE abs(beta / standard_error) > {META_T}")
+def meta_threshold(spark, sf_dir):
+    """Meta-analysis keeping |β/SE| > 1.5 (strict)."""
+    smp, geno, phen = fx.cohort_data(spark, sf_dir)
+    return jobs.meta_analyse(smp, geno, phen, N_COV, t_thr=META_T)
+
+
+@query("meta_maf_filtered", with_all(_BASE, MOMENTS_CTES, _MAF_EFFECT, META_CTES) + META_SELECT)
+def meta_maf_filtered(spark, sf_dir):
+    """Meta-analysis with the per-cohort MAF window 0.2 ≤ maf ≤ 0.8, maf ≠ 0.5."""
+    smp, geno, phen = fx.cohort_data(spark, sf_dir)
+    return jobs.meta_analyse(smp, geno, phen, N_COV, maf=MAF_T, maf_mode="inclusive")
+
+
+_INC_WHERE_V = ("(g0.cohort, g0.variant) IN (SELECT (cohort, variant) FROM vinc) "
+                "AND g0.variant NOT IN (SELECT variant FROM vexc)")
+_INC_WHERE_P = ("(p0.cohort, p0.phenotype) IN (SELECT (cohort, phenotype) FROM pinc) "
+                "AND p0.phenotype NOT IN (SELECT phenotype FROM pexc)")
+
+
+@query("meta_include_exclude",
+       with_all(_BASE, _VINC_SQL, _VEXC_SQL, _PINC_SQL, _PEXC_SQL,
+                _moments_filtered(_INC_WHERE_V, _INC_WHERE_P), EFFECT_CTES, META_CTES) + META_SELECT)
+def meta_include_exclude(spark, sf_dir):
+    """Per-cohort variant/phenotype include lists plus all-cohort exclude lists (semi/anti joins)."""
+    smp, geno, phen = fx.cohort_data(spark, sf_dir)
+    return jobs.meta_analyse(smp, geno, phen, N_COV,
+                             variant_include=_variant_include(geno), variant_exclude=_variant_exclude(geno),
+                             phenotype_include=_phenotype_include(phen), phenotype_exclude=_phenotype_exclude(phen))
+
+
+_ALL_V = "(g0.cohort, g0.variant) IN (SELECT (cohort, variant) FROM vinc)"
+_ALL_P = "(p0.cohort, p0.phenotype) IN (SELECT (cohort, phenotype) FROM pinc)"
+_ALL_EFFECT = EFFECT_CTES.replace(
+    "vt AS (SELECT *, sgg - (u0 * sg + u1 * sgx) AS s FROM vt0)",
+    "vt AS (SELECT *, sgg - (u0 * sg + u1 * sgx) AS s FROM vt0 WHERE variant IN "
+    "(SELECT variant FROM vm GROUP BY variant HAVING count(DISTINCT cohort) = (SELECT count(DISTINCT cohort) FROM samples)))"
+).replace(
+    "FROM pm pm JOIN cmi ON pm.cohort = cmi.cohort WHERE cmi.det <> 0",
+    "FROM pm pm JOIN cmi ON pm.cohort = cmi.cohort WHERE cmi.det <> 0 AND pm.phenotype IN "
+    "(SELECT phenotype FROM pm GROUP BY phenotype HAVING count(DISTINCT cohort) = (SELECT count(DISTINCT cohort) FROM samples))")
+
+
+@query("meta_all_cohorts_only",
+       with_all(_BASE, _VINC_SQL, _PINC_SQL, _moments_filtered(_ALL_V, _ALL_P), _ALL_EFFECT, META_CTES) + META_SELECT)
+def meta_all_cohorts_only(spark, sf_dir):
+    """Include lists, then only variants and phenotypes available in every cohort (ALL)."""
+    smp, geno, phen = fx.cohort_data(spark, sf_dir)
+    return jobs.meta_analyse(smp, geno, phen, N_COV, variant_include=_variant_include(geno),
+                             phenotype_include=_phenotype_include(phen), availability="all")
+
+
+@query("heterogeneity_i2", with_all(_BASE, MOMENTS_CTES, EFFECT_CTES, META_CTES)
+       + f"SELECT variant, phenotype, {R('q')} AS q, k, {S('i_squared')} AS i_squared FROM meta")
+def heterogeneity_i2(spark, sf_dir):
+    """Cochran's Q (two-pass), number of contributing cohorts and I² per variant × phenotype."""
+    from ..operators.meta import inverse_variance
+    smp, geno, phen = fx.cohort_data(spark, sf_dir)
+    eff = jobs.cohort_effects(smp, geno, phen, N_COV)
+    return inverse_variance(eff, with_q=True).select("variant", "phenotype", "q", "k", "i_squared")
+
+
+_GENES_SQL = "genes AS (SELECT DISTINCT o_orderpriority AS phenotype FROM orders WHERE o_orderpriority < '3')"
+
+
+@query("per_cohort_effects", with_all(_BASE, MOMENTS_CTES, EFFECT_CTES, _GENES_SQL)
+       + f"""SELECT cohort, variant, phenotype, {R('beta')} AS beta, {R('se')} AS standard_error,
+       {R('n')} AS sample_size FROM eff WHERE se > 0 AND phenotype IN (SELECT phenotype FROM genes)""")
+def per_cohort_effects(spark, sf_dir):
+    """Per-cohort log for a requested gene list (all variants × those genes, per cohort)."""
+    smp, geno, phen = fx.cohort_data(spark, sf_dir)
+    genes = (fx.table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("phenotype"))
+             .where(F.col("phenotype") < "3").distinct())
+    # W5: requested genes ∩ the cohort's own phenotypes
+    genes_per_cohort = phen.select("cohort", "phenotype").distinct().join(genes, "phenotype", "left_semi")
+    eff = jobs.cohort_effects(smp, geno, phen, N_COV, phenotype_include=genes_per_cohort)
+    from ..operators.meta import contributing
+    return jobs.per_cohort_effects(contributing(eff), phenotypes=genes)
+
+
+_MEGA_CTES = """cmp AS (SELECT 'ALL' AS cohort, sum(n) AS n, sum(sx) AS sx, sum(sxx) AS sxx FROM cm),
+vmp AS (SELECT 'ALL' AS cohort, variant, sum(sg) AS sg, sum(sgg) AS sgg, sum(sgx) AS sgx FROM vm
+        GROUP BY variant HAVING count(*) = (SELECT count(*) FROM cm)),
+pmp AS (SELECT 'ALL' AS cohort, phenotype, sum(sy) AS sy, sum(syy) AS syy, sum(sxy) AS sxy FROM pm
+        GROUP BY phenotype HAVING count(*) = (SELECT count(*) FROM cm)),
+gyp AS (SELECT 'ALL' AS cohort, variant, phenotype, sum(sgy) AS sgy FROM gy GROUP BY variant, phenotype)"""
+
+
+@query("mega_analysis", with_all(_BASE, MOMENTS_CTES, _MEGA_CTES, effect_ctes("cmp", "vmp", "pmp", "gyp"))
+       + f"""SELECT variant, phenotype, {R('beta')} AS beta, {R('se')} AS standard_error, {R('beta / se')} AS t_stat,
+       {R('n')} AS sample_size, {R('maf')} AS maf FROM eff""")
+def mega_analysis(spark, sf_dir):
+    """Pooled regression: partial derivatives summed over cohorts, then one solve."""
+    smp, geno, phen = fx.cohort_data(spark, sf_dir)
+    return jobs.mega_analyse(smp, geno, phen, N_COV)
+
+
+_SINGLE = "EUROPE"
+
+
+@query("single_site_association",
+       with_all(fixture_ctes(where=f"r.r_name = '{_SINGLE}'"), MOMENTS_CTES, EFFECT_CTES)
+       + f"""SELECT variant, phenotype, {R('beta')} AS beta, {R('se')} AS standard_error, {R('beta / se')} AS t_stat,
+       {R('maf')} AS maf, df FROM eff""")
+def single_site_association(spark, sf_dir):
+    """One cohort, every variant × phenotype: β, SE, t, MAF, degrees of freedom."""
+    smp = fx.samples(spark, sf_dir).where(F.col("cohort") == _SINGLE)
+    geno = fx.genotype(spark, sf_dir, smp=smp)
+    phen = fx.phenotype(spark, sf_dir, smp=smp)
+    eff = jobs.cohort_effects(smp, geno, phen, N_COV)
+    return eff.select("variant", "phenotype", "beta", "standard_error", "t_stat", "maf", "df")
+
+
+# ---------------------------------------------------------------- partial derivatives
+
+@query("partial_derivatives_acov", with_all(_BASE, MOMENTS_CTES)
+       + f"SELECT cohort, n, {R('CAST(n AS DOUBLE)')} AS a_00, {R('sx')} AS a_01, {R('sxx')} AS a_11 FROM cm")
+def partial_derivatives_acov(spark, sf_dir):
+    """A_cov = X̃ᵀX̃ per cohort (intercept + one covariate), flattened."""
+    from ..operators.moments import covariate_moments
+    smp = fx.samples(spark, sf_dir)
+    a = covariate_moments(smp, N_COV)
+    return a.select("cohort", "n", F.col("a_cov")[0][0].alias("a_00"), F.col("a_cov")[0][1].alias("a_01"),
+                    F.col("a_cov")[1][1].alias("a_11"))
+
+
+@query("partial_derivatives_atest", with_all(_BASE, MOMENTS_CTES)
+       + f"""SELECT vm.cohort, vm.variant, {R('sg')} AS a_0, {R('sgx')} AS a_1, {R('sgg')} AS gg,
+       {R('sg / (2.0 * cm.n)')} AS maf FROM vm JOIN cm ON vm.cohort = cm.cohort""")
+def partial_derivatives_atest(spark, sf_dir):
+    """A_test per cohort and variant: [Σg, Σgx], Σg², MAF."""
+    from ..operators.moments import variant_moments
+    smp, geno, _ = fx.cohort_data(spark, sf_dir)
+    t = variant_moments(geno, smp, N_COV)
+    return t.select("cohort", "variant", F.col("a")[0].alias("a_0"), F.col("a")[1].alias("a_1"), "gg", "maf")
+
+
+@query("partial_derivatives_b", with_all(_BASE, MOMENTS_CTES)
+       + f"SELECT cohort, phenotype, {R('sy')} AS b_0, {R('sxy')} AS b_1, {R('syy')} AS c FROM pm")
+def partial_derivatives_b(spark, sf_dir):
+    """B_cov = X̃ᵀy and C = yᵀy per cohort and phenotype."""
+    from ..operators.moments import phenotype_moments
+    smp, _, phen = fx.cohort_data(spark, sf_dir)
+    b = phenotype_moments(phen, smp, N_COV)
+    return b.select("cohort", "phenotype", F.col("b")[0].alias("b_0"), F.col("b")[1].alias("b_1"), "c")
+
+
+@query("b4_product", with_all(_BASE, MOMENTS_CTES) + f"SELECT cohort, variant, phenotype, {R('sgy')} AS gy FROM gy")
+def b4_product(spark, sf_dir):
+    """B4 = Σ g·y per cohort, variant and phenotype (sparse long path)."""
+    from ..operators.moments import cross_moments
+    _, geno, phen = fx.cohort_data(spark, sf_dir)
+    return cross_moments(geno, phen)
+
+
+# ---------------------------------------------------------------- dense block path (embeddings)
+
+@query("b4_embeddings", with_all(embed_ctes())
+       + f"SELECT eg.variant, ep.phenotype, {R('list_dot_product(eg.g, ep.y)')} AS gy FROM eg JOIN ep ON eg.cohort = ep.cohort")
+def b4_embeddings(spark, sf_dir):
+    """Dense matrix product G·Y: every variant row against every phenotype row (block GEMM)."""
+    from ..operators.blocks import dot_products
+    geno, phen = fx.embedding_rows(spark, sf_dir)
+    d = dot_products(geno.withColumnRenamed("dosage", "vec"), phen.withColumnRenamed("values", "vec"))
+    return d.select("variant", "phenotype", F.col("dot").alias("gy"))
+
+
+@query("dense_association", with_all(embed_ctes())
+       + f"""SELECT variant, phenotype, {R('beta')} AS beta, {R('se')} AS standard_error,
+       {R('sample_size')} AS sample_size FROM (SELECT *, CAST(n AS DOUBLE) AS sample_size FROM eff WHERE se > 0)""")
+def dense_association(spark, sf_dir):
+    """Single-site association on dense rows (block path), intercept-only model."""
+    from ..operators.blocks import dense_associate
+    geno, phen = fx.embedding_rows(spark, sf_dir)
+    out = dense_associate(geno, phen, pooled=False)
+    return out.select("variant", "phenotype", "beta", "standard_error", "sample_size")
+
+
+@query("dense_meta", with_all(embed_ctes(split=True), META_CTES) + META_SELECT)
+def dense_meta(spark, sf_dir):
+    """Two dense cohorts (vector halves) analysed in the block path and pooled inside each task."""
+    from ..operators.blocks import dense_associate
+    geno, phen = fx.embedding_rows(spark, sf_dir, split=True)
+    return dense_associate(geno, phen, pooled=True)
