@@ -9,39 +9,24 @@ a = X̃ᵀg, u = M·a and the Schur complement s = gᵀg − a·u,
 
 which equals the full-inverse OLS exactly.  A variant with s ≤ tol·gᵀg is singular in that
 cohort and is dropped (it is kept in ``variant_terms(..., keep_singular=True)`` for diagnostics).
-Everything after M is native column arithmetic; M itself is one tiny p×p inverse per cohort.
+Everything is native column arithmetic; M itself is one tiny p×p Gauss–Jordan per cohort.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType
 
 from ..functions.columns import array_dot, mat_vec, quad_form, safe_div
+from ..functions.linalg import spd_inverse
 from .joins import DEFAULT_MAX_BROADCAST_ROWS, join_small
 
 SINGULAR_TOL = 1e-12
 
 
-@F.pandas_udf(ArrayType(ArrayType(DoubleType())))
-def _invert(mats: pd.Series) -> pd.Series:
-    out = []
-    for m in mats:  # one p×p matrix per cohort
-        a = np.vstack([np.asarray(r, dtype=float) for r in m])
-        try:
-            inv = np.linalg.inv(a)
-            out.append(inv.tolist() if np.all(np.isfinite(inv)) else None)
-        except np.linalg.LinAlgError:
-            out.append(None)
-    return pd.Series(out)
-
-
 def invert_cov(pd_cov: DataFrame) -> DataFrame:
-    """Add ``m`` = A_cov⁻¹ (NULL when singular).  One row per cohort."""
-    return pd_cov.withColumn("m", _invert(F.col("a_cov")))
+    """Add ``m`` = A_cov⁻¹ (NULL when singular).  One row per cohort; native Gauss–Jordan."""
+    return pd_cov.withColumn("m", spd_inverse("a_cov"))
 
 
 def variant_terms(pd_test: DataFrame, cov_inv: DataFrame, tol: float = SINGULAR_TOL,
