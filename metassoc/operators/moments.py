@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import is_missing, safe_div
+
 
 def _terms(x_col: str, n_cov: int):
     """[1, x[0], ..., x[n_cov-1]] as a list of column expressions."""
@@ -92,3 +94,64 @@ def partial_derivatives(samples: DataFrame, genotype: DataFrame, phenotype: Data
     if with_b4:
         out["pd_b4"] = cross_moments(genotype, phenotype)
     return out
+
+
+def impute_mean(genotype: DataFrame, samples: DataFrame) -> DataFrame:
+    """Replace missing calls (9 / NaN / <0) by the mean of the observed dosages of that cohort-variant.
+
+    Long form: zero dosages are absent rows, so mean = Σ observed / (n − #missing), with n from the
+    cohort's sample count.  One aggregate per (cohort, variant), joined back on its key."""
+    miss = is_missing(F.col("dosage"))
+    st = genotype.groupBy("cohort", "variant").agg(
+        F.coalesce(F.sum(F.when(~miss, F.col("dosage"))), F.lit(0.0)).alias("_s_obs"),
+        F.count(F.when(miss, 1)).alias("_n_miss"))
+    n = samples.groupBy("cohort").agg(F.count(F.lit(1)).alias("_n"))
+    st = st.join(F.broadcast(n), "cohort")            # one row per cohort
+    mean = safe_div(F.col("_s_obs"), F.col("_n") - F.col("_n_miss"))
+    return (genotype.join(st, ["cohort", "variant"])
+            .withColumn("dosage", F.when(miss, mean).otherwise(F.col("dosage")))
+            .drop("_s_obs", "_n_miss", "_n"))
+
+
+def observed_maf(genotype: DataFrame, samples: DataFrame) -> DataFrame:
+    """(cohort, variant, maf, n_obs): allele frequency mean(g)/2 over the observed calls (not folded)."""
+    miss = is_missing(F.col("dosage"))
+    st = genotype.groupBy("cohort", "variant").agg(
+        F.coalesce(F.sum(F.when(~miss, F.col("dosage"))), F.lit(0.0)).alias("_s"),
+        F.count(F.when(miss, 1)).alias("_m"))
+    n = samples.groupBy("cohort").agg(F.count(F.lit(1)).alias("_n"))
+    return (st.join(F.broadcast(n), "cohort")
+            .select("cohort", "variant", safe_div(F.col("_s"), 2.0 * (F.col("_n") - F.col("_m"))).alias("maf"),
+                    (F.col("_n") - F.col("_m")).alias("n_obs")))
+
+
+def pooled_maf(pd_test: DataFrame, pd_cov: DataFrame) -> DataFrame:
+    """(variant, maf): Σ n_c·maf_c / Σ n_c over the cohorts that have the variant."""
+    t = pd_test.join(F.broadcast(pd_cov.select("cohort", "n")), "cohort")
+    return t.groupBy("variant").agg((F.sum(F.col("n") * F.col("maf")) / F.sum("n")).alias("maf"))
+
+
+def maf_consistency(pd_test: DataFrame, max_sd: float = 0.1) -> DataFrame:
+    """(variant, maf_sd, k, inconsistent): population SD of MAF across cohorts, flagged above ``max_sd``."""
+    return (pd_test.groupBy("variant")
+            .agg(F.stddev_pop("maf").alias("maf_sd"), F.count(F.lit(1)).alias("k"))
+            .withColumn("inconsistent", (F.col("maf_sd") > max_sd).cast("int")))
+
+
+def flip_moments(pd_test: DataFrame, pd_cov: DataFrame, flips: DataFrame) -> DataFrame:
+    """Apply allele flips (g -> 2 − g for every sample) to A_test without densifying zeros.
+
+    X̃ᵀ(2·1 − g) = 2·X̃ᵀ1 − X̃ᵀg where X̃ᵀ1 is the first row of A_cov, Σ(2 − g)² = 4n − 4Σg + Σg².
+    ``flips`` is (cohort, variant, flip ±1); the output keeps a ``flip`` column so that gᵀy can be
+    flipped the same way (2·Σy − gᵀy) once phenotypes are paired."""
+    c = pd_cov.select("cohort", "n", F.col("a_cov")[0].alias("_x1"))
+    t = (pd_test.join(flips.select("cohort", "variant", "flip"), ["cohort", "variant"], "left")
+         .withColumn("flip", F.coalesce(F.col("flip"), F.lit(1)))
+         .join(F.broadcast(c), "cohort"))
+    f = F.col("flip") == -1
+    a2 = F.zip_with("_x1", "a", lambda x1, a: 2.0 * x1 - a)
+    gg2 = 4.0 * F.col("n") - 4.0 * F.col("a")[0] + F.col("gg")
+    return (t.withColumn("gg", F.when(f, gg2).otherwise(F.col("gg")))
+            .withColumn("a", F.when(f, a2).otherwise(F.col("a")))
+            .withColumn("maf", F.col("a")[0] / (2.0 * F.col("n")))
+            .drop("_x1", "n"))

@@ -74,6 +74,9 @@ def cohort_effects(vt: DataFrame, pt: DataFrame, pd_b4: DataFrame | None,
         grid = (grid.join(pd_b4.select("cohort", "variant", "phenotype", "gy"),
                           ["cohort", "variant", "phenotype"], "left")
                 .withColumn("gy", F.coalesce(F.col("gy"), F.lit(0.0))))
+        if "flip" in vt.columns:   # flipped allele: (2 − g)ᵀy = 2·Σy − gᵀy
+            grid = grid.withColumn("gy", F.when(F.col("flip") == -1, 2.0 * F.col("b")[0] - F.col("gy"))
+                                   .otherwise(F.col("gy")))
     return effects_from_terms(grid).select(
         "cohort", "variant", "phenotype", "beta", "standard_error", "t_stat", "sample_size", "df", "maf")
 
@@ -83,5 +86,7 @@ def associate_pd(pd: dict[str, DataFrame], tol: float = SINGULAR_TOL,
     """Per-cohort effects straight from the PD tables (pd_cov, pd_test, pd_pheno, pd_b4)."""
     inv = invert_cov(pd["pd_cov"])
     vt = variant_terms(pd["pd_test"], inv, tol)
+    if "flip" not in pd["pd_test"].columns:
+        vt = vt.drop("flip") if "flip" in vt.columns else vt
     pt = phenotype_terms(pd["pd_pheno"], inv)
     return cohort_effects(vt, pt, pd.get("pd_b4"), max_broadcast_rows)

@@ -256,3 +256,98 @@ def dense_meta(spark, sf_dir):
     from ..operators.blocks import dense_associate
     geno, phen = fx.embedding_rows(spark, sf_dir, split=True)
     return dense_associate(geno, phen, pooled=True)
+
+
+# ---------------------------------------------------------------- cohort level, samples, imputation, MAF, flips
+
+@query("meta_nation_cohorts", with_all(fixture_ctes(level="nation"), MOMENTS_CTES, EFFECT_CTES, META_CTES) + META_SELECT)
+def meta_nation_cohorts(spark, sf_dir):
+    """Meta-analysis over 25 small nation cohorts (missing variants and singular designs appear)."""
+    smp, geno, phen = fx.cohort_data(spark, sf_dir, level="nation")
+    return jobs.meta_analyse(smp, geno, phen, N_COV)
+
+
+@query("sample_removal", with_all(fixture_ctes(where="c.c_custkey % 10 <> 0"), MOMENTS_CTES, EFFECT_CTES, META_CTES)
+       + META_SELECT)
+def sample_removal(spark, sf_dir):
+    """Meta-analysis after removing listed subjects (customers whose key is a multiple of 10)."""
+    from ..operators.align import remove_samples
+    removed = fx.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("sample_id")).where(F.col("sample_id") % 10 == 0)
+    smp = remove_samples(fx.samples(spark, sf_dir), removed)
+    return jobs.meta_analyse(smp, fx.genotype(spark, sf_dir, smp=smp), fx.phenotype(spark, sf_dir, smp=smp), N_COV)
+
+
+_MISS_BASE = fixture_ctes(with_missing=True)
+_MISS_ST = """st AS (SELECT cohort, variant, coalesce(sum(CASE WHEN g <> 9 THEN g END), 0.0) AS s_obs,
+              count(CASE WHEN g = 9 THEN 1 END) AS n_miss FROM geno GROUP BY cohort, variant),
+cn AS (SELECT cohort, count(*) AS n FROM samples GROUP BY cohort)"""
+
+
+@query("mean_impute", with_all(_MISS_BASE, _MISS_ST)
+       + f"""SELECT g.cohort, g.sample_id, g.variant,
+       {R('CASE WHEN g.g = 9 THEN st.s_obs / (cn.n - st.n_miss) ELSE g.g END')} AS dosage
+       FROM geno g JOIN st ON g.cohort = st.cohort AND g.variant = st.variant JOIN cn ON g.cohort = cn.cohort""")
+def mean_impute(spark, sf_dir):
+    """Missing calls (code 9: all lineitems returned) replaced by the cohort-variant mean of observed calls."""
+    from ..operators.moments import impute_mean
+    smp = fx.samples(spark, sf_dir)
+    geno = fx.genotype(spark, sf_dir, with_missing=True, smp=smp)
+    return impute_mean(geno, smp).select("cohort", "sample_id", "variant", "dosage")
+
+
+@query("maf_by_cohort", with_all(_MISS_BASE, _MISS_ST)
+       + f"""SELECT st.cohort, st.variant, {R('st.s_obs / (2.0 * (cn.n - st.n_miss))')} AS maf, cn.n - st.n_miss AS n_obs
+       FROM st JOIN cn ON st.cohort = cn.cohort""")
+def maf_by_cohort(spark, sf_dir):
+    """Allele frequency mean(g)/2 per cohort and variant over observed (non-missing) calls."""
+    from ..operators.moments import observed_maf
+    smp = fx.samples(spark, sf_dir)
+    return observed_maf(fx.genotype(spark, sf_dir, with_missing=True, smp=smp), smp)
+
+
+@query("pooled_maf", with_all(_BASE, MOMENTS_CTES)
+       + f"""SELECT vm.variant, {R('sum(cm.n * (vm.sg / (2.0 * cm.n))) / sum(cm.n)')} AS maf
+       FROM vm JOIN cm ON vm.cohort = cm.cohort GROUP BY vm.variant""")
+def pooled_maf_q(spark, sf_dir):
+    """Pooled MAF Σ n_c·maf_c / Σ n_c over cohorts."""
+    from ..operators.moments import covariate_moments, pooled_maf, variant_moments
+    smp, geno, _ = fx.cohort_data(spark, sf_dir)
+    cov = covariate_moments(smp, N_COV)
+    return pooled_maf(variant_moments(geno, smp, N_COV, cov), cov)
+
+
+@query("maf_consistency", with_all(_BASE, MOMENTS_CTES)
+       + f"""SELECT variant, {R('stddev_pop(maf)')} AS maf_sd, count(*) AS k,
+       CAST(stddev_pop(maf) > 0.1 AS INTEGER) AS inconsistent
+       FROM (SELECT vm.variant, vm.sg / (2.0 * cm.n) AS maf FROM vm JOIN cm ON vm.cohort = cm.cohort) GROUP BY variant""")
+def maf_consistency_q(spark, sf_dir):
+    """Population SD of MAF across cohorts per variant, flagged when > 0.1."""
+    from ..operators.moments import maf_consistency, variant_moments
+    smp, geno, _ = fx.cohort_data(spark, sf_dir)
+    return maf_consistency(variant_moments(geno, smp, N_COV))
+
+
+def _flip_list(geno):
+    """Per-cohort flips: bucket + length(cohort) divisible by 3 -> allele swapped (-1)."""
+    return (geno.select("cohort", "variant").distinct()
+            .withColumn("flip", F.when((_vkey() + F.length("cohort")) % 3 == 0, F.lit(-1)).otherwise(F.lit(1))))
+
+
+_FLIP_SQL = """fl AS (SELECT DISTINCT cohort, variant,
+       CASE WHEN (CAST(substr(variant, 2) AS INTEGER) + length(cohort)) % 3 = 0 THEN -1 ELSE 1 END AS flip FROM geno)"""
+
+
+@query("flip_dosage", with_all(_BASE, MOMENTS_CTES, _FLIP_SQL)
+       + f"""SELECT vm.cohort, vm.variant, fl.flip,
+       {R('CASE WHEN fl.flip = -1 THEN 2.0 * cm.n - vm.sg ELSE vm.sg END')} AS a_0,
+       {R('CASE WHEN fl.flip = -1 THEN 2.0 * cm.sx - vm.sgx ELSE vm.sgx END')} AS a_1,
+       {R('CASE WHEN fl.flip = -1 THEN 4.0 * cm.n - 4.0 * vm.sg + vm.sgg ELSE vm.sgg END')} AS gg,
+       {R('CASE WHEN fl.flip = -1 THEN 2.0 * cm.n - vm.sg ELSE vm.sg END / (2.0 * cm.n)')} AS maf
+       FROM vm JOIN cm ON vm.cohort = cm.cohort JOIN fl ON vm.cohort = fl.cohort AND vm.variant = fl.variant""")
+def flip_dosage(spark, sf_dir):
+    """Allele flip g -> 2 − g applied to the per-cohort variant moments (zeros never densified)."""
+    from ..operators.moments import covariate_moments, flip_moments, variant_moments
+    smp, geno, _ = fx.cohort_data(spark, sf_dir)
+    cov = covariate_moments(smp, N_COV)
+    t = flip_moments(variant_moments(geno, smp, N_COV, cov), cov, _flip_list(geno))
+    return t.select("cohort", "variant", "flip", F.col("a")[0].alias("a_0"), F.col("a")[1].alias("a_1"), "gg", "maf")
