@@ -82,11 +82,11 @@ def call_to_dosage(call, fmt) -> Column:
     """
     c, f = col_(call), col_(fmt)
     alleles = F.split(F.regexp_replace(c, r"\|", "/"), "/")
-    a = F.try_cast(F.get(alleles, 0), "int")
-    b = F.try_cast(F.get(alleles, 1), "int")
+    a = F.get(alleles, 0).try_cast("int")
+    b = F.get(alleles, 1).try_cast("int")
     gt = F.when(a.isNull() | b.isNull(), F.lit(MISSING_DOSAGE)).otherwise(
         2.0 - (F.least(a, F.lit(1)) + F.least(b, F.lit(1))).cast("double"))
-    num = F.try_cast(c, "double")
+    num = c.try_cast("double")
     ds = F.when(num.isNull(), F.lit(MISSING_DOSAGE)).otherwise(2.0 - num)
     return F.when(f == "GT", gt).otherwise(ds)
 
@@ -103,8 +103,8 @@ def parse_genotype_counts(text):
 def chr_bp_from_id(vid):
     """'chr:bp[:...]' -> (chr int, bp long); NULL when not of that form or chr not in 1..22."""
     parts = F.split(col_(vid), ":")
-    chrom = F.try_cast(F.get(parts, 0), "int")
-    bp = F.try_cast(F.get(parts, 1), "long")
+    chrom = F.get(parts, 0).try_cast("int")
+    bp = F.get(parts, 1).try_cast("long")
     ok = (F.size(parts) >= 2) & chrom.between(1, 22) & bp.isNotNull()
     return F.when(ok, chrom), F.when(ok, bp)
 
@@ -124,4 +124,4 @@ def strip_study_prefix(name, study) -> Column:
 def natural_sort_key(name):
     """(prefix, integer suffix) for natural ordering like PC1, PC2, ..., PC10."""
     c = col_(name)
-    return F.regexp_extract(c, r"^(.*?)(\d*)$", 1), F.try_cast(F.regexp_extract(c, r"(\d+)$", 1), "long")
+    return F.regexp_extract(c, r"^(.*?)(\d*)$", 1), F.regexp_extract(c, r"(\d+)$", 1).try_cast("long")

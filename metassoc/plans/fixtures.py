@@ -104,3 +104,91 @@ def embedding_rows(spark: SparkSession, sf_dir: str, split: bool = False):
     geno = e.where(F.col("label") < 5).select("cohort", key.alias("variant"), F.col("v").alias("dosage"))
     phen = e.where(F.col("label") >= 5).select("cohort", key.alias("phenotype"), F.col("v").alias("values"))
     return geno, phen
+
+
+# ---------------------------------------------------------------- harmonisation fixtures
+# Fixed values of the fixture design.
+BASES = "ACGT"
+ALTERED_ALLELE = "N"
+
+
+def _brand_num():
+    return F.substring(F.col("p_brand"), 7, 4).cast("int")
+
+
+def reference_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(ref_idx, ref_id, chr, bp, allele1, allele2) from ``part``: chr = p_size % 22 + 1, bp = p_partkey,
+    allele pair chosen from the brand number."""
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_brand")
+    b = _brand_num()
+    return p.select(F.col("p_partkey").alias("ref_idx"),
+                    F.concat(F.lit("rs"), F.col("p_partkey").cast("string")).alias("ref_id"),
+                    (F.col("p_size") % 22 + 1).alias("chr"), F.col("p_partkey").alias("bp"),
+                    F.substring(F.lit(BASES), b % 4 + 1, 1).alias("allele1"),
+                    F.substring(F.lit(BASES), (b + 1) % 4 + 1, 1).alias("allele2"))
+
+
+def sold_parts(spark: SparkSession, sf_dir: str, level: str = "region") -> DataFrame:
+    """(cohort, partkey): parts bought by the cohort's customers."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    smp = samples(spark, sf_dir, level).select("cohort", "sample_id")
+    per_cust = (li.join(o, li.l_orderkey == o.o_orderkey)
+                .select(F.col("o_custkey").alias("sample_id"), F.col("l_partkey").alias("partkey")).distinct())
+    return per_cust.join(smp, "sample_id").select("cohort", "partkey").distinct()
+
+
+def cohort_probes(spark: SparkSession, sf_dir: str, level: str = "region") -> DataFrame:
+    """(cohort, variant_idx, id, chr, bp, allele1, allele2): the reference rows of parts sold in the
+    cohort; absent when partkey % 5 = 0, allele2 altered when % 7 = 0, alleles swapped when % 3 = 0."""
+    ref = reference_panel(spark, sf_dir)
+    s = sold_parts(spark, sf_dir, level)
+    j = s.join(ref, s.partkey == ref.ref_idx).where(F.col("ref_idx") % 5 != 0)
+    a2 = F.when(F.col("ref_idx") % 7 == 0, F.lit(ALTERED_ALLELE)).otherwise(F.col("allele2"))
+    sw = F.col("variant_idx") % 3 == 0
+    j = j.select("cohort", F.col("ref_idx").alias("variant_idx"), F.col("ref_id").alias("id"), "chr", "bp",
+                 F.col("allele1").alias("_a1"), a2.alias("_a2"))
+    return j.select("cohort", "variant_idx", "id", "chr", "bp",
+                    F.when(sw, F.col("_a2")).otherwise(F.col("_a1")).alias("allele1"),
+                    F.when(sw, F.col("_a1")).otherwise(F.col("_a2")).alias("allele2"))
+
+
+# ---------------------------------------------------------------- QC fixtures
+
+def snpqc_table(spark: SparkSession, sf_dir: str, level: str = "region") -> DataFrame:
+    """SNP QC file per cohort: ID, MAF (folded), HWE, MACH_R2, CALL, TYPED, Genotype_Counts.
+
+    Counts come from the genotype; HWE, MACH_R2, CALL and TYPED are fixed arithmetic on the bucket."""
+    smp, geno, _ = cohort_data(spark, sf_dir, level)
+    n = smp.groupBy("cohort").agg(F.count(F.lit(1)).alias("n"))
+    st = geno.groupBy("cohort", "variant").agg(
+        F.count(F.when(F.col("dosage") == 1, 1)).alias("n1"), F.count(F.when(F.col("dosage") == 2, 1)).alias("n2"),
+        F.count(F.lit(1)).alias("nz"), F.sum("dosage").alias("sg"))
+    st = st.join(F.broadcast(n), "cohort")
+    k = F.substring(F.col("variant"), 2, 10).cast("int")
+    af = F.col("sg") / (2.0 * F.col("n"))
+    from ..operators.qc import genotype_count_text
+    return st.select(
+        "cohort", F.col("variant").alias("ID"), F.least(af, 1 - af).alias("MAF"),
+        (F.lit(1.0) / F.pow(F.lit(10.0), k % 9)).alias("HWE"),
+        ((k % 10) / 10.0 + 0.05).alias("MACH_R2"),
+        F.when(k % 13 == 0, F.lit(0.98)).otherwise(F.lit(1.0)).alias("CALL"),
+        (k % 2).alias("TYPED"),
+        genotype_count_text(F.col("n") - F.col("nz"), F.col("n1"), F.col("n2")).alias("Genotype_Counts"))
+
+
+def geneqc_table(spark: SparkSession, sf_dir: str, level: str = "region") -> DataFrame:
+    """Gene QC per cohort: gene, nr_values (count of y), nr_unique_values (distinct y)."""
+    _, _, phen = cohort_data(spark, sf_dir, level)
+    return phen.groupBy("cohort", F.col("phenotype").alias("gene")).agg(
+        F.count("y").alias("nr_values"), F.count_distinct("y").alias("nr_unique_values"))
+
+
+def genregpcs_table(spark: SparkSession, sf_dir: str, level: str = "region") -> DataFrame:
+    """Regulated-PC table per cohort from ``supplier``: Phenotype ExpPC<suppkey % 100 + 1>,
+    P-value 10^-(suppkey % 12)."""
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    d = cohort_dim(spark, sf_dir, level)
+    return (s.join(F.broadcast(d), s.s_nationkey == d.n_nationkey)
+            .select("cohort", F.concat(F.lit("ExpPC"), (F.col("s_suppkey") % 100 + 1).cast("string")).alias("Phenotype"),
+                    (F.lit(1.0) / F.pow(F.lit(10.0), F.col("s_suppkey") % 12)).alias("P-value")))

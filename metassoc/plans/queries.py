@@ -8,7 +8,7 @@ from . import fixtures as fx
 from . import jobs
 from .catalog import query
 from .oracle_sql import (EFFECT_CTES, META_CTES, META_SELECT, MOMENTS_CTES, R, S, effect_ctes, embed_ctes,
-                         fixture_ctes, with_all)
+                         fixture_ctes, samples_cte, with_all)
 
 N_COV = len(fx.COVARIATES)
 _BASE = fixture_ctes()
@@ -351,3 +351,174 @@ def flip_dosage(spark, sf_dir):
     cov = covariate_moments(smp, N_COV)
     t = flip_moments(variant_moments(geno, smp, N_COV, cov), cov, _flip_list(geno))
     return t.select("cohort", "variant", "flip", F.col("a")[0].alias("a_0"), F.col("a")[1].alias("a_1"), "gg", "maf")
+
+
+# ---------------------------------------------------------------- harmonisation
+
+_HARM_SQL = """ref AS (SELECT p_partkey AS ref_idx, 'rs' || CAST(p_partkey AS VARCHAR) AS ref_id, p_size % 22 + 1 AS chr,
+               p_partkey AS bp,
+               substr('ACGT', CAST(substr(p_brand, 7, 4) AS INTEGER) % 4 + 1, 1) AS allele1,
+               substr('ACGT', (CAST(substr(p_brand, 7, 4) AS INTEGER) + 1) % 4 + 1, 1) AS allele2 FROM part),
+sold AS (SELECT DISTINCT s.cohort, l.l_partkey AS pk FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+         JOIN samples s ON o.o_custkey = s.sample_id),
+pr0 AS (SELECT sold.cohort, ref.ref_idx AS variant_idx, ref.ref_id AS id, ref.chr, ref.bp, ref.allele1 AS a1,
+               CASE WHEN ref.ref_idx % 7 = 0 THEN 'N' ELSE ref.allele2 END AS a2
+        FROM sold JOIN ref ON sold.pk = ref.ref_idx WHERE ref.ref_idx % 5 <> 0),
+probes AS (SELECT cohort, variant_idx, id, chr, bp,
+                  CASE WHEN variant_idx % 3 = 0 THEN a2 ELSE a1 END AS allele1,
+                  CASE WHEN variant_idx % 3 = 0 THEN a1 ELSE a2 END AS allele2 FROM pr0),
+mt AS (SELECT p.cohort, r.ref_idx, r.ref_id, p.variant_idx,
+              CASE WHEN p.allele1 = r.allele1 AND p.allele2 = r.allele2 THEN 1 ELSE -1 END AS flip
+       FROM probes p JOIN ref r ON p.chr = r.chr AND p.bp = r.bp
+        AND ((p.allele1 = r.allele1 AND p.allele2 = r.allele2) OR (p.allele1 = r.allele2 AND p.allele2 = r.allele1))),
+vmap AS (SELECT cohort, ref_idx, ref_id, arg_max(variant_idx, flip * 1e15 + variant_idx) AS variant_idx,
+                max(flip) AS flip FROM mt GROUP BY cohort, ref_idx, ref_id)"""
+_HARM = with_all(samples_cte(), _HARM_SQL)
+
+
+def _harm(spark, sf_dir):
+    from ..operators.harmonise import harmonise
+    probes = fx.cohort_probes(spark, sf_dir)
+    ref = fx.reference_panel(spark, sf_dir)
+    return probes, ref, harmonise(probes, ref)
+
+
+@query("harmonise_map", _HARM + "SELECT cohort, ref_idx, ref_id, variant_idx, flip FROM vmap")
+def harmonise_map(spark, sf_dir):
+    """Probe ↔ reference map by (chr, bp, alleles): straight match flip +1, swapped alleles flip −1."""
+    return _harm(spark, sf_dir)[2]
+
+
+@query("harmonise_unmatched", _HARM + """SELECT p.cohort, p.variant_idx, p.id, p.allele1, p.allele2 FROM probes p
+       WHERE NOT EXISTS (SELECT 1 FROM vmap v WHERE v.cohort = p.cohort AND v.variant_idx = p.variant_idx)""")
+def harmonise_unmatched(spark, sf_dir):
+    """Probes found neither straight nor swapped in the reference panel."""
+    from ..operators.harmonise import unmatched
+    probes, _, vmap = _harm(spark, sf_dir)
+    return unmatched(probes, vmap).select("cohort", "variant_idx", "id", "allele1", "allele2")
+
+
+@query("harmonise_flipped", _HARM + """SELECT p.cohort, p.variant_idx, p.id, p.allele1, p.allele2, v.ref_id
+       FROM probes p JOIN vmap v ON v.cohort = p.cohort AND v.variant_idx = p.variant_idx WHERE v.flip = -1""")
+def harmonise_flipped(spark, sf_dir):
+    """Probes matched with swapped alleles (their dosages are flipped before analysis)."""
+    from ..operators.harmonise import flipped
+    probes, _, vmap = _harm(spark, sf_dir)
+    return flipped(probes, vmap).select("cohort", "variant_idx", "id", "allele1", "allele2", "ref_id")
+
+
+@query("harmonise_counts", _HARM + """SELECT c.cohort, coalesce(m.common, 0) AS common,
+       (SELECT count(*) FROM ref) - coalesce(m.common, 0) AS ref_not_in_probes,
+       c.np - coalesce(m.used, 0) AS probes_not_in_ref
+       FROM (SELECT cohort, count(*) AS np FROM probes GROUP BY cohort) c
+       LEFT JOIN (SELECT cohort, count(*) AS common, count(DISTINCT variant_idx) AS used FROM vmap GROUP BY cohort) m
+       ON c.cohort = m.cohort""")
+def harmonise_counts(spark, sf_dir):
+    """Per cohort: common variants, reference rows not in probes, probes not in the reference."""
+    from ..operators.harmonise import map_counts
+    probes, ref, vmap = _harm(spark, sf_dir)
+    return map_counts(probes, ref, vmap)
+
+
+# ---------------------------------------------------------------- QC lists
+
+_QC_SQL = """cn AS (SELECT cohort, count(*) AS n FROM samples GROUP BY cohort),
+st AS (SELECT cohort, variant, count(*) FILTER (WHERE g = 1) AS n1, count(*) FILTER (WHERE g = 2) AS n2,
+              count(*) AS nz, sum(g) AS sg FROM geno GROUP BY cohort, variant),
+snpqc AS (SELECT st.cohort, st.variant AS ID,
+                 least(st.sg / (2.0 * cn.n), 1 - st.sg / (2.0 * cn.n)) AS MAF,
+                 CAST(1.0 / pow(10.0, CAST(substr(st.variant, 2) AS INTEGER) % 9) AS DOUBLE) AS HWE,
+                 CAST((CAST(substr(st.variant, 2) AS INTEGER) % 10) / 10.0 + 0.05 AS DOUBLE) AS MACH_R2,
+                 CAST(CASE WHEN CAST(substr(st.variant, 2) AS INTEGER) % 13 = 0 THEN 0.98 ELSE 1.0 END AS DOUBLE) AS CALL,
+                 CAST(substr(st.variant, 2) AS INTEGER) % 2 AS TYPED,
+                 CAST(cn.n - st.nz AS DOUBLE) AS hom1, CAST(st.n1 AS DOUBLE) AS het, CAST(st.n2 AS DOUBLE) AS hom2
+          FROM st JOIN cn ON st.cohort = cn.cohort),
+passing AS (SELECT * FROM snpqc WHERE MAF > 0.01 AND MAF > 0.01 AND HWE > 1e-6 AND MACH_R2 > 0.4 AND CALL = 1.0),
+mac AS (SELECT p.*, 2 * mm.mh + p.het AS MAC FROM passing p
+        JOIN (SELECT cohort, ID, least(min(hom1), min(hom2)) AS mh FROM passing GROUP BY cohort, ID) mm
+        ON p.cohort = mm.cohort AND p.ID = mm.ID),
+kept AS (SELECT * FROM mac WHERE (cohort, ID) IN (SELECT (cohort, ID) FROM mac WHERE MAC > 10)),
+gq AS (SELECT cohort, phenotype AS gene, count(y) AS nr_values, count(DISTINCT y) AS nr_unique_values
+       FROM pheno GROUP BY cohort, phenotype),
+gkept AS (SELECT gq.* FROM gq JOIN (SELECT cohort, max(nr_values) AS mx FROM gq GROUP BY cohort) m
+          ON gq.cohort = m.cohort WHERE gq.nr_unique_values > 0.8 * m.mx),
+sup AS (SELECT r.r_name AS cohort, 'ExpPC' || CAST(s.s_suppkey % 100 + 1 AS VARCHAR) AS Phenotype,
+               1.0 / pow(10.0, s.s_suppkey % 12) AS pval
+        FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey),
+reg AS (SELECT DISTINCT cohort, Phenotype, CAST(substr(Phenotype, 6) AS BIGINT) AS num FROM sup WHERE pval < 1e-7)"""
+_QC = with_all(_BASE, _QC_SQL)
+
+
+def _qc_inputs(spark, sf_dir):
+    return fx.snpqc_table(spark, sf_dir), fx.geneqc_table(spark, sf_dir), fx.genregpcs_table(spark, sf_dir)
+
+
+@query("qc_snp_table", _QC + f"""SELECT cohort, ID, {R('MAF')} AS MAF, {R('HWE')} AS HWE, {R('MACH_R2')} AS MACH_R2,
+       {R('CALL')} AS CALL, TYPED,
+       'AA: ' || CAST(CAST(hom1 AS BIGINT) AS VARCHAR) || ', AB: ' || CAST(CAST(het AS BIGINT) AS VARCHAR)
+       || ', BB: ' || CAST(CAST(hom2 AS BIGINT) AS VARCHAR) AS Genotype_Counts FROM snpqc""")
+def qc_snp_table(spark, sf_dir):
+    """The per-cohort SNP QC file (MAF folded, genotype counts as 'AA: n, AB: n, BB: n')."""
+    return fx.snpqc_table(spark, sf_dir)
+
+
+@query("qc_mac", _QC + f"SELECT cohort, ID, {R('hom1')} AS hom1, {R('het')} AS het, {R('hom2')} AS hom2, {R('MAC')} AS MAC FROM mac")
+def qc_mac(spark, sf_dir):
+    """Minor-allele count 2·min(hom1, hom2) + het per QC-passing SNP (counts parsed from text)."""
+    from ..operators.qc import minor_allele_counts, snp_passing
+    snp, _, _ = _qc_inputs(spark, sf_dir)
+    return minor_allele_counts(snp_passing(snp)).select("cohort", "ID", "hom1", "het", "hom2", "MAC")
+
+
+@query("qc_snps", _QC + "SELECT cohort, ID FROM kept")
+def qc_snps(spark, sf_dir):
+    """SNP inclusion list per cohort: MAF/HWE/MACH_R2/CALL filters, then MAC > 10."""
+    from ..operators.qc import snps_to_include
+    snp, _, _ = _qc_inputs(spark, sf_dir)
+    return snps_to_include(snp).select("cohort", "ID")
+
+
+@query("qc_genes", _QC + "SELECT cohort, gene FROM gkept")
+def qc_genes(spark, sf_dir):
+    """Gene inclusion list per cohort: unique values > 0.8 · max(values) of the cohort."""
+    from ..operators.qc import genes_to_include
+    _, gq, _ = _qc_inputs(spark, sf_dir)
+    return genes_to_include(gq).select("cohort", "gene")
+
+
+def _qc_thresholds():
+    from ..operators.qc import QCThresholds
+    return QCThresholds(drop_regulated_pcs=True)
+
+
+@query("qc_covariates", _QC + """, pick AS (
+  SELECT c.cohort, 'GenPC' || CAST(i AS VARCHAR) AS covariate, i AS idx FROM (SELECT DISTINCT cohort FROM samples) c, range(1, 5) t(i)
+  UNION ALL
+  SELECT c.cohort, 'ExpPC' || CAST(i AS VARCHAR) AS covariate, i + 10 AS idx FROM (SELECT DISTINCT cohort FROM samples) c, range(1, 21) t(i))
+SELECT p.cohort, p.covariate, CAST(p.idx AS INTEGER) AS idx FROM pick p
+WHERE NOT EXISTS (SELECT 1 FROM reg WHERE reg.cohort = p.cohort AND reg.Phenotype = p.covariate)""")
+def qc_covariates(spark, sf_dir):
+    """Covariates per cohort: first 4 GenPCs and first 20 ExpPCs minus genetically regulated PCs."""
+    from ..operators.qc import pick_covariates
+    smp = fx.samples(spark, sf_dir)
+    return pick_covariates(smp, fx.genregpcs_table(spark, sf_dir), _qc_thresholds())
+
+
+@query("qc_log", _QC + """SELECT b.cohort, b.N, b.nr_snps, coalesce(k.filtered_snps, 0) AS filtered_snps,
+       coalesce(k.typed_snps, 0) AS typed_snps, coalesce(m.snps_mac_gt_10, 0) AS snps_mac_gt_10,
+       coalesce(k.snps_both_hom_gt_5, 0) AS snps_both_hom_gt_5, coalesce(g.genes_original, 0) AS genes_original,
+       coalesce(gk.genes_filtered, 0) AS genes_filtered, coalesce(r.regulated_pcs, '') AS regulated_pcs
+FROM (SELECT cohort, CAST(max(hom1 + het + hom2) AS BIGINT) AS N, count(*) FILTER (WHERE MAF > 0.01) AS nr_snps
+      FROM snpqc GROUP BY cohort) b
+LEFT JOIN (SELECT cohort, count(*) AS filtered_snps, count(*) FILTER (WHERE TYPED = 1) AS typed_snps,
+           count(*) FILTER (WHERE hom1 > 5 AND hom2 > 5) AS snps_both_hom_gt_5 FROM kept GROUP BY cohort) k ON b.cohort = k.cohort
+LEFT JOIN (SELECT cohort, count(*) FILTER (WHERE MAC > 10) AS snps_mac_gt_10 FROM mac GROUP BY cohort) m ON b.cohort = m.cohort
+LEFT JOIN (SELECT cohort, count(*) AS genes_original FROM gq GROUP BY cohort) g ON b.cohort = g.cohort
+LEFT JOIN (SELECT cohort, count(*) AS genes_filtered FROM gkept GROUP BY cohort) gk ON b.cohort = gk.cohort
+LEFT JOIN (SELECT cohort, string_agg(Phenotype, ', ' ORDER BY num) AS regulated_pcs FROM reg GROUP BY cohort) r
+       ON b.cohort = r.cohort""")
+def qc_log(spark, sf_dir):
+    """Per-cohort QC log: N, SNP counts at each step, gene counts, regulated PCs in natural order."""
+    from ..operators.qc import qc_log as _log
+    snp, gq, reg = _qc_inputs(spark, sf_dir)
+    return _log(snp, gq, reg)
