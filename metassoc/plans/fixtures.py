@@ -192,3 +192,22 @@ def genregpcs_table(spark: SparkSession, sf_dir: str, level: str = "region") ->
     return (s.join(F.broadcast(d), s.s_nationkey == d.n_nationkey)
             .select("cohort", F.concat(F.lit("ExpPC"), (F.col("s_suppkey") % 100 + 1).cast("string")).alias("Phenotype"),
                     (F.lit(1.0) / F.pow(F.lit(10.0), F.col("s_suppkey") % 12)).alias("P-value")))
+
+
+# ---------------------------------------------------------------- events as a second phenotype source
+
+def event_phenotype(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(sample_id, phenotype, y): per user and event type the mean event value."""
+    e = table(spark, sf_dir, "events").select("user_id", "event_type", "value")
+    return e.groupBy(F.col("user_id").alias("sample_id"), F.col("event_type").alias("phenotype")).agg(
+        F.avg("value").alias("y"))
+
+
+def variant_probes(spark: SparkSession, sf_dir: str, n_variants: int = N_VARIANTS) -> DataFrame:
+    """Probe annotation per bucket variant from ``part``: ID, allele1, allele2, Rsq."""
+    ref = reference_panel(spark, sf_dir)
+    p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("ref_idx"), "p_retailprice")
+    return (ref.join(p, "ref_idx").groupBy((F.col("ref_idx") % n_variants).alias("vkey"))
+            .agg(F.min("allele1").alias("allele1"), F.max("allele2").alias("allele2"),
+                 (F.avg("p_retailprice") / 2000.0).alias("Rsq"))
+            .select(variant_label("vkey").alias("ID"), "allele1", "allele2", "Rsq"))

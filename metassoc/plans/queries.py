@@ -522,3 +522,117 @@ def qc_log(spark, sf_dir):
     from ..operators.qc import qc_log as _log
     snp, gq, reg = _qc_inputs(spark, sf_dir)
     return _log(snp, gq, reg)
+
+
+# ---------------------------------------------------------------- sample intersection (events phenotypes)
+
+_EV_SQL = """smp_i AS (SELECT s.* FROM samples s WHERE s.sample_id IN (SELECT user_id FROM events)
+                                            AND s.sample_id IN (SELECT sample_id FROM calls)),
+pheno_e AS (SELECT s.cohort, s.sample_id, s.x, e.event_type AS phenotype, avg(e.value) AS y
+            FROM events e JOIN smp_i s ON e.user_id = s.sample_id GROUP BY s.cohort, s.sample_id, s.x, e.event_type),
+geno_e AS (SELECT g.* FROM geno g WHERE g.sample_id IN (SELECT sample_id FROM smp_i))"""
+
+
+def _events_inputs(spark, sf_dir):
+    from ..operators.align import sample_intersection
+    smp = fx.samples(spark, sf_dir)
+    ev = fx.event_phenotype(spark, sf_dir)
+    calls = fx.calls(spark, sf_dir).select("sample_id").distinct()
+    # phenotype ∩ genotype ∩ partial-derivative samples, keyed by (cohort, sample_id)
+    tag = smp.select("cohort", "sample_id")
+    inter = sample_intersection(tag.join(ev.select("sample_id").distinct(), "sample_id"),
+                                tag.join(calls, "sample_id"), tag)
+    smp_i = smp.join(inter, ["cohort", "sample_id"], "left_semi")
+    return smp_i, inter, ev
+
+
+@query("sample_intersection", with_all(_BASE, _EV_SQL) + "SELECT cohort, sample_id FROM smp_i")
+def sample_intersection_q(spark, sf_dir):
+    """Samples present in phenotype (events users), genotype (customers with calls) and PD (customers)."""
+    return _events_inputs(spark, sf_dir)[1]
+
+
+@query("meta_events_intersection",
+       with_all(_BASE, _EV_SQL, _moments_filtered(geno="geno_e", pheno="pheno_e").replace("FROM samples", "FROM smp_i"),
+                EFFECT_CTES, META_CTES) + META_SELECT)
+def meta_events_intersection(spark, sf_dir):
+    """Meta-analysis of event-type phenotypes (mean value per user) on the intersected samples."""
+    smp_i, _, ev = _events_inputs(spark, sf_dir)
+    geno = fx.genotype(spark, sf_dir, smp=smp_i)
+    phen = ev.join(smp_i, "sample_id").select("cohort", "sample_id", "phenotype", "y", "x")
+    return jobs.meta_analyse(smp_i, geno, phen, N_COV)
+
+
+# ---------------------------------------------------------------- annotation, partitioned output, summaries
+
+_PROBE_SQL = """vp AS (SELECT 'v' || CAST(ref_idx % 20 AS VARCHAR) AS ID, min(allele1) AS allele1, max(allele2) AS allele2,
+                      avg(p.p_retailprice) / 2000.0 AS Rsq
+               FROM ref JOIN part p ON ref.ref_idx = p.p_partkey GROUP BY ref_idx % 20)"""
+_REF_ONLY = _HARM_SQL.split(",\nsold AS")[0]
+
+
+@query("annotate_results",
+       with_all(fixture_ctes(where=f"r.r_name = '{_SINGLE}'"), MOMENTS_CTES, EFFECT_CTES, _REF_ONLY, _PROBE_SQL)
+       + f"""SELECT e.variant AS RSID, e.phenotype, {R('e.beta')} AS BETA, {R('e.se')} AS SE, {R('e.maf')} AS AF_coded,
+       vp.allele1, vp.allele2, {R('vp.Rsq')} AS Rsq FROM eff e JOIN vp ON e.variant = vp.ID""")
+def annotate_results(spark, sf_dir):
+    """Single-site results joined with probe information (alleles, Rsq); MAF renamed AF_coded."""
+    from ..operators.report import annotate
+    res = single_site_association(spark, sf_dir)
+    res = res.select(F.col("variant").alias("RSID"), "phenotype", F.col("beta").alias("BETA"),
+                     F.col("standard_error").alias("SE"), F.col("maf").alias("MAF"))
+    return annotate(res, fx.variant_probes(spark, sf_dir)).select(
+        "RSID", "phenotype", "BETA", "SE", "AF_coded", "allele1", "allele2", "Rsq")
+
+
+_EXTRACT = "1-URGENT"
+
+
+@query("result_by_phenotype", with_all(_BASE, MOMENTS_CTES, EFFECT_CTES, META_CTES) + META_SELECT
+       + f" WHERE phenotype = '{_EXTRACT}'")
+def result_by_phenotype(spark, sf_dir):
+    """Meta results written partitioned by phenotype, then one phenotype read back (partition pruning)."""
+    import uuid
+    from ..session import shared_path
+    from ..sources.sinks import read_phenotypes, write_by_phenotype
+    path = shared_path(spark, "results", f"meta_by_phenotype_{uuid.uuid4().hex}")
+    write_by_phenotype(meta_ivw(spark, sf_dir), path)
+    return read_phenotypes(spark, path, _EXTRACT)
+
+
+@query("association_summary")
+def association_summary(spark, sf_dir):
+    """Summary table of a single-site run: RSID, p_value (Student t, df), t-stat, phenotype, SE, MAF, BETA."""
+    from ..operators.report import summarise
+    return summarise(single_site_association(spark, sf_dir))
+
+
+@query("p_values")
+def p_values(spark, sf_dir):
+    """Two-sided p-values of the per-cohort t statistics: Student t with the cohort's df, and normal."""
+    from ..functions.pvalues import p_value
+    smp, geno, phen = fx.cohort_data(spark, sf_dir)
+    eff = jobs.cohort_effects(smp, geno, phen, N_COV)
+    return eff.select("cohort", "variant", "phenotype", "t_stat", "df",
+                      p_value("t_stat", "df").alias("p_value"), p_value("t_stat").alias("p_normal"))
+
+
+_SEED = 42
+_PERM_SQL = f"""perm AS (
+  SELECT a.cohort, a.sample_id, b.sample_id AS source_id FROM
+    (SELECT cohort, sample_id, row_number() OVER (PARTITION BY cohort ORDER BY sample_id) AS r FROM samples) a
+  JOIN (SELECT cohort, sample_id, row_number() OVER (PARTITION BY cohort ORDER BY
+          ((sample_id * 2654435761 + {_SEED}) % 2147483647 + 2147483647) % 2147483647) AS r FROM samples) b
+  ON a.cohort = b.cohort AND a.r = b.r),
+pheno_p AS (SELECT p.cohort, perm.sample_id, s.x, p.phenotype, p.y FROM pheno p
+            JOIN perm ON p.cohort = perm.cohort AND p.sample_id = perm.source_id
+            JOIN samples s ON s.cohort = perm.cohort AND s.sample_id = perm.sample_id)"""
+
+
+@query("permuted_association", with_all(_BASE, _PERM_SQL, _moments_filtered(pheno="pheno_p"), EFFECT_CTES, META_CTES)
+       + META_SELECT)
+def permuted_association(spark, sf_dir):
+    """Meta-analysis after a seeded within-cohort permutation of the phenotype samples (null run)."""
+    from ..operators.permute import permute_phenotype
+    smp, geno, phen = fx.cohort_data(spark, sf_dir)
+    return jobs.meta_analyse(smp, geno, permute_phenotype(phen, smp, _SEED), N_COV)
