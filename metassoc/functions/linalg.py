@@ -10,11 +10,12 @@ def _identity_row(p: Column, i: Column) -> Column:
     return F.transform(F.sequence(F.lit(0), p - 1), lambda j: F.when(j == i, F.lit(1.0)).otherwise(F.lit(0.0)))
 
 
-def spd_inverse(m) -> Column:
+def spd_inverse(m, tol: float = 1e-12) -> Column:
     """Inverse of a symmetric positive-definite p×p matrix by Gauss–Jordan elimination.
 
-    No pivoting is needed for SPD matrices (every leading pivot is positive).  A zero or
-    non-finite pivot (singular input) yields NULL.
+    No pivoting is needed for SPD matrices (every leading pivot is positive).  The k-th pivot is
+    the Schur complement of the leading block; when it is not above ``tol`` times the original
+    diagonal entry the matrix is (numerically) singular and the result is NULL.
     """
     m = F.col(m) if isinstance(m, str) else m
     p = F.size(m)
@@ -22,7 +23,8 @@ def spd_inverse(m) -> Column:
 
     def step(acc, k):
         piv = F.get(F.get(acc, k), k)
-        prow = F.transform(F.get(acc, k), lambda x: F.try_divide(x, piv))
+        ok = piv > F.lit(tol) * F.abs(F.get(F.get(m, k), k))
+        prow = F.transform(F.get(acc, k), lambda x: F.when(ok, F.try_divide(x, piv)))
         return F.transform(acc, lambda row, i: F.when(i == k, prow).otherwise(
             F.zip_with(row, prow, lambda x, y: x - F.get(row, k) * y)))
 

@@ -636,3 +636,37 @@ def permuted_association(spark, sf_dir):
     from ..operators.permute import permute_phenotype
     smp, geno, phen = fx.cohort_data(spark, sf_dir)
     return jobs.meta_analyse(smp, geno, permute_phenotype(phen, smp, _SEED), N_COV)
+
+
+# ---------------------------------------------------------------- encoding, interactions, study intercepts
+
+_KEY_SEED = 7
+
+
+@query("encode_roundtrip")
+def encode_roundtrip(spark, sf_dir):
+    """gᵀy from privacy-encoded genotype G·F and phenotype F⁻¹·P (equals b4_product up to conditioning)."""
+    from ..operators.encode import encode, encoded_cross_moments
+    smp, geno, phen = fx.cohort_data(spark, sf_dir)
+    enc = encode(smp, geno, phen, seed=_KEY_SEED)
+    return encoded_cross_moments(enc["genotype"], enc["phenotype"])
+
+
+@query("interaction_association")
+def interaction_association(spark, sf_dir):
+    """Per-cohort model y ~ 1 + x + g·x + g: genotype and genotype × covariate effects."""
+    from ..operators.interaction import interaction_effects
+    smp, geno, phen = fx.cohort_data(spark, sf_dir)
+    return interaction_effects(smp, geno, phen, N_COV, factor=0)
+
+
+@query("mega_study_intercepts")
+def mega_study_intercepts(spark, sf_dir):
+    """Pooled regression over all cohorts with K−1 study indicator covariates."""
+    from ..operators.meta import with_study_intercepts
+    from ..operators.moments import partial_derivatives
+    from ..operators.regression import associate_pd
+    smp, geno, phen = fx.cohort_data(spark, sf_dir)
+    s2, g2, p2, extra = with_study_intercepts(smp, geno, phen)
+    eff = associate_pd(partial_derivatives(s2, g2, p2, N_COV + extra))
+    return eff.select("variant", "phenotype", "beta", "standard_error", "t_stat", "sample_size", "maf")
