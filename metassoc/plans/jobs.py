@@ -73,3 +73,75 @@ def guard_effect_count(per_cohort: DataFrame, max_effects: int = 10**9) -> None:
     worst = per_cohort.groupBy("cohort").count().agg(F.max("count")).first()[0]
     if worst is not None and worst > max_effects:
         raise ValueError(f"refusing to write {worst} effects for one cohort (limit {max_effects})")
+
+
+# ---------------------------------------------------------------- other user-facing jobs
+
+def associate(samples: DataFrame, genotype: DataFrame, phenotype: DataFrame, n_cov: int, *,
+              permute_seed: int | None = None, t_thr: float | None = None, **kw) -> DataFrame:
+    """Single-site association (one or more cohorts analysed separately): β, SE, t, MAF, df.
+
+    ``permute_seed`` shuffles phenotype samples within each cohort first (null run); ``t_thr``
+    keeps |t| > thr (|t| > 0 when None, which drops 0 and NaN)."""
+    from ..operators.permute import permute_phenotype
+    from ..operators.report import t_filter
+    if permute_seed is not None:
+        phenotype = permute_phenotype(phenotype, samples, permute_seed)
+    return t_filter(cohort_effects(samples, genotype, phenotype, n_cov, **kw), t_thr)
+
+
+def encode_site(samples: DataFrame, genotype: DataFrame, phenotype: DataFrame, seed: int, block: int = 64,
+                flips: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Site-side encoding: optional allele flips of raw calls, then G·F and F⁻¹·P."""
+    from ..functions.columns import flip_value
+    from ..operators.encode import encode
+    if flips is not None:
+        genotype = (genotype.join(flips.select("cohort", "variant", "flip"), ["cohort", "variant"], "left")
+                    .withColumn("dosage", flip_value("dosage", F.coalesce(F.col("flip"), F.lit(1)))).drop("flip"))
+    return encode(samples, genotype, phenotype, seed, block)
+
+
+def harmonise_study(probes: DataFrame, reference: DataFrame, by: str = "position") -> dict[str, DataFrame]:
+    """Variant map plus the unmatched/flipped reports and counts."""
+    from ..operators import harmonise as h
+    vmap = h.harmonise(probes, reference, by)
+    return {"map": vmap, "unmatched": h.unmatched(probes, vmap), "flipped": h.flipped(probes, vmap),
+            "counts": h.map_counts(probes, reference, vmap)}
+
+
+def summarise(assoc: DataFrame, df_col: str | None = "df") -> DataFrame:
+    from ..operators.report import summarise as _s
+    return _s(assoc, df_col)
+
+
+def annotate(summary: DataFrame, probes: DataFrame) -> DataFrame:
+    from ..operators.report import annotate as _a
+    return _a(summary, probes)
+
+
+def output_per_phenotype(spark, result_paths: list[str], out: str) -> None:
+    """Union of result shards rewritten partitioned by phenotype."""
+    from ..sources.sinks import write_by_phenotype
+    write_by_phenotype(spark.read.parquet(*result_paths), out)
+
+
+def qc_lists(snpqc: DataFrame, geneqc: DataFrame, genregpcs: DataFrame, thresholds=None) -> dict[str, DataFrame]:
+    """SNP and gene inclusion lists, covariate indices and the QC log per cohort."""
+    from ..operators import qc
+    t = thresholds or qc.QCThresholds()
+    picked = qc.pick_covariates(snpqc.select("cohort").distinct(), genregpcs, t)
+    return {"snps": qc.snps_to_include(snpqc, t).select("cohort", "ID"),
+            "genes": qc.genes_to_include(geneqc, t).select("cohort", "gene"),
+            "covariates": picked, "covariate_index": qc.covariate_index_lines(picked),
+            "log": qc.qc_log(snpqc, geneqc, genregpcs, t)}
+
+
+def permuted_genotype_set(permuted_genotype: DataFrame, empirical_probes: DataFrame) -> DataFrame:
+    """Genotypes (and individuals) of the permuted set with the probes of the empirical set."""
+    return permuted_genotype.join(empirical_probes, ["cohort", "variant_idx"])
+
+
+def remove_subjects(samples: DataFrame, genotype: DataFrame, phenotype: DataFrame, removed: DataFrame):
+    """Drop listed subjects from every table (anti joins on the sample key)."""
+    from .. operators.align import remove_samples
+    return remove_samples(samples, removed), remove_samples(genotype, removed), remove_samples(phenotype, removed)

@@ -670,3 +670,34 @@ def mega_study_intercepts(spark, sf_dir):
     s2, g2, p2, extra = with_study_intercepts(smp, geno, phen)
     eff = associate_pd(partial_derivatives(s2, g2, p2, N_COV + extra))
     return eff.select("variant", "phenotype", "beta", "standard_error", "t_stat", "sample_size", "maf")
+
+
+# ---------------------------------------------------------------- checks
+
+@query("pd_consistency", with_all(_BASE, MOMENTS_CTES)
+       + f"""SELECT cm.cohort, cm.n, {R('cm.sx / cm.n')} AS mean_x, {R('a.mean_af')} AS mean_af, {R('p.mean_y')} AS mean_phenotype
+       FROM cm LEFT JOIN (SELECT vm.cohort, avg(vm.sg / (2.0 * c2.n)) AS mean_af FROM vm JOIN cm c2 ON vm.cohort = c2.cohort
+                          GROUP BY vm.cohort) a ON cm.cohort = a.cohort
+       LEFT JOIN (SELECT pm.cohort, avg(pm.sy / c3.n) AS mean_y FROM pm JOIN cm c3 ON pm.cohort = c3.cohort
+                  GROUP BY pm.cohort) p ON cm.cohort = p.cohort""")
+def pd_consistency(spark, sf_dir):
+    """Per-cohort PD summary (covariate mean, mean allele frequency, mean phenotype) to compare cohorts."""
+    from ..operators.checks import pd_consistency as _c
+    from ..operators.moments import partial_derivatives
+    smp, geno, phen = fx.cohort_data(spark, sf_dir)
+    c = _c(partial_derivatives(smp, geno, phen, N_COV, with_b4=False))
+    return c.select("cohort", "n", F.col("cov_means")[1].alias("mean_x"), "mean_af", "mean_phenotype")
+
+
+@query("singular_designs", with_all(fixture_ctes(level="nation"), MOMENTS_CTES,
+                                    EFFECT_CTES.split(",\npt AS")[0])
+       + "SELECT cohort, variant, n - 3 AS df FROM vt WHERE NOT (s > 1e-12 * sgg) OR n - 3 <= 0")
+def singular_designs(spark, sf_dir):
+    """Diagnostics: (cohort, variant) designs dropped as singular in the 25 nation cohorts."""
+    from ..operators.checks import singular_variants
+    from ..operators.moments import partial_derivatives
+    from ..operators.regression import invert_cov, variant_terms
+    smp, geno, phen = fx.cohort_data(spark, sf_dir, level="nation")
+    pd_ = partial_derivatives(smp, geno, phen, N_COV, with_b4=False)
+    vt = variant_terms(pd_["pd_test"], invert_cov(pd_["pd_cov"]), keep_singular=True)
+    return singular_variants(vt).select("cohort", "variant", "df")
