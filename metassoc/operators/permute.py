@@ -4,14 +4,15 @@ cohort, genotypes and covariates stay.  The permutation is seeded and reproducib
     key(sample) = pmod(sample_id · 2654435761 + seed, 2147483647)
 
 is injective on ids below the prime, and the sample with the r-th smallest id receives the
-phenotypes of the sample with the r-th smallest key.  Ranks are computed per cohort over the
-sample table only (one row per subject, never per call)."""
+phenotypes of the sample with the r-th smallest key.  Ranks come from a globally sorted
+numbering of the sample table (``ranks.rank_within``), never from a per-cohort task."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+from .ranks import rank_within
 
 # Fixed values of the permutation key.
 MULTIPLIER = 2654435761
@@ -25,8 +26,8 @@ def permutation_key(sample_id, seed: int):
 def permute_samples(samples: DataFrame, seed: int) -> DataFrame:
     """(cohort, sample_id, source_id): sample_id takes the phenotypes of source_id."""
     s = samples.select("cohort", "sample_id").withColumn("_k", permutation_key("sample_id", seed))
-    by_id = s.withColumn("_r", F.row_number().over(Window.partitionBy("cohort").orderBy("sample_id")))
-    by_key = s.withColumn("_r", F.row_number().over(Window.partitionBy("cohort").orderBy("_k")))
+    by_id = rank_within(s, "cohort", "sample_id", "_r")
+    by_key = rank_within(s, "cohort", "_k", "_r")
     return (by_id.select("cohort", "sample_id", "_r")
             .join(by_key.select("cohort", "_r", F.col("sample_id").alias("source_id")), ["cohort", "_r"])
             .drop("_r"))
