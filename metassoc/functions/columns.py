@@ -43,6 +43,32 @@ def quad_form(m, v) -> Column:
     return array_dot(col_(v), mat_vec(m, v))
 
 
+def dot_n(a, b, p: int) -> Column:
+    """Σ_{i<p} a[i]*b[i] unrolled for a length p known when the plan is built (codegen-friendly)."""
+    a, b = col_(a), col_(b)
+    out = a[0] * b[0]
+    for i in range(1, p):
+        out = out + a[i] * b[i]
+    return out
+
+
+def mat_vec_n(m, v, p: int) -> Column:
+    """M·v unrolled for a p×p matrix."""
+    m, v = col_(m), col_(v)
+    return F.array(*[dot_n(m[i], v, p) for i in range(p)])
+
+
+def quad_form_n(m, v, p: int) -> Column:
+    """vᵀMv unrolled."""
+    m, v = col_(m), col_(v)
+    out = None
+    for i in range(p):
+        for j in range(p):
+            t = v[i] * m[i][j] * v[j]
+            out = t if out is None else out + t
+    return out
+
+
 def flip_dosage(dosage, flip) -> Column:
     """Allele flip on a dense dosage array: x -> 2 - x where flip == -1 (missing code kept)."""
     d, f = col_(dosage), col_(flip)

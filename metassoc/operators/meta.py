@@ -104,7 +104,7 @@ def pool_pd(pd: dict[str, DataFrame], label: str = "ALL", require_all: bool = Tr
     test = test.join(F.broadcast(cov.select("cohort", "n")), "cohort")   # one row
     test = test.withColumn("maf", F.col("a")[0] / (2.0 * F.col("n"))).drop("n")
     pheno = pool(pd["pd_pheno"], ["phenotype"], "b", ["c"])
-    out = {"pd_cov": cov, "pd_test": test, "pd_pheno": pheno}
+    out = {"pd_cov": cov, "pd_test": test, "pd_pheno": pheno, "p": pd.get("p")}
     if "pd_b4" in pd:
         b4 = pd["pd_b4"].groupBy("variant", "phenotype").agg(F.sum("gy").alias("gy")).withColumn("cohort", F.lit(label))
         out["pd_b4"] = b4

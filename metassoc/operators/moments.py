@@ -83,13 +83,14 @@ def cross_moments(genotype: DataFrame, phenotype: DataFrame) -> DataFrame:
 
 
 def partial_derivatives(samples: DataFrame, genotype: DataFrame, phenotype: DataFrame, n_cov: int,
-                        with_b4: bool = True) -> dict[str, DataFrame]:
-    """All PD tables of one or many cohorts (cohort is a grouping key everywhere)."""
+                        with_b4: bool = True) -> dict:
+    """All PD tables of one or many cohorts (cohort is a grouping key everywhere), plus ``p``."""
     pd_cov = covariate_moments(samples, n_cov)
     out = {
         "pd_cov": pd_cov,
         "pd_test": variant_moments(genotype, samples, n_cov, pd_cov),
         "pd_pheno": phenotype_moments(phenotype, samples, n_cov),
+        "p": n_cov + 1,            # number of constant terms (intercept + covariates)
     }
     if with_b4:
         out["pd_b4"] = cross_moments(genotype, phenotype)

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import array_dot, mat_vec, quad_form, safe_div
+from ..functions.columns import array_dot, dot_n, mat_vec, mat_vec_n, quad_form, quad_form_n, safe_div
 from ..functions.linalg import spd_inverse
 from .joins import DEFAULT_MAX_BROADCAST_ROWS, join_small
 
@@ -30,12 +30,15 @@ def invert_cov(pd_cov: DataFrame) -> DataFrame:
 
 
 def variant_terms(pd_test: DataFrame, cov_inv: DataFrame, tol: float = SINGULAR_TOL,
-                  keep_singular: bool = False) -> DataFrame:
-    """(cohort, variant, n, maf, u, s[, singular]) per cohort-variant."""
+                  keep_singular: bool = False, p: int | None = None) -> DataFrame:
+    """(cohort, variant, n, maf, u, s[, singular]) per cohort-variant.
+
+    With ``p`` (number of constant terms, known from the PD step) the products are unrolled into
+    plain indexed arithmetic that whole-stage codegen compiles; without it, array lambdas."""
     c = cov_inv.where(F.col("m").isNotNull()).select("cohort", "n", "m")
-    t = (pd_test.join(F.broadcast(c), "cohort")          # K rows: fixed-size dimension
-         .withColumn("u", mat_vec("m", "a"))
-         .withColumn("s", F.col("gg") - array_dot("a", "u"))
+    u = mat_vec_n("m", "a", p) if p else mat_vec("m", "a")
+    t = pd_test.join(F.broadcast(c), "cohort").withColumn("u", u)      # K rows: fixed-size dimension
+    t = (t.withColumn("s", F.col("gg") - (dot_n("a", "u", p) if p else array_dot("a", "u")))
          .withColumn("singular", ~(F.col("s") > F.lit(tol) * F.col("gg")))
          .withColumn("df", F.col("n") - F.size("a") - 1))
     if not keep_singular:
@@ -43,17 +46,18 @@ def variant_terms(pd_test: DataFrame, cov_inv: DataFrame, tol: float = SINGULAR_
     return t.drop("gg", "m")
 
 
-def phenotype_terms(pd_pheno: DataFrame, cov_inv: DataFrame) -> DataFrame:
+def phenotype_terms(pd_pheno: DataFrame, cov_inv: DataFrame, p: int | None = None) -> DataFrame:
     """(cohort, phenotype, b, rss0) with rss0 = yᵀy − bᵀMb (residual SS of the covariate-only model)."""
     c = cov_inv.where(F.col("m").isNotNull()).select("cohort", "m")
     return (pd_pheno.join(F.broadcast(c), "cohort")
-            .withColumn("rss0", F.col("c") - quad_form("m", "b"))
+            .withColumn("rss0", F.col("c") - (quad_form_n("m", "b", p) if p else quad_form("m", "b")))
             .drop("m", "c"))
 
 
-def effects_from_terms(pairs: DataFrame) -> DataFrame:
+def effects_from_terms(pairs: DataFrame, p: int | None = None) -> DataFrame:
     """Columns u, s, b, rss0, gy, n, df -> beta, standard_error, t_stat, sample_size."""
-    beta = safe_div(F.col("gy") - array_dot("u", "b"), F.col("s"))
+    ub = dot_n("u", "b", p) if p else array_dot("u", "b")
+    beta = safe_div(F.col("gy") - ub, F.col("s"))
     return (pairs
             .withColumn("beta", beta)
             .withColumn("rss", F.abs(F.col("rss0") - F.col("beta") * F.col("beta") * F.col("s")))
@@ -63,7 +67,7 @@ def effects_from_terms(pairs: DataFrame) -> DataFrame:
 
 
 def cohort_effects(vt: DataFrame, pt: DataFrame, pd_b4: DataFrame | None,
-                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, p: int | None = None) -> DataFrame:
     """Every variant × every phenotype inside each cohort, with β, SE, t.
 
     The phenotype side (cohorts × phenotypes rows) is broadcast after a size check, else the
@@ -77,16 +81,15 @@ def cohort_effects(vt: DataFrame, pt: DataFrame, pd_b4: DataFrame | None,
         if "flip" in vt.columns:   # flipped allele: (2 − g)ᵀy = 2·Σy − gᵀy
             grid = grid.withColumn("gy", F.when(F.col("flip") == -1, 2.0 * F.col("b")[0] - F.col("gy"))
                                    .otherwise(F.col("gy")))
-    return effects_from_terms(grid).select(
+    return effects_from_terms(grid, p).select(
         "cohort", "variant", "phenotype", "beta", "standard_error", "t_stat", "sample_size", "df", "maf")
 
 
 def associate_pd(pd: dict[str, DataFrame], tol: float = SINGULAR_TOL,
                  max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Per-cohort effects straight from the PD tables (pd_cov, pd_test, pd_pheno, pd_b4)."""
+    p = pd.get("p")
     inv = invert_cov(pd["pd_cov"])
-    vt = variant_terms(pd["pd_test"], inv, tol)
-    if "flip" not in pd["pd_test"].columns:
-        vt = vt.drop("flip") if "flip" in vt.columns else vt
-    pt = phenotype_terms(pd["pd_pheno"], inv)
-    return cohort_effects(vt, pt, pd.get("pd_b4"), max_broadcast_rows)
+    vt = variant_terms(pd["pd_test"], inv, tol, p=p)
+    pt = phenotype_terms(pd["pd_pheno"], inv, p=p)
+    return cohort_effects(vt, pt, pd.get("pd_b4"), max_broadcast_rows, p=p)

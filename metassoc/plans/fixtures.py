@@ -14,6 +14,7 @@ cardinality fixed by the schema, so they are the only tables broadcast without a
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,15 +48,17 @@ def samples(spark: SparkSession, sf_dir: str, level: str = "region") -> DataFram
                     F.array(F.col("c_acctbal") / 1000.0).alias("x")))
 
 
-def calls(spark: SparkSession, sf_dir: str, n_variants: int = N_VARIANTS) -> DataFrame:
-    """(sample_id, vkey, cnt, all_returned): lineitems per customer and part bucket.
+def calls(spark: SparkSession, sf_dir: str, n_variants: int | None = N_VARIANTS) -> DataFrame:
+    """(sample_id, vkey, cnt, all_returned): lineitems per customer and part bucket
+    (``n_variants=None``: one variant per part).
 
     lineitem ⋈ orders on the order key, pre-aggregated to one row per (customer, bucket)
     before anything else is joined."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_returnflag")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    vkey = F.col("l_partkey") if n_variants is None else F.col("l_partkey") % n_variants
     return (li.join(o, li.l_orderkey == o.o_orderkey)
-            .groupBy(F.col("o_custkey").alias("sample_id"), (F.col("l_partkey") % n_variants).alias("vkey"))
+            .groupBy(F.col("o_custkey").alias("sample_id"), vkey.alias("vkey"))
             .agg(F.count(F.lit(1)).alias("cnt"),
                  F.bool_and(F.col("l_returnflag") == RETURNED_FLAG).alias("all_returned")))
 
@@ -85,10 +88,20 @@ def phenotype(spark: SparkSession, sf_dir: str, level: str = "region", smp: Data
     return y.join(smp, "sample_id").select("cohort", "sample_id", "phenotype", "y", "x")
 
 
-def cohort_data(spark: SparkSession, sf_dir: str, level: str = "region", n_variants: int = N_VARIANTS):
-    """(samples, genotype, phenotype) of the fixture."""
+def cohort_data(spark: SparkSession, sf_dir: str, level: str = "region", n_variants: int | None = N_VARIANTS,
+                persist: bool = True):
+    """(samples, genotype, phenotype) of the fixture.
+
+    The genotype and phenotype views are derived by joins and aggregates and are read twice by
+    the analysis (moments and cross products), so they are persisted (memory, spilling to disk;
+    recomputed from lineage if an executor is lost) — a stored genotype table would simply be
+    scanned twice instead."""
     smp = samples(spark, sf_dir, level)
-    return smp, genotype(spark, sf_dir, level, n_variants, smp=smp), phenotype(spark, sf_dir, level, smp=smp)
+    geno = genotype(spark, sf_dir, level, n_variants, smp=smp)
+    phen = phenotype(spark, sf_dir, level, smp=smp)
+    if persist:
+        geno, phen = geno.persist(StorageLevel.MEMORY_AND_DISK), phen.persist(StorageLevel.MEMORY_AND_DISK)
+    return smp, geno, phen
 
 
 def embedding_rows(spark: SparkSession, sf_dir: str, split: bool = False):

@@ -29,9 +29,10 @@ def samples_cte(level: str = "region", name: str = "samples", where: str = "TRUE
   JOIN region r ON n.n_regionkey = r.r_regionkey WHERE {where})"""
 
 
-def calls_cte(n_variants: int = 20) -> str:
+def calls_cte(n_variants: int | None = 20) -> str:
+    vkey = "l.l_partkey" if n_variants is None else f"l.l_partkey % {n_variants}"
     return f"""calls AS (
-  SELECT o.o_custkey AS sample_id, l.l_partkey % {n_variants} AS vkey, count(*) AS cnt,
+  SELECT o.o_custkey AS sample_id, {vkey} AS vkey, count(*) AS cnt,
          bool_and(l.l_returnflag = 'R') AS all_returned
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY 1, 2)"""
 
@@ -89,7 +90,7 @@ meta AS (SELECT m1.*, mq.q, CASE WHEN m1.k < 2 OR mq.q = 0 THEN NULL ELSE (mq.q
          FROM m1 JOIN mq ON m1.variant = mq.variant AND m1.phenotype = mq.phenotype)"""
 
 
-def fixture_ctes(level: str = "region", n_variants: int = 20, with_missing: bool = False, where: str = "TRUE") -> str:
+def fixture_ctes(level: str = "region", n_variants: int | None = 20, with_missing: bool = False, where: str = "TRUE") -> str:
     return ",\n".join([samples_cte(level, where=where), calls_cte(n_variants), geno_cte(with_missing), PHENO_CTE])
 
 

@@ -23,6 +23,14 @@ def meta_ivw(spark, sf_dir):
     return jobs.meta_analyse(smp, geno, phen, N_COV)
 
 
+@query("meta_ivw_parts", with_all(fixture_ctes(n_variants=None), MOMENTS_CTES, EFFECT_CTES, META_CTES) + META_SELECT)
+def meta_ivw_parts(spark, sf_dir):
+    """Meta-analysis with one variant per part (dosage = least(2, lineitems of the part)): the
+    large sparse workload, thousands of variants × 5 phenotypes × 5 cohorts."""
+    smp, geno, phen = fx.cohort_data(spark, sf_dir, n_variants=None)
+    return jobs.meta_analyse(smp, geno, phen, N_COV)
+
+
 def _vkey(col="variant"):
     return F.substring(F.col(col), 2, 10).cast("int")
 
