@@ -178,3 +178,31 @@ def test_column_functions(spark):
     arr = spark.createDataFrame([([0.0, 1.0, 9.0, 2.0], -1)], "d array<double>, f int")
     a = arr.select(C.impute_mean_array("d").alias("i"), C.flip_dosage("d", "f").alias("fl"), C.maf_from_array("d").alias("m")).first()
     assert a.i == [0.0, 1.0, 1.0, 2.0] and a.fl == [2.0, 1.0, 9.0, 0.0] and a.m == pytest.approx(0.5)
+
+
+def test_plans_block_path_clustered_once_and_long_path_broadcasts(spark):
+    """Several phenotype ranges reuse one clustering of the genotype (no exchange per range), and
+    the long path broadcasts the measured phenotype side of the cohort grid."""
+    from metassoc.operators.blocks import dense_associate
+    rows_g = [("A", f"v{i}", [float((i * j) % 3) for j in range(8)]) for i in range(6)]
+    rows_p = [("A", f"p{k}", [float((k + j) % 5) for j in range(8)]) for k in range(4)]
+    DG = spark.createDataFrame(rows_g, "cohort string, variant string, dosage array<double>")
+    DP = spark.createDataFrame(rows_p, "cohort string, phenotype string, values array<double>")
+    out = dense_associate(DG, DP, max_broadcast_bytes=64, variants_per_block=2)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FlatMapGroupsInPandas") >= 2 and "Exchange" not in plan.split("FlatMapGroupsInPandas", 1)[1][:400]
+    S, G, P, _ = _frames(spark)
+    eff = associate_pd(partial_derivatives(S, G, P, 1))
+    assert "BroadcastHashJoin" in eff._jdf.queryExecution().executedPlan().toString()
+
+
+def test_row_index_and_rank_within(spark):
+    from metassoc.operators.ranks import rank_within, row_index
+    df = spark.range(0, 1000, 1, numPartitions=7).withColumn("g", (F.col("id") % 3).cast("string"))
+    idx = row_index(df, "i").collect()
+    assert sorted(r.i for r in idx) == list(range(1000))
+    assert all(r.i == r.id for r in idx)                     # file/partition order preserved
+    rk = rank_within(df, "g", "id", "r").collect()
+    for g in "012":
+        ids = sorted(r.id for r in rk if r.g == g)
+        assert {r.id: r.r for r in rk if r.g == g} == {v: k for k, v in enumerate(ids)}
