@@ -90,3 +90,74 @@ def mark_removed_ids(df: DataFrame, removed: DataFrame, id_col: str = "sample_id
     return (j.withColumn(id_col, F.when(F.col("_hit"), F.concat(F.lit(REMOVED_PREFIX), F.col(id_col).cast("string")))
                          .otherwise(F.col(id_col).cast("string")))
             .drop("_rid", "_hit"))
+
+
+def require_rows(df: DataFrame, what: str) -> DataFrame:
+    """Raise when a filtered table is empty (e.g. no phenotype common to the cohorts)."""
+    if df.limit(1).count() == 0:
+        raise ValueError(f"no {what} left after alignment")
+    return df
+
+
+# ---------------------------------------------------------------- covariates
+
+def covariate_keep(cov_index: DataFrame) -> DataFrame:
+    """(cohort, keep array<int>): intercept (0) plus the listed 1-based covariate indices, sorted.
+    One row per cohort; the list is bounded by the number of covariates."""
+    return (cov_index.groupBy("cohort").agg(F.collect_set(F.col("idx").cast("int")).alias("_k"))
+            .select("cohort", F.array_sort(F.array_union(F.array(F.lit(0)), F.col("_k"))).alias("keep")))
+
+
+def select_covariates(pd: dict, cov_index: DataFrame | None) -> dict:
+    """Project the PD tables onto the intercept plus the chosen covariates of each cohort
+    (rows and columns of A_cov, entries of a = X̃ᵀg and b = X̃ᵀy).  Cohorts not listed keep all."""
+    if cov_index is None:
+        return pd
+    keep = F.broadcast(covariate_keep(cov_index))          # one row per cohort
+
+    def vec(df, col):
+        j = df.join(keep, "cohort", "left")
+        return j.withColumn(col, F.when(F.col("keep").isNull(), F.col(col)).otherwise(
+            F.transform("keep", lambda i: F.get(F.col(col), i)))).drop("keep")
+
+    cov = pd["pd_cov"].join(keep, "cohort", "left")
+    cov = cov.withColumn("a_cov", F.when(F.col("keep").isNull(), F.col("a_cov")).otherwise(
+        F.transform("keep", lambda i: F.transform("keep", lambda j: F.get(F.get(F.col("a_cov"), i), j))))).drop("keep")
+    out = dict(pd, pd_cov=cov, pd_test=vec(pd["pd_test"], "a"), pd_pheno=vec(pd["pd_pheno"], "b"))
+    out["p"] = None            # the number of terms may now differ between cohorts
+    return out
+
+
+def common_covariates(names: DataFrame, k: int | None = None) -> DataFrame:
+    """Covariate names (after the '<study>_' prefix) present in every cohort: (name)."""
+    from ..functions.columns import strip_study_prefix
+    n = names.select("cohort", strip_study_prefix(F.col("name"), F.col("cohort")).alias("name")).distinct()
+    k = k if k is not None else n.select("cohort").distinct().count()
+    return n.groupBy("name").agg(F.count_distinct("cohort").alias("_k")).where(F.col("_k") == k).select("name")
+
+
+# ---------------------------------------------------------------- variants and samples
+
+def apply_variant_map(genotype: DataFrame, vmap: DataFrame) -> DataFrame:
+    """Relabel each cohort's genotype rows (cohort, variant_idx, ...) with the reference id;
+    variants absent from the map are dropped.
+
+    Dense rows (dosage arrays) are flipped in place (2 − g where the alleles were swapped).  Sparse
+    long rows keep a ``flip`` column instead: their absent zeros would become 2, so the flip is
+    applied to the sufficient statistics (``moments.flip_moments``) without densifying."""
+    from ..functions.columns import flip_dosage
+    j = genotype.join(vmap.select("cohort", "variant_idx", F.col("ref_id").alias("variant"), "flip"),
+                      ["cohort", "variant_idx"])
+    if dict(genotype.dtypes).get("dosage", "").startswith("array"):
+        return j.withColumn("dosage", flip_dosage("dosage", "flip")).drop("flip")
+    return j
+
+
+def gather_samples(dense: DataFrame, order: DataFrame, col: str = "dosage") -> DataFrame:
+    """Select/reorder the samples of dense rows: order is (cohort, idx, pos) — the output position
+    ``idx`` takes the input position ``pos``.  The per-cohort position list (bounded by the cohort's
+    sample count) is joined by cohort, then ``transform`` gathers inside each row."""
+    o = order.groupBy("cohort").agg(F.array_sort(F.collect_list(F.struct("idx", "pos"))).alias("_o"))
+    return (dense.join(o, "cohort")
+            .withColumn(col, F.transform("_o", lambda e: F.get(F.col(col), e["pos"].cast("int"))))
+            .drop("_o"))

@@ -48,13 +48,15 @@ def cohort_dim(spark: SparkSession, sf_dir: str, level: str = "region") -> DataF
     return n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey).select("n_nationkey", F.col("r_name").alias("cohort"))
 
 
-def samples(spark: SparkSession, sf_dir: str, level: str = "region") -> DataFrame:
-    """(cohort, sample_id, x array<double>)."""
+def samples(spark: SparkSession, sf_dir: str, level: str = "region", two_covariates: bool = False) -> DataFrame:
+    """(cohort, sample_id, x array<double>); ``two_covariates`` adds x2 = c_nationkey / 10."""
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
     d = cohort_dim(spark, sf_dir, level)
+    xs = [F.col("c_acctbal") / 1000.0]
+    if two_covariates:
+        xs.append(F.col("c_nationkey").cast("double") / 10.0)
     return (c.join(F.broadcast(d), c.c_nationkey == d.n_nationkey)
-            .select("cohort", F.col("c_custkey").alias("sample_id"),
-                    F.array(F.col("c_acctbal") / 1000.0).alias("x")))
+            .select("cohort", F.col("c_custkey").alias("sample_id"), F.array(*xs).alias("x")))
 
 
 def calls(spark: SparkSession, sf_dir: str, n_variants: int | None = N_VARIANTS) -> DataFrame:

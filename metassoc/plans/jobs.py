@@ -22,18 +22,20 @@ def cohort_effects(samples: DataFrame, genotype: DataFrame, phenotype: DataFrame
                    variant_include: DataFrame | None = None, variant_exclude: DataFrame | None = None,
                    phenotype_include: DataFrame | None = None, phenotype_exclude: DataFrame | None = None,
                    maf: float = 0.0, maf_mode: str = "inclusive", drop_half: bool = True,
-                   availability: str = "any", tol: float = SINGULAR_TOL,
+                   availability: str = "any", tol: float = SINGULAR_TOL, cov_index: DataFrame | None = None,
                    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Per-cohort β/SE for every variant × phenotype after include/exclude, MAF and availability filters."""
+    """Per-cohort β/SE for every variant × phenotype after include/exclude, MAF and availability
+    filters; ``cov_index`` (cohort, idx) keeps the intercept plus the listed covariates per cohort."""
     genotype = align.filter_variants(genotype, variant_include, variant_exclude)
     phenotype = align.filter_phenotypes(phenotype, phenotype_include, phenotype_exclude)
-    pd = _pd(samples, genotype, phenotype, n_cov)
+    pd = align.select_covariates(_pd(samples, genotype, phenotype, n_cov), cov_index)
     test = pd["pd_test"]
     if maf:
         test = test.where(align.maf_predicate("maf", maf, maf_mode, drop_half))
     if availability == "all":
         test = align.present_in_all(test, "variant", samples)
-        pd["pd_pheno"] = align.present_in_all(pd["pd_pheno"], "phenotype", samples)
+        pd["pd_pheno"] = align.require_rows(align.present_in_all(pd["pd_pheno"], "phenotype", samples),
+                                            "phenotype common to all cohorts")
     pd["pd_test"] = test
     return associate_pd(pd, tol, max_broadcast_rows)
 
@@ -46,10 +48,15 @@ def meta_analyse(samples: DataFrame, genotype: DataFrame, phenotype: DataFrame,
 
 
 def mega_analyse(samples: DataFrame, genotype: DataFrame, phenotype: DataFrame, n_cov: int, *,
-                 tol: float = SINGULAR_TOL) -> DataFrame:
-    """Pooled regression over all cohorts from summed partial derivatives."""
-    pd = _pd(samples, genotype, phenotype, n_cov)
-    eff = associate_pd(pool_pd(pd), tol)
+                 tol: float = SINGULAR_TOL, maf: float = 0.0, cov_index: DataFrame | None = None) -> DataFrame:
+    """Pooled regression over all cohorts from summed partial derivatives.
+
+    ``maf`` filters on the pooled MAF with strict bounds (maf < t or > 1 − t or = 0.5 dropped)."""
+    pd = align.select_covariates(_pd(samples, genotype, phenotype, n_cov), cov_index)
+    pooled = pool_pd(pd)
+    if maf:
+        pooled["pd_test"] = pooled["pd_test"].where(align.maf_predicate("maf", maf, "strict"))
+    eff = associate_pd(pooled, tol)
     return eff.select("variant", "phenotype", "beta", "standard_error", "t_stat", "sample_size", "maf")
 
 

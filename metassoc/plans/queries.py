@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from . import fixtures as fx
 from . import jobs
 from .catalog import query
-from .oracle_sql import (EFFECT_CTES, META_CTES, META_SELECT, MOMENTS_CTES, R, S, effect_ctes, embed_ctes,
-                         fixture_ctes, samples_cte, with_all)
+from .oracle_sql import (EFFECT_CTES, META_CTES, META_SELECT, MOMENTS_CTES, PHENO_CTE, R, S, effect_ctes,
+                         embed_ctes, fixture_ctes, samples_cte, with_all)
 
 N_COV = len(fx.COVARIATES)
 _BASE = fixture_ctes()
@@ -709,3 +709,106 @@ def singular_designs(spark, sf_dir):
     pd_ = partial_derivatives(smp, geno, phen, N_COV, with_b4=False)
     vt = variant_terms(pd_["pd_test"], invert_cov(pd_["pd_cov"]), keep_singular=True)
     return singular_variants(vt).select("cohort", "variant", "df")
+
+
+# ---------------------------------------------------------------- covariate selection, PD store, harmonised meta
+
+_COVSEL_SAMPLES = """samples AS (
+  SELECT r.r_name AS cohort, c.c_custkey AS sample_id,
+         CASE WHEN length(r.r_name) % 2 = 0 THEN c.c_acctbal / 1000.0 ELSE CAST(c.c_nationkey AS DOUBLE) / 10.0 END AS x
+  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey)"""
+
+
+@query("meta_covariate_selection",
+       with_all(",\n".join([_COVSEL_SAMPLES, fixture_ctes().split("),\ncalls AS (", 1)[1].join(["calls AS (", ""])]),
+                MOMENTS_CTES, EFFECT_CTES, META_CTES) + META_SELECT)
+def meta_covariate_selection(spark, sf_dir):
+    """Two covariates (balance, nation); a covariate index per cohort keeps the intercept plus
+    covariate 1 (even-length cohort names) or covariate 2 (odd): projection of the PD tables."""
+    smp = fx.samples(spark, sf_dir, two_covariates=True)
+    geno = fx.genotype(spark, sf_dir, smp=smp)
+    phen = fx.phenotype(spark, sf_dir, smp=smp)
+    r = fx.table(spark, sf_dir, "region").select(F.col("r_name").alias("cohort"))
+    cov_index = r.select("cohort", F.when(F.length("cohort") % 2 == 0, F.lit(1)).otherwise(F.lit(2)).alias("idx"))
+    return jobs.meta_analyse(smp, geno, phen, 2, cov_index=cov_index)
+
+
+@query("harmonise_examples", _HARM + """SELECT cohort, variant_idx, id, allele1, allele2 FROM (
+  SELECT p.*, row_number() OVER (PARTITION BY p.cohort ORDER BY p.variant_idx) AS rn FROM probes p
+  WHERE NOT EXISTS (SELECT 1 FROM vmap v WHERE v.cohort = p.cohort AND v.variant_idx = p.variant_idx)) WHERE rn <= 10""")
+def harmonise_examples(spark, sf_dir):
+    """The first 10 unmatched probes of each cohort (the mismatch examples report).
+
+    rank ≤ 10 over a cohort window is planned as a group limit: every map task keeps at most 10
+    rows per cohort before the shuffle, so a large cohort never lands whole in one task."""
+    from pyspark.sql.window import Window
+    from ..operators.harmonise import unmatched
+    probes, _, vmap = _harm(spark, sf_dir)
+    u = unmatched(probes, vmap)
+    w = Window.partitionBy("cohort").orderBy("variant_idx")
+    return (u.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= 10)
+            .select("cohort", "variant_idx", "id", "allele1", "allele2"))
+
+
+@query("meta_from_pd_shards", with_all(_BASE, MOMENTS_CTES, EFFECT_CTES, META_CTES) + META_SELECT)
+def meta_from_pd_shards(spark, sf_dir):
+    """PD computed separately on two sample shards (even / odd customer keys), written to the PD
+    store, read back with its schema check, merged by re-summing, then meta-analysed."""
+    import uuid
+    from ..operators.meta import drop_empty, inverse_variance
+    from ..operators.moments import partial_derivatives
+    from ..operators.regression import associate_pd
+    from ..session import shared_path
+    from ..sources.pd_store import merge_pd_shards, read_pd, write_pd
+    smp, geno, phen = fx.cohort_data(spark, sf_dir)
+    shards = []
+    for part in (0, 1):
+        keep = (F.col("sample_id") % 2) == part
+        path = shared_path(spark, "pd", f"shard{part}_{uuid.uuid4().hex}")
+        write_pd(partial_derivatives(smp.where(keep), geno.where(keep), phen.where(keep), N_COV), path)
+        shards.append(read_pd(spark, path))
+    return drop_empty(inverse_variance(associate_pd(merge_pd_shards(shards))))
+
+
+_HM_SQL = """pcalls AS (SELECT o.o_custkey AS sample_id, l.l_partkey AS pk, count(*) AS cnt
+          FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY 1, 2),
+hgeno AS (SELECT s.cohort, s.sample_id, s.x, v.ref_id AS variant, CAST(least(2, pc.cnt) AS DOUBLE) AS g
+          FROM pcalls pc JOIN samples s ON pc.sample_id = s.sample_id
+          JOIN vmap v ON v.cohort = s.cohort AND v.variant_idx = pc.pk),
+cm AS (SELECT cohort, count(*) AS n, sum(x) AS sx, sum(x * x) AS sxx FROM samples GROUP BY cohort),
+vm0 AS (SELECT cohort, variant, sum(g) AS sg, sum(g * g) AS sgg, sum(g * x) AS sgx FROM hgeno GROUP BY cohort, variant),
+vm AS (SELECT vm0.cohort, vm0.variant, v.flip,
+              CASE WHEN v.flip = -1 THEN 2.0 * cm.n - vm0.sg ELSE vm0.sg END AS sg,
+              CASE WHEN v.flip = -1 THEN 4.0 * cm.n - 4.0 * vm0.sg + vm0.sgg ELSE vm0.sgg END AS sgg,
+              CASE WHEN v.flip = -1 THEN 2.0 * cm.sx - vm0.sgx ELSE vm0.sgx END AS sgx
+       FROM vm0 JOIN cm ON vm0.cohort = cm.cohort JOIN vmap v ON v.cohort = vm0.cohort AND v.ref_id = vm0.variant),
+pm AS (SELECT cohort, phenotype, sum(y) AS sy, sum(y * y) AS syy, sum(x * y) AS sxy FROM pheno GROUP BY cohort, phenotype),
+gy AS (SELECT g.cohort, g.variant, p.phenotype, sum(g.g * p.y) AS sgy
+       FROM hgeno g JOIN pheno p ON g.cohort = p.cohort AND g.sample_id = p.sample_id
+       GROUP BY g.cohort, g.variant, p.phenotype)"""
+_HM_EFFECT = (EFFECT_CTES
+              .replace("vt0 AS (SELECT vm.cohort, vm.variant, cmi.n,", "vt0 AS (SELECT vm.cohort, vm.variant, vm.flip, cmi.n,")
+              .replace("(coalesce(gy.sgy, 0.0) - (vt.u0 * pt.sy + vt.u1 * pt.sxy)) / vt.s AS beta",
+                       "(CASE WHEN vt.flip = -1 THEN 2.0 * pt.sy - coalesce(gy.sgy, 0.0) ELSE coalesce(gy.sgy, 0.0) END"
+                       " - (vt.u0 * pt.sy + vt.u1 * pt.sxy)) / vt.s AS beta"))
+
+
+@query("meta_harmonised", with_all(samples_cte(), PHENO_CTE, _HARM_SQL, _HM_SQL, _HM_EFFECT, META_CTES) + META_SELECT)
+def meta_harmonised(spark, sf_dir):
+    """Part-level genotypes mapped to reference ids through the harmonisation map, swapped alleles
+    flipped on the sufficient statistics, then meta-analysed by reference variant."""
+    from ..operators.align import apply_variant_map
+    from ..operators.harmonise import harmonise
+    from ..operators.moments import flip_moments, partial_derivatives
+    from ..operators.meta import drop_empty, inverse_variance
+    from ..operators.regression import associate_pd
+    smp = fx.samples(spark, sf_dir)
+    raw = fx.genotype(spark, sf_dir, n_variants=None, smp=smp)
+    raw = raw.withColumn("variant_idx", F.substring("variant", 2, 20).cast("long")).drop("variant")
+    vmap = harmonise(fx.cohort_probes(spark, sf_dir), fx.reference_panel(spark, sf_dir))
+    mapped = apply_variant_map(raw, vmap)
+    phen = fx.phenotype(spark, sf_dir, smp=smp)
+    pd_ = partial_derivatives(smp, mapped.drop("flip", "variant_idx"), phen, N_COV)
+    flips = mapped.select("cohort", "variant", "flip").distinct()
+    pd_["pd_test"] = flip_moments(pd_["pd_test"], pd_["pd_cov"], flips)
+    return drop_empty(inverse_variance(associate_pd(pd_)))

@@ -52,3 +52,9 @@ def write_split_by_phenotype_csv(summary: DataFrame, path: str, mode: str = "ove
     """One folder of CSV files per phenotype."""
     (summary.repartition("phenotype").write.mode(mode).option("sep", " ").option("header", True)
      .partitionBy("phenotype").csv(path))
+
+
+def write_encoded(enc: dict, path: str, mode: str = "overwrite") -> None:
+    """Encoded genotype (cohort, variant, pos, dosage) and phenotype (cohort, pos, phenotype, y)."""
+    enc["genotype"].write.mode(mode).partitionBy("cohort").parquet(f"{path}/genotype")
+    enc["phenotype"].write.mode(mode).partitionBy("cohort").parquet(f"{path}/phenotype")
