@@ -135,3 +135,37 @@ def test_sinks_roundtrip(spark, tmp):
     m = os.path.join(tmp, "meta")
     sinks.write_meta(df, m)
     assert spark.read.parquet(m).schema == sinks.META_SCHEMA
+
+
+def test_csv_sinks(spark, tmp):
+    rows = [("rs1", 0.01, 2.5, "p1", 0.1, 0.3, 0.25), ("rs2", 0.5, -0.7, "p2", 0.2, 0.4, -0.14)]
+    df = spark.createDataFrame(rows, "RSID string, p_value double, t_stat double, phenotype string, SE double, MAF double, BETA double")
+    out = os.path.join(tmp, "summary")
+    sinks.write_summary_csv(df, out)
+    back = spark.read.option("sep", " ").option("header", True).csv(out)
+    assert back.count() == 2 and back.columns[0] == "RSID"
+    split = os.path.join(tmp, "split")
+    sinks.write_split_by_phenotype_csv(df, split)
+    assert {d for d in os.listdir(split) if d.startswith("phenotype=")} == {"phenotype=p1", "phenotype=p2"}
+
+
+def test_qc_lists_from_files(spark, tmp):
+    from metassoc.plans.jobs import qc_lists
+    snp = _w(tmp, "snpqc.tsv", "cohort\tID\tMAF\tHWE\tMACH_R2\tCALL\tTYPED\tGenotype_Counts\n"
+                               "A\trs1\t0.2\t0.5\t0.9\t1\t1\tAA: 50, AB: 30, BB: 20\n"
+                               "A\trs2\t0.005\t0.5\t0.9\t1\t1\tAA: 99, AB: 1, BB: 0\n"
+                               "A\trs3\t0.3\t1e-9\t0.9\t1\t0\tAA: 40, AB: 40, BB: 20\n"
+                               "A\trs4\t0.1\t0.5\t0.9\t1\t0\tAA: 90, AB: 8, BB: 2\n")
+    gene = _w(tmp, "geneqc.tsv", "cohort\tgene\tnr_values\tnr_unique_values\nA\tg1\t100\t95\nA\tg2\t100\t50\n")
+    reg = _w(tmp, "reg.tsv", "cohort\tPhenotype\tP-value\nA\tExpPC10\t1e-9\nA\tExpPC2\t1e-8\nA\tExpPC3\t0.5\n")
+    cast = lambda df, cols: df.select(*[df[c].cast("double").alias(c) if c in cols else df[c] for c in df.columns])
+    s = cast(rd.read_qc_table(spark, snp), ["MAF", "HWE", "MACH_R2", "CALL", "TYPED"])
+    g = cast(rd.read_qc_table(spark, gene), ["nr_values", "nr_unique_values"])
+    r = cast(rd.read_qc_table(spark, reg), ["P-value"])
+    out = qc_lists(s, g, r)
+    assert sorted(x.ID for x in out["snps"].collect()) == ["rs1", "rs4"]      # rs4: MAC = 2·2 + 8 = 12 > 10
+    assert [x.gene for x in out["genes"].collect()] == ["g1"]
+    log = out["log"].first()
+    assert (log.N, log.nr_snps, log.filtered_snps, log.typed_snps) == (100, 3, 2, 1)
+    assert log.regulated_pcs == "ExpPC2, ExpPC10"
+    assert out["covariate_index"].first().line.split("\t")[:3] == ["A", "1", "2"]
