@@ -77,6 +77,14 @@ def sample_intersection(*sources: DataFrame) -> DataFrame:
     return out
 
 
+def assert_pd_samples_covered(intersection: DataFrame, pd_samples: DataFrame) -> None:
+    """Every sample the partial derivatives were computed on must be in the intersection of
+    phenotype and genotype samples (otherwise the PD sums describe other subjects)."""
+    missing = pd_samples.select("cohort", "sample_id").join(intersection, ["cohort", "sample_id"], "left_anti")
+    if missing.limit(1).count():
+        raise ValueError("partial derivatives include samples missing from phenotype/genotype data")
+
+
 def remove_samples(df: DataFrame, removed: DataFrame) -> DataFrame:
     """Drop samples listed in ``removed`` (cohort, sample_id) or (sample_id) for all cohorts."""
     on = ["cohort", "sample_id"] if "cohort" in removed.columns else ["sample_id"]

@@ -812,3 +812,4 @@ def meta_harmonised(spark, sf_dir):
     flips = mapped.select("cohort", "variant", "flip").distinct()
     pd_["pd_test"] = flip_moments(pd_["pd_test"], pd_["pd_cov"], flips)
     return drop_empty(inverse_variance(associate_pd(pd_)))
+

@@ -257,3 +257,38 @@ def test_gather_and_variant_map(spark):
     assert [r.name for r in common_covariates(names).collect()] == ["age"]
     with pytest.raises(ValueError):
         require_rows(names.where("cohort = 'C'"), "phenotype")
+
+
+def test_native_dense_path_one_exchange_and_equal(spark):
+    from metassoc.operators.blocks import dense_associate, dense_associate_native
+    rng = np.random.default_rng(3)
+    rows_g = [(c, f"v{i}", rng.integers(0, 3, 12).astype(float).tolist()) for c in ("A", "B") for i in range(5)]
+    rows_p = [(c, f"p{k}", rng.normal(size=12).tolist()) for c in ("A", "B") for k in range(3)]
+    rows_c = [(c, "x", rng.normal(size=12).tolist()) for c in ("A", "B")]
+    DG = spark.createDataFrame(rows_g, "cohort string, variant string, dosage array<double>")
+    DP = spark.createDataFrame(rows_p, "cohort string, phenotype string, values array<double>")
+    DC = spark.createDataFrame(rows_c, "cohort string, covariate string, values array<double>")
+    nat = dense_associate_native(DG, DP, DC)
+    plan = nat._jdf.queryExecution().executedPlan().toString()
+    nat_rows = {(r.variant, r.phenotype): r for r in nat.collect()}
+    final = nat._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # the genotype side is shuffled once (by variant) and the IVW aggregate on (variant, phenotype)
+    # reuses that partitioning; the phenotype side is broadcast
+    assert final.count("hashpartitioning(variant") == 1 and "hashpartitioning(phenotype" not in final
+    assert "BroadcastHashJoin" in final
+    blk = {(r.variant, r.phenotype): r for r in dense_associate(DG, DP, DC).collect()}
+    assert set(nat_rows) == set(blk)
+    for k, r in blk.items():
+        assert nat_rows[k].beta == pytest.approx(r.beta, rel=1e-9, abs=1e-12)
+        assert nat_rows[k].standard_error == pytest.approx(r.standard_error, rel=1e-9)
+        assert (nat_rows[k].i_squared is None) == (r.i_squared is None or math.isnan(r.i_squared))
+
+
+def test_pd_sample_coverage(spark):
+    from metassoc.operators.align import assert_pd_samples_covered, sample_intersection
+    ph = spark.createDataFrame([("A", "s1"), ("A", "s2")], "cohort string, sample_id string")
+    ge = spark.createDataFrame([("A", "s1"), ("A", "s2"), ("A", "s3")], "cohort string, sample_id string")
+    inter = sample_intersection(ph, ge)
+    assert_pd_samples_covered(inter, ph)
+    with pytest.raises(ValueError):
+        assert_pd_samples_covered(inter, ge)
