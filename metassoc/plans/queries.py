@@ -813,3 +813,47 @@ def meta_harmonised(spark, sf_dir):
     pd_["pd_test"] = flip_moments(pd_["pd_test"], pd_["pd_cov"], flips)
     return drop_empty(inverse_variance(associate_pd(pd_)))
 
+
+
+# ---------------------------------------------------------------- pooled MAF filter, permuted genotype set
+
+MEGA_MAF_T = 0.3
+_MEGA_MAF_CTES = _MEGA_CTES.replace(
+    "GROUP BY variant HAVING count(*) = (SELECT count(*) FROM cm)),\npmp",
+    "GROUP BY variant HAVING count(*) = (SELECT count(*) FROM cm)\n"
+    f"        AND sum(sg) / (2.0 * (SELECT sum(n) FROM cm)) > {MEGA_MAF_T}"
+    f" AND sum(sg) / (2.0 * (SELECT sum(n) FROM cm)) < 1 - {MEGA_MAF_T}"
+    " AND sum(sg) / (2.0 * (SELECT sum(n) FROM cm)) <> 0.5),\npmp")
+
+
+@query("mega_maf_filtered", with_all(_BASE, MOMENTS_CTES, _MEGA_MAF_CTES, effect_ctes("cmp", "vmp", "pmp", "gyp"))
+       + f"""SELECT variant, phenotype, {R('beta')} AS beta, {R('se')} AS standard_error, {R('beta / se')} AS t_stat,
+       {R('n')} AS sample_size, {R('maf')} AS maf FROM eff""")
+def mega_maf_filtered(spark, sf_dir):
+    """Mega-analysis keeping variants whose pooled MAF lies strictly inside (0.3, 0.7), ≠ 0.5."""
+    smp, geno, phen = fx.cohort_data(spark, sf_dir)
+    return jobs.mega_analyse(smp, geno, phen, N_COV, maf=MEGA_MAF_T)
+
+
+_PGS_SQL = """pc AS (SELECT o.o_custkey AS sample_id, l.l_partkey AS variant_idx, CAST(least(2, count(*)) AS DOUBLE) AS dosage
+       FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY 1, 2),
+pg AS (SELECT s.cohort, s.sample_id, pc.variant_idx, pc.dosage FROM pc JOIN samples s ON pc.sample_id = s.sample_id),
+permuted AS (SELECT pg.cohort, perm.sample_id, pg.variant_idx, pg.dosage FROM pg
+             JOIN perm ON pg.cohort = perm.cohort AND pg.sample_id = perm.source_id)"""
+
+
+@query("permuted_genotype_set", with_all(_BASE, _PERM_SQL, _HARM_SQL, _PGS_SQL)
+       + f"""SELECT p.cohort, p.sample_id, p.variant_idx, {R('p.dosage')} AS dosage, pr.id, pr.allele1, pr.allele2
+       FROM permuted p JOIN probes pr ON p.cohort = pr.cohort AND p.variant_idx = pr.variant_idx""")
+def permuted_genotype_set(spark, sf_dir):
+    """Genotypes of a sample-permuted set (seeded, within cohort) carrying the empirical probes."""
+    from ..operators.permute import permute_samples
+    smp = fx.samples(spark, sf_dir)
+    geno = fx.genotype(spark, sf_dir, n_variants=None, smp=smp)
+    geno = geno.select("cohort", F.col("sample_id").alias("source_id"),
+                       F.substring("variant", 2, 20).cast("long").alias("variant_idx"), "dosage")
+    perm = permute_samples(smp, _SEED)
+    permuted = geno.join(perm, ["cohort", "source_id"]).drop("source_id")
+    probes = fx.cohort_probes(spark, sf_dir).select("cohort", "variant_idx", "id", "allele1", "allele2")
+    return jobs.permuted_genotype_set(permuted, probes).select(
+        "cohort", "sample_id", "variant_idx", "dosage", "id", "allele1", "allele2")
