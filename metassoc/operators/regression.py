@@ -93,3 +93,20 @@ def associate_pd(pd: dict[str, DataFrame], tol: float = SINGULAR_TOL,
     vt = variant_terms(pd["pd_test"], inv, tol, p=p)
     pt = phenotype_terms(pd["pd_pheno"], inv, p=p)
     return cohort_effects(vt, pt, pd.get("pd_b4"), max_broadcast_rows, p=p)
+
+
+def flip_effects(effects: DataFrame, flips: DataFrame) -> DataFrame:
+    """Orient per-cohort effects to the reference allele: where the cohort's alleles are swapped
+    (flip = −1) β and t change sign and MAF becomes 1 − MAF; SE, df and n are unchanged.
+
+    Exact because the model has an intercept (regressing on 2 − g gives −β with the same residuals),
+    and numerically preferable to flipping the sums: Σ(2 − g)² = 4n − 4Σg + Σg² cancels badly when
+    the flipped genotype is nearly constant (rare variants).  ``flips``: (cohort, variant, flip)."""
+    j = effects.join(flips.select("cohort", "variant", "flip"), ["cohort", "variant"], "left")
+    f = F.coalesce(F.col("flip"), F.lit(1))
+    out = j.withColumn("beta", F.col("beta") * f)
+    if "t_stat" in effects.columns:
+        out = out.withColumn("t_stat", F.col("t_stat") * f)
+    if "maf" in effects.columns:
+        out = out.withColumn("maf", F.when(f == -1, 1.0 - F.col("maf")).otherwise(F.col("maf")))
+    return out.drop("flip")

@@ -6,19 +6,14 @@ Used only as the independent oracle in the correctness check; the Spark side nev
 from __future__ import annotations
 
 
-def R(expr: str, digits: int = 8) -> str:
-    """Rounded double; + 0.0 turns -0.0 into 0.0 so both engines hash alike."""
-    return f"(round(CAST({expr} AS DOUBLE), {digits}) + 0.0)"
+def R(expr: str) -> str:
+    """Comparison form of a double, as ``catalog.snap``: nearest float32, |x| < 1e-9 -> 0, -0.0 -> 0.0."""
+    x = f"CAST({expr} AS DOUBLE)"
+    return (f"(CASE WHEN {x} IS NULL OR isnan({x}) THEN {x} WHEN abs({x}) < 1e-9 THEN 0.0 "
+            f"ELSE CAST(CAST({x} AS FLOAT) AS DOUBLE) END + 0.0)")
 
 
-def S(expr: str, digits: int = 6) -> str:
-    """Round to significant digits with exact power-of-ten scaling (mirrors catalog.sig_round)."""
-    x = f"CAST({expr} AS DOUBLE)"
-    e = f"floor(log10(abs({x})))"
-    scaled = f"(CASE WHEN {e} >= 0 THEN {x} / pow(10.0, {e}) ELSE {x} * pow(10.0, -{e}) END)"
-    r = f"round({scaled}, {digits - 1})"
-    back = f"(CASE WHEN {e} >= 0 THEN {r} * pow(10.0, {e}) ELSE {r} / pow(10.0, -{e}) END)"
-    return f"(CASE WHEN {x} IS NULL OR {x} = 0 OR isnan({x}) THEN {x} ELSE {back} END + 0.0)"
+S = R
 
 
 def samples_cte(level: str = "region", name: str = "samples", where: str = "TRUE") -> str:

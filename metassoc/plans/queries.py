@@ -772,46 +772,34 @@ def meta_from_pd_shards(spark, sf_dir):
 
 _HM_SQL = """pcalls AS (SELECT o.o_custkey AS sample_id, l.l_partkey AS pk, count(*) AS cnt
           FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY 1, 2),
-hgeno AS (SELECT s.cohort, s.sample_id, s.x, v.ref_id AS variant, CAST(least(2, pc.cnt) AS DOUBLE) AS g
-          FROM pcalls pc JOIN samples s ON pc.sample_id = s.sample_id
-          JOIN vmap v ON v.cohort = s.cohort AND v.variant_idx = pc.pk),
-cm AS (SELECT cohort, count(*) AS n, sum(x) AS sx, sum(x * x) AS sxx FROM samples GROUP BY cohort),
-vm0 AS (SELECT cohort, variant, sum(g) AS sg, sum(g * g) AS sgg, sum(g * x) AS sgx FROM hgeno GROUP BY cohort, variant),
-vm AS (SELECT vm0.cohort, vm0.variant, v.flip,
-              CASE WHEN v.flip = -1 THEN 2.0 * cm.n - vm0.sg ELSE vm0.sg END AS sg,
-              CASE WHEN v.flip = -1 THEN 4.0 * cm.n - 4.0 * vm0.sg + vm0.sgg ELSE vm0.sgg END AS sgg,
-              CASE WHEN v.flip = -1 THEN 2.0 * cm.sx - vm0.sgx ELSE vm0.sgx END AS sgx
-       FROM vm0 JOIN cm ON vm0.cohort = cm.cohort JOIN vmap v ON v.cohort = vm0.cohort AND v.ref_id = vm0.variant),
-pm AS (SELECT cohort, phenotype, sum(y) AS sy, sum(y * y) AS syy, sum(x * y) AS sxy FROM pheno GROUP BY cohort, phenotype),
-gy AS (SELECT g.cohort, g.variant, p.phenotype, sum(g.g * p.y) AS sgy
-       FROM hgeno g JOIN pheno p ON g.cohort = p.cohort AND g.sample_id = p.sample_id
-       GROUP BY g.cohort, g.variant, p.phenotype)"""
-_HM_EFFECT = (EFFECT_CTES
-              .replace("vt0 AS (SELECT vm.cohort, vm.variant, cmi.n,", "vt0 AS (SELECT vm.cohort, vm.variant, vm.flip, cmi.n,")
-              .replace("(coalesce(gy.sgy, 0.0) - (vt.u0 * pt.sy + vt.u1 * pt.sxy)) / vt.s AS beta",
-                       "(CASE WHEN vt.flip = -1 THEN 2.0 * pt.sy - coalesce(gy.sgy, 0.0) ELSE coalesce(gy.sgy, 0.0) END"
-                       " - (vt.u0 * pt.sy + vt.u1 * pt.sxy)) / vt.s AS beta"))
+geno AS (SELECT s.cohort, s.sample_id, s.x, v.ref_id AS variant, CAST(least(2, pc.cnt) AS DOUBLE) AS g
+         FROM pcalls pc JOIN samples s ON pc.sample_id = s.sample_id
+         JOIN vmap v ON v.cohort = s.cohort AND v.variant_idx = pc.pk)"""
+# swapped alleles: with an intercept, y ~ ... + (2 − g) has coefficient −β and the same SE
+_HM_FLIP = """effl AS (SELECT e.* REPLACE (e.beta * v.flip AS beta) FROM eff e
+         JOIN vmap v ON v.cohort = e.cohort AND v.ref_id = e.variant)"""
+_HM_META = META_CTES.replace("FROM eff WHERE se > 0", "FROM effl WHERE se > 0")
 
 
-@query("meta_harmonised", with_all(samples_cte(), PHENO_CTE, _HARM_SQL, _HM_SQL, _HM_EFFECT, META_CTES) + META_SELECT)
+@query("meta_harmonised", with_all(samples_cte(), PHENO_CTE, _HARM_SQL, _HM_SQL, MOMENTS_CTES, EFFECT_CTES, _HM_FLIP,
+                                   _HM_META) + META_SELECT)
 def meta_harmonised(spark, sf_dir):
-    """Part-level genotypes mapped to reference ids through the harmonisation map, swapped alleles
-    flipped on the sufficient statistics, then meta-analysed by reference variant."""
+    """Part-level genotypes mapped to reference ids through the harmonisation map, per-cohort
+    effects oriented to the reference allele (swapped alleles flip β), then meta-analysed."""
     from ..operators.align import apply_variant_map
     from ..operators.harmonise import harmonise
-    from ..operators.moments import flip_moments, partial_derivatives
     from ..operators.meta import drop_empty, inverse_variance
-    from ..operators.regression import associate_pd
+    from ..operators.moments import partial_derivatives
+    from ..operators.regression import associate_pd, flip_effects
     smp = fx.samples(spark, sf_dir)
     raw = fx.genotype(spark, sf_dir, n_variants=None, smp=smp)
     raw = raw.withColumn("variant_idx", F.substring("variant", 2, 20).cast("long")).drop("variant")
     vmap = harmonise(fx.cohort_probes(spark, sf_dir), fx.reference_panel(spark, sf_dir))
     mapped = apply_variant_map(raw, vmap)
     phen = fx.phenotype(spark, sf_dir, smp=smp)
-    pd_ = partial_derivatives(smp, mapped.drop("flip", "variant_idx"), phen, N_COV)
-    flips = mapped.select("cohort", "variant", "flip").distinct()
-    pd_["pd_test"] = flip_moments(pd_["pd_test"], pd_["pd_cov"], flips)
-    return drop_empty(inverse_variance(associate_pd(pd_)))
+    eff = associate_pd(partial_derivatives(smp, mapped.drop("flip", "variant_idx"), phen, N_COV))
+    flips = vmap.select("cohort", F.col("ref_id").alias("variant"), "flip")
+    return drop_empty(inverse_variance(flip_effects(eff, flips)))
 
 
 

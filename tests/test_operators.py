@@ -85,10 +85,14 @@ def test_flip_changes_sign_of_beta(spark):
     flips = spark.createDataFrame([("A", "v0", -1), ("B", "v0", -1)], "cohort string, variant string, flip int")
     pd2 = dict(pd_, pd_test=flip_moments(pd_["pd_test"], pd_["pd_cov"], flips))
     flipped = {(r.cohort, r.variant, r.phenotype): r for r in associate_pd(pd2).collect()}
+    from metassoc.operators.regression import flip_effects
+    on_effects = {(r.cohort, r.variant, r.phenotype): r for r in flip_effects(associate_pd(pd_), flips).collect()}
     for k, r in base.items():
         sign = -1 if k[1] == "v0" else 1
         assert flipped[k].beta == pytest.approx(sign * r.beta, rel=1e-9, abs=1e-12)
         assert flipped[k].standard_error == pytest.approx(r.standard_error, rel=1e-9)
+        assert on_effects[k].beta == pytest.approx(flipped[k].beta, rel=1e-9, abs=1e-12)
+        assert on_effects[k].maf == pytest.approx(flipped[k].maf, rel=1e-12)
 
 
 def test_dense_block_path_equals_long_path(spark):
