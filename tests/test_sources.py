@@ -169,3 +169,45 @@ def test_qc_lists_from_files(spark, tmp):
     assert (log.N, log.nr_snps, log.filtered_snps, log.typed_snps) == (100, 3, 2, 1)
     assert log.regulated_pcs == "ExpPC2, ExpPC10"
     assert out["covariate_index"].first().line.split("\t")[:3] == ["A", "1", "2"]
+
+
+def test_ingest_plink_then_dense_association(spark, tmp):
+    """Files -> ingest -> Parquet -> converter check -> dense association, compared with NumPy OLS."""
+    from helpers import ols_full_inverse
+    from metassoc.operators.blocks import dense_associate
+    from metassoc.operators.checks import converter_check
+    from metassoc.plans.ingest import ingest_plink, read_cohorts, write_cohort
+    rng = np.random.default_rng(5)
+    n, v = 9, 4
+    calls = rng.integers(0, 3, size=(v, n)).tolist()
+    prefix = os.path.join(tmp, "ing")
+    with open(prefix + ".bed", "wb") as fh:
+        fh.write(_pack_bed(calls))
+    _w(tmp, "ing.fam", "".join(f"f{i} s{i} 0 0 1 -9\n" for i in range(n)))
+    _w(tmp, "ing.bim", "".join(f"1\trs{k}\t0\t{100 + k}\tA\tG\n" for k in range(v)))
+    out = os.path.join(tmp, "cohorts")
+    write_cohort(ingest_plink(spark, prefix, "A", variants_per_task=3), out)
+    t = read_cohorts(spark, out, ["A"])
+    assert converter_check(t["samples"], t["probes"], t["genotype"]).first().consistent
+    y = rng.normal(size=n)
+    ph = spark.createDataFrame([("A", "p", y.tolist())], "cohort string, phenotype string, values array<double>")
+    geno = t["genotype"].join(t["probes"], ["cohort", "variant_idx"]).select("cohort", F.col("id").alias("variant"), "dosage")
+    res = {r.variant: r for r in dense_associate(geno, ph, pooled=False).collect()}
+    for k in range(v):
+        b, se = ols_full_inverse(np.array(calls[k], float), y, np.ones((n, 1)))
+        if np.isfinite(b):
+            assert res[f"rs{k}"].beta == pytest.approx(b, rel=1e-9, abs=1e-12)
+            assert res[f"rs{k}"].standard_error == pytest.approx(se, rel=1e-9)
+
+
+def test_ingest_vcf_and_minimac(spark, tmp):
+    from metassoc.plans.ingest import ingest_minimac, ingest_vcf
+    vcf = _w(tmp, "i.vcf", "##fileformat=VCFv4.2\n##FORMAT=<ID=GT>\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\tS1\tS2\n"
+                           "1\t100\trs1\tA\tG\t.\tPASS\t.\tGT\t0/0\t0/1\n2\t200\trs2\tC\tT\t.\tPASS\t.\tGT\t1/1\t./.\n")
+    t = ingest_vcf(spark, vcf, "V")
+    assert {r.variant_idx: r.dosage for r in t["genotype"].collect()} == {0: [2.0, 1.0], 1: [0.0, 9.0]}
+    assert [r.sample_id for r in t["samples"].orderBy("sample_pos").collect()] == ["S1", "S2"]
+    info = _w(tmp, "i.info", "SNP Al1 Al2 Freq1 MAF AvgCall Rsq\nrs1 A G 0.7 0.3 0.9 0.95\n")
+    dose = _w(tmp, "i.dose", "F->B DOSE 1.5\nF->A DOSE 0.5\n")
+    m = ingest_minimac(spark, info, dose, "M")
+    assert m["genotype"].first().dosage == [0.5, 1.5]          # samples in id order: A, B
