@@ -845,3 +845,14 @@ def permuted_genotype_set(spark, sf_dir):
     probes = fx.cohort_probes(spark, sf_dir).select("cohort", "variant_idx", "id", "allele1", "allele2")
     return jobs.permuted_genotype_set(permuted, probes).select(
         "cohort", "sample_id", "variant_idx", "dosage", "id", "allele1", "allele2")
+
+
+@query("partial_derivatives_dense", with_all(embed_ctes(split=True))
+       + f"""SELECT cohort, variant, {R('sg')} AS a_0, {R('sgg')} AS gg, {R('sg / (2.0 * n)')} AS maf FROM eg""")
+def partial_derivatives_dense(spark, sf_dir):
+    """Site-side A_test of dense cohorts (the two embedding halves): X̃ᵀg, gᵀg and MAF per variant,
+    one GEMM per variant block and cohort."""
+    from ..operators.blocks import dense_partial_derivatives
+    geno, phen = fx.embedding_rows(spark, sf_dir, split=True)
+    t = dense_partial_derivatives(geno, phen, with_b4=False)["pd_test"]
+    return t.select("cohort", "variant", F.col("a")[0].alias("a_0"), "gg", "maf")

@@ -296,3 +296,20 @@ def test_pd_sample_coverage(spark):
     assert_pd_samples_covered(inter, ph)
     with pytest.raises(ValueError):
         assert_pd_samples_covered(inter, ge)
+
+
+def test_dense_partial_derivatives_feed_the_sparse_solver(spark):
+    from metassoc.operators.blocks import dense_associate, dense_partial_derivatives
+    rng = np.random.default_rng(9)
+    rows_g = [(c, f"v{i}", rng.integers(0, 3, 15).astype(float).tolist()) for c in ("A", "B") for i in range(6)]
+    rows_p = [(c, f"p{k}", rng.normal(size=15).tolist()) for c in ("A", "B") for k in range(3)]
+    rows_c = [(c, "x", rng.normal(size=15).tolist()) for c in ("A", "B")]
+    DG = spark.createDataFrame(rows_g, "cohort string, variant string, dosage array<double>")
+    DP = spark.createDataFrame(rows_p, "cohort string, phenotype string, values array<double>")
+    DC = spark.createDataFrame(rows_c, "cohort string, covariate string, values array<double>")
+    via_pd = {(r.cohort, r.variant, r.phenotype): r for r in associate_pd(dense_partial_derivatives(DG, DP, DC)).collect()}
+    direct = {(r.cohort, r.variant, r.phenotype): r for r in dense_associate(DG, DP, DC, pooled=False).collect()}
+    assert set(via_pd) == set(direct)
+    for k, r in direct.items():
+        assert via_pd[k].beta == pytest.approx(r.beta, rel=1e-9, abs=1e-12)
+        assert via_pd[k].standard_error == pytest.approx(r.standard_error, rel=1e-9)
