@@ -856,3 +856,20 @@ def partial_derivatives_dense(spark, sf_dir):
     geno, phen = fx.embedding_rows(spark, sf_dir, split=True)
     t = dense_partial_derivatives(geno, phen, with_b4=False)["pd_test"]
     return t.select("cohort", "variant", F.col("a")[0].alias("a_0"), "gg", "maf")
+
+
+@query("dense_meta_encoded")
+def dense_meta_encoded(spark, sf_dir):
+    """Federated flow on the two dense embedding cohorts: each site computes its partial
+    derivatives from raw rows; the centre gets gᵀy only from privacy-encoded G·F and F⁻¹·Y,
+    solves per cohort and pools (equals dense_meta up to the key's conditioning)."""
+    from ..operators.blocks import dense_partial_derivatives, dot_products
+    from ..operators.encode import encode_dense
+    from ..operators.meta import drop_empty, inverse_variance
+    from ..operators.regression import associate_pd
+    geno, phen = fx.embedding_rows(spark, sf_dir, split=True)
+    pd_ = dense_partial_derivatives(geno, phen, with_b4=False)
+    enc = encode_dense(geno, phen, seed=_KEY_SEED)
+    b4 = dot_products(enc["genotype"].withColumnRenamed("dosage", "vec"), enc["phenotype"].withColumnRenamed("values", "vec"))
+    pd_["pd_b4"] = b4.withColumnRenamed("dot", "gy")
+    return drop_empty(inverse_variance(associate_pd(pd_)))

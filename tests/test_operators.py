@@ -313,3 +313,29 @@ def test_dense_partial_derivatives_feed_the_sparse_solver(spark):
     for k, r in direct.items():
         assert via_pd[k].beta == pytest.approx(r.beta, rel=1e-9, abs=1e-12)
         assert via_pd[k].standard_error == pytest.approx(r.standard_error, rel=1e-9)
+
+
+def test_dense_encoding_matches_long_encoding_and_preserves_products(spark):
+    from metassoc.operators.encode import encode, encode_dense
+    S, G, P, (s, g, p) = _frames(spark)
+    rows_g, rows_p = [], []
+    for c in ("A", "B"):
+        sc = s[s.cohort == c].sort_values("sample_id")
+        for v in g[g.cohort == c].variant.unique():
+            rows_g.append((c, v, [float(d) for d in _dense(s, g, c, v)]))
+        for ph in p[p.cohort == c].phenotype.unique():
+            yv = p[(p.cohort == c) & (p.phenotype == ph)].set_index("sample_id").y.reindex(sc.sample_id, fill_value=0)
+            rows_p.append((c, ph, [float(y) for y in yv]))
+    DG = spark.createDataFrame(rows_g, "cohort string, variant string, dosage array<double>")
+    DP = spark.createDataFrame(rows_p, "cohort string, phenotype string, values array<double>")
+    enc = encode_dense(DG, DP, seed=3, block=4)
+    eg = {(r.cohort, r.variant): np.array(r.dosage) for r in enc["genotype"].collect()}
+    ep = {(r.cohort, r.phenotype): np.array(r.values) for r in enc["phenotype"].collect()}
+    for (c, v, vec) in rows_g:
+        for (c2, ph, yv) in rows_p:
+            if c2 == c:
+                assert eg[(c, v)] @ ep[(c, ph)] == pytest.approx(np.dot(vec, yv), rel=1e-8, abs=1e-8)
+    long = encode(S, G, P, seed=3, block=4)["genotype"].toPandas()      # samples 0..5 are in id order
+    for (c, v), e in eg.items():
+        sub = long[(long.cohort == c) & (long.variant == v)].set_index("pos").dosage
+        assert e == pytest.approx(sub.reindex(range(len(e)), fill_value=0.0).to_numpy(), abs=1e-9)
