@@ -339,3 +339,42 @@ def test_dense_encoding_matches_long_encoding_and_preserves_products(spark):
     for (c, v), e in eg.items():
         sub = long[(long.cohort == c) & (long.variant == v)].set_index("pos").dosage
         assert e == pytest.approx(sub.reindex(range(len(e)), fill_value=0.0).to_numpy(), abs=1e-9)
+
+
+def test_two_interaction_factors_match_numpy(spark):
+    from metassoc.operators.interaction import interaction_effects
+    rng = np.random.default_rng(21)
+    n = 25
+    x = rng.normal(size=(n, 2))
+    g = rng.integers(0, 3, size=n).astype(float)
+    y = rng.normal(size=n) + 0.4 * g * x[:, 0]
+    S = spark.createDataFrame([("A", i, [float(v) for v in x[i]]) for i in range(n)], "cohort string, sample_id long, x array<double>")
+    G = spark.createDataFrame([("A", i, "v", float(g[i])) for i in range(n) if g[i]], "cohort string, sample_id long, variant string, dosage double")
+    P = spark.createDataFrame([("A", i, "p", float(y[i])) for i in range(n)], "cohort string, sample_id long, phenotype string, y double")
+    r = interaction_effects(S, G, P, 2, factor=[0, 1]).first()
+    D = np.column_stack([np.ones(n), x, g * x[:, 0], g * x[:, 1], g])
+    coef, *_ = np.linalg.lstsq(D, y, rcond=None)
+    Ai = np.linalg.inv(D.T @ D)
+    s2 = ((y - D @ coef) ** 2).sum() / (n - D.shape[1])
+    assert r.beta == pytest.approx(coef[-1], rel=1e-7)
+    assert r.betas_interaction == pytest.approx(coef[3:5], rel=1e-7)
+    assert r.ses_interaction == pytest.approx(np.sqrt(s2 * np.diag(Ai)[3:5]), rel=1e-6)
+    assert r.standard_error == pytest.approx(np.sqrt(s2 * Ai[-1, -1]), rel=1e-6)
+
+
+def test_encoded_interaction_products(spark):
+    """R3: the centre gets Σ g·f·y from G·F and F⁻¹·(y∘f)."""
+    from metassoc.operators.encode import (block_key, encode_genotype, encode_interaction_phenotype,
+                                           encoded_cross_moments, invert_key, sample_positions)
+    S, G, P, (s, g, p) = _frames(spark)
+    pos = sample_positions(S)
+    key = block_key(pos, seed=5, block=3)
+    eg = encode_genotype(G, pos, key)
+    ep = encode_interaction_phenotype(P, S, pos, invert_key(key, 3), factor=0)
+    got = {(r.cohort, r.variant, r.phenotype): r.gy for r in encoded_cross_moments(eg, ep).collect()}
+    xs = {(r.cohort, r.sample_id): r.x[0] for r in S.collect()}
+    gyf = (G.join(P, ["cohort", "sample_id"]).rdd
+           .map(lambda r: ((r.cohort, r.variant, r.phenotype), r.dosage * r.y * xs[(r.cohort, r.sample_id)]))
+           .reduceByKey(lambda a, b: a + b).collectAsMap())
+    for k, v in got.items():
+        assert v == pytest.approx(gyf.get(k, 0.0), abs=1e-8)
