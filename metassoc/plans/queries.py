@@ -873,3 +873,30 @@ def dense_meta_encoded(spark, sf_dir):
     b4 = dot_products(enc["genotype"].withColumnRenamed("dosage", "vec"), enc["phenotype"].withColumnRenamed("values", "vec"))
     pd_["pd_b4"] = b4.withColumnRenamed("dot", "gy")
     return drop_empty(inverse_variance(associate_pd(pd_)))
+
+
+_MEGA_MISS = """pairs AS (SELECT vm.variant, pm.phenotype, sum(cm.n) AS n, sum(cm.sx) AS sx, sum(cm.sxx) AS sxx,
+                 sum(vm.sg) AS sg, sum(vm.sgg) AS sgg, sum(vm.sgx) AS sgx, sum(pm.sy) AS sy, sum(pm.syy) AS syy,
+                 sum(pm.sxy) AS sxy, sum(coalesce(gy.sgy, 0.0)) AS sgy
+          FROM vm JOIN pm ON vm.cohort = pm.cohort JOIN cm ON cm.cohort = vm.cohort
+          LEFT JOIN gy ON gy.cohort = vm.cohort AND gy.variant = vm.variant AND gy.phenotype = pm.phenotype
+          GROUP BY vm.variant, pm.phenotype),
+cmq AS (SELECT variant || '|' || phenotype AS cohort, n, sx, sxx FROM pairs),
+vmq AS (SELECT variant || '|' || phenotype AS cohort, variant, sg, sgg, sgx FROM pairs),
+pmq AS (SELECT variant || '|' || phenotype AS cohort, phenotype, sy, syy, sxy FROM pairs),
+gyq AS (SELECT variant || '|' || phenotype AS cohort, variant, phenotype, sgy FROM pairs)"""
+
+
+@query("mega_missingness", with_all(fixture_ctes(n_variants=None), MOMENTS_CTES, _MEGA_MISS,
+                                    effect_ctes("cmq", "vmq", "pmq", "gyq"))
+       + f"""SELECT variant, phenotype, {R('beta')} AS beta, {R('se')} AS standard_error, {R('beta / se')} AS t_stat,
+       {R('n')} AS sample_size FROM eff""")
+def mega_missingness(spark, sf_dir):
+    """Mega-analysis with missing variants (one variant per part; parts missing from some cohorts):
+    each variant × phenotype pools exactly the cohorts that have both, A_cov included."""
+    from ..operators.meta import pool_pairwise
+    from ..operators.moments import partial_derivatives
+    from ..operators.regression import associate_pd
+    smp, geno, phen = fx.cohort_data(spark, sf_dir, n_variants=None)
+    eff = associate_pd(pool_pairwise(partial_derivatives(smp, geno, phen, N_COV)))
+    return eff.select("variant", "phenotype", "beta", "standard_error", "t_stat", "sample_size")
