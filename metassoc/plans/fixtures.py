@@ -32,7 +32,7 @@ _TABLES: dict = {}
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The driver table ``name`` (one DataFrame per session and path: file listing and footers are
     read once, and every query that reuses it gets the same lazy relation)."""
-    key = (id(spark), sf_dir, name)
+    key = (spark.sparkContext.applicationId, sf_dir, name)
     df = _TABLES.get(key)
     if df is None:
         df = _TABLES[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")

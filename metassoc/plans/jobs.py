@@ -47,6 +47,22 @@ def meta_analyse(samples: DataFrame, genotype: DataFrame, phenotype: DataFrame,
     return t_threshold(drop_empty(inverse_variance(eff)), t_thr)
 
 
+def meta_analyse_with_log(samples: DataFrame, genotype: DataFrame, phenotype: DataFrame, n_cov: int, *,
+                          log_variants: DataFrame | None = None, log_phenotypes: DataFrame | None = None,
+                          t_thr: float | None = None, max_effects: int = 10**9, **kw) -> tuple[DataFrame, DataFrame]:
+    """Meta-analysis plus the per-cohort log of chosen genes/variants from one set of per-cohort
+    effects (persisted once, read by both outputs).  The log is refused above ``max_effects`` rows
+    in one cohort, checked with an aggregate before anything is written."""
+    from pyspark import StorageLevel
+    from ..operators.meta import contributing
+    eff = cohort_effects(samples, genotype, phenotype, n_cov, **kw).persist(StorageLevel.MEMORY_AND_DISK)
+    meta = t_threshold(drop_empty(inverse_variance(eff)), t_thr)
+    log = per_cohort_effects(contributing(eff), log_variants, log_phenotypes)
+    if log_variants is not None or log_phenotypes is not None:
+        guard_effect_count(log, max_effects)
+    return meta, log
+
+
 def mega_analyse(samples: DataFrame, genotype: DataFrame, phenotype: DataFrame, n_cov: int, *,
                  tol: float = SINGULAR_TOL, maf: float = 0.0, cov_index: DataFrame | None = None) -> DataFrame:
     """Pooled regression over all cohorts from summed partial derivatives.

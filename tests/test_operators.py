@@ -378,3 +378,16 @@ def test_encoded_interaction_products(spark):
            .reduceByKey(lambda a, b: a + b).collectAsMap())
     for k, v in got.items():
         assert v == pytest.approx(gyf.get(k, 0.0), abs=1e-8)
+
+
+def test_meta_with_log_and_guard(spark):
+    from metassoc.plans.jobs import meta_analyse_with_log
+    S, G, P, _ = _frames(spark)
+    genes = spark.createDataFrame([("p0",)], "phenotype string")
+    meta, log = meta_analyse_with_log(S, G, P, 1, log_phenotypes=genes)
+    assert {r.phenotype for r in log.collect()} == {"p0"} and meta.count() > 0
+    assert log.columns == ["cohort", "variant", "phenotype", "beta", "standard_error", "sample_size"]
+    with pytest.raises(ValueError):
+        meta_analyse_with_log(S, G, P, 1, log_phenotypes=genes, max_effects=1)
+    _, nolog = meta_analyse_with_log(S, G, P, 1)
+    assert nolog.count() == 0                      # no lists -> nothing logged
