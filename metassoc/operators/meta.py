@@ -86,28 +86,36 @@ def _sum_vectors(col: str) -> F.Column:
     return F.aggregate(F.col(col), zero, lambda acc, v: F.zip_with(acc, v, lambda a, b: a + b))
 
 
+def _label(label: str, like: str = "cohort"):
+    """A constant label that the optimizer cannot fold (derived from a data column), so joins on
+    the pooled ``cohort`` key stay hash joins instead of becoming nested-loop joins."""
+    return F.concat(F.lit(label), F.substring(F.col(like), 1, 0))
+
+
 def pool_pd(pd: dict[str, DataFrame], label: str = "ALL", require_all: bool = True) -> dict[str, DataFrame]:
     """Sum PD tables over cohorts (mega-analysis).  With ``require_all`` only variants and
     phenotypes present in every cohort are pooled, so A_cov, n and the sums cover the same samples."""
     k = pd["pd_cov"].select("cohort").distinct().count()
-    cov = (pd["pd_cov"].groupBy().agg(F.sum("n").alias("n"), F.collect_list("a_cov").alias("ms"))
-           .select(F.lit(label).alias("cohort"), F.col("n"), _sum_matrices("ms").alias("a_cov")))
+    cov = (pd["pd_cov"].groupBy().agg(F.sum("n").alias("n"), F.collect_list("a_cov").alias("ms"),
+                                      F.max(_label(label)).alias("cohort"))
+           .select("cohort", "n", _sum_matrices("ms").alias("a_cov")))
+    n_of = F.broadcast(pd["pd_cov"].select("cohort", "n"))          # one row per cohort
 
     def pool(df, keys, vec, scal):
-        aggs = [F.collect_list(vec).alias("_vs"), F.count(F.lit(1)).alias("_k")] + [F.sum(s).alias(s) for s in scal]
+        aggs = ([F.collect_list(vec).alias("_vs"), F.count(F.lit(1)).alias("_k"), F.max(_label(label)).alias("cohort")]
+                + [F.sum(s).alias(s) for s in scal])
         g = df.groupBy(*keys).agg(*aggs)
         if require_all:
             g = g.where(F.col("_k") == k)
-        return g.withColumn(vec, _sum_vectors("_vs")).drop("_vs", "_k").withColumn("cohort", F.lit(label))
+        return g.withColumn(vec, _sum_vectors("_vs")).drop("_vs", "_k")
 
-    test = pool(pd["pd_test"], ["variant"], "a", ["gg"])
-    test = test.join(F.broadcast(cov.select("cohort", "n")), "cohort")   # one row
+    test = pool(pd["pd_test"].join(n_of, "cohort"), ["variant"], "a", ["gg", "n"])
     test = test.withColumn("maf", F.col("a")[0] / (2.0 * F.col("n"))).drop("n")
     pheno = pool(pd["pd_pheno"], ["phenotype"], "b", ["c"])
     out = {"pd_cov": cov, "pd_test": test, "pd_pheno": pheno, "p": pd.get("p")}
     if "pd_b4" in pd:
-        b4 = pd["pd_b4"].groupBy("variant", "phenotype").agg(F.sum("gy").alias("gy")).withColumn("cohort", F.lit(label))
-        out["pd_b4"] = b4
+        out["pd_b4"] = pd["pd_b4"].groupBy("variant", "phenotype").agg(
+            F.sum("gy").alias("gy"), F.max(_label(label)).alias("cohort"))
     return out
 
 
@@ -127,10 +135,11 @@ def with_study_intercepts(samples: DataFrame, genotype: DataFrame, phenotype: Da
     names = [r[0] for r in samples.select("cohort").distinct().orderBy("cohort").collect()]
     dummies = [(F.col("cohort") == c).cast("double") for c in names[1:]]
     sid = F.concat(F.col("cohort"), F.lit(":"), F.col("sample_id").cast("string"))
-    smp = samples.select(F.lit(label).alias("cohort"), sid.alias("sample_id"),
+    lab = _label(label)
+    smp = samples.select(lab.alias("cohort"), sid.alias("sample_id"),
                          F.concat(F.col("x"), F.array(*dummies)).alias("x") if dummies else F.col("x"))
-    geno = genotype.select(F.lit(label).alias("cohort"), sid.alias("sample_id"), "variant", "dosage")
-    phen = phenotype.select(F.lit(label).alias("cohort"), sid.alias("sample_id"), "phenotype", "y")
+    geno = genotype.select(lab.alias("cohort"), sid.alias("sample_id"), "variant", "dosage")
+    phen = phenotype.select(lab.alias("cohort"), sid.alias("sample_id"), "phenotype", "y")
     return smp, geno, phen, len(dummies)
 
 

@@ -66,3 +66,9 @@ def test_encoded_meta_equals_plain_meta(spark):
     for k, r in a.items():
         assert b[k].beta == pytest.approx(r.beta, rel=1e-5, abs=1e-7)
         assert b[k].standard_error == pytest.approx(r.standard_error, rel=1e-5)
+
+
+@pytest.mark.parametrize("name", ["meta_ivw", "mega_analysis", "mega_study_intercepts", "mega_missingness"])
+def test_no_nested_loop_or_cartesian_joins(spark, name):
+    plan = E.queries()[name](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
