@@ -76,7 +76,9 @@ def flip_dosage(dosage, flip) -> Column:
 
 
 def flip_value(dosage, flip) -> Column:
-    """Allele flip of one scalar dosage."""
+    """Allele flip of one scalar dosage.  Only valid when every sample has a row (dense long form):
+    sparse long data leaves out zeros, which a flip would turn into 2 — flip its statistics or its
+    effects instead (``moments.flip_moments``, ``regression.flip_effects``)."""
     d, f = col_(dosage), col_(flip)
     return F.when((f == -1) & (d != MISSING_DOSAGE), 2.0 - d).otherwise(d)
 

@@ -115,13 +115,24 @@ def associate(samples: DataFrame, genotype: DataFrame, phenotype: DataFrame, n_c
 
 def encode_site(samples: DataFrame, genotype: DataFrame, phenotype: DataFrame, seed: int, block: int = 64,
                 flips: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Site-side encoding: optional allele flips of raw calls, then G·F and F⁻¹·P."""
-    from ..functions.columns import flip_value
-    from ..operators.encode import encode
+    """Site-side encoding: G·F and F⁻¹·P with a block-diagonal key.
+
+    Dense rows (``dosage`` arrays, with ``phenotype`` as (cohort, phenotype, values) arrays) are
+    flipped in place (2 − g) before encoding.  Sparse long rows cannot be flipped in place — their
+    absent zeros would have to become 2 — so they are encoded as they are and the flips are returned
+    (``out["flips"]``) for the centre to orient the per-cohort effects (``regression.flip_effects``),
+    which is exact for a model with an intercept."""
+    from ..functions.columns import flip_dosage
+    from ..operators.encode import encode, encode_dense
+    if dict(genotype.dtypes).get("dosage", "").startswith("array"):
+        if flips is not None:
+            genotype = (genotype.join(flips.select("cohort", "variant", "flip"), ["cohort", "variant"], "left")
+                        .withColumn("dosage", flip_dosage("dosage", F.coalesce(F.col("flip"), F.lit(1)))).drop("flip"))
+        return encode_dense(genotype, phenotype, seed, block)
+    out = encode(samples, genotype, phenotype, seed, block)
     if flips is not None:
-        genotype = (genotype.join(flips.select("cohort", "variant", "flip"), ["cohort", "variant"], "left")
-                    .withColumn("dosage", flip_value("dosage", F.coalesce(F.col("flip"), F.lit(1)))).drop("flip"))
-    return encode(samples, genotype, phenotype, seed, block)
+        out["flips"] = flips.select("cohort", "variant", "flip")
+    return out
 
 
 def harmonise_study(probes: DataFrame, reference: DataFrame, by: str = "position") -> dict[str, DataFrame]:
