@@ -186,9 +186,11 @@ _SINGLE = "EUROPE"
        {R('maf')} AS maf, df FROM eff""")
 def single_site_association(spark, sf_dir):
     """One cohort, every variant × phenotype: β, SE, t, MAF, degrees of freedom."""
+    from pyspark import StorageLevel
     smp = fx.samples(spark, sf_dir).where(F.col("cohort") == _SINGLE)
-    geno = fx.genotype(spark, sf_dir, smp=smp)
-    phen = fx.phenotype(spark, sf_dir, smp=smp)
+    # derived views read twice (moments and cross products): persisted like fixtures.cohort_data
+    geno = fx.genotype(spark, sf_dir, smp=smp).persist(StorageLevel.MEMORY_AND_DISK)
+    phen = fx.phenotype(spark, sf_dir, smp=smp).persist(StorageLevel.MEMORY_AND_DISK)
     eff = jobs.cohort_effects(smp, geno, phen, N_COV)
     return eff.select("variant", "phenotype", "beta", "standard_error", "t_stat", "maf", "df")
 
