@@ -235,3 +235,9 @@ def variant_probes(spark: SparkSession, sf_dir: str, n_variants: int = N_VARIANT
             .agg(F.min("allele1").alias("allele1"), F.max("allele2").alias("allele2"),
                  (F.avg("p_retailprice") / 2000.0).alias("Rsq"))
             .select(variant_label("vkey").alias("ID"), "allele1", "allele2", "Rsq"))
+
+
+def reused(*dfs: DataFrame):
+    """Persist derived views that an analysis reads more than once (moments and cross products)."""
+    out = tuple(d.persist(StorageLevel.MEMORY_AND_DISK) for d in dfs)
+    return out if len(out) > 1 else out[0]

@@ -284,7 +284,8 @@ def sample_removal(spark, sf_dir):
     from ..operators.align import remove_samples
     removed = fx.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("sample_id")).where(F.col("sample_id") % 10 == 0)
     smp = remove_samples(fx.samples(spark, sf_dir), removed)
-    return jobs.meta_analyse(smp, fx.genotype(spark, sf_dir, smp=smp), fx.phenotype(spark, sf_dir, smp=smp), N_COV)
+    geno, phen = fx.reused(fx.genotype(spark, sf_dir, smp=smp), fx.phenotype(spark, sf_dir, smp=smp))
+    return jobs.meta_analyse(smp, geno, phen, N_COV)
 
 
 _MISS_BASE = fixture_ctes(with_missing=True)
@@ -568,8 +569,8 @@ def sample_intersection_q(spark, sf_dir):
 def meta_events_intersection(spark, sf_dir):
     """Meta-analysis of event-type phenotypes (mean value per user) on the intersected samples."""
     smp_i, _, ev = _events_inputs(spark, sf_dir)
-    geno = fx.genotype(spark, sf_dir, smp=smp_i)
-    phen = ev.join(smp_i, "sample_id").select("cohort", "sample_id", "phenotype", "y", "x")
+    geno, phen = fx.reused(fx.genotype(spark, sf_dir, smp=smp_i),
+                           ev.join(smp_i, "sample_id").select("cohort", "sample_id", "phenotype", "y", "x"))
     return jobs.meta_analyse(smp_i, geno, phen, N_COV)
 
 
@@ -728,8 +729,7 @@ def meta_covariate_selection(spark, sf_dir):
     """Two covariates (balance, nation); a covariate index per cohort keeps the intercept plus
     covariate 1 (even-length cohort names) or covariate 2 (odd): projection of the PD tables."""
     smp = fx.samples(spark, sf_dir, two_covariates=True)
-    geno = fx.genotype(spark, sf_dir, smp=smp)
-    phen = fx.phenotype(spark, sf_dir, smp=smp)
+    geno, phen = fx.reused(fx.genotype(spark, sf_dir, smp=smp), fx.phenotype(spark, sf_dir, smp=smp))
     r = fx.table(spark, sf_dir, "region").select(F.col("r_name").alias("cohort"))
     cov_index = r.select("cohort", F.when(F.length("cohort") % 2 == 0, F.lit(1)).otherwise(F.lit(2)).alias("idx"))
     return jobs.meta_analyse(smp, geno, phen, 2, cov_index=cov_index)
@@ -797,8 +797,7 @@ def meta_harmonised(spark, sf_dir):
     raw = fx.genotype(spark, sf_dir, n_variants=None, smp=smp)
     raw = raw.withColumn("variant_idx", F.substring("variant", 2, 20).cast("long")).drop("variant")
     vmap = harmonise(fx.cohort_probes(spark, sf_dir), fx.reference_panel(spark, sf_dir))
-    mapped = apply_variant_map(raw, vmap)
-    phen = fx.phenotype(spark, sf_dir, smp=smp)
+    mapped, phen = fx.reused(apply_variant_map(raw, vmap), fx.phenotype(spark, sf_dir, smp=smp))
     eff = associate_pd(partial_derivatives(smp, mapped.drop("flip", "variant_idx"), phen, N_COV))
     flips = vmap.select("cohort", F.col("ref_id").alias("variant"), "flip")
     return drop_empty(inverse_variance(flip_effects(eff, flips)))
