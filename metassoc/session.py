@@ -30,8 +30,7 @@ def local_session(cores: int | str = "*", app: str = "metassoc", extra: dict | N
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
-    return spark
+    return prepare(spark)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -50,6 +49,37 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``metassoc`` importable in the Python workers (the ``--py-files`` mechanism): the package
+    is zipped once per application and added with ``addPyFile``, so pandas UDFs and
+    ``applyInPandas`` functions resolve on every executor whatever the driver's working directory."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    import zipfile
+    root = os.path.dirname(os.path.abspath(__file__))
+    fd, path = tempfile.mkstemp(prefix="metassoc-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Checkpoint folder (from the session, or a scratch one where unset) and the package shipped."""
+    ensure_checkpoint_dir(spark)
+    ship_package(spark)
+    return spark
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
