@@ -30,3 +30,14 @@ def test_checks(spark):
     geno = spark.createDataFrame([("A", "rs1", [0.0, 1.0]), ("B", "rs1", [2.0, 2.0])], "cohort string, id string, dosage array<double>")
     r = {x.cohort: x.consistent for x in checks.converter_check(s, probes, geno).collect()}
     assert r == {"A": True, "B": False}
+
+
+def test_package_is_shipped_to_python_workers(spark):
+    """UDF stages must import metassoc on executors whatever the driver's working directory."""
+    import zipfile
+
+    from pyspark import SparkFiles
+    inc = [f for f in spark.sparkContext._python_includes if f.startswith("metassoc-")]
+    assert inc
+    names = zipfile.ZipFile(SparkFiles.get(inc[0])).namelist()
+    assert "metassoc/__init__.py" in names and "metassoc/operators/blocks.py" in names
