@@ -47,6 +47,14 @@ def meta_analyse(samples: DataFrame, genotype: DataFrame, phenotype: DataFrame,
     return t_threshold(drop_empty(inverse_variance(eff)), t_thr)
 
 
+def meta_analyse_dense(genotype: DataFrame, phenotype: DataFrame, covariates: DataFrame | None = None, *,
+                       t_thr: float | None = None, **kw) -> DataFrame:
+    """P1 for dense cohorts (dosage arrays in sample order, e.g. from ``plans.ingest``): the block
+    GEMM path with the IVW pooling done inside each variant block, then the t-threshold."""
+    from ..operators.blocks import dense_associate
+    return t_threshold(drop_empty(dense_associate(genotype, phenotype, covariates, pooled=True, **kw)), t_thr)
+
+
 def meta_analyse_with_log(samples: DataFrame, genotype: DataFrame, phenotype: DataFrame, n_cov: int, *,
                           log_variants: DataFrame | None = None, log_phenotypes: DataFrame | None = None,
                           t_thr: float | None = None, max_effects: int = 10**9, **kw) -> tuple[DataFrame, DataFrame]:

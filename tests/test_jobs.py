@@ -94,3 +94,25 @@ def test_remove_subjects_everywhere(spark):
         assert df.where(F.col("sample_id") < 2).count() == 0
     eff = jobs.cohort_effects(s2, g2, p2, 1).collect()
     assert all(r.sample_size == 4.0 for r in eff)
+
+
+def test_meta_analyse_dense_equals_sparse(spark):
+    S, G, P = _frames(spark)
+    s, g, p = small_cohorts()
+    rows_g, rows_p, rows_c = [], [], []
+    for c in ("A", "B"):
+        ids = sorted(s[s.cohort == c].sample_id)
+        rows_c.append((c, "x", [float(s[(s.cohort == c) & (s.sample_id == i)].x.iloc[0][0]) for i in ids]))
+        for v in g[g.cohort == c].variant.unique():
+            rows_g.append((c, v, [float(g[(g.cohort == c) & (g.variant == v) & (g.sample_id == i)].dosage.sum()) for i in ids]))
+        for ph in p[p.cohort == c].phenotype.unique():
+            rows_p.append((c, ph, [float(p[(p.cohort == c) & (p.phenotype == ph) & (p.sample_id == i)].y.sum()) for i in ids]))
+    DG = spark.createDataFrame(rows_g, "cohort string, variant string, dosage array<double>")
+    DP = spark.createDataFrame(rows_p, "cohort string, phenotype string, values array<double>")
+    DC = spark.createDataFrame(rows_c, "cohort string, covariate string, values array<double>")
+    dense = {(r.variant, r.phenotype): r for r in jobs.meta_analyse_dense(DG, DP, DC, t_thr=0.5).collect()}
+    sparse = {(r.variant, r.phenotype): r for r in jobs.meta_analyse(S, G, P, 1, t_thr=0.5).collect()}
+    assert set(dense) == set(sparse)
+    for k, r in sparse.items():
+        assert dense[k].beta == pytest.approx(r.beta, rel=1e-9, abs=1e-12)
+        assert dense[k].standard_error == pytest.approx(r.standard_error, rel=1e-9)
