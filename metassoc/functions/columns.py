@@ -43,8 +43,15 @@ def quad_form(m, v) -> Column:
     return array_dot(col_(v), mat_vec(m, v))
 
 
+def _dot_sql(a: str, b: str, p: int) -> str:
+    return " + ".join(f"`{a}`[{i}] * `{b}`[{i}]" for i in range(p))
+
+
 def dot_n(a, b, p: int) -> Column:
-    """Σ_{i<p} a[i]*b[i] unrolled for a length p known when the plan is built (codegen-friendly)."""
+    """Σ_{i<p} a[i]*b[i] unrolled for a length p known when the plan is built (codegen-friendly).
+    With column names the expression is parsed once on the JVM side (one call, any p)."""
+    if isinstance(a, str) and isinstance(b, str):
+        return F.expr(_dot_sql(a, b, p))
     a, b = col_(a), col_(b)
     out = a[0] * b[0]
     for i in range(1, p):
@@ -54,12 +61,17 @@ def dot_n(a, b, p: int) -> Column:
 
 def mat_vec_n(m, v, p: int) -> Column:
     """M·v unrolled for a p×p matrix."""
+    if isinstance(m, str) and isinstance(v, str):
+        rows = ", ".join(" + ".join(f"`{m}`[{i}][{j}] * `{v}`[{j}]" for j in range(p)) for i in range(p))
+        return F.expr(f"array({rows})")
     m, v = col_(m), col_(v)
     return F.array(*[dot_n(m[i], v, p) for i in range(p)])
 
 
 def quad_form_n(m, v, p: int) -> Column:
     """vᵀMv unrolled."""
+    if isinstance(m, str) and isinstance(v, str):
+        return F.expr(" + ".join(f"`{v}`[{i}] * `{m}`[{i}][{j}] * `{v}`[{j}]" for i in range(p) for j in range(p)))
     m, v = col_(m), col_(v)
     out = None
     for i in range(p):

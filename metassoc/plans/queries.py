@@ -671,7 +671,29 @@ def interaction_association(spark, sf_dir):
     return interaction_effects(smp, geno, phen, N_COV, factor=0)
 
 
-@query("mega_study_intercepts")
+# Study intercepts: with one intercept per cohort the pooled model reduces (Frisch–Waugh–Lovell) to
+# a regression on within-cohort centred sums, which the oracle computes in closed form.
+_INTERCEPT_SQL = """cw AS (SELECT cohort, n, sx, sxx - sx * sx / n AS cxx FROM cm),
+tot AS (SELECT sum(n) AS n, count(*) AS k, sum(cxx) AS sxx FROM cw),
+vw AS (SELECT vm.variant, sum(vm.sgg - vm.sg * vm.sg / cw.n) AS sgg, sum(vm.sgx - vm.sg * cw.sx / cw.n) AS sgx,
+              sum(vm.sg) AS sg FROM vm JOIN cw ON vm.cohort = cw.cohort GROUP BY vm.variant),
+pw AS (SELECT pm.phenotype, sum(pm.syy - pm.sy * pm.sy / cw.n) AS syy, sum(pm.sxy - pm.sy * cw.sx / cw.n) AS sxy
+       FROM pm JOIN cw ON pm.cohort = cw.cohort GROUP BY pm.phenotype),
+gw AS (SELECT vm.variant, pm.phenotype, sum(coalesce(gy.sgy, 0.0) - vm.sg * pm.sy / cw.n) AS sgy
+       FROM vm JOIN pm ON vm.cohort = pm.cohort JOIN cw ON cw.cohort = vm.cohort
+       LEFT JOIN gy ON gy.cohort = vm.cohort AND gy.variant = vm.variant AND gy.phenotype = pm.phenotype
+       GROUP BY vm.variant, pm.phenotype),
+fw AS (SELECT vw.variant, pw.phenotype, tot.n, tot.k, tot.sxx, vw.sgg, vw.sgx, vw.sg, pw.syy, pw.sxy, gw.sgy,
+              tot.sxx * vw.sgg - vw.sgx * vw.sgx AS det
+       FROM gw JOIN vw ON gw.variant = vw.variant JOIN pw ON gw.phenotype = pw.phenotype, tot),
+fe AS (SELECT *, (sxx * sgy - sgx * sxy) / det AS beta, (sgg * sxy - sgx * sgy) / det AS bx FROM fw
+       WHERE det > 1e-12 * sxx * sgg AND n - k - 2 > 0),
+fse AS (SELECT *, sqrt(abs(syy - bx * sxy - beta * sgy) / (n - k - 2) * sxx / det) AS se FROM fe)"""
+
+
+@query("mega_study_intercepts", with_all(_BASE, MOMENTS_CTES, _INTERCEPT_SQL)
+       + f"""SELECT variant, phenotype, {R('beta')} AS beta, {R('se')} AS standard_error, {R('beta / se')} AS t_stat,
+       {R('n')} AS sample_size, {R('sg / (2.0 * n)')} AS maf FROM fse""")
 def mega_study_intercepts(spark, sf_dir):
     """Pooled regression over all cohorts with K−1 study indicator covariates."""
     from ..operators.meta import with_study_intercepts
