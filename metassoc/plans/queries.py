@@ -663,7 +663,38 @@ def encode_roundtrip(spark, sf_dir):
     return encoded_cross_moments(enc["genotype"], enc["phenotype"])
 
 
-@query("interaction_association")
+# Genotype × x interaction: partial out [1, x] (2×2 inverse), then a 2×2 solve for (g·x, g).
+def _amb(a0, a1, b0, b1):
+    return f"((c.sxx * {a0} * {b0} - c.sx * ({a0} * {b1} + {a1} * {b0}) + c.n * {a1} * {b1}) / c.det)"
+
+
+_INTER_SQL = f"""ci AS (SELECT cohort, n, sx, sxx, n * sxx - sx * sx AS det FROM cm),
+vi AS (SELECT cohort, variant, sum(g * x) AS s1, sum(g * x * x) AS s1x, sum(g * g * x * x) AS s11,
+              sum(g * g * x) AS s12, sum(g) AS s2, sum(g * x) AS s2x, sum(g * g) AS s22
+       FROM geno GROUP BY cohort, variant),
+zy AS (SELECT g.cohort, g.variant, p.phenotype, sum(g.g * g.x * p.y) AS z1y, sum(g.g * p.y) AS z2y
+       FROM geno g JOIN pheno p ON g.cohort = p.cohort AND g.sample_id = p.sample_id
+       GROUP BY g.cohort, g.variant, p.phenotype),
+rv AS (SELECT v.*, c.n, c.sx, c.sxx, c.det,
+              v.s11 - {_amb('v.s1', 'v.s1x', 'v.s1', 'v.s1x')} AS r11,
+              v.s12 - {_amb('v.s1', 'v.s1x', 'v.s2', 'v.s2x')} AS r12,
+              v.s22 - {_amb('v.s2', 'v.s2x', 'v.s2', 'v.s2x')} AS r22
+       FROM vi v JOIN ci c ON v.cohort = c.cohort WHERE c.det <> 0),
+rp AS (SELECT v.cohort, v.variant, pm.phenotype, v.n, v.r11, v.r12, v.r22,
+              coalesce(zy.z1y, 0.0) - {_amb('v.s1', 'v.s1x', 'pm.sy', 'pm.sxy').replace('c.', 'v.')} AS r1y,
+              coalesce(zy.z2y, 0.0) - {_amb('v.s2', 'v.s2x', 'pm.sy', 'pm.sxy').replace('c.', 'v.')} AS r2y,
+              pm.syy - {_amb('pm.sy', 'pm.sxy', 'pm.sy', 'pm.sxy').replace('c.', 'v.')} AS rss0
+       FROM rv v JOIN pm ON v.cohort = pm.cohort
+       LEFT JOIN zy ON zy.cohort = v.cohort AND zy.variant = v.variant AND zy.phenotype = pm.phenotype),
+ri AS (SELECT *, r11 * r22 - r12 * r12 AS dr FROM rp
+       WHERE r11 > 0 AND r22 > 0 AND r11 * r22 - r12 * r12 > 1e-12 * r11 * r22 AND n - 4 > 0),
+rb AS (SELECT *, (r22 * r1y - r12 * r2y) / dr AS bi, (r11 * r2y - r12 * r1y) / dr AS bg FROM ri),
+rs AS (SELECT *, abs(rss0 - bi * r1y - bg * r2y) / (n - 4) AS s2 FROM rb)"""
+
+
+@query("interaction_association", with_all(_BASE, MOMENTS_CTES, _INTER_SQL)
+       + f"""SELECT cohort, variant, phenotype, {R('bg')} AS beta, {R('sqrt(s2 * r11 / dr)')} AS standard_error,
+       {R('bi')} AS beta_interaction, {R('sqrt(s2 * r22 / dr)')} AS se_interaction, {R('n')} AS sample_size FROM rs""")
 def interaction_association(spark, sf_dir):
     """Per-cohort model y ~ 1 + x + g·x + g: genotype and genotype × covariate effects."""
     from ..operators.interaction import interaction_effects
