@@ -19,11 +19,6 @@ def safe_div(num, den) -> Column:
     return F.try_divide(col_(num), col_(den))
 
 
-def nan_to_null(c) -> Column:
-    c = col_(c)
-    return F.when(F.isnan(c) | c.isNull(), F.lit(None).cast("double")).otherwise(c)
-
-
 def array_dot(a, b) -> Column:
     """Σ a[i]*b[i] over two equal-length numeric arrays."""
     return F.aggregate(F.zip_with(col_(a), col_(b), lambda x, y: x * y), F.lit(0.0), lambda acc, v: acc + v)

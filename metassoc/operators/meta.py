@@ -14,8 +14,6 @@ from ..functions.columns import safe_div
 from .joins import DEFAULT_MAX_BROADCAST_ROWS
 from .regression import SINGULAR_TOL, associate_pd
 
-META_COLUMNS = ["variant", "phenotype", "beta", "standard_error", "i_squared", "sample_size"]
-
 
 def contributing(effects: DataFrame) -> DataFrame:
     """Cohort rows that enter the pooled estimate: finite β and SE > 0."""

@@ -391,3 +391,17 @@ def test_meta_with_log_and_guard(spark):
         meta_analyse_with_log(S, G, P, 1, log_phenotypes=genes, max_effects=1)
     _, nolog = meta_analyse_with_log(S, G, P, 1)
     assert nolog.count() == 0                      # no lists -> nothing logged
+
+
+def test_small_column_helpers(spark):
+    from metassoc.functions import columns as C
+    from metassoc.operators.align import mark_removed_ids
+    from metassoc.operators.report import beta_from_t
+    df = spark.createDataFrame([("s1", True, 2.0, 0.5, 1.0, -1), ("s2", False, -1.0, 0.25, 9.0, -1)],
+                               "sid string, rm boolean, t double, se double, d double, f int")
+    r = df.select(C.mark_removed("sid", "rm").alias("m"), beta_from_t("t", "se").alias("b"),
+                  C.flip_value("d", "f").alias("fv")).collect()
+    assert [(x.m, x.b, x.fv) for x in r] == [("remove_s1", 1.0, 1.0), ("s2", -0.25, 9.0)]
+    ids = spark.createDataFrame([("s1",), ("s3",)], "sample_id string")
+    out = mark_removed_ids(ids, spark.createDataFrame([("s1",)], "sample_id string"))
+    assert sorted(x.sample_id for x in out.collect()) == ["remove_s1", "s3"]
