@@ -108,3 +108,17 @@ def test_spd_inverse(spark):
     for m, inv in zip(mats, got[:-1]):
         assert np.allclose(np.array(inv), np.linalg.inv(np.array(m)), rtol=1e-9, atol=1e-12)
     assert got[-1] is None                               # singular
+
+
+def test_salted_fallback_beyond_the_broadcast_bound(spark):
+    """Over the measured bound the cohort grid is a shuffle join on (cohort, salt): same results."""
+    S, G, P, _ = _frames(spark)
+    pd_ = partial_derivatives(S, G, P, 1)
+    small = {(r.cohort, r.variant, r.phenotype): (r.beta, r.standard_error) for r in associate_pd(pd_).collect()}
+    salted_df = associate_pd(pd_, max_broadcast_rows=0)
+    salted = {(r.cohort, r.variant, r.phenotype): (r.beta, r.standard_error) for r in salted_df.collect()}
+    assert salted.keys() == small.keys()
+    for k, v in small.items():
+        assert salted[k] == pytest.approx(v, rel=1e-12)
+    plan = salted_df._jdf.queryExecution().executedPlan().toString()
+    assert "_salt" in plan
