@@ -211,3 +211,14 @@ def test_ingest_vcf_and_minimac(spark, tmp):
     dose = _w(tmp, "i.dose", "F->B DOSE 1.5\nF->A DOSE 0.5\n")
     m = ingest_minimac(spark, info, dose, "M")
     assert m["genotype"].first().dosage == [0.5, 1.5]          # samples in id order: A, B
+
+
+def test_vcf_gzip(spark, tmp):
+    import gzip
+    text = ("##fileformat=VCFv4.2\n##FORMAT=<ID=GT>\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\tS1\tS2\n"
+            "1\t100\trs1\tA\tG\t.\tPASS\t.\tGT\t0/0\t1/1\n")
+    p = os.path.join(tmp, "z.vcf.gz")
+    with gzip.open(p, "wt") as fh:
+        fh.write(text)
+    v = rd.read_vcf(spark, p)
+    assert v["format"] == "GT" and v["genotype"].first().dosage == [2.0, 0.0]
