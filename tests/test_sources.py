@@ -222,3 +222,13 @@ def test_vcf_gzip(spark, tmp):
         fh.write(text)
     v = rd.read_vcf(spark, p)
     assert v["format"] == "GT" and v["genotype"].first().dosage == [2.0, 0.0]
+
+
+def test_per_cohort_sink_schema(spark, tmp):
+    rows = [("A", "v1", "p1", 0.1, 0.2, 5.0, 1.5)]
+    df = spark.createDataFrame(rows, "cohort string, variant string, phenotype string, beta double, "
+                                     "standard_error double, sample_size double, t_stat double")
+    out = os.path.join(tmp, "per_cohort")
+    sinks.write_per_cohort(df, out)
+    back = spark.read.parquet(out)
+    assert back.schema == sinks.PER_COHORT_SCHEMA and back.count() == 1       # extra columns dropped
