@@ -116,3 +116,15 @@ def test_meta_analyse_dense_equals_sparse(spark):
     for k, r in sparse.items():
         assert dense[k].beta == pytest.approx(r.beta, rel=1e-9, abs=1e-12)
         assert dense[k].standard_error == pytest.approx(r.standard_error, rel=1e-9)
+
+
+def test_write_encoded_roundtrip(spark):
+    from metassoc.sources.sinks import write_encoded
+    S, G, P = _frames(spark)
+    enc = jobs.encode_site(S, G, P, seed=4, block=3)
+    out = tempfile.mkdtemp(prefix="metassoc-enc-")
+    write_encoded(enc, out)
+    g = spark.read.parquet(os.path.join(out, "genotype"))
+    p = spark.read.parquet(os.path.join(out, "phenotype"))
+    assert g.count() == enc["genotype"].count() and p.count() == enc["phenotype"].count()
+    assert set(g.columns) == {"cohort", "variant", "pos", "dosage"}
