@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from metassoc.llm import byte_bpe
+from metassoc.llm import byte_bpe, chat, language, packing
 from metassoc.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,3 +29,24 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = vocabulary("byte_bpe_multi_50k.tiktoken")
     ids = byte_bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
     return byte_bpe.digest(byte_bpe.decode(ids, ranks))
+
+
+@query
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], turns.schema)
+    return chat.digest(chat.format_conversations(turns.union(extra)))
+
+
+@query
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens = packing.tokenize(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+    return packing.pack(tokens, with_ids=False)
+
+
+@query
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language.predict(docs, language.fit(docs))
+    return found.select("doc_id", language.is_held_out(found["doc_id"]).alias("held_out"), "lang_pred", "score")
