@@ -20,11 +20,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from metassoc.llm.wordcache import WordCache, blocks, gather
 from metassoc.session import prepare
 
 NONE = np.int64(1 << 40)          # "this pair has no rank"
-BLOCK_CHARS = 8_000_000           # characters replayed together
-CACHE_WORDS = 1_000_000             # words whose ids a worker keeps
+BLOCK_CHARS = 2_000_000           # characters replayed together
+CACHE_WORDS = 250_000             # words whose ids a worker keeps
 
 
 def parse_ranks(data: bytes) -> dict[bytes, int]:
@@ -66,6 +67,9 @@ class MergeReplay:
         at = np.searchsorted(self.keys, key)
         return np.where(self.keys[at] == key, self.merged[at], NONE)
 
+    def encode_strings(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return self.encode_words([w.encode("utf-8", "surrogatepass") for w in words])
+
     def encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, ids per word).  A word that is a token is that token, as in the rank-file libraries."""
         whole = np.array([self.ranks.get(w, -1) for w in words], np.int64)
@@ -156,48 +160,6 @@ class MergeReplay:
         return gather(self.bytes_flat, self.byte_start[ids], size), size
 
 
-def gather(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """The runs flat[start : start + size], one after another."""
-    before = np.cumsum(size) - size
-    return flat[np.repeat(start - before, size) + np.arange(int(size.sum()))]
-
-
-class WordCache:
-    """Ids of the words seen so far, replayed a block of new words at a time; emptied when it grows too large."""
-
-    def __init__(self, replay: MergeReplay, limit: int):
-        self.replay, self.limit = replay, limit
-        self.clear()
-
-    def clear(self) -> None:
-        self.slot: dict[str, int] = {}
-        self.flat, self.start, self.size = (np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64))
-
-    def add(self, words: set[str]) -> None:
-        new = [w for w in words if w not in self.slot]
-        if len(self.slot) + len(new) > self.limit and self.slot:
-            self.clear()
-            new = list(words)
-        if not new:
-            return
-        ids, size = self.replay.encode_words([w.encode("utf-8", "surrogatepass") for w in new])
-        first = len(self.slot)
-        self.slot.update((w, first + i) for i, w in enumerate(new))
-        self.start = np.concatenate((self.start, len(self.flat) + np.cumsum(size) - size))
-        self.size = np.concatenate((self.size, size))
-        self.flat = np.concatenate((self.flat, ids.astype(np.int32)))
-
-    def encode(self, docs: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-        """(all ids, ids per document)"""
-        self.add({w for words in docs for w in words})
-        slot = self.slot
-        at = np.fromiter((slot[w] for words in docs for w in words), np.int64)
-        size = self.size[at]
-        ends = np.cumsum([len(words) for words in docs])
-        total = np.concatenate(([0], np.cumsum(size)))[ends]
-        return gather(self.flat, self.start[at], size), np.diff(total, prepend=0)
-
-
 _REPLAYS: dict[bytes, MergeReplay] = {}
 
 
@@ -209,18 +171,6 @@ def replay_of(data: bytes) -> MergeReplay:
     return _REPLAYS[data]
 
 
-def blocks(texts: list[str], limit: int) -> Iterator[tuple[int, int]]:
-    """Ranges of rows of at most ``limit`` characters, or of one row."""
-    first, chars = 0, 0
-    for i, t in enumerate(texts):
-        if chars and chars + len(t) > limit:
-            yield first, i
-            first, chars = i, 0
-        chars += len(t)
-    if first < len(texts):
-        yield first, len(texts)
-
-
 def encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
            block_chars: int = BLOCK_CHARS, cache_words: int = CACHE_WORDS) -> DataFrame:
     """(id_col, ids array<int>) for every row: the byte-level BPE ids of the whole text, no special tokens.
@@ -236,7 +186,7 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
-        cache = WordCache(replay_of(vocabulary.value), cache_words)
+        cache = WordCache(replay_of(vocabulary.value).encode_strings, cache_words)
         split = regex.compile(pattern).findall
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
@@ -263,8 +213,8 @@ def decode(df: DataFrame, ranks_path: str, ids_col: str = "ids", out_col: str =
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         replay = replay_of(vocabulary.value)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 1000):
-                part = batch.slice(lo, 1000)
+            for lo in range(0, batch.num_rows, 250):
+                part = batch.slice(lo, 250)
                 ids = part.column(at)
                 flat, size = replay.decode(ids.flatten().to_numpy(zero_copy_only=False).astype(np.int64))
                 ends = np.concatenate(([0], np.cumsum(size)))
@@ -273,7 +223,7 @@ def decode(df: DataFrame, ranks_path: str, ids_col: str = "ids", out_col: str =
                 data = pa.Array.from_buffers(pa.binary(), part.num_rows,
                                              [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(flat.tobytes())])
                 if ids.null_count:
-                    data = pa.array([None if i is None else d for i, d in zip(ids, data.to_pylist(), strict=True)], pa.binary())
+                    data = pa.array([d if i.is_valid else None for i, d in zip(ids, data.to_pylist(), strict=True)], pa.binary())
                 yield pa.RecordBatch.from_arrays([*part.columns, data], names=names)
 
     return kept.mapInArrow(run, schema)
