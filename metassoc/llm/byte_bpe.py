@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from metassoc.llm.wordcache import WordCache, blocks, gather
+from metassoc.llm.wordcache import blocks, gather, worker_cache
 from metassoc.session import prepare
 
 NONE = np.int64(1 << 40)          # "this pair has no rank"
@@ -186,7 +186,7 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
-        cache = WordCache(replay_of(vocabulary.value).encode_strings, cache_words)
+        cache = worker_cache(("byte", hash(vocabulary.value), cache_words), lambda: replay_of(vocabulary.value).encode_strings, cache_words)
         split = regex.compile(pattern).findall
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]

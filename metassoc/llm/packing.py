@@ -8,6 +8,7 @@ No row is exchanged between tasks; only the last window is padded.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -19,13 +20,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from metassoc.llm.common import staged
-from metassoc.llm.wordcache import WordCache, blocks
+from metassoc.llm.wordcache import blocks, worker_cache
 from metassoc.session import prepare
 
 LENGTH = 2048
 BLOCK_CHARS = 2_000_000
 CACHE_WORDS = 250_000
 
+# capital dotted I, and everything from the combining marks on
+beyond_latin = re.compile("[\u0130\u0300-\U0010ffff]").search
+
 
 def word_encoder(model_json: str):
     """list of words -> (ids, ids per word) by the ``tokenizers`` library, without special tokens.
@@ -50,6 +54,13 @@ def word_encoder(model_json: str):
     return encode
 
 
+def folded(text: str) -> str:
+    """Line feeds as spaces; in lower case where that is one letter for one letter and leaves nothing to compose, as the
+    tokenizer folds case itself: fewer different words then."""
+    text = text.replace("\n", " ")
+    return text if beyond_latin(text) else text.lower()
+
+
 def tokenize(df: DataFrame, tokenizer_path: str, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text",
              block_chars: int = BLOCK_CHARS, cache_words: int = CACHE_WORDS) -> DataFrame:
     """(id_col, ids array<int>, part int, part_start long), written to the shared folder: the ids of every whole text
@@ -66,9 +77,9 @@ def tokenize(df: DataFrame, tokenizer_path: str, end_id: int = 1, id_col: str =
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, total = TaskContext.get().partitionId(), 0
-        cache = WordCache(word_encoder(model.value), cache_words)
+        cache = worker_cache(("word", hash(model.value), cache_words), lambda: word_encoder(model.value), cache_words)
         for batch in batches:
-            texts = [(t or "").replace("\n", " ") for t in batch.column(1).to_pylist()]
+            texts = [folded(t or "") for t in batch.column(1).to_pylist()]
             for lo, hi in blocks(texts, block_chars):
                 flat, size = cache.encode([t.split(" ") for t in texts[lo:hi]])
                 ends = np.cumsum(size)

@@ -26,38 +26,61 @@ def blocks(texts: list[str], limit: int) -> Iterator[tuple[int, int]]:
 
 
 class WordCache:
-    """Ids of the words seen so far; new words of a block are encoded together.  Emptied when it grows too large.
+    """Ids of the words seen so far; new words of a block are encoded together.  When there are more than ``limit``, those
+    used least are dropped.
 
     ``encode_words``: list of words -> (all ids, ids per word)."""
 
     def __init__(self, encode_words: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int):
         self.encode_words, self.limit = encode_words, limit
-        self.clear()
-
-    def clear(self) -> None:
         self.slot: dict[str, int] = {}
-        self.flat, self.start, self.size = (np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64))
-
-    def add(self, words: set[str]) -> None:
-        new = [w for w in words if w not in self.slot]
-        if len(self.slot) + len(new) > self.limit and self.slot:
-            self.clear()
-            new = list(words)
-        if not new:
-            return
+        self.flat, self.start, self.size, self.uses = np.zeros(0, np.int32), *(np.zeros(0, np.int64) for _ in range(3))
+
+    def _shrink(self) -> None:
+        """Keep at most half the limit, the words used most; older uses count half as much each time."""
+        least = max(2, int(np.sort(self.uses)[::-1][min(self.limit // 2, len(self.uses) - 1)]) + 1)
+        kept = self.uses >= least
+        names = [w for w, k in zip(self.slot, kept.tolist(), strict=True) if k]
+        self.slot = dict(zip(names, range(len(names)), strict=True))
+        self.flat = gather(self.flat, self.start[kept], self.size[kept])
+        self.size, self.uses = self.size[kept], self.uses[kept] // 2
+        self.start = np.cumsum(self.size) - self.size
+
+    def _add(self, new: list[str]) -> None:
         ids, size = self.encode_words(new)
         first = len(self.slot)
         self.slot.update(zip(new, range(first, first + len(new)), strict=True))
         self.start = np.concatenate((self.start, len(self.flat) + np.cumsum(size) - size))
         self.size = np.concatenate((self.size, size))
+        self.uses = np.concatenate((self.uses, np.zeros(len(new), np.int64)))
         self.flat = np.concatenate((self.flat, ids.astype(np.int32)))
 
     def encode(self, docs: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, ids per document)"""
-        self.add({w for words in docs for w in words})
-        slot = self.slot
-        at = np.fromiter((slot[w] for words in docs for w in words), np.int64)
-        size = self.size[at]
+        if len(self.slot) > self.limit:
+            self._shrink()
+        at: list[int | None] = []
+        for words in docs:
+            at.extend(map(self.slot.get, words))
+        if None in at:
+            new = {w: None for w, i in zip((w for words in docs for w in words), at, strict=True) if i is None}
+            self._add(list(new))
+            slot = self.slot
+            at = [slot[w] if i is None else i for w, i in zip((w for words in docs for w in words), at, strict=True)]
+        index = np.array(at, np.int64)
+        self.uses += np.bincount(index, minlength=len(self.uses))
+        size = self.size[index]
         ends = np.cumsum([len(words) for words in docs])
         total = np.concatenate(([0], np.cumsum(size)))[ends]
-        return gather(self.flat, self.start[at], size), np.diff(total, prepend=0)
+        return gather(self.flat, self.start[index], size), np.diff(total, prepend=0)
+
+
+_CACHES: dict[tuple, WordCache] = {}
+
+
+def worker_cache(name: tuple, make: Callable[[], Callable[[list[str]], tuple[np.ndarray, np.ndarray]]], limit: int) -> WordCache:
+    """The cache of this Python worker for the encoder ``name``; it lives on from task to task, one at a time."""
+    if name not in _CACHES:
+        _CACHES.clear()
+        _CACHES[name] = WordCache(make(), limit)
+    return _CACHES[name]
