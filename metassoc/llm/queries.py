@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from metassoc.llm import byte_bpe, chat, language, packing
+from metassoc.llm import byte_bpe, chat, dartminhash, hnsw, itq, language, packing, secret_scan, site_style, url_templates
 from metassoc.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +51,35 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = language.predict(docs, language.fit(docs))
     return found.select("doc_id", language.is_held_out(found["doc_id"]).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return hnsw.nearest(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
+@query
+def op5_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dartminhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
+
+
+@query
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = site_style.extract(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+@query
+def op9_near_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return itq.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_templates.judge(table(spark, sf_dir, "pages"))
