@@ -7,10 +7,13 @@ about k ln k + 2k darts, however long it is; a dart is hashed to one of k coordi
 coordinate is the signature.  A document with an empty coordinate doubles its limit.  Two documents agree in a coordinate
 with a probability of their weighted Jaccard similarity.
 
-Joining: the k coordinates form bands.  In a bucket (equal band) every document is compared with the bucket's first
-document only, so hot buckets stay linear; links are verified on the whole shingle multisets, and components are formed.
-Buckets that then still hold several components are compared again, block by block, between components; pairs whose
-signatures may belong to similar documents are verified likewise.  Exact copies are one node all along.
+Joining: the k coordinates form bands.  The documents of a bucket (equal band) are not paired with one another: each
+bucket yields a spanning forest of greatest estimated similarity, taken from the signatures, so there are fewer pairs
+than documents in it.  Its pairs are verified on the whole shingle multisets, the best pair of every document first, and
+components are formed.  A forest of greatest similarity connects whatever any pairs above a bound connect; since the
+estimates have errors, buckets that still hold several components are searched again, leaving out pairs that failed,
+until no bucket has an untested pair between components that could be similar.  Large buckets are dealt out in pairs of
+blocks.  Exact copies are one node all along.
 """
 
 from __future__ import annotations
@@ -31,7 +34,9 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 25, 5
 BLOCK_CHARS = 2_000_000
-PAIR_BLOCK = 512                 # documents of a bucket compared in one block
+PAIR_BLOCK = 2048                # documents of a bucket compared with as many others in one block
+GROUP_ROWS = 20_000              # bucket entries in one group of buckets, on average
+MAX_ROUNDS = 40                  # a guard against a bug; reaching it is an error
 U64 = np.uint64
 
 words_of = re.compile(r"\w+").findall
@@ -136,20 +141,23 @@ def band_keys(sig: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarr
 
 
 def _sign(df: DataFrame) -> DataFrame:
-    """(key, sig, bands) of the texts that have words."""
+    """(key, sig, bands) of the texts that have words; copies within a batch are signed once.
+
+    sig: the lowest byte of every coordinate, for estimates."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, texts = batch.column(0), batch.column(1).to_pylist()
+            once = {k: t for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)}
+            keys, texts = list(once), list(once.values())
             for lo, hi in blocks(texts, BLOCK_CHARS):
                 docs = [words_of(t.lower()) for t in texts[lo:hi]]
                 doc, key = strips(*shingles(docs))
                 sig = signatures(hi - lo, doc, key)
-                some = np.flatnonzero(np.fromiter(map(len, docs), np.int64, hi - lo))
-                if not len(some):
+                some = [i for i, words in enumerate(docs) if words]
+                if not some:
                     continue
                 band = band_keys(sig[some]).view(np.int64)
                 yield pa.RecordBatch.from_arrays([
-                    keys.slice(lo, hi - lo).take(pa.array(some)),
+                    pa.array([keys[lo + i] for i in some], pa.binary()),
                     pa.array([x.tobytes() for x in (sig[some] & U64(255)).astype(np.uint8)], pa.binary()),
                     pa.ListArray.from_arrays(pa.array(np.arange(len(some) + 1, dtype=np.int32) * BANDS), pa.array(band.ravel()))],
                     names=["key", "sig", "bands"])
@@ -158,55 +166,130 @@ def _sign(df: DataFrame) -> DataFrame:
 
 
 def _shingle_sets(df: DataFrame) -> DataFrame:
-    """(key, strips): the shingle multiset of a text as the set of its strips."""
+    """(key, strips): the shingle multiset of a text as the set of its strips, 32 bits each."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1).to_pylist()
             for lo, hi in blocks(texts, BLOCK_CHARS):
                 doc, key = strips(*shingles([words_of(t.lower()) for t in texts[lo:hi]]))
                 ends = np.searchsorted(doc, np.arange(hi - lo + 1)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([keys.slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(ends), pa.array(key.view(np.int64)))],
-                                                 names=["key", "strips"])
+                yield pa.RecordBatch.from_arrays([keys.slice(lo, hi - lo), pa.ListArray.from_arrays(
+                    pa.array(ends), pa.array((key >> U64(32)).astype(np.uint32).view(np.int32)))], names=["key", "strips"])
 
-    return df.mapInArrow(run, "key binary, strips array<long>")
+    return df.mapInArrow(run, "key binary, strips array<int>")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b) whose weighted Jaccard similarity reaches the threshold."""
-    need = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-    sets = staged(_shingle_sets(need.join(texts, "key").select("key", "text")).dropDuplicates(["key"]), "shingles")
     both = (pairs.join(sets.select(F.col("key").alias("a"), F.col("strips").alias("x")), "a")
             .join(sets.select(F.col("key").alias("b"), F.col("strips").alias("y")), "b"))
     shared = F.size(F.array_intersect("x", "y"))
     return both.where(shared >= threshold * (F.size("x") + F.size("y") - shared)).select("a", "b")
 
 
-def _cross_pairs(rows: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of one bucket (band, value) but of different labels whose signatures may belong to similar documents.
+def spanning_forest(sig: np.ndarray, label: np.ndarray, bad: dict[int, list[int]], least: int) -> list[tuple[int, int, int]]:
+    """(row, row, equal coordinates) of a forest of greatest agreement between rows of different labels, rows of one label
+    counting as connected; no pair of ``bad`` and none with less than ``least`` equal coordinates."""
+    n = len(sig)
+    best, source, done = np.full(n, -1), np.zeros(n, np.int64), np.zeros(n, bool)
+    alone = len(np.unique(label)) == n
+    out = []
+    while not done.all():
+        y = int(np.where(done, -2, best).argmax())
+        if best[y] >= least:
+            out.append((int(source[y]), y, int(best[y])))
+        for z in [y] if alone else np.flatnonzero((label == label[y]) & ~done).tolist():
+            done[z] = True
+            same = (sig == sig[z]).sum(axis=1)
+            same[label == label[z]] = -1
+            if z in bad:
+                same[bad[z]] = -1
+            better = ~done & (same > best)
+            best[better], source[better] = same[better], z
+    return out
+
 
-    rows: (band, value, key, label, sig, n), n documents in the bucket.  A bucket is dealt out in pairs of blocks of
-    about ``PAIR_BLOCK`` documents; only pairs that pass the estimate leave a task."""
+def _forest_pairs(rows: DataFrame, n_rows: int, threshold: float) -> DataFrame:
+    """(a, b, est) of the forests of all buckets; rows: (band, value, n, key, sig, label, failed), n documents in the bucket,
+    ``failed`` the keys that the document has been compared with in vain."""
     k = BANDS * ROWS
     least = int(np.floor(k * (threshold - 5 * np.sqrt(threshold * (1 - threshold) / k))))
     parts = F.ceil(F.col("n") / PAIR_BLOCK).cast("int")
-    mine = F.pmod(F.xxhash64("key"), parts).cast("int")
-    dealt = (rows.withColumn("p", parts).withColumn("m", mine)
-             .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("p") - 1)))
-             .select("band", "value", F.least("m", "o").alias("i"), F.greatest("m", "o").alias("j"), "m", "key", "label", "sig"))
-
-    def run(group):
-        sig = np.frombuffer(b"".join(group["sig"]), np.uint8).reshape(len(group), k)
-        _, label = np.unique(np.array(group["label"].tolist(), dtype=object), return_inverse=True)
-        key, m = group["key"].tolist(), group["m"].to_numpy()
-        out = []
-        for x in np.flatnonzero(m == group["i"].iloc[0]).tolist():
-            other = (label != label[x]) & (m == group["j"].iloc[0])
-            for y in np.flatnonzero(other & ((sig == sig[x]).sum(axis=1) >= least)).tolist():
-                out.append((min(key[x], key[y]), max(key[x], key[y])))
-        import pandas as pd
-        return pd.DataFrame(sorted(set(out)), columns=["a", "b"])
-
-    return dealt.groupBy("band", "value", "i", "j").applyInPandas(run, "a binary, b binary").distinct()
+    # a pair of blocks holds both blocks whole, so one pair of different blocks also covers the pairs inside each
+    mine = F.pmod(F.xxhash64("key"), F.col("p")).cast("int")
+    others = F.when(F.col("p") == 1, F.array(F.lit(0))).otherwise(F.filter(F.sequence(F.lit(0), F.col("p") - 1), lambda o: o != F.col("m")))
+    groups = max(1, n_rows // GROUP_ROWS)
+    place = F.when(F.col("p") == 1, F.pmod(F.xxhash64("band", "value"), F.lit(groups))).otherwise(
+        -1 - F.pmod(F.xxhash64("band", "value", "i", "j"), F.lit(1 << 40)))
+    dealt = (rows.withColumn("p", parts).withColumn("m", mine).withColumn("o", F.explode(others))
+             .withColumn("i", F.least("m", "o")).withColumn("j", F.greatest("m", "o"))
+             .select(place.alias("g"), "band", "value", "i", "j", "key", "sig", "label", "failed"))
+
+    def run(group: pa.Table) -> pa.Table:
+        sig = np.frombuffer(b"".join(group["sig"].to_pylist()), np.uint8).reshape(-1, k)
+        key, failed = group["key"].to_pylist(), group["failed"].to_pylist()
+        names: dict[bytes, int] = {}
+        label = np.array([names.setdefault(x, len(names)) for x in group["label"].to_pylist()])
+        cols = [group[c].to_numpy() for c in ("j", "i", "value", "band")]
+        order = np.lexsort(cols)
+        cuts = np.flatnonzero(np.any([np.diff(c[order]) != 0 for c in cols], axis=0)) + 1
+        found: dict[tuple[bytes, bytes], int] = {}
+        for part in np.split(order, cuts):
+            at = {key[r]: x for x, r in enumerate(part.tolist())} if any(failed[r] for r in part.tolist()) else {}
+            bad = {x: [at[f] for f in failed[r] if f in at] for x, r in enumerate(part.tolist()) if failed[r]}
+            for x, y, est in spanning_forest(sig[part], label[part], bad, least):
+                a, b = key[part[x]], key[part[y]]
+                found[(a, b) if a < b else (b, a)] = est
+        return pa.table({"a": pa.array([a for a, _ in found], pa.binary()), "b": pa.array([b for _, b in found], pa.binary()),
+                         "est": pa.array(list(found.values()), pa.int32())})
+
+    return dealt.groupBy("g").applyInArrow(run, "a binary, b binary, est int").distinct()
+
+
+def _links(signed: DataFrame, texts: DataFrame, reps: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(verified pairs, components of their nodes); see the head of this module."""
+    spark = signed.sparkSession
+    buckets = signed.select("key", F.posexplode("bands").alias("band", "value"))
+    shared = buckets.groupBy("band", "value").agg(F.count("*").alias("n")).where("n > 1")
+    member = staged(buckets.join(shared, ["band", "value"]), "buckets")
+    sigs = signed.select("key", "sig")
+    none = F.array().cast("array<binary>")
+    first = member.join(sigs, "key").withColumn("label", F.col("key")).withColumn("failed", none)
+    forest = staged(_forest_pairs(first, member.count(), threshold), "forest")
+    # a document with any partner that may be similar is in the forest, so these are all the texts ever verified
+    need = forest.select(F.col("a").alias("key")).union(forest.select("b")).distinct().join(reps.select("key", "uid"), "key")
+    sets = staged(_shingle_sets(texts.join(need, ["key", "uid"]).select("key", "text")).dropDuplicates(["key"]), "shingles")
+    ends = forest.select(F.col("a").alias("x"), F.col("b").alias("y"), "est").union(forest.select("b", "a", "est"))
+    pairs = ends.groupBy("x").agg(F.max(F.struct("est", "y")).alias("best")).select(
+        F.least("x", "best.y").alias("a"), F.greatest("x", "best.y").alias("b")).distinct()
+    links = spark.createDataFrame([], "a binary, b binary")
+    failed = links
+    label = spark.createDataFrame([], "node binary, component binary")
+    for turn in range(MAX_ROUNDS):
+        if turn:
+            named = lambda c: label.select(F.col("node").alias(c), F.col("component").alias(f"{c}_of"))  # noqa: B023, E731
+            if turn == 1:
+                apart = F.coalesce("a_of", "a") != F.coalesce("b_of", "b")
+                pairs = (forest.select("a", "b").join(named("a"), "a", "left").join(named("b"), "b", "left").where(apart).select("a", "b")
+                         .join(failed, ["a", "b"], "left_anti"))
+            else:
+                now = member.join(named("key"), "key", "left").withColumn("label", F.coalesce("key_of", "key")).drop("key_of")
+                mixed = now.groupBy("band", "value").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi")
+                vain = failed.union(failed.select("b", "a")).groupBy(F.col("a").alias("key")).agg(F.collect_set("b").alias("failed"))
+                # only documents with some possibly similar partner can take part
+                active = need.select("key").join(vain, "key", "left").withColumn("failed", F.coalesce("failed", none))
+                rest = staged(now.join(mixed.select("band", "value"), ["band", "value"]).join(active, "key").join(sigs, "key"), "rest")
+                pairs = _forest_pairs(rest, rest.count(), threshold).select("a", "b").distinct()
+        pairs = staged(pairs, "pairs")
+        if pairs.isEmpty():
+            if turn < 2:
+                continue
+            return links, label
+        good = staged(_verified(pairs, sets, threshold), "links")
+        failed = failed.union(pairs.join(good, ["a", "b"], "left_anti"))
+        links = links.union(good)
+        label = staged(components(links), "labels")
+    raise RuntimeError("near-duplicate rounds did not settle")
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -222,27 +305,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     texts = docs.where(F.col("text") != "").withColumn("key", md5).withColumn("uid", F.coalesce("id", F.xxhash64("text")))
     reps = staged(texts.groupBy("key").agg(F.min("uid").alias("uid"), F.min("id").alias("id")), "nodes")
-    # ids do not repeat as texts do, so this join is even; it leaves one row per different text
-    one = texts.select("key", "uid", "text").join(reps.select("key", "uid"), ["key", "uid"])
-    signed = staged(_sign(one.select("key", "text")), "signatures")
-    rows = signed.select("key", F.posexplode("bands").alias("band", "value"))
-    shared = rows.groupBy("band", "value").agg(F.min("key").alias("center"), F.max("key").alias("last"), F.count("*").alias("n")).where("center != last")
-    member = staged(rows.join(shared.select("band", "value", "center", "n"), ["band", "value"]), "buckets")
-    stars = member.where("key != center").select(F.col("center").alias("a"), F.col("key").alias("b")).distinct()
-    needed = one.select("key", "text")
-    links = staged(_verified(stars, needed, threshold), "links")
-    label = staged(components(links), "labels")
-    labelled = member.join(label, member["key"] == label["node"], "left").select(
-        "band", "value", "center", "n", "key", F.coalesce("component", "key").alias("label"))
-    # a bucket of two has been compared; so has one whose documents are all in one component
-    mixed = labelled.where("n > 2 and key != center").groupBy("band", "value").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi")
-    rest = (labelled.where("key != center").join(mixed.select("band", "value"), ["band", "value"])
-            .join(signed.select("key", "sig"), "key"))
-    more = staged(_cross_pairs(rest, threshold), "pairs")
-    if not more.isEmpty():
-        links = links.union(staged(_verified(more, needed, threshold), "links"))
-        label = staged(components(links), "labels")
-    nodes = reps.join(label.withColumnRenamed("node", "key"), "key", "left").withColumn("label", F.coalesce("component", "key"))
+    signed = staged(_sign(texts.select("key", "text")).dropDuplicates(["key"]), "signatures")
+    _, label = _links(signed, texts, reps, threshold)
+    nodes = reps.join(label.withColumnRenamed("node", "key"), "key", "left")
     least = nodes.where("component is not null").groupBy("component").agg(F.min("id").alias("least"))
     classes = nodes.join(least, "component", "left").select("key", F.coalesce("least", "id").alias("class_id"))
     keyed = docs.select("id", F.when(F.col("text") != "", md5).alias("key"))
