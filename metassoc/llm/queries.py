@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metassoc.llm import byte_bpe, chat, dartminhash, hnsw, itq, language, packing, secret_scan, site_style, url_templates
+from metassoc.llm import byte_bpe, chat, dartminhash, hnsw, itq, language, oracles, packing, secret_scan, site_style, url_templates
 from metassoc.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,7 @@ def op9_near_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_templates.judge(table(spark, sf_dir, "pages"))
+
+
+ORACLE["op2_chat_format"] = oracles.chat_sql()
+ORACLE["op6_secrets"] = oracles.secrets_sql()
