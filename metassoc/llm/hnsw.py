@@ -21,7 +21,7 @@ from metassoc.llm.common import staged
 from metassoc.llm.vectors import dimensions, split_usable, unit
 from metassoc.session import prepare
 
-SHARD_ROWS = 2048
+SHARD_ROWS = 4096
 QUERY_BLOCK = 2048
 LINKS = 16                # neighbour slots per node in the upper layers, twice as many in the lowest
 CANDIDATES = 96           # candidates considered when a node picks its neighbours
