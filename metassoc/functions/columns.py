@@ -113,14 +113,16 @@ def maf_from_array(dosage) -> Column:
 def call_to_dosage(call, fmt) -> Column:
     """VCF FORMAT value -> dosage of the second allele coded as 2 - alt count.
 
-    GT "a/b" or "a|b": 2 - (min(a,1) + min(b,1)); DS/EC: 2 - x; '.' or unparsable -> 9.
+    GT "a/b" or "a|b": 2 - (min(a,1) + min(b,1)); a haploid "a": 2 - min(a,1); DS/EC: 2 - x; null, '.' or
+    unparsable -> 9.
     """
     c, f = col_(call), col_(fmt)
     alleles = F.split(F.regexp_replace(c, r"\|", "/"), "/")
     a = F.get(alleles, 0).try_cast("int")
     b = F.get(alleles, 1).try_cast("int")
-    gt = F.when(a.isNull() | b.isNull(), F.lit(MISSING_DOSAGE)).otherwise(
-        2.0 - (F.least(a, F.lit(1)) + F.least(b, F.lit(1))).cast("double"))
+    second = F.when(F.size(alleles) == 1, F.lit(0)).otherwise(F.least(b, F.lit(1)))
+    gt = F.when(a.isNull() | second.isNull(), F.lit(MISSING_DOSAGE)).otherwise(
+        2.0 - (F.least(a, F.lit(1)) + second).cast("double"))
     num = c.try_cast("double")
     ds = F.when(num.isNull(), F.lit(MISSING_DOSAGE)).otherwise(2.0 - num)
     return F.when(f == "GT", gt).otherwise(ds)
@@ -135,12 +137,18 @@ def parse_genotype_counts(text):
     return hom1, het, hom2
 
 
+def chromosome(c) -> Column:
+    """Chromosome name as text without a 'chr' prefix, upper case (1..22, X, Y, MT and others)."""
+    return F.upper(F.regexp_replace(F.trim(col_(c).cast("string")), "^(?i:chr)", ""))
+
+
 def chr_bp_from_id(vid):
-    """'chr:bp[:...]' -> (chr int, bp long); NULL when not of that form or chr not in 1..22."""
+    """'chr:bp[:...]' -> (chr string, bp long); NULL when not of that form or chr not in 1..22, X, Y, MT."""
     parts = F.split(col_(vid), ":")
-    chrom = F.get(parts, 0).try_cast("int")
-    bp = F.get(parts, 1).try_cast("long")
-    ok = (F.size(parts) >= 2) & chrom.between(1, 22) & bp.isNotNull()
+    chrom = chromosome(F.get(parts, F.lit(0)))
+    bp = F.get(parts, F.lit(1)).try_cast("long")
+    known = chrom.rlike("^([1-9]|1[0-9]|2[0-2]|X|Y|MT)$")
+    ok = (F.size(parts) >= 2) & known & bp.isNotNull()
     return F.when(ok, chrom), F.when(ok, bp)
 
 

@@ -14,17 +14,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import chr_bp_from_id
+from ..functions.columns import chr_bp_from_id, chromosome
 
 MAP_COLUMNS = ["cohort", "ref_idx", "ref_id", "variant_idx", "flip"]
 
 
 def with_positions(probes: DataFrame) -> DataFrame:
-    """Fill chr/bp from ids of the form 'chr:bp[:...]' (chromosomes 1-22) where they are missing."""
+    """Fill chr/bp from ids of the form 'chr:bp[:...]' where they are missing; chr is text without 'chr'."""
     chrom, bp = chr_bp_from_id(F.col("id"))
     if "chr" not in probes.columns:
         return probes.withColumn("chr", chrom).withColumn("bp", bp)
-    return (probes.withColumn("chr", F.coalesce(F.col("chr").cast("int"), chrom))
+    return (probes.withColumn("chr", F.coalesce(chromosome("chr"), chrom))
             .withColumn("bp", F.coalesce(F.col("bp").cast("long"), bp)))
 
 
@@ -37,7 +37,8 @@ def harmonise(probes: DataFrame, reference: DataFrame, by: str = "position") ->
     """variant_map (cohort, ref_idx, ref_id, variant_idx, flip) in long form (absent = no row)."""
     keys = ["chr", "bp"] if by == "position" else ["id"]
     p = _pair(with_positions(probes) if by == "position" else probes).alias("p")
-    r = _pair(reference.withColumnRenamed("ref_id", "id") if by == "id" else reference).alias("r")
+    reference = reference.withColumnRenamed("ref_id", "id") if by == "id" else reference.withColumn("chr", chromosome("chr"))
+    r = _pair(reference).alias("r")
     cond = [F.col(f"p.{k}") == F.col(f"r.{k}") for k in keys + ["_lo", "_hi"]]
     j = p.join(r, cond)
     straight = (F.col("p.allele1") == F.col("r.allele1")) & (F.col("p.allele2") == F.col("r.allele2"))

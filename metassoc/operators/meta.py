@@ -141,34 +141,32 @@ def with_study_intercepts(samples: DataFrame, genotype: DataFrame, phenotype: Da
     return smp, geno, phen, len(dummies)
 
 
-def pool_pairwise(pd: dict, max_broadcast_rows: int | None = None) -> dict:
-    """Mega-analysis with missingness: every statistic summed over exactly the cohorts that have
-    both the variant and the phenotype (A_cov included), so each (variant, phenotype) pair is its own
-    pooled design.  Returns PD tables keyed by a pair label in the ``cohort`` column, ready for
-    ``associate_pd``; the grid of pairs comes from the per-cohort grid (variant terms ⋈ phenotype
-    terms on cohort, phenotype side measured and broadcast or salted) and one groupBy per pair."""
-    from .joins import DEFAULT_MAX_BROADCAST_ROWS, join_small
+def pairwise_effects(pd: dict, tol: float = SINGULAR_TOL, max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Mega-analysis with missingness: every statistic is summed over exactly the cohorts that have both the
+    variant and the phenotype (A_cov included), so each pair is its own pooled design.
+
+    The grid of pairs comes from the per-cohort grid (variant terms ⋈ phenotype terms on cohort) and one groupBy per
+    pair; a pair's row then holds its whole design and is inverted and solved in place, with no further join."""
+    from ..functions.columns import array_dot, mat_vec, quad_form
+    from ..functions.linalg import spd_inverse
+    from .joins import join_small
+    from .regression import effects_from_terms
     cov = pd["pd_cov"].select("cohort", "n", "a_cov")
-    test = pd["pd_test"].select("cohort", "variant", "a", "gg").join(F.broadcast(cov), "cohort")   # K rows
+    test = pd["pd_test"].select("cohort", "variant", "a", "gg").join(cov, "cohort")         # one row per cohort
     pheno = pd["pd_pheno"].select("cohort", "phenotype", "b", "c")
-    grid = join_small(test, pheno, "cohort", max_rows=max_broadcast_rows or DEFAULT_MAX_BROADCAST_ROWS,
-                      salt_by="variant")
+    grid = join_small(test, pheno, "cohort", max_rows=max_broadcast_rows, salt_by="variant")
     if "pd_b4" in pd:
         grid = (grid.join(pd["pd_b4"].select("cohort", "variant", "phenotype", "gy"),
                           ["cohort", "variant", "phenotype"], "left")
                 .withColumn("gy", F.coalesce(F.col("gy"), F.lit(0.0))))
-    pair = F.concat(F.col("variant"), F.lit("\u0001"), F.col("phenotype"))
     g = grid.groupBy("variant", "phenotype").agg(           # ≤ K rows per pair: bounded lists
         F.sum("n").alias("n"), F.collect_list("a_cov").alias("_m"), F.collect_list("a").alias("_a"),
-        F.collect_list("b").alias("_b"), F.sum("gg").alias("gg"), F.sum("c").alias("c"),
-        F.sum("gy").alias("gy")).withColumn("cohort", pair)
-    g = g.persist()
-    out = {
-        "pd_cov": g.select("cohort", "n", _sum_matrices("_m").alias("a_cov")),
-        "pd_test": g.select("cohort", "variant", _sum_vectors("_a").alias("a"), "gg", "n")
-                    .withColumn("maf", F.col("a")[0] / (2.0 * F.col("n"))).drop("n"),
-        "pd_pheno": g.select("cohort", "phenotype", _sum_vectors("_b").alias("b"), "c"),
-        "pd_b4": g.select("cohort", "variant", "phenotype", "gy"),
-        "p": pd.get("p"),
-    }
-    return out
+        F.collect_list("b").alias("_b"), F.sum("gg").alias("gg"), F.sum("c").alias("c"), F.sum("gy").alias("gy"))
+    g = g.select("variant", "phenotype", "n", "gg", "c", "gy", _sum_matrices("_m").alias("a_cov"),
+                 _sum_vectors("_a").alias("a"), _sum_vectors("_b").alias("b"))
+    g = g.withColumn("m", spd_inverse("a_cov")).where(F.col("m").isNotNull())
+    g = (g.withColumn("maf", F.col("a")[0] / (2.0 * F.col("n"))).withColumn("u", mat_vec("m", "a"))
+         .withColumn("s", F.col("gg") - array_dot("a", "u")).withColumn("rss0", F.col("c") - quad_form("m", "b"))
+         .withColumn("df", F.col("n") - F.size("a") - 1))
+    g = g.where((F.col("s") > F.lit(tol) * F.col("gg")) & (F.col("df") > 0))
+    return effects_from_terms(g).select("variant", "phenotype", "beta", "standard_error", "t_stat", "sample_size", "df", "maf")

@@ -38,5 +38,6 @@ def rank_within(df: DataFrame, group: str, order: str | list[str], name: str = "
     order = [order] if isinstance(order, str) else list(order)
     numbered = row_index(df.orderBy(group, *order), "_gidx")
     first = numbered.groupBy(group).agg(F.min("_gidx").alias("_g0"))
+    # one row per group (cohorts); Spark broadcasts it below its threshold and splits a skewed join otherwise
     return (numbered.join(first, group)
             .withColumn(name, F.col("_gidx") - F.col("_g0")).drop("_gidx", "_g0"))

@@ -5,8 +5,8 @@
 * genotype  (cohort, variant_idx, dosage array<double>)   dense rows in sample_pos order
 
 written once as Parquet (genotype partitioned by cohort), after which every analysis reads them
-with pruning.  Missing calls keep the code 9; ``impute_mean_array`` or the long-form imputation
-replaces them before association."""
+with pruning.  Missing calls keep the code 9 in these tables; ``jobs.meta_analyse_dense`` replaces them
+by the variant's mean."""
 
 from __future__ import annotations
 
@@ -32,13 +32,12 @@ def ingest_plink(spark: SparkSession, prefix: str, cohort: str, variants_per_tas
 def ingest_vcf(spark: SparkSession, path: str, cohort: str) -> dict[str, DataFrame]:
     v = rd.read_vcf(spark, path)
     c = F.lit(cohort)
-    probes = row_index(v["probes"], "variant_idx")
-    ids = probes.select("ID", "variant_idx")
+    probes = v["probes"]
     return {
         "samples": v["samples"].select(c.alias("cohort"), F.col("sample_pos").cast("long"), "sample_id"),
         "probes": probes.select(c.alias("cohort"), "variant_idx", F.col("ID").alias("id"), F.col("CHR").alias("chr"),
                                 "bp", "allele1", "allele2"),
-        "genotype": v["genotype"].join(ids, "ID").select(c.alias("cohort"), "variant_idx", "dosage"),
+        "genotype": v["genotype"].select(c.alias("cohort"), "variant_idx", "dosage"),
     }
 
 
@@ -50,7 +49,7 @@ def ingest_minimac(spark: SparkSession, info_path: str, dose_path: str, cohort:
     return {
         "samples": samples.select(c.alias("cohort"), "sample_pos", "sample_id"),
         "probes": info.select(c.alias("cohort"), "variant_idx", F.col("ID").alias("id"),
-                              F.lit(None).cast("int").alias("chr"), F.lit(None).cast("long").alias("bp"),
+                              F.lit(None).cast("string").alias("chr"), F.lit(None).cast("long").alias("bp"),
                               "allele1", "allele2"),
         "genotype": rd.to_dense(dose, samples).select(c.alias("cohort"), "variant_idx", "dosage"),
     }

@@ -48,11 +48,34 @@ def meta_analyse(samples: DataFrame, genotype: DataFrame, phenotype: DataFrame,
 
 
 def meta_analyse_dense(genotype: DataFrame, phenotype: DataFrame, covariates: DataFrame | None = None, *,
-                       t_thr: float | None = None, **kw) -> DataFrame:
+                       t_thr: float | None = None, impute: bool = True,
+                       variant_include: DataFrame | None = None, variant_exclude: DataFrame | None = None,
+                       phenotype_include: DataFrame | None = None, phenotype_exclude: DataFrame | None = None,
+                       maf: float = 0.0, maf_mode: str = "inclusive", drop_half: bool = True,
+                       availability: str = "any", **kw) -> DataFrame:
     """P1 for dense cohorts (dosage arrays in sample order, e.g. from ``plans.ingest``): the block
-    GEMM path with the IVW pooling done inside each variant block, then the t-threshold."""
+    GEMM path with the IVW pooling done inside each variant block, then the t-threshold.
+
+    Include/exclude lists, the MAF window and availability work as in ``cohort_effects``.  Missing calls (code 9)
+    become the variant's mean within its cohort unless ``impute`` is off (encoded rows, which are no dosages:
+    there ``maf`` must be 0).  A variant or phenotype that occurs twice in a cohort is an error."""
+    from ..functions.columns import impute_mean_array, maf_from_array
     from ..operators.blocks import dense_associate
-    return t_threshold(drop_empty(dense_associate(genotype, phenotype, covariates, pooled=True, **kw)), t_thr)
+    from ..operators.checks import assert_unique
+    genotype = align.filter_variants(genotype, variant_include, variant_exclude)
+    phenotype = align.filter_phenotypes(phenotype, phenotype_include, phenotype_exclude)
+    if maf:
+        genotype = (genotype.withColumn("maf", maf_from_array("dosage"))
+                    .where(align.maf_predicate("maf", maf, maf_mode, drop_half)).drop("maf"))
+    if impute:
+        genotype = genotype.withColumn("dosage", impute_mean_array("dosage"))
+    if availability == "all":
+        cohorts = phenotype.select("cohort").distinct()
+        genotype = align.present_in_all(genotype, "variant", cohorts)
+        phenotype = align.require_rows(align.present_in_all(phenotype, "phenotype", cohorts), "phenotype common to all cohorts")
+    assert_unique(genotype, ["cohort", "variant"], "variants of a cohort")
+    assert_unique(phenotype, ["cohort", "phenotype"], "phenotypes of a cohort")
+    return drop_empty(dense_associate(genotype, phenotype, covariates, pooled=True, t_thr=t_thr, **kw))
 
 
 def meta_analyse_with_log(samples: DataFrame, genotype: DataFrame, phenotype: DataFrame, n_cov: int, *,
@@ -65,9 +88,7 @@ def meta_analyse_with_log(samples: DataFrame, genotype: DataFrame, phenotype: Da
     from ..operators.meta import contributing
     eff = cohort_effects(samples, genotype, phenotype, n_cov, **kw).persist(StorageLevel.MEMORY_AND_DISK)
     meta = t_threshold(drop_empty(inverse_variance(eff)), t_thr)
-    log = per_cohort_effects(contributing(eff), log_variants, log_phenotypes)
-    if log_variants is not None or log_phenotypes is not None:
-        guard_effect_count(log, max_effects)
+    log = per_cohort_effects(contributing(eff), log_variants, log_phenotypes, max_effects)
     return meta, log
 
 
@@ -96,7 +117,9 @@ def per_cohort_effects(effects: DataFrame, variants: DataFrame | None = None,
         out = out.join(variants.select("variant").distinct(), "variant", "left_semi")
     if phenotypes is not None:
         out = out.join(phenotypes.select("phenotype").distinct(), "phenotype", "left_semi")
-    return out.select("cohort", "variant", "phenotype", "beta", "standard_error", "sample_size")
+    out = out.select("cohort", "variant", "phenotype", "beta", "standard_error", "sample_size")
+    guard_effect_count(out, max_effects)
+    return out
 
 
 def guard_effect_count(per_cohort: DataFrame, max_effects: int = 10**9) -> None:

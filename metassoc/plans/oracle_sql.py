@@ -7,10 +7,11 @@ from __future__ import annotations
 
 
 def R(expr: str) -> str:
-    """Comparison form of a double, as ``catalog.snap``: nearest float32, |x| < 1e-9 -> 0, -0.0 -> 0.0."""
+    """Comparison form of a double, as ``catalog.snap``: 24 significant bits, -0.0 -> 0.0."""
     x = f"CAST({expr} AS DOUBLE)"
-    return (f"(CASE WHEN {x} IS NULL OR isnan({x}) THEN {x} WHEN abs({x}) < 1e-9 THEN 0.0 "
-            f"ELSE CAST(CAST({x} AS FLOAT) AS DOUBLE) END + 0.0)")
+    big = f"({x} * CAST(536870913 AS DOUBLE))"
+    return (f"(CASE WHEN {x} IS NULL OR isnan({x}) OR abs({x}) > 1e290 THEN {x} "
+            f"ELSE {big} - ({big} - {x}) END + 0.0)")
 
 
 S = R

@@ -633,7 +633,7 @@ _PERM_SQL = f"""perm AS (
   SELECT a.cohort, a.sample_id, b.sample_id AS source_id FROM
     (SELECT cohort, sample_id, row_number() OVER (PARTITION BY cohort ORDER BY sample_id) AS r FROM samples) a
   JOIN (SELECT cohort, sample_id, row_number() OVER (PARTITION BY cohort ORDER BY
-          ((sample_id * 2654435761 + {_SEED}) % 2147483647 + 2147483647) % 2147483647) AS r FROM samples) b
+          md5(CAST(sample_id AS VARCHAR) || ':{_SEED}'), sample_id) AS r FROM samples) b
   ON a.cohort = b.cohort AND a.r = b.r),
 pheno_p AS (SELECT p.cohort, perm.sample_id, s.x, p.phenotype, p.y FROM pheno p
             JOIN perm ON p.cohort = perm.cohort AND p.sample_id = perm.source_id
@@ -654,7 +654,9 @@ def permuted_association(spark, sf_dir):
 _KEY_SEED = 7
 
 
-@query("encode_roundtrip")
+@query("encode_roundtrip", with_all(_BASE, MOMENTS_CTES) + f"""SELECT g.cohort, g.variant, g.phenotype, {R('coalesce(gy.sgy, 0.0)')} AS gy
+       FROM (SELECT vm.cohort, vm.variant, pm.phenotype FROM vm JOIN pm ON vm.cohort = pm.cohort) g
+       LEFT JOIN gy ON gy.cohort = g.cohort AND gy.variant = g.variant AND gy.phenotype = g.phenotype""")
 def encode_roundtrip(spark, sf_dir):
     """gᵀy from privacy-encoded genotype G·F and phenotype F⁻¹·P (equals b4_product up to conditioning)."""
     from ..operators.encode import encode, encoded_cross_moments
@@ -912,7 +914,7 @@ def partial_derivatives_dense(spark, sf_dir):
     return t.select("cohort", "variant", F.col("a")[0].alias("a_0"), "gg", "maf")
 
 
-@query("dense_meta_encoded")
+@query("dense_meta_encoded", with_all(embed_ctes(split=True), META_CTES) + META_SELECT)
 def dense_meta_encoded(spark, sf_dir):
     """Federated flow on the two dense embedding cohorts: each site computes its partial
     derivatives from raw rows; the centre gets gᵀy only from privacy-encoded G·F and F⁻¹·Y,
@@ -948,9 +950,8 @@ gyq AS (SELECT variant || '|' || phenotype AS cohort, variant, phenotype, sgy FR
 def mega_missingness(spark, sf_dir):
     """Mega-analysis with missing variants (one variant per part; parts missing from some cohorts):
     each variant × phenotype pools exactly the cohorts that have both, A_cov included."""
-    from ..operators.meta import pool_pairwise
+    from ..operators.meta import pairwise_effects
     from ..operators.moments import partial_derivatives
-    from ..operators.regression import associate_pd
     smp, geno, phen = fx.cohort_data(spark, sf_dir, n_variants=None)
-    eff = associate_pd(pool_pairwise(partial_derivatives(smp, geno, phen, N_COV)))
+    eff = pairwise_effects(partial_derivatives(smp, geno, phen, N_COV))
     return eff.select("variant", "phenotype", "beta", "standard_error", "t_stat", "sample_size")

@@ -36,12 +36,14 @@ def local_session(cores: int | str = "*", app: str = "metassoc", extra: dict | N
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the launcher sets it to a shared file system; only when it is unset
-    (local tests) do we pick a private scratch folder.
+    On a cluster the launcher sets it to a shared file system.  Where it is unset a private scratch
+    folder is made for a local master; any other master is an error, because executors would not see it.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="metassoc-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if sc.getCheckpointDir() is None:

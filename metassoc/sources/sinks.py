@@ -30,9 +30,10 @@ def write_per_cohort(effects: DataFrame, path: str, mode: str = "overwrite") ->
 
 def write_by_phenotype(results: DataFrame, path: str, mode: str = "overwrite",
                        max_records_per_file: int = 10_000_000) -> None:
-    """Hive-style layout partitioned by phenotype.  Rows are clustered by phenotype first so each
-    task writes few partitions, and sorted by variant inside each file (row-group pruning)."""
-    (results.repartition("phenotype").sortWithinPartitions("phenotype", "variant")
+    """Hive-style layout partitioned by phenotype.  Rows are range-partitioned by phenotype and variant, so a
+    task writes few folders and a phenotype with many rows is spread over many tasks; files are sorted
+    by variant (row-group pruning)."""
+    (results.repartitionByRange("phenotype", "variant").sortWithinPartitions("phenotype", "variant")
      .write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
      .partitionBy("phenotype").parquet(path))
 
@@ -50,7 +51,8 @@ def write_summary_csv(summary: DataFrame, path: str, mode: str = "append") -> No
 
 def write_split_by_phenotype_csv(summary: DataFrame, path: str, mode: str = "overwrite") -> None:
     """One folder of CSV files per phenotype."""
-    (summary.repartition("phenotype").write.mode(mode).option("sep", " ").option("header", True)
+    order = ["phenotype", *[c for c in summary.columns if c != "phenotype"][:1]]
+    (summary.repartitionByRange(*order).write.mode(mode).option("sep", " ").option("header", True)
      .partitionBy("phenotype").csv(path))
 
 

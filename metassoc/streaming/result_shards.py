@@ -9,6 +9,8 @@ checkpoint folder) makes it exactly-once across restarts and executor loss.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import shared_path
@@ -23,7 +25,8 @@ def shard_stream(spark: SparkSession, shard_dir: str, max_files_per_trigger: int
 def layout_by_phenotype(spark: SparkSession, shard_dir: str, out_dir: str, checkpoint: str | None = None,
                         available_now: bool = True):
     """Start (and, with ``available_now``, finish) the shard -> partitioned-layout stream."""
-    ckpt = checkpoint or shared_path(spark, "streams", "layout_by_phenotype")
+    name = hashlib.md5(f"{shard_dir}\n{out_dir}".encode()).hexdigest()      # one progress log per source and target
+    ckpt = checkpoint or shared_path(spark, "streams", f"layout_by_phenotype-{name}")
     q = (conform(shard_stream(spark, shard_dir), META_SCHEMA)
          .writeStream.format("parquet").option("path", out_dir).option("checkpointLocation", ckpt)
          .partitionBy("phenotype").outputMode("append"))

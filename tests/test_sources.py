@@ -61,7 +61,7 @@ def test_variant_filters_and_cov_index(spark, tmp):
 def test_reference_panel(spark, tmp):
     p = _w(tmp, "ref.txt", "ID allele1 allele2 CHR bp\nrs1 A C 1 100\nrs2 G T 2 200\n")
     r = rd.read_reference_panel(spark, p).orderBy("ref_idx").collect()
-    assert [(x.ref_idx, x.ref_id, x.chr, x.bp) for x in r] == [(0, "rs1", 1, 100), (1, "rs2", 2, 200)]
+    assert [(x.ref_idx, x.ref_id, x.chr, x.bp) for x in r] == [(0, "rs1", "1", 100), (1, "rs2", "2", 200)]
     with pytest.raises(ValueError):
         rd.read_reference_panel(spark, _w(tmp, "ref_bad.txt", "ID a1 a2\nrs1 A C\n"))
 
