@@ -286,7 +286,7 @@ def _links(signed: DataFrame, texts: DataFrame, reps: DataFrame, threshold: floa
                 continue
             return links, label
         good = staged(_verified(pairs, sets, threshold), "links")
-        failed = failed.union(pairs.join(good, ["a", "b"], "left_anti"))
+        failed = staged(failed.union(pairs.join(good, ["a", "b"], "left_anti")), "failed")
         links = links.union(good)
         label = staged(components(links), "labels")
     raise RuntimeError("near-duplicate rounds did not settle")

@@ -44,17 +44,19 @@ def grams_of(word: str, n: int) -> list[str]:
 
 
 class Model:
-    """Log frequencies by language; index 0 of ``counts`` holds words, index n the n-grams of length n."""
+    """Log frequencies by language; index 0 of ``counts`` holds words, index n the n-grams of length n, each as
+    {key: counts by language} or (keys, array of counts)."""
 
-    def __init__(self, langs: list[str], docs: list[int], counts: list[dict[str, list[int]]]):
+    def __init__(self, langs: list[str], docs: list[int], counts: list):
         self.langs = langs
         self.prior = np.log(np.array(docs, float) / max(1, sum(docs))) if langs else np.zeros(0)
         self.rows: list[dict[str, int]] = []
         self.logs: list[np.ndarray] = []
         for table in counts:
-            self.rows.append({k: i for i, k in enumerate(table)})
-            c = np.array(list(table.values()), float).reshape(len(table), len(langs))
-            self.logs.append(np.log((c + SMOOTHING) / (c.sum(axis=0) + SMOOTHING * (len(table) + 1))))
+            keys, c = (list(table), np.array(list(table.values()))) if isinstance(table, dict) else table
+            self.rows.append({k: i for i, k in enumerate(keys)})
+            c = np.asarray(c, float).reshape(len(keys), len(langs))
+            self.logs.append(np.log((c + SMOOTHING) / (c.sum(axis=0) + SMOOTHING * (len(keys) + 1))))
 
     def score_word(self, word: str) -> np.ndarray:
         at = self.rows[0].get(word)
@@ -81,7 +83,6 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
     share = F.create_map(*[F.lit(x) for k in langs for x in (k, min(1.0, max_train_docs / docs[k]))])
     drawn = F.pmod(F.xxhash64(F.col("i").cast("string"), F.lit("train")), F.lit(1 << 30)) / float(1 << 30)
     sample = usable.where(drawn < share[F.col("l")]).select("l", "t")
-    at = {k: i for i, k in enumerate(langs)}
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -98,15 +99,15 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
             yield pa.RecordBatch.from_arrays([pa.array(n, pa.int32()), pa.array(lang, pa.string()), pa.array(key, pa.string()),
                                               pa.array(list(out.values()), pa.int64())], names=["n", "l", "k", "c"])
 
-    counted = (sample.mapInArrow(count, "n int, l string, k string, c long").groupBy("n", "k", "l").agg(F.sum("c").alias("c"))
-               .groupBy("n", "k").agg(F.collect_list(F.struct("l", "c")).alias("by"), F.sum("c").alias("total"))
-               .where(F.col("total") >= MIN_COUNT))
-    counts: list[dict[str, list[int]]] = [{} for _ in range(MAX_N + 1)]
-    for r in counted.select("n", "k", "by").sort("n", "k").toLocalIterator():
-        row = [0] * len(langs)
-        for lang, c in r.by:
-            row[at[lang]] = c
-        counts[r.n][r.k] = row
+    by_lang = [F.sum(F.when(F.col("l") == k, F.col("c")).otherwise(0)).alias(f"c{i}") for i, k in enumerate(langs)]
+    counted = (sample.mapInArrow(count, "n int, l string, k string, c long").groupBy("n", "k").agg(F.sum("c").alias("total"), *by_lang)
+               .where(F.col("total") >= MIN_COUNT).drop("total").sort("n", "k").toArrow())
+    length = counted["n"].to_numpy()
+    counts = []
+    for n in range(MAX_N + 1):
+        lo, hi = np.searchsorted(length, [n, n + 1])
+        part = counted.slice(lo, hi - lo)
+        counts.append((part["k"].to_pylist(), np.stack([part[f"c{i}"].to_numpy() for i in range(len(langs))], axis=1)))
     return Model(langs, [docs[k] for k in langs], counts)
 
 
