@@ -26,6 +26,7 @@ def vocabulary(name: str) -> str:
 
 @query
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE ids of every document, encoded by merge replay and decoded again: counts and hashes."""
     import public_tokenizers
     ranks = vocabulary("byte_bpe_multi_50k.tiktoken")
     ids = byte_bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
@@ -34,6 +35,7 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation formatted and read back: turns, loss mask and length."""
     said = "</s>[INST] ok [/INST]"
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], turns.schema)
@@ -42,12 +44,14 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents packed into sequences of 2,048 ids: one row per piece."""
     tokens = packing.tokenize(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
     return packing.pack(tokens, with_ids=False)
 
 
 @query
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
     docs = table(spark, sf_dir, "documents")
     found = language.predict(docs, language.fit(docs))
     return found.select("doc_id", language.is_held_out(found["doc_id"]).alias("held_out"), "lang_pred", "score")
@@ -55,33 +59,39 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each fiftieth vector's five nearest rows found."""
     vectors = table(spark, sf_dir, "embeddings")
     return hnsw.nearest(vectors, vectors.where("vec_id % 50 = 0"), k=5)
 
 
 @query
 def op5_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near duplicates of every document."""
     return dartminhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 @query
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets found in every document."""
     return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
 
 
 @query
 def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
     found = site_style.extract(table(spark, sf_dir, "pages"))
     return found.withColumn("n_chars", F.char_length("text").cast("long"))
 
 
 @query
 def op9_near_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of near-duplicate vectors."""
     return itq.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
 @query
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on the url of every page."""
     return url_templates.judge(table(spark, sf_dir, "pages"))
 
 
