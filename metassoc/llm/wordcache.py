@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import chain, repeat
 
 import numpy as np
 
@@ -59,15 +60,13 @@ class WordCache:
         """(all ids, ids per document)"""
         if len(self.slot) > self.limit:
             self._shrink()
-        at: list[int | None] = []
-        for words in docs:
-            at.extend(map(self.slot.get, words))
-        if None in at:
-            new = {w: None for w, i in zip((w for words in docs for w in words), at, strict=True) if i is None}
-            self._add(list(new))
-            slot = self.slot
-            at = [slot[w] if i is None else i for w, i in zip((w for words in docs for w in words), at, strict=True)]
-        index = np.array(at, np.int64)
+        flat = list(chain.from_iterable(docs))
+        index = np.fromiter(map(self.slot.get, flat, repeat(-1)), np.int64, len(flat))
+        missing = np.flatnonzero(index < 0)
+        if len(missing):
+            words = [flat[i] for i in missing.tolist()]
+            self._add(list(dict.fromkeys(words)))
+            index[missing] = np.fromiter(map(self.slot.__getitem__, words), np.int64, len(words))
         self.uses += np.bincount(index, minlength=len(self.uses))
         size = self.size[index]
         ends = np.cumsum([len(words) for words in docs])
