@@ -9,11 +9,11 @@ with a probability of their weighted Jaccard similarity.
 
 Joining: the k coordinates form bands.  The documents of a bucket (equal band) are not paired with one another: each
 bucket yields a spanning forest of greatest estimated similarity, taken from the signatures, so there are fewer pairs
-than documents in it.  Its pairs are verified on the whole shingle multisets, the best pair of every document first, and
-components are formed.  A forest of greatest similarity connects whatever any pairs above a bound connect; since the
-estimates have errors, buckets that still hold several components are searched again, leaving out pairs that failed,
-until no bucket has an untested pair between components that could be similar.  Large buckets are dealt out in pairs of
-blocks.  Exact copies are one node all along.
+than documents in it.  Its pairs are verified on the whole shingle multisets, the best pair of every document first, then
+those still between components.  A forest of greatest similarity connects whatever any pairs above a bound connect, but
+estimates have errors: documents of buckets that then still hold several components meet once more with their shingle
+multisets, and every pair between components that could be similar is verified inside the task, which returns only links
+found.  Large buckets are dealt out in pairs of blocks.  Exact copies are one node all along.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ BANDS, ROWS = 25, 5
 BLOCK_CHARS = 2_000_000
 PAIR_BLOCK = 2048                # documents of a bucket compared with as many others in one block
 GROUP_ROWS = 20_000              # bucket entries in one group of buckets, on average
-MAX_ROUNDS = 40                  # a guard against a bug; reaching it is an error
+SIGMAS = 4                       # standard deviations by which an estimate may fall short of the threshold
 U64 = np.uint64
 
 words_of = re.compile(r"\w+").findall
@@ -187,109 +187,144 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return both.where(shared >= threshold * (F.size("x") + F.size("y") - shared)).select("a", "b")
 
 
-def spanning_forest(sig: np.ndarray, label: np.ndarray, bad: dict[int, list[int]], least: int) -> list[tuple[int, int, int]]:
-    """(row, row, equal coordinates) of a forest of greatest agreement between rows of different labels, rows of one label
-    counting as connected; no pair of ``bad`` and none with less than ``least`` equal coordinates."""
+def spanning_forest(sig: np.ndarray, least: int) -> list[tuple[int, int, int]]:
+    """(row, row, equal coordinates) of a forest of greatest agreement, without pairs of less than ``least``."""
     n = len(sig)
     best, source, done = np.full(n, -1), np.zeros(n, np.int64), np.zeros(n, bool)
-    alone = len(np.unique(label)) == n
     out = []
-    while not done.all():
+    for _ in range(n):
         y = int(np.where(done, -2, best).argmax())
         if best[y] >= least:
             out.append((int(source[y]), y, int(best[y])))
-        for z in [y] if alone else np.flatnonzero((label == label[y]) & ~done).tolist():
-            done[z] = True
-            same = (sig == sig[z]).sum(axis=1)
-            same[label == label[z]] = -1
-            if z in bad:
-                same[bad[z]] = -1
-            better = ~done & (same > best)
-            best[better], source[better] = same[better], z
+        done[y] = True
+        same = (sig == sig[y]).sum(axis=1)
+        better = ~done & (same > best)
+        best[better], source[better] = same[better], y
     return out
 
 
-def _forest_pairs(rows: DataFrame, n_rows: int, threshold: float) -> DataFrame:
-    """(a, b, est) of the forests of all buckets; rows: (band, value, n, key, sig, label, failed), n documents in the bucket,
-    ``failed`` the keys that the document has been compared with in vain."""
+def least_equal(threshold: float) -> int:
+    """Equal coordinates below which two signatures do not belong to similar documents, but for ``SIGMAS`` of chance."""
     k = BANDS * ROWS
-    least = int(np.floor(k * (threshold - 5 * np.sqrt(threshold * (1 - threshold) / k))))
+    return int(np.floor(k * (threshold - SIGMAS * np.sqrt(threshold * (1 - threshold) / k))))
+
+
+def _dealt(rows: DataFrame, n_rows: int, group_rows: int, *columns: str) -> DataFrame:
+    """Bucket entries (band, value, n, key, ...) with their group g and, in large buckets, pair of blocks (i, j)."""
     parts = F.ceil(F.col("n") / PAIR_BLOCK).cast("int")
     # a pair of blocks holds both blocks whole, so one pair of different blocks also covers the pairs inside each
     mine = F.pmod(F.xxhash64("key"), F.col("p")).cast("int")
     others = F.when(F.col("p") == 1, F.array(F.lit(0))).otherwise(F.filter(F.sequence(F.lit(0), F.col("p") - 1), lambda o: o != F.col("m")))
-    groups = max(1, n_rows // GROUP_ROWS)
+    groups = max(1, n_rows // group_rows)
     place = F.when(F.col("p") == 1, F.pmod(F.xxhash64("band", "value"), F.lit(groups))).otherwise(
         -1 - F.pmod(F.xxhash64("band", "value", "i", "j"), F.lit(1 << 40)))
-    dealt = (rows.withColumn("p", parts).withColumn("m", mine).withColumn("o", F.explode(others))
-             .withColumn("i", F.least("m", "o")).withColumn("j", F.greatest("m", "o"))
-             .select(place.alias("g"), "band", "value", "i", "j", "key", "sig", "label", "failed"))
+    return (rows.withColumn("p", parts).withColumn("m", mine).withColumn("o", F.explode(others))
+            .withColumn("i", F.least("m", "o")).withColumn("j", F.greatest("m", "o"))
+            .select(place.alias("g"), "band", "value", "i", "j", "key", *columns))
+
+
+def _runs(group: pa.Table) -> list[np.ndarray]:
+    """Row numbers of every bucket, or pair of blocks of one, in a group."""
+    cols = [group[c].to_numpy() for c in ("j", "i", "value", "band")]
+    order = np.lexsort(cols)
+    return np.split(order, np.flatnonzero(np.any([np.diff(c[order]) != 0 for c in cols], axis=0)) + 1)
+
+
+def _forest_pairs(rows: DataFrame, n_rows: int, threshold: float) -> DataFrame:
+    """(a, b, est) of the forests of all buckets; rows: (band, value, n, key, sig), n documents in the bucket."""
+    k, least = BANDS * ROWS, least_equal(threshold)
 
     def run(group: pa.Table) -> pa.Table:
         sig = np.frombuffer(b"".join(group["sig"].to_pylist()), np.uint8).reshape(-1, k)
-        key, failed = group["key"].to_pylist(), group["failed"].to_pylist()
-        names: dict[bytes, int] = {}
-        label = np.array([names.setdefault(x, len(names)) for x in group["label"].to_pylist()])
-        cols = [group[c].to_numpy() for c in ("j", "i", "value", "band")]
-        order = np.lexsort(cols)
-        cuts = np.flatnonzero(np.any([np.diff(c[order]) != 0 for c in cols], axis=0)) + 1
+        key = group["key"].to_pylist()
         found: dict[tuple[bytes, bytes], int] = {}
-        for part in np.split(order, cuts):
-            at = {key[r]: x for x, r in enumerate(part.tolist())} if any(failed[r] for r in part.tolist()) else {}
-            bad = {x: [at[f] for f in failed[r] if f in at] for x, r in enumerate(part.tolist()) if failed[r]}
-            for x, y, est in spanning_forest(sig[part], label[part], bad, least):
+        for part in _runs(group):
+            for x, y, est in spanning_forest(sig[part], least):
                 a, b = key[part[x]], key[part[y]]
                 found[(a, b) if a < b else (b, a)] = est
         return pa.table({"a": pa.array([a for a, _ in found], pa.binary()), "b": pa.array([b for _, b in found], pa.binary()),
                          "est": pa.array(list(found.values()), pa.int32())})
 
-    return dealt.groupBy("g").applyInArrow(run, "a binary, b binary, est int").distinct()
+    return _dealt(rows, n_rows, GROUP_ROWS, "sig").groupBy("g").applyInArrow(run, "a binary, b binary, est int").distinct()
+
+
+def cross_links(sig: np.ndarray, bands: np.ndarray, band: int, label: np.ndarray, sets: list[np.ndarray], least: int,
+                threshold: float) -> list[tuple[int, int]]:
+    """Verified links between rows of different labels, joining labels on the way; a pair that also shares an earlier band
+    is left to that one."""
+    label, out = label.copy(), []
+    for x in range(len(sig) - 1):
+        rest = np.arange(x + 1, len(sig))
+        rest = rest[label[rest] != label[x]]
+        same = (sig[rest] == sig[x]).sum(axis=1)
+        rest, same = rest[same >= least], same[same >= least]
+        if band and len(rest):
+            new = ~(bands[rest, :band] == bands[x, :band]).any(axis=1)
+            rest, same = rest[new], same[new]
+        for y in rest[np.argsort(-same, kind="stable")].tolist():
+            if label[x] == label[y]:
+                continue
+            both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+            if both >= threshold * (len(sets[x]) + len(sets[y]) - both):
+                out.append((x, y))
+                label[label == label[y]] = label[x]
+    return out
+
+
+def _cross_links(rows: DataFrame, n_rows: int, threshold: float) -> DataFrame:
+    """(a, b) of ``cross_links`` in all buckets; rows: (band, value, n, key, sig, bands, label, strips)."""
+    k, least = BANDS * ROWS, least_equal(threshold)
+
+    def run(group: pa.Table) -> pa.Table:
+        sig = np.frombuffer(b"".join(group["sig"].to_pylist()), np.uint8).reshape(-1, k)
+        bands = group["bands"].combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+        key, names = group["key"].to_pylist(), {}
+        label = np.array([names.setdefault(x, len(names)) for x in group["label"].to_pylist()])
+        strip, band = group["strips"].combine_chunks(), group["band"].to_numpy()
+        found = set()
+        for part in _runs(group):
+            if len(np.unique(label[part])) > 1:
+                sets = [np.unique(strip[int(r)].values.to_numpy()) for r in part]
+                for x, y in cross_links(sig[part], bands[part], int(band[part[0]]), label[part], sets, least, threshold):
+                    a, b = key[part[x]], key[part[y]]
+                    found.add((a, b) if a < b else (b, a))
+        return pa.table({"a": pa.array([a for a, _ in found], pa.binary()), "b": pa.array([b for _, b in found], pa.binary())})
+
+    dealt = _dealt(rows, n_rows, GROUP_ROWS // 4, "sig", "bands", "label", "strips")
+    return dealt.groupBy("g").applyInArrow(run, "a binary, b binary").distinct()
 
 
 def _links(signed: DataFrame, texts: DataFrame, reps: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
     """(verified pairs, components of their nodes); see the head of this module."""
-    spark = signed.sparkSession
     buckets = signed.select("key", F.posexplode("bands").alias("band", "value"))
     shared = buckets.groupBy("band", "value").agg(F.count("*").alias("n")).where("n > 1")
     member = staged(buckets.join(shared, ["band", "value"]), "buckets")
-    sigs = signed.select("key", "sig")
-    none = F.array().cast("array<binary>")
-    first = member.join(sigs, "key").withColumn("label", F.col("key")).withColumn("failed", none)
-    forest = staged(_forest_pairs(first, member.count(), threshold), "forest")
+    forest = staged(_forest_pairs(member.join(signed.select("key", "sig"), "key"), member.count(), threshold), "forest")
     # a document with any partner that may be similar is in the forest, so these are all the texts ever verified
     need = forest.select(F.col("a").alias("key")).union(forest.select("b")).distinct().join(reps.select("key", "uid"), "key")
     sets = staged(_shingle_sets(texts.join(need, ["key", "uid"]).select("key", "text")).dropDuplicates(["key"]), "shingles")
     ends = forest.select(F.col("a").alias("x"), F.col("b").alias("y"), "est").union(forest.select("b", "a", "est"))
     pairs = ends.groupBy("x").agg(F.max(F.struct("est", "y")).alias("best")).select(
         F.least("x", "best.y").alias("a"), F.greatest("x", "best.y").alias("b")).distinct()
-    links = spark.createDataFrame([], "a binary, b binary")
-    failed = links
-    label = spark.createDataFrame([], "node binary, component binary")
-    for turn in range(MAX_ROUNDS):
-        if turn:
-            named = lambda c: label.select(F.col("node").alias(c), F.col("component").alias(f"{c}_of"))  # noqa: B023, E731
-            if turn == 1:
-                apart = F.coalesce("a_of", "a") != F.coalesce("b_of", "b")
-                pairs = (forest.select("a", "b").join(named("a"), "a", "left").join(named("b"), "b", "left").where(apart).select("a", "b")
-                         .join(failed, ["a", "b"], "left_anti"))
-            else:
-                now = member.join(named("key"), "key", "left").withColumn("label", F.coalesce("key_of", "key")).drop("key_of")
-                mixed = now.groupBy("band", "value").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi")
-                vain = failed.union(failed.select("b", "a")).groupBy(F.col("a").alias("key")).agg(F.collect_set("b").alias("failed"))
-                # only documents with some possibly similar partner can take part
-                active = need.select("key").join(vain, "key", "left").withColumn("failed", F.coalesce("failed", none))
-                rest = staged(now.join(mixed.select("band", "value"), ["band", "value"]).join(active, "key").join(sigs, "key"), "rest")
-                pairs = _forest_pairs(rest, rest.count(), threshold).select("a", "b").distinct()
-        pairs = staged(pairs, "pairs")
-        if pairs.isEmpty():
-            if turn < 2:
-                continue
-            return links, label
-        good = staged(_verified(pairs, sets, threshold), "links")
-        failed = staged(failed.union(pairs.join(good, ["a", "b"], "left_anti")), "failed")
-        links = links.union(good)
-        label = staged(components(links), "labels")
-    raise RuntimeError("near-duplicate rounds did not settle")
+    links = staged(_verified(staged(pairs, "pairs"), sets, threshold), "links")
+    label = staged(components(links), "labels")
+
+    def named(c):
+        return label.select(F.col("node").alias(c), F.col("component").alias(f"{c}_of"))
+
+    apart = F.coalesce("a_of", "a") != F.coalesce("b_of", "b")
+    pairs = forest.select("a", "b").join(named("a"), "a", "left").join(named("b"), "b", "left").where(apart).select("a", "b")
+    links = links.union(staged(_verified(staged(pairs.join(links, ["a", "b"], "left_anti"), "pairs"), sets, threshold), "links"))
+    label = staged(components(links), "labels")
+    now = (member.join(need.select("key"), "key").join(named("key"), "key", "left")
+           .withColumn("label", F.coalesce("key_of", "key")).drop("key_of"))
+    mixed = now.groupBy("band", "value").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi")
+    # buckets of two documents have had their only pair in the forest
+    rest = staged(now.where("n > 2").join(mixed.select("band", "value"), ["band", "value"]), "rest")
+    rows = rest.join(signed.select("key", "sig", "bands"), "key").join(sets, "key")
+    more = staged(_cross_links(rows, rest.count(), threshold), "links")
+    links = links.union(more)
+    return links, staged(components(links), "labels")
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
