@@ -41,6 +41,18 @@ class Rule:
         return ("(?i)" if self.ignore_case else "") + self.pattern
 
 
+# A PEM key: the BEGIN line, header fields, the body and the END line.  Without an END line the body goes on to the text's
+# end, or else to the last run of base64 that is too long for a word, and the token after it (the last line is short).
+# Bodies may be quoted or escaped as in source text.  No loop crosses a dash, so a text is read once; the unbounded
+# loops are over character classes, which Java matches without recursion.
+_SPACE = r"\x20\t\r\n\f\x0b\x85" + "\u2028\u2029"        # the last two as characters: RE2 has no escape for them
+_BASE64 = r"A-Za-z0-9+/="
+_AROUND = _SPACE + r"""\\"'>#*|,"""
+_FIELDS = rf"(?:[{_AROUND}]*[A-Za-z][A-Za-z0-9-]{{0,40}}:(?:-?-?[A-Za-z0-9,.:/+=;_()@\x20]){{0,200}}){{0,4}}"
+PRIVATE_KEY = (rf"-----BEGIN [A-Z ]{{0,40}}PRIVATE KEY-----(?:{_FIELDS}(?:[^-]*-----END[A-Z\x20]{{0,60}}-{{0,5}}"
+               rf"|[{_BASE64}{_AROUND}]*-{{0,5}}[A-Z\x20]{{0,60}}-{{0,5}}[{_SPACE}]*$"
+               rf"|[{_BASE64}{_AROUND}]*[{_BASE64}]{{16}}[{_BASE64}]*(?:[{_AROUND}]+[{_BASE64}]+)?))?")
+
 RULES = (
     Rule("assign", r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6, True, True),
     Rule("access", r"AKIA[A-Z0-9]+", 0, 20, base=True),
@@ -48,7 +60,7 @@ RULES = (
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
+    Rule("private_key", PRIVATE_KEY),
 )
 
 
