@@ -4,7 +4,9 @@ Every page is parsed into a tree of style nodes: an element is named by its tag
 pages of one host is one node of the host's style tree.  Two entropies tell how important a node is.  Presentation: the
 entropy of the child sequences that a node shows on the host's pages (pages made from one template show one sequence).
 Content: one minus the mean entropy of the texts in the node, where a text found on n of m pages has log n / log m (a text
-repeated on all pages says nothing).  Nodes whose names mark menus, headers, notices and the like have no importance.
+repeated on all pages says nothing).  Elements that HTML has for menus, footers, controls and the like have no importance.
+Class and id names (whole ones) and forms are a prior only: text in such a box goes unless the content entropy of its node is
+high, the box holds most of the page's text, or it is around the marked article.
 
 Branches of low importance are removed from each page.  Where a page marks its article, text outside it goes, and inside
 it only named boxes can fall to the entropies: plain paragraphs stay, however often they are repeated.
@@ -27,7 +29,8 @@ from metassoc.llm.common import staged
 from metassoc.session import prepare
 
 MIN_PAGES = 4              # nodes on fewer pages of a host have no statistics
-LOW_IMPORTANCE = 0.25      # content importance up to which a node on a fixed presentation is removed
+LOW_IMPORTANCE = 0.25      # content importance up to which a node on a fixed presentation is removed; from 1 - this on, names are overruled
+WRAPPER_SHARE = 0.8        # a named box with this share of the page's text or more is no box beside the text
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -40,24 +43,29 @@ ATTRIBUTE = re.compile(r"""(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = set("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup "
              "time tt u var wbr img acronym".split())
-NOISE_TAGS = set("nav footer aside form button select option head menu dialog object audio video canvas map fieldset svg noscript template".split())
+NOISE_TAGS = set("nav footer aside button select option head menu dialog object audio video canvas map fieldset svg noscript template".split())
 NOISE_WORDS = set("ad ads adv advert adverts advertisement advertising banner banners sponsor sponsored promo promotion cookie cookies consent "
                   "notice notices alert popup modal overlay sidebar aside nav navbar navigation menu menus breadcrumb breadcrumbs footer "
                   "comment comments disqus reply replies share sharing social related recommended newsletter subscribe subscription "
                   "signup login search widget toolbar pagination pager skip tags".split())
 HEADER_WORDS = {"header", "masthead"}      # these and <header> are noise outside a marked article; inside one they hold its title
-NOISE_ROLES = set("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
+NOISE_ROLES = set("navigation banner contentinfo complementary search alert dialog menu menubar".split())
 CLOSES_P = re.compile(r"(?:p|div|h[1-6]|ul|ol|li|dl|dt|dd|table|section|article|main|header|footer|aside|nav|form|pre|blockquote|figure|hr|address)\Z")
 MAIN_TAGS = {"article", "main"}
+NEVER_NOISE = {"html", "body", *MAIN_TAGS}
 
+Block = tuple[str, bool, bool, bool, str]
 
-def parse(html: str) -> tuple[list[tuple[str, bool, bool, str]], dict[str, list[str]]]:
-    """Text blocks in page order, (path, inside a marked article, inside a named box, text), without those in noise; and the
-    child names of every node by path."""
-    blocks: list[tuple[str, bool, bool, str]] = []
+
+def parse(html: str) -> tuple[list[Block], dict[str, list[str]]]:
+    """Text blocks in page order, (path, inside a marked article, inside a box of it, noise by a name, text), without those in
+    elements that are noise; and the child names of every node by path."""
+    found: list[tuple[str, bool, bool, tuple[int, ...], str]] = []
     children: dict[str, list[str]] = {}
-    # an open element: tag, path, noise, marked, boxed
-    stack: list[tuple[str, str, bool, bool, bool]] = [("", "", False, False, False)]
+    by_name: list[bool] = []                      # per noise box: noise by its name only
+    around: list[tuple[int, ...]] = []            # noise boxes around every marked article
+    # an open element: tag, path, noise boxes around its text, marked, boxed
+    stack: list[tuple[str, str, tuple[int, ...], bool, bool]] = [("", "", (), False, False)]
     text: list[str] = []
     at = 0
 
@@ -66,11 +74,11 @@ def parse(html: str) -> tuple[list[tuple[str, bool, bool, str]], dict[str, list[
             whole = " ".join(unescape("".join(text)).split())
             text.clear()
             _, path, noise, marked, boxed = stack[-1]
-            if whole and not noise:
-                blocks.append((path, marked, boxed, whole))
+            if whole:
+                found.append((path, marked, boxed, noise, whole))
 
     for token in TOKEN.finditer(html):
-        if token.start() > at and not stack[-1][2]:
+        if token.start() > at:
             text.append(html[at:token.start()])
         at = token.end()
         tag = token["tag"]
@@ -103,15 +111,37 @@ def parse(html: str) -> tuple[list[tuple[str, bool, bool, str]], dict[str, list[
         children.setdefault(path, []).append(name)
         if tag in VOID or attrs.endswith("/") and tag in ("svg", "path"):
             continue
-        words = set(re.split(r"[\s_-]+", f"{named.get('class', '')} {named.get('id', '')}"))
-        noise = noise or tag in NOISE_TAGS or bool(words & NOISE_WORDS) or not marked and bool((words | {tag}) & HEADER_WORDS) or named.get("role") in NOISE_ROLES
-        marked = marked or tag in MAIN_TAGS or named.get("role") == "main"
+        main = tag in MAIN_TAGS or named.get("role") == "main"
+        if not main and tag not in NEVER_NOISE:
+            words = {*named.get("class", "").split(), named.get("id", "").strip()}
+            fixed = tag in NOISE_TAGS or named.get("role") in NOISE_ROLES or not marked and tag in HEADER_WORDS
+            if fixed or tag == "form" or named.get("role") == "form" or words & NOISE_WORDS or not marked and words & HEADER_WORDS:
+                noise += (len(by_name),)
+                by_name.append(not fixed)
+        if main and not marked:
+            around.append(noise)
+        marked = marked or main
         boxed = marked and (boxed or tag == "div" and bool(named.get("class") or named.get("id")))
         stack.append((tag, f"{path}/{name}", noise, marked, boxed))
-    if at < len(html) and not stack[-1][2]:
+    if at < len(html):
         text.append(html[at:])
     flush()
-    return blocks, children
+    return _without_noise(found, by_name, around), children
+
+
+def _without_noise(found: list[tuple[str, bool, bool, tuple[int, ...], str]], by_name: list[bool], around: list[tuple[int, ...]]) -> list[Block]:
+    # what is around the marked article is no noise; articles in more boxes than another, those by element first, are teasers or comments
+    weight = [(sum(not by_name[i] for i in boxes), len(boxes)) for boxes in around]
+    no_noise = {i for boxes, w in zip(around, weight, strict=True) if w == min(weight) for i in boxes}
+    left = [(p, m, b, [i for i in boxes if i not in no_noise], t) for p, m, b, boxes, t in found]
+    left = [x for x in left if all(by_name[i] for i in x[3])]
+    marked = any(m for _, m, _, _, _ in left)
+    held: Counter = Counter()
+    for _, m, _, boxes, t in left:
+        if m or not marked:
+            held.update(dict.fromkeys([-1, *boxes], len(t)))
+    wrappers = {i for i, n in held.items() if n >= WRAPPER_SHARE * held[-1]}
+    return [(p, m, b, not wrappers.issuperset(boxes), t) for p, m, b, boxes, t in left]
 
 
 def _hash(s: str) -> int:
@@ -125,18 +155,20 @@ def host_of(url: Column) -> Column:
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
-    """(host, path, pages, content, presentation) of (host, html): the merged trees' nodes with their importances."""
+    """(host, path, pages, named, content, presentation) of (host, html): the merged trees' nodes with their importances;
+    ``named``: the node's text is noise by a name on some page."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen: Counter = Counter()
             for host, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 blocks, children = parse(html or "")
                 texts: dict[str, list[str]] = {}
-                for path, _, _, text in blocks:
+                for path, _, _, _, text in blocks:
                     texts.setdefault(path, []).append(text)
                 seen.update((host, _hash(p), 0, _hash("\n".join(t))) for p, t in texts.items())
                 # the presentation seen by a node is that of its parent
                 seen.update((host, _hash(p), 1, _hash(" ".join(children.get(p.rpartition("/")[0], [])))) for p in texts)
+                seen.update((host, _hash(p), 2, 0) for p in {b[0] for b in blocks if b[3]})
             host, path, kind, feature = zip(*seen, strict=True) if seen else ((), (), (), ())
             yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(path, pa.int64()), pa.array(kind, pa.int32()),
                                               pa.array(feature, pa.int64()), pa.array(list(seen.values()), pa.int64())],
@@ -148,12 +180,13 @@ def style_tree(pages: DataFrame) -> DataFrame:
     # mean over pages of log n / log m, n being the pages with the same text: 1 if all show one text, 0 if all differ
     alike = F.when(F.col("m") > 1, F.col("nlogn") / (F.col("m") * F.log(F.col("m").cast("double")))).otherwise(F.lit(0.0))
     return sums.groupBy("host", "path").agg(
-        F.max("m").alias("pages"), F.max(F.when(F.col("kind") == 0, 1 - alike)).alias("content"),
+        F.max("m").alias("pages"), F.max(F.col("kind") == 2).alias("named"), F.max(F.when(F.col("kind") == 0, 1 - alike)).alias("content"),
         F.max(F.when(F.col("kind") == 1, 1 - alike)).alias("presentation"))
 
 
-def kept_blocks(html: str, low: set[int]) -> list[str]:
-    blocks, _ = parse(html)
+def kept_blocks(html: str, low: set[int], rich: set[int] = frozenset()) -> list[str]:
+    """Texts of the page's blocks that stay; ``low``: nodes without importance, ``rich``: nodes whose content overrules names."""
+    blocks = [(p, m, b, t) for p, m, b, named, t in parse(html)[0] if not named or _hash(p) in rich]
     marked = any(m for _, m, _, _ in blocks)
     return [t for p, m, boxed, t in blocks if (m or not marked) and not ((boxed or not marked) and _hash(p) in low)]
 
@@ -167,17 +200,19 @@ def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_c
     prepare(df.sparkSession)
     pages = df.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html")).withColumn("host", host_of(F.col("url")))
     fixed = (F.col("pages") >= min_pages) & (F.col("content") <= low_importance) & (F.col("presentation") <= 1 - low_importance)
+    overruled = (F.col("pages") >= min_pages) & F.col("named") & (F.col("content") >= 1 - low_importance)
     # a row per host at most; the table has a known size, and Spark broadcasts it only below its own threshold
-    low = staged(style_tree(pages).where(fixed).groupBy("host").agg(F.collect_list("path").alias("low")), "style-tree")
-    joined = pages.join(low, "host", "left").select("id", "url", "html", "low")
+    nodes = style_tree(pages).where(fixed | overruled).groupBy("host").agg(
+        F.collect_list(F.when(fixed, F.col("path"))).alias("low"), F.collect_list(F.when(overruled, F.col("path"))).alias("rich"))
+    joined = pages.join(staged(nodes, "style-tree"), "host", "left").select("id", "url", "html", "low", "rich")
     schema = T.StructType([T.StructField(id_col, df.schema[id_col].dataType), T.StructField(url_col, df.schema[url_col].dataType), T.StructField("text", T.StringType())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 500):
                 part = batch.slice(lo, 500)
-                texts = ["\n".join(kept_blocks(h or "", set(paths or ()))) for h, paths in
-                         zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)]
+                texts = ["\n".join(kept_blocks(h or "", set(low or ()), set(rich or ()))) for h, low, rich in
+                         zip(*[part.column(i).to_pylist() for i in (2, 3, 4)], strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string())], names=schema.names)
 
     return joined.mapInArrow(run, schema)

@@ -60,3 +60,17 @@ def test_low_importance_branches_go_and_repeated_paragraphs_of_articles_stay(spa
 
 def test_empty_table(spark):
     assert st.extract(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_names_do_not_empty_a_page():
+    for open_, close in [("<body class='no-sidebar search'>", "</body>"), ("<div class='content-with-sidebar'>", "</div>"), ("<div class='post has-comments'>", "</div>"),
+                         ("<div id='social'>", "</div>"), ("<form action='./p.aspx'>", "</form>"), ("<div class='modal'><form>", "</form></div>")]:
+        assert blocks(f"{open_}<nav>n</nav><div class='ad'>x</div><p>The text itself, of some length</p>{close}") == ["The text itself, of some length"]
+        assert blocks(f"<p>skip</p>{open_}<article class='social'><h1>T</h1><p>a</p></article>{close}<aside><article>teaser</article></aside>") == ["T", "a"]
+
+
+def test_varied_content_overrules_a_name(spark):
+    page = "<body><div class='intro'><p>Some words of welcome, number {0}, that are here as well</p></div><div class='search'><p>Found {0}</p></div><div class='notice'><p>Closed today</p></div></body>"
+    rows = [(i, "https://varied.example/p", page.format(i), None) for i in range(12)]
+    got = {r.page_id: r.text for r in st.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {i: f"Some words of welcome, number {i}, that are here as well\nFound {i}" for i in range(12)}
