@@ -8,7 +8,8 @@ repeated on all pages says nothing).  Elements that HTML has for menus, footers,
 Class and id names (whole ones) and forms are a prior only: text in such a box goes unless the content entropy of its node is
 high, the box holds most of the page's text, or it is around the marked article.
 
-Branches of low importance are removed from each page.  Where a page marks its article, text outside it goes, and inside
+From branches of low importance the texts that many of the host's pages show there are removed; a page's own text stays.
+Pages of a host with the same body count once, so copies of an article do not make it a template.  Where a page marks its article, text outside it goes, and inside
 it only named boxes can fall to the entropies: plain paragraphs stay, however often they are repeated.
 """
 
@@ -154,41 +155,80 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(rest, r"^[^/?#]*", 0))
 
 
-def style_tree(pages: DataFrame) -> DataFrame:
-    """(host, path, pages, named, content, presentation) of (host, html): the merged trees' nodes with their importances;
-    ``named``: the node's text is noise by a name on some page."""
+def features_of(html: str) -> tuple[int, set[tuple[int, int, int]]]:
+    """Hash of the page's body (its text without boxes that are noise by name), and its features (path, kind, feature): texts
+    of a node (0), child names of its parent (1), texts of a node that is noise by name (2), a block of a node (3)."""
+    blocks, children = parse(html)
+    marked = any(m for _, m, _, named, _ in blocks if not named)
+    texts: dict[tuple[str, bool], list[str]] = {}
+    for path, _, _, named, text in blocks:
+        texts.setdefault((path, named), []).append(text)
+    features = {(_hash(p), 2 if named else 0, _hash("\n".join(t))) for (p, named), t in texts.items()}
+    # the presentation seen by a node is that of its parent
+    features.update((_hash(p), 1, _hash(" ".join(children.get(p.rpartition("/")[0], [])))) for p, named in texts if not named)
+    features.update((_hash(p), 3, _block(p, t)) for p, _, _, named, t in blocks if not named)
+    return _hash("\n".join(f"{p} {t}" for p, m, _, named, t in blocks if not named and (m or not marked))), features
+
+
+def _block(path: str, text: str) -> int:
+    return _hash(f"{path}\n{text}")
+
+
+def count_features(pages: DataFrame) -> DataFrame:
+    """(host, path, kind, feature, n, rows) of (host, html): different bodies and pages with a feature (see ``features_of``);
+    texts noise by name are counted by pages only.  Blocks of one page only are left out."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen: Counter = Counter()
             for host, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                blocks, children = parse(html or "")
-                texts: dict[str, list[str]] = {}
-                for path, _, _, _, text in blocks:
-                    texts.setdefault(path, []).append(text)
-                seen.update((host, _hash(p), 0, _hash("\n".join(t))) for p, t in texts.items())
-                # the presentation seen by a node is that of its parent
-                seen.update((host, _hash(p), 1, _hash(" ".join(children.get(p.rpartition("/")[0], [])))) for p in texts)
-                seen.update((host, _hash(p), 2, 0) for p in {b[0] for b in blocks if b[3]})
-            host, path, kind, feature = zip(*seen, strict=True) if seen else ((), (), (), ())
-            yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(path, pa.int64()), pa.array(kind, pa.int32()),
-                                              pa.array(feature, pa.int64()), pa.array(list(seen.values()), pa.int64())],
-                                             names=["host", "path", "kind", "feature", "n"])
-
-    counts = pages.select("host", "html").mapInArrow(run, "host string, path long, kind int, feature long, n long")
-    counts = counts.groupBy("host", "path", "kind", "feature").agg(F.sum("n").alias("n"))
-    sums = counts.groupBy("host", "path", "kind").agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.log(F.col("n").cast("double"))).alias("nlogn"))
-    # mean over pages of log n / log m, n being the pages with the same text: 1 if all show one text, 0 if all differ
-    alike = F.when(F.col("m") > 1, F.col("nlogn") / (F.col("m") * F.log(F.col("m").cast("double")))).otherwise(F.lit(0.0))
+                body, features = features_of(html or "")
+                seen.update((host, 0 if f[1] == 2 else body, *f) for f in features)
+            columns = zip(*seen, strict=True) if seen else ((),) * 5
+            types = (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
+            yield pa.RecordBatch.from_arrays([*[pa.array(c, t) for c, t in zip(columns, types, strict=True)], pa.array(list(seen.values()), pa.int64())],
+                                             names=["host", "body", "path", "kind", "feature", "rows"])
+
+    each = pages.select("host", "html").mapInArrow(run, "host string, body long, path long, kind int, feature long, rows long")
+    each = each.groupBy("host", "body", "path", "kind", "feature").agg(F.sum("rows").alias("rows"))
+    n = F.sum(F.when(F.col("kind") == 2, F.col("rows")).otherwise(1))
+    return each.groupBy("host", "path", "kind", "feature").agg(n.alias("n"), F.sum("rows").alias("rows")).where("kind != 3 OR rows > 1")
+
+
+def style_tree(counts: DataFrame) -> DataFrame:
+    """(host, path, bodies, pages, content, presentation, page_content, page_presentation, named, named_content) of
+    ``count_features``: the merged trees' nodes with their importances over different bodies and over all pages, and the
+    pages on which the node is noise by name with its content importance there."""
+    def total(x: str) -> list[Column]:
+        c = F.col(x)
+        return [F.sum(c).alias(f"m_{x}"), F.sum(c * F.log(c.cast("double"))).alias(f"log_{x}")]
+
+    def differs(x: str) -> Column:
+        # mean over pages of log n / log m, n being the pages with the same text: 1 if all show one text, 0 if all differ
+        m = F.col(f"m_{x}")
+        return 1 - F.when(m > 1, F.col(f"log_{x}") / (m * F.log(m.cast("double")))).otherwise(F.lit(0.0))
+
+    def of(kind: int, value: Column) -> Column:
+        return F.max(F.when(F.col("kind") == kind, value))
+
+    sums = counts.where("kind != 3").groupBy("host", "path", "kind").agg(*total("n"), *total("rows"))
     return sums.groupBy("host", "path").agg(
-        F.max("m").alias("pages"), F.max(F.col("kind") == 2).alias("named"), F.max(F.when(F.col("kind") == 0, 1 - alike)).alias("content"),
-        F.max(F.when(F.col("kind") == 1, 1 - alike)).alias("presentation"))
+        of(0, F.col("m_n")).alias("bodies"), of(0, F.col("m_rows")).alias("pages"),
+        of(0, differs("n")).alias("content"), of(1, differs("n")).alias("presentation"),
+        of(0, differs("rows")).alias("page_content"), of(1, differs("rows")).alias("page_presentation"),
+        of(2, F.col("m_rows")).alias("named"), of(2, differs("rows")).alias("named_content"))
 
 
-def kept_blocks(html: str, low: set[int], rich: set[int] = frozenset()) -> list[str]:
-    """Texts of the page's blocks that stay; ``low``: nodes without importance, ``rich``: nodes whose content overrules names."""
+def kept_blocks(html: str, low: set[int], rich: set[int] = frozenset(), copied: set[int] = frozenset()) -> list[str]:
+    """Texts of the page's blocks that stay; ``low``: blocks repeated in nodes without importance, ``rich``: nodes whose
+    content overrules names, ``copied``: blocks repeated by copies of too few bodies.  Copies do not tell a template from
+    an article, so these go only from boxes of a marked article whose plain paragraphs hold more text."""
     blocks = [(p, m, b, t) for p, m, b, named, t in parse(html)[0] if not named or _hash(p) in rich]
     marked = any(m for _, m, _, _ in blocks)
-    return [t for p, m, boxed, t in blocks if (m or not marked) and not ((boxed or not marked) and _hash(p) in low)]
+    blocks = [(p, m, b, t) for p, m, b, t in blocks if (m or not marked) and not ((b or not marked) and _block(p, t) in low)]
+    again = [marked and b and _block(p, t) in copied for p, _, b, t in blocks]
+    plain = sum(len(t) for _, _, b, t in blocks if not b)
+    drop = plain > sum(len(t) for (_, _, _, t), x in zip(blocks, again, strict=True) if x)
+    return [t for (_, _, _, t), x in zip(blocks, again, strict=True) if not (x and drop)]
 
 
 def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
@@ -199,20 +239,30 @@ def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_c
     ids are kept; other columns are not read; an empty table gives no rows."""
     prepare(df.sparkSession)
     pages = df.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html")).withColumn("host", host_of(F.col("url")))
-    fixed = (F.col("pages") >= min_pages) & (F.col("content") <= low_importance) & (F.col("presentation") <= 1 - low_importance)
-    overruled = (F.col("pages") >= min_pages) & F.col("named") & (F.col("content") >= 1 - low_importance)
+    counts = staged(count_features(pages), "style-counts")
+    fixed = (F.col("bodies") >= min_pages) & (F.col("content") <= low_importance) & (F.col("presentation") <= 1 - low_importance)
+    copied = (F.col("bodies") < min_pages) & (F.col("pages") >= min_pages) & (F.col("page_content") <= low_importance) & (F.col("page_presentation") <= 1 - low_importance)
+    overruled = (F.col("named") >= min_pages) & (F.col("named_content") >= 1 - low_importance)
+    nodes = style_tree(counts).select("host", "path", "bodies", "pages", *[F.coalesce(x, F.lit(False)).alias(n) for x, n in (
+        (fixed, "fixed"), (copied, "copied"), (overruled, "overruled"))])
+    nodes = staged(nodes.where("fixed OR copied OR overruled"), "style-tree")
+    common = lambda n, m: F.log(n.cast("double")) >= (1 - low_importance) * F.log(m.cast("double"))
+    blocks = counts.where("kind = 3").join(nodes.where("fixed OR copied"), ["host", "path"]).where(
+        F.when(F.col("fixed"), common(F.col("n"), F.col("bodies"))).otherwise(common(F.col("rows"), F.col("pages"))))
+    marks = blocks.select("host", F.when(F.col("fixed"), F.lit(0)).otherwise(F.lit(2)).alias("what"), F.col("feature").alias("mark")).union(
+        nodes.where("overruled").select("host", F.lit(1), "path"))
+    names = ("low", "rich", "copied")
     # a row per host at most; the table has a known size, and Spark broadcasts it only below its own threshold
-    nodes = style_tree(pages).where(fixed | overruled).groupBy("host").agg(
-        F.collect_list(F.when(fixed, F.col("path"))).alias("low"), F.collect_list(F.when(overruled, F.col("path"))).alias("rich"))
-    joined = pages.join(staged(nodes, "style-tree"), "host", "left").select("id", "url", "html", "low", "rich")
+    marks = staged(marks.groupBy("host").agg(*[F.collect_list(F.when(F.col("what") == i, F.col("mark"))).alias(n) for i, n in enumerate(names)]), "style-marks")
+    joined = pages.join(marks, "host", "left").select("id", "url", "html", *names)
     schema = T.StructType([T.StructField(id_col, df.schema[id_col].dataType), T.StructField(url_col, df.schema[url_col].dataType), T.StructField("text", T.StringType())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 500):
                 part = batch.slice(lo, 500)
-                texts = ["\n".join(kept_blocks(h or "", set(low or ()), set(rich or ()))) for h, low, rich in
-                         zip(*[part.column(i).to_pylist() for i in (2, 3, 4)], strict=True)]
+                texts = ["\n".join(kept_blocks(h or "", *[set(x or ()) for x in marks])) for h, *marks in
+                         zip(*[part.column(i).to_pylist() for i in (2, 3, 4, 5)], strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string())], names=schema.names)
 
     return joined.mapInArrow(run, schema)

@@ -74,3 +74,18 @@ def test_varied_content_overrules_a_name(spark):
     rows = [(i, "https://varied.example/p", page.format(i), None) for i in range(12)]
     got = {r.page_id: r.text for r in st.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert got == {i: f"Some words of welcome, number {i}, that are here as well\nFound {i}" for i in range(12)}
+
+
+def test_own_texts_at_a_repeated_path_and_copies_stay(spark):
+    plain = "<body><div class='brand'><p>Our site</p></div><div class='date'><p>{0}</p></div><div class='story'><p>{1}</p></div></body>"
+    boxed = "<article><h1>T</h1><div class='story'><p>{0}</p></div></article>"
+    same = "The same long article, held by most of the pages"
+    rows = [(i, "https://own.example/p", plain.format(f"day {i}", same if i < 45 else f"Own article {i}")) for i in range(50)]
+    rows += [(100 + i, "https://copies.example/p", plain.format("day", same if i < 45 else f"Own article {i}")) for i in range(50)]
+    rows += [(200 + i, "https://boxed.example/p", boxed.format(same if i < 45 else f"Own article {i}")) for i in range(50)]
+    rows += [(300 + i, "https://ads.example/p", f"<div class='ad'><p>buy {i}</p></div><div class='story'><p>{same}</p></div>") for i in range(50)]
+    got = {r.page_id: r.text for r in st.extract(spark.createDataFrame([(*r, None) for r in rows], SCHEMA)).collect()}
+    for i in range(45, 50):
+        assert got[i] == f"day {i}\nOwn article {i}" and got[100 + i].endswith(f"Own article {i}") and got[200 + i] == f"T\nOwn article {i}"
+    assert all(same in got[k + i] for k in (100, 200, 300) for i in range(45))
+    assert all("Our site" not in got[k + i] for k in (0, 100) for i in range(50))
