@@ -5,6 +5,10 @@ word scores by its smoothed log frequency in each language.  An unseen word is s
 n-grams of the greatest length of which any is known: ``MAX_N``, else one less, and so on down to single characters.
 A document's score per language is the log prior plus the sum over its words; the best language is predicted, its
 posterior is the score.
+
+The posterior saturates with the length of any text.  Whether a text is in a learned language at all is told by its
+support: the share of it, by letters, that the predicted language knows, a word as a whole or by its n-grams of length
+``SUPPORT_N``.  ``floors`` takes the least support of a language from the range of labelled texts held out of training.
 """
 
 from __future__ import annotations
@@ -26,6 +30,10 @@ MAX_TRAIN_DOCS = 1000      # whole documents per language that the model is fitt
 MIN_COUNT = 2              # words and n-grams seen less often are left to the back-off
 MAX_N = 5
 SMOOTHING = 0.5
+SUPPORT_N = 4
+LEAST_WORDS = 20           # texts with fewer words are too short for a floor on their support
+LEAST_TEXTS = 20           # a language with fewer labelled held-out texts has the lowest floor of the others
+FLOOR_SHARE = 0.7          # of the fifth percentile of labelled texts
 UNDETERMINED = "und"
 BLOCK_CHARS = 2_000_000
 CACHE_WORDS = 250_000
@@ -52,10 +60,13 @@ class Model:
         self.prior = np.log(np.array(docs, float) / max(1, sum(docs))) if langs else np.zeros(0)
         self.rows: list[dict[str, int]] = []
         self.logs: list[np.ndarray] = []
+        self.seen: dict[int, np.ndarray] = {}
         for table in counts:
             keys, c = (list(table), np.array(list(table.values()))) if isinstance(table, dict) else table
             self.rows.append({k: i for i, k in enumerate(keys)})
             c = np.asarray(c, float).reshape(len(keys), len(langs))
+            if len(self.logs) in (0, SUPPORT_N - 1, SUPPORT_N):
+                self.seen[len(self.logs)] = c > 0
             self.logs.append(np.log((c + SMOOTHING) / (c.sum(axis=0) + SMOOTHING * (len(keys) + 1))))
 
     def score_word(self, word: str) -> np.ndarray:
@@ -68,6 +79,15 @@ class Model:
                 return self.logs[n][known].mean(axis=0)
         return np.zeros(len(self.langs))
 
+    def support_of(self, word: str) -> np.ndarray:
+        """Share of a word known by language: 1 for a known word, else that of its n-grams (a letter alone is one of length 3)."""
+        at = self.rows[0].get(word)
+        whole = self.seen[0][at].astype(float) if at is not None else np.zeros(len(self.langs))
+        n = SUPPORT_N if len(word) + 2 >= SUPPORT_N else SUPPORT_N - 1
+        grams = grams_of(word, n)
+        known = [i for g in grams if (i := self.rows[n].get(g)) is not None]
+        return np.maximum(whole, self.seen[n][known].sum(axis=0) / len(grams))
+
 
 def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
         max_train_docs: int = MAX_TRAIN_DOCS) -> Model:
@@ -114,8 +134,10 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
 class Scorer:
     """Scores of blocks of texts; word scores are kept and dropped when there are too many."""
 
-    def __init__(self, model: Model, limit: int = CACHE_WORDS):
-        self.model, self.limit = model, limit
+    def __init__(self, model: Model, limit: int = CACHE_WORDS, with_support: bool = False):
+        self.model, self.limit, self.with_support = model, limit, with_support
+        self.supports = np.zeros((0, len(model.langs)))
+        self.support, self.n_words = np.zeros(0), np.zeros(0, int)          # of the last block, if asked for
         self.slot: dict[str, int] = {}
         self.scores = np.zeros((0, len(model.langs)))
 
@@ -127,23 +149,29 @@ class Scorer:
         new = list({w for words in docs for w in words}.difference(self.slot))
         if len(self.slot) + len(new) > self.limit:
             self.slot.clear()
-            self.scores = self.scores[:0]
+            self.scores, self.supports = self.scores[:0], self.supports[:0]
             new = list({w for words in docs for w in words})
         first = len(self.slot)
         self.slot.update(zip(new, range(first, first + len(new)), strict=True))
         if new and model.langs:
             self.scores = np.concatenate((self.scores, np.array([model.score_word(w) for w in new])))
+            if self.with_support:
+                self.supports = np.concatenate((self.supports, np.array([model.support_of(w) for w in new])))
+        self.support, self.n_words = np.zeros(len(texts)), np.array([len(words) for words in docs], int)
         lang, score = [UNDETERMINED] * len(texts), np.zeros(len(texts))
         slot = self.slot
         for i in np.flatnonzero(lettered).tolist():
             total = model.prior + self.scores[[slot[w] for w in docs[i]]].sum(axis=0)
             best = int(total.argmax())
             lang[i], score[i] = model.langs[best], 1.0 / np.exp(np.minimum(total - total[best], 0.0)).sum()
+            if self.with_support and docs[i]:
+                self.support[i] = np.average(self.supports[[slot[w] for w in docs[i]], best], weights=[len(w) for w in docs[i]])
         return lang, score
 
 
-def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """(id_col, *keep, lang_pred, score) for every row: a learned language and its posterior, or ``und`` and 0 where the
+def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (),
+            with_support: bool = False) -> DataFrame:
+    """(id_col, *keep, lang_pred, score) and, if asked for, (support, n_words) for every row: a learned language and its posterior, or ``und`` and 0 where the
     text is null, has no letter, or no language was learned.  Equal scores go to the first language by name.  Repeated
     rows and null ids are kept; columns not in ``keep`` are not read; an empty table gives no rows.
 
@@ -151,17 +179,41 @@ def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     spark = prepare(df.sparkSession)
     sent = spark.sparkContext.broadcast(model)
     names = [id_col, *[k for k in keep if k != id_col]]
-    schema = T.StructType([*[df.schema[k] for k in names], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    if {"lang_pred", "score"} & set(names):
-        raise ValueError("keep must not hold lang_pred or score")
+    added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+    if with_support:
+        added += [T.StructField("support", T.DoubleType()), T.StructField("n_words", T.LongType())]
+    schema = T.StructType([*[df.schema[k] for k in names], *added])
+    if {f.name for f in added} & set(names):
+        raise ValueError(f"keep must not hold {', '.join(f.name for f in added)}")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(sent.value)
+        scorer = Scorer(sent.value, with_support=with_support)
         for batch in batches:
             texts = batch.column(batch.num_columns - 1).to_pylist()
             for lo, hi in blocks([t or "" for t in texts], BLOCK_CHARS):
                 lang, score = scorer.predict(texts[lo:hi])
+                more = [pa.array(scorer.support), pa.array(scorer.n_words, pa.int64())] if with_support else []
                 yield pa.RecordBatch.from_arrays([*[batch.column(i).slice(lo, hi - lo) for i in range(len(names))],
-                                                  pa.array(lang, pa.string()), pa.array(score)], names=schema.names)
+                                                  pa.array(lang, pa.string()), pa.array(score), *more], names=schema.names)
 
     return df.select(*[F.col(k) for k in names], F.col(text_col).alias("__text")).mapInArrow(run, schema)
+
+
+def floors(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+           max_docs: int = MAX_TRAIN_DOCS) -> dict[str, float]:
+    """Least support by language: ``FLOOR_SHARE`` of the fifth percentile of labelled texts, so that a few wrong labels do
+    not move it.  From about ``max_docs`` held-out texts a language, chosen by hash, of ``LEAST_WORDS`` words or more;
+    empty if no language has ``LEAST_TEXTS`` of them."""
+    prepare(df.sparkSession)
+    usable = df.where(F.col(text_col).isNotNull() & F.col(lang_col).isin(model.langs) & is_held_out(F.col(id_col))).select(
+        F.col(id_col).alias("i"), F.col(text_col).alias("t"), F.col(lang_col).alias("l"))
+    docs = {r.l: r.n for r in usable.groupBy("l").agg(F.count("*").alias("n")).collect()}
+    if not docs:
+        return {}
+    share = F.create_map(*[F.lit(x) for k in docs for x in (k, min(1.0, max_docs / docs[k]))])
+    drawn = F.pmod(F.xxhash64(F.col("i").cast("string"), F.lit("floor")), F.lit(1 << 30)) / float(1 << 30)
+    found = predict(usable.where(drawn < share[F.col("l")]), model, "i", "t", keep=("l",), with_support=True)
+    ranges = found.where((F.col("l") == F.col("lang_pred")) & (F.col("n_words") >= LEAST_WORDS)).groupBy("l").agg(
+        F.count("*").alias("n"), F.percentile("support", 0.05).alias("q"))
+    own = {r.l: FLOOR_SHARE * r.q for r in ranges.collect() if r.n >= LEAST_TEXTS}
+    return {k: own.get(k, min(own.values())) for k in model.langs} if own else {}

@@ -1,5 +1,7 @@
 """The pipeline against plain versions of its stages."""
 
+import random
+
 import public_tokenizers
 from tokenizers import Tokenizer
 
@@ -56,3 +58,20 @@ def test_stages_on_awkward_documents(spark):
     assert len(left) == 2 and left[1][0].startswith("the quick") and left[0] == ("[REDACTED] is what the bear said to the fox", 43)
     assert corpus_pipeline.pack(spark, docs, SF).count() == 2
 
+
+def test_foreign_texts_and_gibberish_are_rejected(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rng = random.Random(1)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    foreign = ["Nel mezzo del cammin di nostra vita mi ritrovai per una selva oscura che la diritta via era smarrita e quanto a dir qual era e cosa dura",
+               "Litwo ojczyzno moja ty jestes jak zdrowie ile cie trzeba cenic ten tylko sie dowie kto cie stracil dzis pieknosc twa w calej ozdobie widze"]
+    foreign += [" ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 9))) for _ in range(60)) for _ in range(20)]
+    foreign += [" ".join("%08x" % rng.getrandbits(32) for _ in range(60)) for _ in range(20)]
+    short = "Nel mezzo del cammin di nostra vita"
+    planted = spark.createDataFrame([(10**9 + i, t, None, "s", len(t)) for i, t in enumerate([*foreign, short])], docs.schema)
+    model = language.fit(docs)
+    _, score = language.Scorer(model).predict(foreign)
+    assert (score >= corpus_pipeline.MIN_SCORE).all()                  # the posterior alone rejects none of them
+    left = {r.doc_id for r in corpus_pipeline.language_id(spark, docs.union(planted), SF).collect()}
+    assert not left & {10**9 + i for i in range(len(foreign))}
+    assert left - {10**9 + len(foreign)} == {r.doc_id for r in language.predict(docs, model).where("score >= 0.5").collect()}
