@@ -75,3 +75,12 @@ def test_foreign_texts_and_gibberish_are_rejected(spark):
     left = {r.doc_id for r in corpus_pipeline.language_id(spark, docs.union(planted), SF).collect()}
     assert not left & {10**9 + i for i in range(len(foreign))}
     assert left - {10**9 + len(foreign)} == {r.doc_id for r in language.predict(docs, model).where("score >= 0.5").collect()}
+
+
+def test_different_texts_under_one_id_are_different_documents(spark):
+    schema = spark.read.parquet(f"{SF}/documents.parquet").schema
+    a, b, c = ("the quick brown fox jumps over the lazy dog", "a storm came in from the sea and took the boats", "nobody knew who had written the letter at all")
+    rows = [(1, a), (2, a), (2, b), (2, b), (3, b), (5, c), (5, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 40) for i, t in rows], schema)
+    left = [r.text for r in corpus_pipeline.near_dedup(spark, docs, SF).collect()]
+    assert sorted(left, key=str) == sorted([a, b, c, None], key=str)
