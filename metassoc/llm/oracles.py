@@ -50,3 +50,8 @@ per AS (SELECT doc_id, {counts},
     string_agg(said, ',' ORDER BY b, rule) AS spans FROM spans GROUP BY doc_id)
 SELECT d.doc_id, {zero}, coalesce(base_sha256, sha256('')) AS base_sha256, coalesce(spans, '') AS spans
 FROM docs d LEFT JOIN per p ON d.doc_id = p.doc_id"""
+
+
+EXACT_SQL = """WITH d AS (SELECT CAST(doc_id AS BIGINT) AS doc_id, sha256(coalesce(text, '')) AS text_sha256 FROM documents),
+g AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY text_sha256)
+SELECT d.doc_id, keep_id, group_size, d.doc_id = keep_id AS kept, d.text_sha256 FROM d JOIN g ON d.text_sha256 = g.text_sha256"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metassoc.llm import byte_bpe, chat, dartminhash, hnsw, itq, language, oracles, packing, secret_scan, site_style, url_templates
+from metassoc.llm import byte_bpe, chat, dartminhash, digest_index, hnsw, itq, language, oracles, packing, secret_scan, site_style, url_templates
 from metassoc.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,5 +95,12 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_templates.judge(table(spark, sf_dir, "pages"))
 
 
+@query
+def op11_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group of equal texts of every document, by a digest index filled in two batches."""
+    return digest_index.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
 ORACLE["op2_chat_format"] = oracles.chat_sql()
 ORACLE["op6_secrets"] = oracles.secrets_sql()
+ORACLE["op11_digest_index"] = oracles.EXACT_SQL
