@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metassoc.llm import byte_bpe, chat, dartminhash, digest_index, hnsw, itq, language, oracles, packing, secret_scan, site_style, url_templates
+from metassoc.llm import bit_slices, byte_bpe, chat, dartminhash, digest_index, hnsw, itq, language, oracles, packing, secret_scan, site_style, turn_repair, url_templates
 from metassoc.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,6 +101,19 @@ def op11_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_index.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importance weight of every document for the benchmark's distribution, and the twentieth drawn by it."""
+    return bit_slices.importance(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation, after damage by a hash of its rows."""
+    turns = table(spark, sf_dir, "conversations")
+    return turn_repair.report(turns, turn_repair.damage(turns))
+
+
 ORACLE["op2_chat_format"] = oracles.chat_sql()
 ORACLE["op6_secrets"] = oracles.secrets_sql()
 ORACLE["op11_digest_index"] = oracles.EXACT_SQL
