@@ -161,11 +161,54 @@ def apply_variant_map(genotype: DataFrame, vmap: DataFrame) -> DataFrame:
     return j
 
 
-def gather_samples(dense: DataFrame, order: DataFrame, col: str = "dosage") -> DataFrame:
+def gather_samples(dense: DataFrame, order: DataFrame, col: str = "dosage", salts: int = 16) -> DataFrame:
     """Select/reorder the samples of dense rows: order is (cohort, idx, pos) — the output position
-    ``idx`` takes the input position ``pos``.  The per-cohort position list (bounded by the cohort's
-    sample count) is joined by cohort, then ``transform`` gathers inside each row."""
+    ``idx`` takes the input position ``pos``.  A cohort's positions are one small array; rows meet it on (cohort, salt), so
+    that the rows of one large cohort go to ``salts`` tasks, and positions that stay as they are cost nothing."""
     o = order.groupBy("cohort").agg(F.array_sort(F.collect_list(F.struct("idx", "pos"))).alias("_o"))
-    return (dense.join(o, "cohort")
-            .withColumn(col, F.transform("_o", lambda e: F.get(F.col(col), e["pos"].cast("int"))))
-            .drop("_o"))
+    o = o.select("cohort", F.transform("_o", lambda e: e["pos"].cast("int")).alias("_pos"))
+    return _gather(dense, o, col, salts)
+
+
+def _gather(dense: DataFrame, positions: DataFrame, col: str, salts: int) -> DataFrame:
+    """Rows with ``col`` taken at the places of ``_pos`` of their cohort."""
+    o = positions.withColumn("_same", F.col("_pos") == F.transform("_pos", lambda _, i: i))
+    o = o.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    names = [c for c in dense.columns if c not in ("cohort", col)]
+    d = dense.withColumn("_salt", F.pmod(F.hash(*names), F.lit(salts)) if names else F.lit(0))
+    moved = F.transform("_pos", lambda p: F.get(F.col(col), p))
+    return (d.join(o, ["cohort", "_salt"])
+            .withColumn(col, F.when(F.col("_same") & (F.size("_pos") == F.size(col)), F.col(col)).otherwise(moved))
+            .select(*dense.columns))
+
+
+def aligned_positions(own: dict[str, DataFrame], lead: DataFrame, what: str = "partial derivatives") -> DataFrame:
+    """(cohort, <source>_pos array<int> per source): where the samples of ``lead`` (cohort, sample_id, pos), in its order, lie in
+    each source (cohort, sample_id, pos).
+
+    A sample of ``lead`` that a source lacks, and a sample id that occurs twice in a cohort, raise when the table is
+    computed: the check is part of the plan and costs no job of its own.  An id at several places of a source cannot
+    occur then, so first match and only match are the same."""
+    def once(df: DataFrame, name: str) -> DataFrame:
+        g = df.groupBy("cohort", "sample_id").agg(F.min("pos").alias("_p"), F.count(F.lit(1)).alias("_n"))
+        twice = F.raise_error(F.concat(F.lit(f"{name}: sample "), F.col("sample_id").cast("string"), F.lit(" occurs twice in cohort "), "cohort"))
+        return g.select("cohort", "sample_id", F.when(F.col("_n") == 1, F.col("_p")).otherwise(twice.cast("long")).alias(f"{name}_at"))
+
+    out = once(lead, "lead")
+    for name, df in own.items():
+        missing = F.raise_error(F.concat(F.lit(f"{what} include sample "), F.col("sample_id").cast("string"), F.lit(" of cohort "),
+                                         "cohort", F.lit(f", which is missing from {name}")))
+        out = out.join(once(df, name), ["cohort", "sample_id"], "left")
+        out = out.withColumn(f"{name}_at", F.coalesce(f"{name}_at", missing.cast("long")))
+    cells = F.struct("lead_at", *[f"{name}_at" for name in own])
+    g = out.groupBy("cohort").agg(F.array_sort(F.collect_list(cells)).alias("_c"))          # one array per cohort
+
+    def places(name: str):
+        return F.transform("_c", lambda c: c[f"{name}_at"].cast("int")).alias(f"{name}_pos")
+
+    return g.select("cohort", *map(places, own))
+
+
+def take_positions(dense: DataFrame, positions: DataFrame, source: str, col: str, salts: int = 16) -> DataFrame:
+    """Dense rows with their samples in the lead's order (see ``aligned_positions``)."""
+    return _gather(dense, positions.select("cohort", F.col(f"{source}_pos").alias("_pos")), col, salts)

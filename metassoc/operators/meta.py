@@ -124,23 +124,6 @@ def mega_analyse_pd(pd: dict[str, DataFrame], tol: float = SINGULAR_TOL,
     return eff.select("variant", "phenotype", "beta", "standard_error", "t_stat", "sample_size", "maf")
 
 
-def with_study_intercepts(samples: DataFrame, genotype: DataFrame, phenotype: DataFrame, label: str = "ALL"):
-    """Pool all cohorts into one design with K−1 cohort indicator covariates (study effects).
-
-    Returns (samples, genotype, phenotype, n_extra): every table relabelled to one cohort, sample
-    ids made unique as '<cohort>:<id>', and the dummies appended to x.  The cohort names (K rows of
-    metadata) are the only thing read on the driver."""
-    names = [r[0] for r in samples.select("cohort").distinct().orderBy("cohort").collect()]
-    dummies = [(F.col("cohort") == c).cast("double") for c in names[1:]]
-    sid = F.concat(F.col("cohort"), F.lit(":"), F.col("sample_id").cast("string"))
-    lab = _label(label)
-    smp = samples.select(lab.alias("cohort"), sid.alias("sample_id"),
-                         F.concat(F.col("x"), F.array(*dummies)).alias("x") if dummies else F.col("x"))
-    geno = genotype.select(lab.alias("cohort"), sid.alias("sample_id"), "variant", "dosage")
-    phen = phenotype.select(lab.alias("cohort"), sid.alias("sample_id"), "phenotype", "y")
-    return smp, geno, phen, len(dummies)
-
-
 def pairwise_effects(pd: dict, tol: float = SINGULAR_TOL, max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Mega-analysis with missingness: every statistic is summed over exactly the cohorts that have both the
     variant and the phenotype (A_cov included), so each pair is its own pooled design.

@@ -130,6 +130,25 @@ def embedding_rows(spark: SparkSession, sf_dir: str, split: bool = False):
     return geno, phen
 
 
+# Fixed values of the fixture design: vector entries to calls, covariate i of sample s is (s * factor * (s if squared)) % modulus.
+CALL_MISSING, CALL_EDGE = 0.01, 0.08
+DENSE_COVARIATES = {"c1": "s * s % 7", "c2": "s * 5 % 11", "c3": "s * 3 % 4"}
+
+
+def dense_calls(spark: SparkSession, sf_dir: str):
+    """(genotype, phenotype, covariates): two dense cohorts from the halves of the embeddings.  An entry x of a variant row is the call
+    9 (missing) if |x| < 0.01, 0 if x < -0.08, 2 if x > 0.08, else 1; phenotype rows are the entries; the covariates are
+    small integers of the sample position."""
+    geno, phen = embedding_rows(spark, sf_dir, split=True)
+    call = (lambda x: F.when(F.abs(x) < CALL_MISSING, F.lit(MISSING_DOSAGE)).when(x < -CALL_EDGE, F.lit(0.0))
+            .when(x > CALL_EDGE, F.lit(2.0)).otherwise(F.lit(1.0)))
+    geno = geno.withColumn("dosage", F.transform("dosage", call))
+    at = F.array(*[F.struct(F.lit(k).alias("covariate"), F.expr(f"transform(sequence(0, 31), s -> cast({e} AS double))").alias("values"))
+                   for k, e in DENSE_COVARIATES.items()])
+    cov = phen.select("cohort").distinct().select("cohort", F.explode(at).alias("_c")).select("cohort", "_c.covariate", "_c.values")
+    return geno, phen, cov
+
+
 # ---------------------------------------------------------------- harmonisation fixtures
 # Fixed values of the fixture design.
 BASES = "ACGT"

@@ -47,21 +47,10 @@ def meta_analyse(samples: DataFrame, genotype: DataFrame, phenotype: DataFrame,
     return t_threshold(drop_empty(inverse_variance(eff)), t_thr)
 
 
-def meta_analyse_dense(genotype: DataFrame, phenotype: DataFrame, covariates: DataFrame | None = None, *,
-                       t_thr: float | None = None, impute: bool = True,
-                       variant_include: DataFrame | None = None, variant_exclude: DataFrame | None = None,
-                       phenotype_include: DataFrame | None = None, phenotype_exclude: DataFrame | None = None,
-                       maf: float = 0.0, maf_mode: str = "inclusive", drop_half: bool = True,
-                       availability: str = "any", **kw) -> DataFrame:
-    """P1 for dense cohorts (dosage arrays in sample order, e.g. from ``plans.ingest``): the block
-    GEMM path with the IVW pooling done inside each variant block, then the t-threshold.
-
-    Include/exclude lists, the MAF window and availability work as in ``cohort_effects``.  Missing calls (code 9)
-    become the variant's mean within its cohort unless ``impute`` is off (encoded rows, which are no dosages:
-    there ``maf`` must be 0).  A variant or phenotype that occurs twice in a cohort is an error."""
+def _dense_inputs(genotype, phenotype, *, impute=True, variant_include=None, variant_exclude=None, phenotype_include=None,
+                  phenotype_exclude=None, maf=0.0, maf_mode="inclusive", drop_half=True, availability="any"):
+    """Dense rows after lists, MAF window, imputation and availability."""
     from ..functions.columns import impute_mean_array, maf_from_array
-    from ..operators.blocks import dense_associate
-    from ..operators.checks import assert_unique
     genotype = align.filter_variants(genotype, variant_include, variant_exclude)
     phenotype = align.filter_phenotypes(phenotype, phenotype_include, phenotype_exclude)
     if maf:
@@ -73,9 +62,59 @@ def meta_analyse_dense(genotype: DataFrame, phenotype: DataFrame, covariates: Da
         cohorts = phenotype.select("cohort").distinct()
         genotype = align.present_in_all(genotype, "variant", cohorts)
         phenotype = align.require_rows(align.present_in_all(phenotype, "phenotype", cohorts), "phenotype common to all cohorts")
-    assert_unique(genotype, ["cohort", "variant"], "variants of a cohort")
-    assert_unique(phenotype, ["cohort", "phenotype"], "phenotypes of a cohort")
-    return drop_empty(dense_associate(genotype, phenotype, covariates, pooled=True, t_thr=t_thr, **kw))
+    return genotype, phenotype
+
+
+_DENSE_FILTERS = ("impute", "variant_include", "variant_exclude", "phenotype_include", "phenotype_exclude", "maf", "maf_mode",
+                  "drop_half", "availability")
+
+
+def _split(kw: dict) -> tuple[dict, dict]:
+    return {k: v for k, v in kw.items() if k in _DENSE_FILTERS}, {k: v for k, v in kw.items() if k not in _DENSE_FILTERS}
+
+
+def meta_analyse_dense(genotype: DataFrame, phenotype: DataFrame, covariates: DataFrame | None = None, *,
+                       t_thr: float | None = None, cov_index: DataFrame | None = None, **kw) -> DataFrame:
+    """P1 for dense cohorts (dosage arrays in sample order, e.g. from ``plans.ingest``): the tile engine with the IVW pooling
+    and the t-threshold inside each tile.
+
+    Include/exclude lists, the MAF window, availability and ``cov_index`` work as in ``cohort_effects``.  Missing calls (code 9)
+    become the variant's mean within its cohort unless ``impute`` is off (encoded rows, which are no dosages:
+    there ``maf`` must be 0).  A variant or phenotype that occurs twice in a cohort is an error, found by the task that meets it."""
+    from ..operators.blocks import dense_associate
+    filters, rest = _split(kw)
+    genotype, phenotype = _dense_inputs(genotype, phenotype, **filters)
+    return drop_empty(dense_associate(genotype, phenotype, covariates, pooled=True, t_thr=t_thr, cov_index=cov_index, **rest))
+
+
+def cohort_effects_dense(genotype: DataFrame, phenotype: DataFrame, covariates: DataFrame | None = None, *,
+                         factors: tuple[str, ...] = (), t_thr: float | None = None, **kw) -> DataFrame:
+    """Per-cohort effects of dense rows (the same filters); ``factors`` adds genotype × covariate terms."""
+    from ..operators.blocks import dense_associate
+    filters, rest = _split(kw)
+    genotype, phenotype = _dense_inputs(genotype, phenotype, **filters)
+    return dense_associate(genotype, phenotype, covariates, pooled=False, factors=factors, t_thr=t_thr, **rest)
+
+
+def meta_analyse_shared(pd: dict, genotype: DataFrame | None = None, phenotype: DataFrame | None = None, *,
+                        variant_include: DataFrame | None = None, variant_exclude: DataFrame | None = None,
+                        phenotype_include: DataFrame | None = None, phenotype_exclude: DataFrame | None = None,
+                        maf: float = 0.0, maf_mode: str = "inclusive", drop_half: bool = True, availability: str = "any",
+                        cov_index: DataFrame | None = None, output: str = "pooled", t_thr: float | None = None, **kw) -> DataFrame:
+    """Meta-analysis (or, with ``output`` cohort or mega, per-cohort effects or one pooled regression) from shared partial
+    derivatives and encoded rows, or pd_b4: every filter acts on the shared tables, the products are made in the tiles."""
+    from ..operators.blocks import associate_shared
+    test = align.filter_variants(pd["pd_test"], variant_include, variant_exclude)
+    pheno = align.filter_phenotypes(pd["pd_pheno"], phenotype_include, phenotype_exclude)
+    if maf and output != "mega":
+        test = test.where(align.maf_predicate("maf", maf, maf_mode, drop_half))
+    if availability == "all":
+        test = align.present_in_all(test, "variant", pd["pd_cov"])
+        pheno = align.require_rows(align.present_in_all(pheno, "phenotype", pd["pd_cov"]), "phenotype common to all cohorts")
+    chosen = align.select_covariates(dict(pd, pd_test=test, pd_pheno=pheno), cov_index)
+    tables = {k: v for k, v in chosen.items() if isinstance(v, DataFrame)}
+    out = associate_shared(tables, genotype, phenotype, output=output, t_thr=t_thr, maf=maf if output == "mega" else 0.0, **kw)
+    return drop_empty(out)
 
 
 def meta_analyse_with_log(samples: DataFrame, genotype: DataFrame, phenotype: DataFrame, n_cov: int, *,
@@ -145,8 +184,8 @@ def associate(samples: DataFrame, genotype: DataFrame, phenotype: DataFrame, n_c
 
 
 def encode_site(samples: DataFrame, genotype: DataFrame, phenotype: DataFrame, seed: int, block: int = 64,
-                flips: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Site-side encoding: G·F and F⁻¹·P with a block-diagonal key.
+                flips: DataFrame | None = None, key: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Site-side encoding: G·F and F⁻¹·P with a block-diagonal key, or with the (full) ``key`` (cohort, i, j, f).
 
     Dense rows (``dosage`` arrays, with ``phenotype`` as (cohort, phenotype, values) arrays) are
     flipped in place (2 − g) before encoding.  Sparse long rows cannot be flipped in place — their
@@ -159,8 +198,8 @@ def encode_site(samples: DataFrame, genotype: DataFrame, phenotype: DataFrame, s
         if flips is not None:
             genotype = (genotype.join(flips.select("cohort", "variant", "flip"), ["cohort", "variant"], "left")
                         .withColumn("dosage", flip_dosage("dosage", F.coalesce(F.col("flip"), F.lit(1)))).drop("flip"))
-        return encode_dense(genotype, phenotype, seed, block)
-    out = encode(samples, genotype, phenotype, seed, block)
+        return encode_dense(genotype, phenotype, seed, block, key)
+    out = encode(samples, genotype, phenotype, seed, block, key)
     if flips is not None:
         out["flips"] = flips.select("cohort", "variant", "flip")
     return out
@@ -208,5 +247,17 @@ def permuted_genotype_set(permuted_genotype: DataFrame, empirical_probes: DataFr
 
 def remove_subjects(samples: DataFrame, genotype: DataFrame, phenotype: DataFrame, removed: DataFrame):
     """Drop listed subjects from every table (anti joins on the sample key)."""
-    from .. operators.align import remove_samples
+    from ..operators.align import remove_samples
     return remove_samples(samples, removed), remove_samples(genotype, removed), remove_samples(phenotype, removed)
+
+
+def remove_subjects_dense(samples: DataFrame, removed: DataFrame, *tables: tuple[DataFrame, str]) -> tuple[DataFrame, ...]:
+    """Dense rows without the listed subjects: ``samples`` (cohort, sample_id, sample_pos) gives the places of the arrays, ``removed``
+    lists (cohort, sample_id) or sample ids of all cohorts; each table comes with the name of its array column.
+
+    Returns the samples left, renumbered, and the tables."""
+    from ..operators.align import gather_samples, remove_samples
+    from ..operators.ranks import rank_within
+    left = rank_within(remove_samples(samples, removed).select("cohort", "sample_id", "sample_pos"), "cohort", "sample_pos", "idx")
+    order = left.select("cohort", "idx", F.col("sample_pos").alias("pos"))
+    return (left.select("cohort", "sample_id", F.col("idx").alias("sample_pos")), *(gather_samples(df, order, col) for df, col in tables))

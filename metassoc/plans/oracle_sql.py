@@ -111,6 +111,42 @@ eff0 AS (SELECT eg.cohort, eg.variant, ep.phenotype, eg.n, eg.sgg - eg.sg * eg.s
 eff AS (SELECT *, sqrt(abs(rss0 - beta * beta * s) / (s * (n - 2))) AS se FROM eff0)"""
 
 
+def call_ctes(variants: str = "TRUE", phenotypes: str = "TRUE", maf: float = 0.0, cohorts: int = 0) -> str:
+    """The dense fixture as calls: eg (g imputed, maf of the observed calls) and ep, cut to rows that meet the conditions and,
+    with ``cohorts``, to names that so many cohorts have left."""
+    window = f"maf >= {maf} AND maf <= 1 - {maf} AND maf <> 0.5" if maf else "TRUE"
+    def common(key, table):
+        return f"{key} IN (SELECT {key} FROM {table} GROUP BY {key} HAVING count(DISTINCT cohort) >= {cohorts})"
+    return f"""ev AS (SELECT 'A' AS cohort, vec_id, label, list_slice(CAST(embedding AS DOUBLE[]), 1, 32) AS v FROM embeddings
+  UNION ALL SELECT 'B' AS cohort, vec_id, label, list_slice(CAST(embedding AS DOUBLE[]), 33, 64) AS v FROM embeddings),
+ec AS (SELECT cohort, vec_id, list_transform(v, lambda x: CASE WHEN abs(x) < 0.01 THEN 9.0 WHEN x < -0.08 THEN 0.0
+              WHEN x > 0.08 THEN 2.0 ELSE 1.0 END) AS c FROM ev WHERE label < 5),
+eo AS (SELECT *, list_filter(c, lambda x: x <> 9.0) AS o FROM ec),
+em AS (SELECT *, CAST(list_sum(o) AS DOUBLE) / len(o) AS mean FROM eo),
+eg0 AS (SELECT cohort, vec_id, CAST(vec_id AS VARCHAR) AS variant, mean / 2 AS maf, len(c) AS n,
+               list_transform(c, lambda x: CAST(CASE WHEN x = 9.0 THEN mean ELSE x END AS DOUBLE)) AS g FROM em WHERE len(o) > 0),
+eg1 AS (SELECT * FROM eg0 WHERE ({variants}) AND {window}),
+ep1 AS (SELECT cohort, vec_id, CAST(vec_id AS VARCHAR) AS phenotype, v AS y FROM ev WHERE label >= 5 AND ({phenotypes})),
+eg AS (SELECT * FROM eg1 WHERE {common('variant', 'eg1')}),
+ep AS (SELECT * FROM ep1 WHERE {common('phenotype', 'ep1')})"""
+
+
+def call_covariate(expression: str) -> str:
+    """A covariate of the dense fixture as a list over the sample positions s."""
+    return f"list_transform(range(0, 32), lambda s: CAST({expression} AS DOUBLE))"
+
+
+def call_moments(covariate: str) -> str:
+    """Moments of eg and ep with one covariate, whose list over samples is the SQL ``covariate`` of (cohort)."""
+    return f"""ex AS (SELECT cohort, {covariate} AS x FROM (SELECT DISTINCT cohort FROM ev)),
+cm AS (SELECT cohort, len(x) AS n, list_sum(x) AS sx, list_dot_product(x, x) AS sxx FROM ex),
+vm AS (SELECT eg.cohort, variant, list_sum(g) AS sg, list_dot_product(g, g) AS sgg, list_dot_product(g, x) AS sgx
+       FROM eg JOIN ex ON eg.cohort = ex.cohort),
+pm AS (SELECT ep.cohort, phenotype, list_sum(y) AS sy, list_dot_product(y, y) AS syy, list_dot_product(x, y) AS sxy
+       FROM ep JOIN ex ON ep.cohort = ex.cohort),
+gy AS (SELECT eg.cohort, variant, phenotype, list_dot_product(g, y) AS sgy FROM eg JOIN ep ON eg.cohort = ep.cohort)"""
+
+
 def with_all(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from . import fixtures as fx
 from . import jobs
 from .catalog import query
-from .oracle_sql import (EFFECT_CTES, META_CTES, META_SELECT, MOMENTS_CTES, PHENO_CTE, R, S, effect_ctes,
-                         embed_ctes, fixture_ctes, samples_cte, with_all)
+from .oracle_sql import (EFFECT_CTES, META_CTES, META_SELECT, MOMENTS_CTES, PHENO_CTE, R, S, call_covariate, call_ctes,
+                         call_moments, effect_ctes, embed_ctes, fixture_ctes, samples_cte, with_all)
 
 N_COV = len(fx.COVARIATES)
 _BASE = fixture_ctes()
@@ -728,13 +728,13 @@ fse AS (SELECT *, sqrt(abs(syy - bx * sxy - beta * sgy) / (n - k - 2) * sxx / de
        + f"""SELECT variant, phenotype, {R('beta')} AS beta, {R('se')} AS standard_error, {R('beta / se')} AS t_stat,
        {R('n')} AS sample_size, {R('sg / (2.0 * n)')} AS maf FROM fse""")
 def mega_study_intercepts(spark, sf_dir):
-    """Pooled regression over all cohorts with K−1 study indicator covariates."""
-    from ..operators.meta import with_study_intercepts
+    """Pooled regression over all cohorts with an intercept for each, from their partial derivatives: the cohort rows of the
+    arrowhead system are eliminated cohort by cohort in the tiles; raw rows are read once, for the sums."""
+    from ..operators.blocks import associate_shared
     from ..operators.moments import partial_derivatives
-    from ..operators.regression import associate_pd
     smp, geno, phen = fx.cohort_data(spark, sf_dir)
-    s2, g2, p2, extra = with_study_intercepts(smp, geno, phen)
-    eff = associate_pd(partial_derivatives(s2, g2, p2, N_COV + extra))
+    pd_ = partial_derivatives(smp, geno, phen, N_COV)
+    eff = associate_shared({k: v for k, v in pd_.items() if k != "p"}, output="mega", intercepts=True)
     return eff.select("variant", "phenotype", "beta", "standard_error", "t_stat", "sample_size", "maf")
 
 
@@ -917,18 +917,188 @@ def partial_derivatives_dense(spark, sf_dir):
 @query("dense_meta_encoded", with_all(embed_ctes(split=True), META_CTES) + META_SELECT)
 def dense_meta_encoded(spark, sf_dir):
     """Federated flow on the two dense embedding cohorts: each site computes its partial
-    derivatives from raw rows; the centre gets gᵀy only from privacy-encoded G·F and F⁻¹·Y,
-    solves per cohort and pools (equals dense_meta up to the key's conditioning)."""
-    from ..operators.blocks import dense_partial_derivatives, dot_products
-    from ..operators.encode import encode_dense
-    from ..operators.meta import drop_empty, inverse_variance
-    from ..operators.regression import associate_pd
+    derivatives from raw rows; the centre gets gᵀy only from privacy-encoded G·F and F⁻¹·Y, multiplied, solved
+    and pooled in the tiles (equals dense_meta up to the key's conditioning)."""
+    from ..operators.blocks import dense_partial_derivatives
     geno, phen = fx.embedding_rows(spark, sf_dir, split=True)
     pd_ = dense_partial_derivatives(geno, phen, with_b4=False)
-    enc = encode_dense(geno, phen, seed=_KEY_SEED)
-    b4 = dot_products(enc["genotype"].withColumnRenamed("dosage", "vec"), enc["phenotype"].withColumnRenamed("values", "vec"))
-    pd_["pd_b4"] = b4.withColumnRenamed("dot", "gy")
-    return drop_empty(inverse_variance(associate_pd(pd_)))
+    enc = jobs.encode_site(None, geno, phen, seed=_KEY_SEED)
+    return jobs.meta_analyse_shared(pd_, enc["genotype"], enc["phenotype"])
+
+
+# ---------------------------------------------------------------- dense cohorts with calls, covariates and filters
+
+def _by_cohort(a: str, b: str) -> str:
+    return f"CASE WHEN cohort = 'A' THEN {a} ELSE {b} END"
+
+
+_CALL_T, _CALL_MAF = 0.5, 0.2
+_CALL_V = f"({_by_cohort('vec_id % 3 <> 0', 'vec_id % 4 <> 0')}) AND vec_id % 10 <> 7"
+_CALL_P = f"({_by_cohort('vec_id % 5 <> 1', 'vec_id % 6 <> 2')}) AND vec_id % 11 <> 3"
+_CALL_X = _by_cohort(call_covariate("s * s % 7"), call_covariate("s * 5 % 11"))
+_CALL_SQL = with_all(call_ctes(_CALL_V, _CALL_P, _CALL_MAF, 2), call_moments(_CALL_X), EFFECT_CTES, META_CTES) + META_SELECT
+
+
+def _call_lists(geno, phen):
+    """Per-cohort include lists and all-cohort exclude lists of the dense fixture."""
+    def rows(df, key, a, b):
+        k = F.col(key).cast("long")
+        return df.select("cohort", key).where(F.when(F.col("cohort") == "A", k % a[0] != a[1]).otherwise(k % b[0] != b[1]))
+    def out(df, key, m, r):
+        return df.select(key).distinct().where(F.col(key).cast("long") % m == r)
+    return {"variant_include": rows(geno, "variant", (3, 0), (4, 0)), "variant_exclude": out(geno, "variant", 10, 7),
+            "phenotype_include": rows(phen, "phenotype", (5, 1), (6, 2)), "phenotype_exclude": out(phen, "phenotype", 11, 3)}
+
+
+@query("dense_meta_filtered", _CALL_SQL + f" WHERE abs(beta / standard_error) > {_CALL_T}")
+def dense_meta_filtered(spark, sf_dir):
+    """Dense cohorts with missing calls and three covariates: include and exclude lists per cohort and for all, MAF window,
+    imputation, names that every cohort has, a covariate chosen by cohort, singular designs and the t-threshold."""
+    geno, phen, cov = fx.dense_calls(spark, sf_dir)
+    index = spark.createDataFrame([("A", 1), ("B", 2)], "cohort string, idx int")
+    return jobs.meta_analyse_dense(geno, phen, cov, maf=_CALL_MAF, availability="all", cov_index=index, t_thr=_CALL_T,
+                                   **_call_lists(geno, phen))
+
+
+@query("dense_meta_shared_filtered", _CALL_SQL)
+def dense_meta_shared_filtered(spark, sf_dir):
+    """The same filters on shared partial derivatives and encoded rows (the centre never sees a dosage)."""
+    from ..functions.columns import impute_mean_array
+    from ..operators.blocks import dense_partial_derivatives
+    geno, phen, cov = fx.dense_calls(spark, sf_dir)
+    geno = geno.withColumn("dosage", impute_mean_array("dosage"))
+    pd_ = dense_partial_derivatives(geno, phen, cov, with_b4=False)
+    enc = jobs.encode_site(None, geno, phen, seed=_KEY_SEED)
+    index = spark.createDataFrame([("A", 1), ("B", 2)], "cohort string, idx int")
+    return jobs.meta_analyse_shared(pd_, enc["genotype"], enc["phenotype"], maf=_CALL_MAF, availability="all", cov_index=index,
+                                    **_call_lists(pd_["pd_test"], pd_["pd_pheno"]))
+
+
+def _write_sites(spark, sf_dir, base):
+    """Two sites as they would deliver: A encoded, B raw with its expression as a text matrix in another order of the samples."""
+    from ..functions.columns import impute_mean_array
+    from ..operators.blocks import dense_partial_derivatives
+    from . import federated
+    geno, phen, cov = fx.dense_calls(spark, sf_dir)
+    ids = spark.range(32).select(F.col("id").alias("sample_pos"), F.concat(F.lit("s"), "id").alias("sample_id"))
+    lists = _call_lists(geno, phen)
+    rows = []
+    for cohort in ("A", "B"):
+        here = F.col("cohort") == cohort
+        g = geno.where(here).withColumn("dosage", impute_mean_array("dosage"))
+        p, at = phen.where(here), {k: f"{base}/{cohort}/{k}" for k in ("genotype", "expression", "pd", "snps.csv", "genes.csv")}
+        federated.write_partial_derivatives(dense_partial_derivatives(g, p, cov.where(here), with_b4=False), ids, at["pd"])
+        if cohort == "A":
+            enc = jobs.encode_site(None, g, p, seed=_KEY_SEED)
+            federated.write_genotype(enc["genotype"], ids, at["genotype"])
+            federated.write_expression(enc["phenotype"], ids, at["expression"])
+        else:
+            turned = ids.select((31 - F.col("sample_pos")).alias("sample_pos"), "sample_id")
+            federated.write_genotype(geno.where(here).withColumn("dosage", F.reverse("dosage")), turned, at["genotype"])
+            at["expression"] += ".tsv"
+            _write_matrix(p, at["expression"])
+        lists["variant_include"].where(here & (F.col("variant").cast("long") % 10 != 7)).select(
+            F.col("variant").alias("ID")).write.option("header", True).csv(at["snps.csv"])
+        lists["phenotype_include"].where(here & (F.col("phenotype").cast("long") % 11 != 3)).select(
+            F.col("phenotype").alias("ID")).write.option("header", True).csv(at["genes.csv"])
+        rows.append((cohort, at["genotype"], at["expression"], at["pd"], int(cohort == "A"), at["snps.csv"], at["genes.csv"]))
+    master = spark.createDataFrame(rows, "cohort string, genotype string, expression string, partial_derivatives string, encoded int, "
+                                         "snp_inclusion string, gene_inclusion string")
+    master.coalesce(1).write.option("sep", "\t").option("header", True).csv(f"{base}/master.tsv")
+    index = spark.createDataFrame([("A\t1",), ("B\t2",)], "value string")
+    index.coalesce(1).write.text(f"{base}/covariates.tsv")
+    return f"{base}/master.tsv", f"{base}/covariates.tsv"
+
+
+def _write_matrix(phenotype, path):
+    """Samples × phenotypes as text: header, then a line per sample, the last sample first."""
+    cells = phenotype.select("phenotype", F.posexplode("values").alias("at", "v"))
+    lines = cells.groupBy("at").agg(F.array_sort(F.collect_list(F.struct("phenotype", F.col("v").cast("string").alias("v")))).alias("r"))
+    body = lines.select((-F.col("at").cast("long")).alias("o"), F.concat_ws(
+        "\t", F.concat(F.lit("s"), F.col("at")), F.transform("r", lambda e: e["v"])).alias("value"))
+    head = phenotype.agg(F.array_sort(F.collect_list("phenotype")).alias("n")).select(
+        F.lit(-1000).cast("long").alias("o"), F.concat_ws("\t", F.lit("id"), "n").alias("value"))
+    head.unionByName(body).coalesce(1).sortWithinPartitions("o").select("value").write.text(path)
+
+
+@query("federated_meta", _CALL_SQL)
+def federated_meta(spark, sf_dir):
+    """Master table to result: two sites (one encoded, one raw, with another order of samples) written to the shared folder, then
+    analysed from the master table, the inclusion lists and the covariate index."""
+    import uuid
+    from ..session import shared_path
+    from . import federated
+    master, index = _write_sites(spark, sf_dir, shared_path(spark, f"sites-{uuid.uuid4().hex}"))
+    return federated.federated_meta(spark, master, covariate_index=index, maf=_CALL_MAF, availability="all")
+
+
+# Interactions by orthogonalised columns: with 1, c1, c2, g·c1, g·c2, g made orthogonal one after another, the last one's coefficient
+# is its product with y over its square, and what y has left after all of them is the residual.
+def _orthogonal(order: list[str]) -> str:
+    """SQL of the CTEs o_<last>_<k>: lists, each orthogonal to those before it, for eg rows with columns c1, c2, z1, z2, g."""
+    ctes, have = [], []
+    source = "ez"
+    for k, name in enumerate(order):
+        minus = "".join(f" - list_dot_product({name}, q{h}) / list_dot_product(q{h}, q{h}) * q{h}[i]" for h in have)
+        ctes.append(f"o_{order[-1]}_{k} AS (SELECT *, list_transform(range(1, len({name}) + 1), lambda i: {name}[i]{minus}) AS q{k} FROM {source})")
+        source, have = f"o_{order[-1]}_{k}", [*have, k]
+    return ",\n".join(ctes)
+
+
+def _last_effect(order: list[str]) -> str:
+    left = "".join(f" - pow(list_dot_product(q{k}, y), 2) / list_dot_product(q{k}, q{k})" for k in range(6))
+    return f"""e_{order[-1]} AS (SELECT cohort, variant, phenotype, list_dot_product(q5, y) / list_dot_product(q5, q5) AS b,
+       sqrt(abs(list_dot_product(y, y){left}) / 26 / list_dot_product(q5, q5)) AS se
+       FROM (SELECT o.*, ep.phenotype, ep.y FROM o_{order[-1]}_5 o JOIN ep ON o.cohort = ep.cohort
+             WHERE list_dot_product(q5, q5) > 1e-12 * list_dot_product({order[-1]}, {order[-1]})))"""
+
+
+_ORDERS = [["one", "c1", "c2", *[z for z in ("z1", "z2", "g") if z != last], last] for last in ("g", "z1", "z2")]
+
+
+@query("dense_interactions", with_all(call_ctes(maf=_CALL_MAF),
+       f"""ez AS (SELECT *, list_transform(range(1, 33), lambda i: g[i] * c1[i]) AS z1, list_transform(range(1, 33), lambda i: g[i] * c2[i]) AS z2
+       FROM (SELECT eg.*, {call_covariate('1')} AS one, {call_covariate('s * s % 7')} AS c1, {call_covariate('s * 5 % 11')} AS c2 FROM eg))""",
+       *[_orthogonal(o) for o in _ORDERS], *[_last_effect(o) for o in _ORDERS])
+       + f"""SELECT g.cohort, g.variant, g.phenotype, {R('g.b')} AS beta, {R('g.se')} AS standard_error, {R('z1.b')} AS beta_c1, {R('z1.se')} AS se_c1,
+       {R('z2.b')} AS beta_c2, {R('z2.se')} AS se_c2 FROM e_g g JOIN e_z1 z1 ON g.cohort = z1.cohort AND g.variant = z1.variant AND g.phenotype = z1.phenotype
+       JOIN e_z2 z2 ON g.cohort = z2.cohort AND g.variant = z2.variant AND g.phenotype = z2.phenotype""")
+def dense_interactions(spark, sf_dir):
+    """Dense model y ~ 1 + c1 + c2 + g·c1 + g·c2 + g per cohort: three variable terms, 3 × 3 Schur complements in stacks."""
+    geno, phen, cov = fx.dense_calls(spark, sf_dir)
+    out = jobs.cohort_effects_dense(geno, phen, cov.where("covariate != 'c3'"), factors=("c1", "c2"), maf=_CALL_MAF)
+    b, se = F.col("betas_interaction"), F.col("ses_interaction")
+    return out.select("cohort", "variant", "phenotype", "beta", "standard_error", b[0].alias("beta_c1"), se[0].alias("se_c1"),
+                      b[1].alias("beta_c2"), se[1].alias("se_c2"))
+
+
+@query("dense_mega_intercepts", with_all(
+    call_ctes(maf=_CALL_MAF, cohorts=2), call_moments(call_covariate("s * s % 7")), _INTERCEPT_SQL)
+    + f"""SELECT variant, phenotype, {R('beta')} AS beta, {R('se')} AS standard_error, {R('beta / se')} AS t_stat,
+       {R('n')} AS sample_size, {R('sg / (2.0 * n)')} AS maf FROM fse""")
+def dense_mega_intercepts(spark, sf_dir):
+    """One regression over dense cohorts with an intercept for each, from summed statistics in the tiles."""
+    from ..operators.blocks import dense_mega
+    geno, phen, cov = fx.dense_calls(spark, sf_dir)
+    geno, phen = jobs._dense_inputs(geno, phen, maf=_CALL_MAF)
+    out = dense_mega(geno, phen, cov.where("covariate = 'c1'"), intercepts=True)
+    return out.select("variant", "phenotype", "beta", "standard_error", "t_stat", "sample_size", "maf")
+
+
+@query("encode_full_key", with_all(embed_ctes(split=True))
+       + f"SELECT eg.cohort, eg.variant, ep.phenotype, {R('round(list_dot_product(eg.g, ep.y), 6)')} AS gy FROM eg JOIN ep ON eg.cohort = ep.cohort")
+def encode_full_key(spark, sf_dir):
+    """gᵀy from rows encoded with a full key: every sample mixed with every other, the key inverted block by block on executors;
+    to six decimals, as sums that cancel keep the rounding of the much larger encoded values (about 1e-13)."""
+    from ..operators.blocks import dot_products
+    from ..operators.encode import encode_dense
+    geno, phen = fx.embedding_rows(spark, sf_dir, split=True)
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(31).cast("long")))
+    key = geno.select("cohort").distinct().select("cohort", every.alias("i")).select("cohort", "i", every.alias("j"))
+    key = key.withColumn("f", (F.pmod(F.xxhash64("cohort", "i", "j", F.lit(_KEY_SEED)), F.lit(9)) + 1).cast("double"))
+    enc = encode_dense(geno, phen, seed=_KEY_SEED, key=key, key_block=16)
+    d = dot_products(enc["genotype"].withColumnRenamed("dosage", "vec"), enc["phenotype"].withColumnRenamed("values", "vec"))
+    return d.select("cohort", "variant", "phenotype", F.round("dot", 6).alias("gy"))
 
 
 _MEGA_MISS = """pairs AS (SELECT vm.variant, pm.phenotype, sum(cm.n) AS n, sum(cm.sx) AS sx, sum(cm.sxx) AS sxx,

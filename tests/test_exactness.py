@@ -103,8 +103,10 @@ def test_dense_meta_imputes_filters_and_refuses_duplicates(spark):
     r = jobs.meta_analyse_dense(geno, pheno, maf=0.05, phenotype_exclude=spark.createDataFrame([("q",)], "phenotype string")).collect()
     want = np.polyfit(mean, y, 1)[0]
     assert [(x.variant, x.phenotype) for x in r] == [("v", "p")] and r[0].beta == pytest.approx(want, rel=1e-9)
-    with pytest.raises(ValueError):
-        jobs.meta_analyse_dense(geno.union(geno), pheno)
+    with pytest.raises(Exception, match="twice"):
+        jobs.meta_analyse_dense(geno.union(geno), pheno).collect()
+    with pytest.raises(Exception, match="twice"):
+        jobs.meta_analyse_dense(geno, pheno.union(pheno)).collect()
 
 
 def test_effect_guard(spark):

@@ -60,11 +60,11 @@ def test_interaction_matches_numpy(spark):
 
 
 def test_study_intercepts_match_numpy(spark):
-    from metassoc.operators.meta import with_study_intercepts
+    from metassoc.operators.blocks import associate_shared
     S, G, P, (s, g, p) = _frames(spark, seed=5)
-    s2, g2, p2, extra = with_study_intercepts(S, G, P)
-    assert extra == 1
-    got = {(r.variant, r.phenotype): r for r in associate_pd(partial_derivatives(s2, g2, p2, 1 + extra)).collect()}
+    pd_ = partial_derivatives(S, G, P, 1)          # sparse sums: what a cohort lacks is zero
+    got = {(r.variant, r.phenotype): r for r in associate_shared(
+        {k: pd_[k] for k in ("pd_cov", "pd_test", "pd_pheno", "pd_b4")}, output="mega", intercepts=True).collect()}
     for (v, ph), r in got.items():
         xs, gs, ys, ds = [], [], [], []
         for c in ("A", "B"):
@@ -119,9 +119,10 @@ def test_dense_block_path_equals_long_path(spark):
             assert r.beta == pytest.approx(long_meta[k].beta, rel=1e-9, abs=1e-12)
             assert r.standard_error == pytest.approx(long_meta[k].standard_error, rel=1e-9)
             assert r.sample_size == long_meta[k].sample_size
-    # tiny broadcast cap -> several phenotype ranges, same answer
-    blk = {(r.variant, r.phenotype): r.beta for r in dense_associate(DG, DP, DC, max_broadcast_bytes=64).collect()}
-    assert blk == pytest.approx({k: v.beta for k, v in long_meta.items()})
+    # several phenotype blocks and sample blocks, same answer
+    for how in ({"phenotypes_per_block": 1}, {"sample_block": 4}, {"variants_per_block": 1, "phenotypes_per_block": 2, "sample_block": 2}):
+        blk = {(r.variant, r.phenotype): r.beta for r in dense_associate(DG, DP, DC, **how).collect()}
+        assert blk == pytest.approx({k: v.beta for k, v in long_meta.items()})
 
 
 def test_permutation_is_a_bijection_per_cohort(spark):
@@ -184,17 +185,15 @@ def test_column_functions(spark):
     assert a.i == [0.0, 1.0, 1.0, 2.0] and a.fl == [2.0, 1.0, 9.0, 0.0] and a.m == pytest.approx(0.5)
 
 
-def test_plans_block_path_clustered_once_and_long_path_broadcasts(spark):
-    """Several phenotype ranges reuse one clustering of the genotype (no exchange per range), and
-    the long path broadcasts the measured phenotype side of the cohort grid."""
+def test_plans_tiles_in_one_exchange_and_long_path_broadcasts(spark):
+    """The tile rows are exchanged once, to their tasks; the long path broadcasts the measured phenotype side of the cohort grid."""
     from metassoc.operators.blocks import dense_associate
     rows_g = [("A", f"v{i}", [float((i * j) % 3) for j in range(8)]) for i in range(6)]
     rows_p = [("A", f"p{k}", [float((k + j) % 5) for j in range(8)]) for k in range(4)]
     DG = spark.createDataFrame(rows_g, "cohort string, variant string, dosage array<double>")
     DP = spark.createDataFrame(rows_p, "cohort string, phenotype string, values array<double>")
-    out = dense_associate(DG, DP, max_broadcast_bytes=64, variants_per_block=2)
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("FlatMapGroupsInPandas") >= 2 and "Exchange" not in plan.split("FlatMapGroupsInPandas", 1)[1][:400]
+    plan = dense_associate(DG, DP, variants_per_block=2)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("MapInArrow") == 1 and "Broadcast" not in plan
     S, G, P, _ = _frames(spark)
     eff = associate_pd(partial_derivatives(S, G, P, 1))
     assert "BroadcastHashJoin" in eff._jdf.queryExecution().executedPlan().toString()
@@ -263,31 +262,6 @@ def test_gather_and_variant_map(spark):
         require_rows(names.where("cohort = 'C'"), "phenotype")
 
 
-def test_native_dense_path_one_exchange_and_equal(spark):
-    from metassoc.operators.blocks import dense_associate, dense_associate_native
-    rng = np.random.default_rng(3)
-    rows_g = [(c, f"v{i}", rng.integers(0, 3, 12).astype(float).tolist()) for c in ("A", "B") for i in range(5)]
-    rows_p = [(c, f"p{k}", rng.normal(size=12).tolist()) for c in ("A", "B") for k in range(3)]
-    rows_c = [(c, "x", rng.normal(size=12).tolist()) for c in ("A", "B")]
-    DG = spark.createDataFrame(rows_g, "cohort string, variant string, dosage array<double>")
-    DP = spark.createDataFrame(rows_p, "cohort string, phenotype string, values array<double>")
-    DC = spark.createDataFrame(rows_c, "cohort string, covariate string, values array<double>")
-    nat = dense_associate_native(DG, DP, DC)
-    plan = nat._jdf.queryExecution().executedPlan().toString()
-    nat_rows = {(r.variant, r.phenotype): r for r in nat.collect()}
-    final = nat._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    # the genotype side is shuffled once (by variant) and the IVW aggregate on (variant, phenotype)
-    # reuses that partitioning; the phenotype side is broadcast
-    assert final.count("hashpartitioning(variant") == 1 and "hashpartitioning(phenotype" not in final
-    assert "BroadcastHashJoin" in final
-    blk = {(r.variant, r.phenotype): r for r in dense_associate(DG, DP, DC).collect()}
-    assert set(nat_rows) == set(blk)
-    for k, r in blk.items():
-        assert nat_rows[k].beta == pytest.approx(r.beta, rel=1e-9, abs=1e-12)
-        assert nat_rows[k].standard_error == pytest.approx(r.standard_error, rel=1e-9)
-        assert (nat_rows[k].i_squared is None) == (r.i_squared is None or math.isnan(r.i_squared))
-
-
 def test_pd_sample_coverage(spark):
     from metassoc.operators.align import assert_pd_samples_covered, sample_intersection
     ph = spark.createDataFrame([("A", "s1"), ("A", "s2")], "cohort string, sample_id string")
@@ -364,13 +338,11 @@ def test_two_interaction_factors_match_numpy(spark):
 
 def test_encoded_interaction_products(spark):
     """R3: the centre gets Σ g·f·y from G·F and F⁻¹·(y∘f)."""
-    from metassoc.operators.encode import (block_key, encode_genotype, encode_interaction_phenotype,
-                                           encoded_cross_moments, invert_key, sample_positions)
+    from metassoc.operators.encode import encode, encode_interaction_phenotype, encoded_cross_moments
     S, G, P, (s, g, p) = _frames(spark)
-    pos = sample_positions(S)
-    key = block_key(pos, seed=5, block=3)
-    eg = encode_genotype(G, pos, key)
-    ep = encode_interaction_phenotype(P, S, pos, invert_key(key, 3), factor=0)
+    enc = encode(S, G, P, seed=5, block=3)
+    eg = enc["genotype"]
+    ep = encode_interaction_phenotype(P, S, enc["positions"], seed=5, block=3, factor=0)
     got = {(r.cohort, r.variant, r.phenotype): r.gy for r in encoded_cross_moments(eg, ep).collect()}
     xs = {(r.cohort, r.sample_id): r.x[0] for r in S.collect()}
     gyf = (G.join(P, ["cohort", "sample_id"]).rdd
