@@ -8,57 +8,86 @@ No row is exchanged between tasks; only the last window is padded.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from metassoc.llm.common import staged
-from metassoc.llm.wordcache import blocks, worker_cache
+from metassoc.llm.wordcache import ArrowWordCache, row_blocks, worker_cache
 from metassoc.session import prepare
 
 LENGTH = 2048
 BLOCK_CHARS = 2_000_000
-CACHE_WORDS = 250_000
+CACHE_WORDS = 300_000
+CACHE_PIECES = 100_000
 
 # capital dotted I, and everything from the combining marks on
-beyond_latin = re.compile("[\u0130\u0300-\U0010ffff]").search
+BEYOND_LATIN = "[\u0130\u0300-\U0010ffff]"
 
+# printable ASCII but capitals, and letters below the combining marks
+LETTERS = "a-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u02c1"
+plain_word = re.compile(f"[!-@\\[-~{LETTERS}]+").fullmatch
+# fixed value: the tokenizer's own pattern for such characters
+pieces_of = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[!-/:-@\[-`{{-~]+").findall
 
-def word_encoder(model_json: str):
-    """list of words -> (ids, ids per word) by the ``tokenizers`` library, without special tokens.
 
-    The words go in as long texts joined by line feeds; offsets tell which word an id belongs to."""
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte: itself if it is visible, else the next one from 256 on."""
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in set(visible)]
+    return {b: chr(b) for b in visible} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+def word_encoder(model_json: str, cache_pieces: int = CACHE_PIECES):
+    """list of words -> (ids, ids per word) as the ``tokenizers`` library encodes them.
+
+    A word of printable ASCII and Latin letters is cut into the tokenizer's pieces, each encoded once by the library's merge model;
+    any other word goes through the whole tokenizer."""
     from tokenizers import Tokenizer
     tokenizer = Tokenizer.from_str(model_json)
-    tokenizer.encode_special_tokens = True
+    merge, letters = tokenizer.model.tokenize, byte_letters()
+    known: dict[str, list[int]] = {}
+
+    def piece(p: str) -> list[int]:
+        ids = known.get(p)
+        if ids is None:
+            ids = known[p] = [t.id for t in merge(p if p.isascii() else p.encode().decode("latin-1").translate(letters))]
+        return ids
 
     def encode(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if len(known) > cache_pieces:
+            known.clear()
         out, sizes = [], []
-        for lo in range(0, len(words), 20_000):
-            part = words[lo:lo + 20_000]
-            length = np.fromiter(map(len, part), np.int64, len(part)) + 1
-            start = np.cumsum(length) - length
-            got = tokenizer.encode("\n".join(part), add_special_tokens=False)
-            at = np.fromiter((a for a, _ in got.offsets), np.int64, len(got.ids))
-            out.append(np.array(got.ids, np.int64))
-            sizes.append(np.bincount(np.searchsorted(start, at, "right") - 1, minlength=len(part)))
-        return np.concatenate(out), np.concatenate(sizes)
+        for w in words:
+            if not w:
+                ids = []
+            elif w.isalpha() and w.isascii() and w.islower():
+                ids = piece(w)
+            elif plain_word(w) and (w.isascii() or w == w.lower()):
+                ids = [i for p in pieces_of(w) for i in piece(p)]
+            else:
+                ids = tokenizer.encode(w, add_special_tokens=False).ids
+            out += ids
+            sizes.append(len(ids))
+        return np.array(out, np.int64), np.array(sizes, np.int64)
 
     return encode
 
 
-def folded(text: str) -> str:
+def folded(texts: pa.Array) -> pa.Array:
     """Line feeds as spaces; in lower case where that is one letter for one letter and leaves nothing to compose, as the
     tokenizer folds case itself: fewer different words then."""
-    text = text.replace("\n", " ")
-    return text if beyond_latin(text) else text.lower()
+    texts = pc.replace_substring(texts, "\n", " ")
+    return pc.if_else(pc.match_substring_regex(texts, BEYOND_LATIN), texts, pc.utf8_lower(texts))
 
 
 def tokenize(df: DataFrame, tokenizer_path: str, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text",
@@ -67,23 +96,37 @@ def tokenize(df: DataFrame, tokenizer_path: str, end_id: int = 1, id_col: str =
     plus ``end_id``, and where they start in the id stream of their partition.
 
     Texts are cut at spaces and line feeds, which the word tokenizer drops, and each distinct word is encoded once per
-    worker.  Null or empty texts have the end id alone; repeated rows and null ids are kept; other columns are not
+    worker.  A text that holds one of the tokenizer's added tokens goes through the library whole, which gives that token its
+    own id.  Null or empty texts have the end id alone; repeated rows and null ids are kept; other columns are not
     read; an empty table gives no rows."""
     spark = prepare(df.sparkSession)
     with open(tokenizer_path, encoding="utf-8") as f:
-        model = spark.sparkContext.broadcast(f.read())
+        model_json = f.read()
+    added = tuple(t["content"] for t in json.loads(model_json).get("added_tokens", []))
+    model = spark.sparkContext.broadcast(model_json)
     schema = T.StructType([T.StructField(id_col, df.schema[id_col].dataType), T.StructField("ids", T.ArrayType(T.IntegerType(), False)),
                            T.StructField("part", T.IntegerType()), T.StructField("part_start", T.LongType())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, total = TaskContext.get().partitionId(), 0
-        cache = worker_cache(("word", hash(model.value), cache_words), lambda: word_encoder(model.value), cache_words)
+        cache = worker_cache(("word", hash(model.value), cache_words), lambda: word_encoder(model.value), cache_words, ArrowWordCache)
+        library = None
         for batch in batches:
-            texts = [folded(t or "") for t in batch.column(1).to_pylist()]
-            for lo, hi in blocks(texts, block_chars):
-                flat, size = cache.encode([t.split(" ") for t in texts[lo:hi]])
-                ends = np.cumsum(size)
-                flat = np.insert(flat, ends, end_id).astype(np.int32)
+            for lo, hi in row_blocks(batch.column(1), block_chars):
+                texts = batch.column(1).slice(lo, hi - lo).fill_null("")
+                held = np.zeros(hi - lo, bool)
+                for a in added:
+                    held |= pc.match_substring(texts, a).to_numpy(zero_copy_only=False)
+                whole = np.flatnonzero(held).tolist()
+                flat, size = cache.encode(folded(pc.if_else(pa.array(held), "", texts) if whole else texts))
+                if whole:
+                    from tokenizers import Tokenizer
+                    library = library or Tokenizer.from_str(model.value)
+                    rows = np.split(flat, np.cumsum(size)[:-1])
+                    for i in whole:
+                        rows[i] = np.array(library.encode(texts[i].as_py(), add_special_tokens=False).ids, np.int64)
+                    flat, size = np.concatenate(rows), np.array([len(r) for r in rows], np.int64)
+                flat = np.insert(flat, np.cumsum(size), end_id).astype(np.int32)
                 size = size + 1
                 ends = np.cumsum(size)
                 yield pa.RecordBatch.from_arrays([

@@ -16,13 +16,11 @@ def texts():
     rng = random.Random(5)
     alphabet = "ab AÉß́漢字🙂\n\t\x1c\x85\xa0   's'LL12٣²Ⅷ.,!İ<|>"
     odd = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 80))) for _ in range(300)]
-    return [None, "", "<|endoftext|> x", "a" * 3000, "it's THE  end\n\nof  it ", "word " * 6000, *odd, odd[0], odd[0]]
+    return [None, "", "<|endoftext|> x", "A <|startoftext|>B<|ENDOFTEXT|>", "it's--'s we'LL x'd 'S \x00\x7f a1b22 ªº µ×÷ ʰ KELVIN", "<|endoftext|>", "a|><|b", "a" * 3000, "it's THE  end\n\nof  it ", "word " * 6000, *odd, odd[0], odd[0]]
 
 
 def library():
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(PATH)
 
 
 def test_ids_and_windows(spark):
