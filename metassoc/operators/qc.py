@@ -78,10 +78,13 @@ def regulated_pcs(genregpcs: DataFrame, t: QCThresholds = QCThresholds()) -> Dat
 
 def pick_covariates(cohorts: DataFrame, genregpcs: DataFrame | None, t: QCThresholds = QCThresholds()) -> DataFrame:
     """(cohort, covariate, idx): the first ``gen_pcs`` GenPCs and first ``exp_pcs`` ExpPCs,
-    optionally without the genetically regulated expression PCs of that cohort."""
-    gen = F.transform(F.sequence(F.lit(1), F.lit(min(t.gen_pcs, N_GEN_PCS))),
+    optionally without the genetically regulated expression PCs of that cohort.  More than the covariate table has is an error."""
+    if not (0 <= t.gen_pcs <= N_GEN_PCS and 0 <= t.exp_pcs <= N_EXP_PCS):
+        raise ValueError(f"there are {N_GEN_PCS} GenPCs and {N_EXP_PCS} ExpPCs; {t.gen_pcs} and {t.exp_pcs} were asked for")
+    first = lambda n: F.slice(F.sequence(F.lit(1), F.lit(max(n, 1))), 1, n)
+    gen = F.transform(first(t.gen_pcs),
                       lambda i: F.struct(F.concat(F.lit("GenPC"), i.cast("string")).alias("covariate"), i.alias("idx")))
-    exp = F.transform(F.sequence(F.lit(1), F.lit(min(t.exp_pcs, N_EXP_PCS))),
+    exp = F.transform(first(t.exp_pcs),
                       lambda i: F.struct(F.concat(F.lit("ExpPC"), i.cast("string")).alias("covariate"),
                                          (i + N_GEN_PCS).alias("idx")))
     picked = (cohorts.select("cohort").distinct()

@@ -19,10 +19,10 @@ def t_filter(df: DataFrame, threshold: float | None, t_col: str = "t_stat") -> D
     return df.where(~F.isnan(t) & (F.abs(t) > F.lit(float(threshold or 0.0))))
 
 
-def summarise(assoc: DataFrame, df_col: str | None = "df") -> DataFrame:
-    """RSID, p_value, t_stat, phenotype, SE, MAF, BETA (Student t with ``df_col``, normal when None)."""
+def summarise(assoc: DataFrame, df_col: str | None = "df", keep: tuple[str, ...] = ()) -> DataFrame:
+    """[keep,] RSID, p_value, t_stat, phenotype, SE, MAF, BETA (Student t with ``df_col``, normal when None)."""
     p = p_value("t_stat", df_col) if df_col else p_value("t_stat")
-    return assoc.select(F.col("variant").alias("RSID"), p.alias("p_value"), "t_stat", "phenotype",
+    return assoc.select(*keep, F.col("variant").alias("RSID"), p.alias("p_value"), "t_stat", "phenotype",
                         F.col("standard_error").alias("SE"), F.col("maf").alias("MAF"), F.col("beta").alias("BETA"))
 
 

@@ -183,10 +183,10 @@ def sold_parts(spark: SparkSession, sf_dir: str, level: str = "region") -> DataF
 
 def cohort_probes(spark: SparkSession, sf_dir: str, level: str = "region") -> DataFrame:
     """(cohort, variant_idx, id, chr, bp, allele1, allele2): the reference rows of parts sold in the
-    cohort; absent when partkey % 5 = 0, allele2 altered when % 7 = 0, alleles swapped when % 3 = 0."""
+    cohort; allele2 altered when partkey % 7 = 0, alleles swapped when % 3 = 0."""
     ref = reference_panel(spark, sf_dir)
     s = sold_parts(spark, sf_dir, level)
-    j = s.join(ref, s.partkey == ref.ref_idx).where(F.col("ref_idx") % 5 != 0)
+    j = s.join(ref, s.partkey == ref.ref_idx)
     a2 = F.when(F.col("ref_idx") % 7 == 0, F.lit(ALTERED_ALLELE)).otherwise(F.col("allele2"))
     sw = F.col("variant_idx") % 3 == 0
     j = j.select("cohort", F.col("ref_idx").alias("variant_idx"), F.col("ref_id").alias("id"), "chr", "bp",

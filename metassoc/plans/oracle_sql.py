@@ -147,6 +147,31 @@ pm AS (SELECT ep.cohort, phenotype, list_sum(y) AS sy, list_dot_product(y, y) AS
 gy AS (SELECT eg.cohort, variant, phenotype, list_dot_product(g, y) AS sgy FROM eg JOIN ep ON eg.cohort = ep.cohort)"""
 
 
+def p_student_sql(t: str, df: str, source: str, keep: str) -> str:
+    """SELECT of ``keep`` and p_value, two-sided Student t of the column ``t`` with ``df`` degrees of freedom: the incomplete beta function by
+    its continued fraction and lgamma."""
+    steps = "list_transform(range(150, 0, -1), lambda k: CAST(k AS DOUBLE))"
+    term = """1 + CASE WHEN k % 2 = 0 THEN (k / 2) * (q - k / 2) * v / ((p + k - 1) * (p + k))
+              ELSE -(p + (k - 1) / 2) * (p + q + (k - 1) / 2) * v / ((p + k - 1) * (p + k)) END / f"""
+    return f"""SELECT {keep}, CASE WHEN t = 0 THEN 1.0 WHEN mid THEN 1 - part ELSE part END AS p_value FROM (
+  SELECT *, exp(-a * ln(1 + t * t / d) + ln(y) / 2 + lgamma(a + 0.5) - lgamma(a) - lgamma(0.5)) / p
+            * list_reduce({steps}, lambda f, k: {term}, CAST(1.0 AS DOUBLE)) ** -1 AS part FROM (
+    SELECT *, CASE WHEN mid THEN 0.5 ELSE a END AS p, CASE WHEN mid THEN a ELSE 0.5 END AS q, CASE WHEN mid THEN y ELSE x END AS v FROM (
+      SELECT *, x > (a + 1) / (a + 2.5) AS mid FROM (
+        SELECT *, d / 2 AS a, d / (d + t * t) AS x, t * t / (d + t * t) AS y FROM (
+          SELECT *, CAST({t} AS DOUBLE) AS t, CAST({df} AS DOUBLE) AS d FROM {source})))))"""
+
+
+def p_normal_sql(t: str) -> str:
+    """Two-sided normal p: a series near zero, the continued fraction of erfc beyond."""
+    v = f"(abs({t}) / sqrt(2.0))"
+    near = f"""1 - 2 / sqrt(pi()) * exp(-{v} * {v}) * {v} * list_reduce(list_transform(range(60, 0, -1), lambda k: CAST(k AS DOUBLE)),
+      lambda s, k: 1 + s * 2 * {v} * {v} / (2 * k + 1), CAST(1.0 AS DOUBLE))"""
+    far = f"""exp(-{v} * {v}) / (sqrt(pi()) * list_reduce(list_transform(range(120, 0, -1), lambda k: CAST(k AS DOUBLE)),
+      lambda s, k: {v} + k / 2 / s, CAST({v} AS DOUBLE)))"""
+    return f"CASE WHEN {v} < 2 THEN {near} ELSE {far} END"
+
+
 def with_all(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 

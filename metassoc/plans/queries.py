@@ -8,7 +8,7 @@ from . import fixtures as fx
 from . import jobs
 from .catalog import query
 from .oracle_sql import (EFFECT_CTES, META_CTES, META_SELECT, MOMENTS_CTES, PHENO_CTE, R, S, call_covariate, call_ctes,
-                         call_moments, effect_ctes, embed_ctes, fixture_ctes, samples_cte, with_all)
+                         call_moments, effect_ctes, embed_ctes, fixture_ctes, p_normal_sql, p_student_sql, samples_cte, with_all)
 
 N_COV = len(fx.COVARIATES)
 _BASE = fixture_ctes()
@@ -374,7 +374,7 @@ sold AS (SELECT DISTINCT s.cohort, l.l_partkey AS pk FROM lineitem l JOIN orders
          JOIN samples s ON o.o_custkey = s.sample_id),
 pr0 AS (SELECT sold.cohort, ref.ref_idx AS variant_idx, ref.ref_id AS id, ref.chr, ref.bp, ref.allele1 AS a1,
                CASE WHEN ref.ref_idx % 7 = 0 THEN 'N' ELSE ref.allele2 END AS a2
-        FROM sold JOIN ref ON sold.pk = ref.ref_idx WHERE ref.ref_idx % 5 <> 0),
+        FROM sold JOIN ref ON sold.pk = ref.ref_idx),
 probes AS (SELECT cohort, variant_idx, id, chr, bp,
                   CASE WHEN variant_idx % 3 = 0 THEN a2 ELSE a1 END AS allele1,
                   CASE WHEN variant_idx % 3 = 0 THEN a1 ELSE a2 END AS allele2 FROM pr0),
@@ -582,18 +582,22 @@ _PROBE_SQL = """vp AS (SELECT 'v' || CAST(ref_idx % 20 AS VARCHAR) AS ID, min(al
 _REF_ONLY = _HARM_SQL.split(",\nsold AS")[0]
 
 
-@query("annotate_results",
-       with_all(fixture_ctes(where=f"r.r_name = '{_SINGLE}'"), MOMENTS_CTES, EFFECT_CTES, _REF_ONLY, _PROBE_SQL)
-       + f"""SELECT e.variant AS RSID, e.phenotype, {R('e.beta')} AS BETA, {R('e.se')} AS SE, {R('e.maf')} AS AF_coded,
-       vp.allele1, vp.allele2, {R('vp.Rsq')} AS Rsq FROM eff e JOIN vp ON e.variant = vp.ID""")
+def _site_effects(spark, sf_dir):
+    """Each cohort analysed by itself, every pair with a t statistic (F11 with no threshold drops 0 and NaN)."""
+    smp, geno, phen = fx.cohort_data(spark, sf_dir)
+    return jobs.associate(smp, geno, phen, N_COV)
+
+
+@query("annotate_results", with_all(_BASE, MOMENTS_CTES, EFFECT_CTES, _REF_ONLY, _PROBE_SQL)
+       + f"""SELECT e.cohort, e.variant AS RSID, e.phenotype, {R('e.beta')} AS BETA, {R('e.se')} AS SE, {R('e.maf')} AS AF_coded,
+       vp.allele1, vp.allele2, {R('vp.Rsq')} AS Rsq FROM eff e JOIN vp ON e.variant = vp.ID WHERE e.se > 0 AND e.beta <> 0""")
 def annotate_results(spark, sf_dir):
-    """Single-site results joined with probe information (alleles, Rsq); MAF renamed AF_coded."""
+    """Single-site results of all cohorts joined with probe information (alleles, Rsq); MAF renamed AF_coded."""
     from ..operators.report import annotate
-    res = single_site_association(spark, sf_dir)
-    res = res.select(F.col("variant").alias("RSID"), "phenotype", F.col("beta").alias("BETA"),
-                     F.col("standard_error").alias("SE"), F.col("maf").alias("MAF"))
+    res = _site_effects(spark, sf_dir).select("cohort", F.col("variant").alias("RSID"), "phenotype", F.col("beta").alias("BETA"),
+                                              F.col("standard_error").alias("SE"), F.col("maf").alias("MAF"))
     return annotate(res, fx.variant_probes(spark, sf_dir)).select(
-        "RSID", "phenotype", "BETA", "SE", "AF_coded", "allele1", "allele2", "Rsq")
+        "cohort", "RSID", "phenotype", "BETA", "SE", "AF_coded", "allele1", "allele2", "Rsq")
 
 
 _EXTRACT = "1-URGENT"
@@ -611,21 +615,26 @@ def result_by_phenotype(spark, sf_dir):
     return read_phenotypes(spark, path, _EXTRACT)
 
 
-@query("association_summary")
+_TSTATS = "tt AS (SELECT *, beta / se AS tval FROM eff WHERE se > 0)"
+_PV = "pv AS (" + p_student_sql("tval", "df", "tt", "cohort, variant, phenotype, beta, se, maf, df, tval") + ")"
+
+
+@query("association_summary", with_all(_BASE, MOMENTS_CTES, EFFECT_CTES, _TSTATS, _PV)
+       + f"""SELECT cohort, variant AS RSID, {R('p_value')} AS p_value, {R('tval')} AS t_stat, phenotype, {R('se')} AS SE, {R('maf')} AS MAF,
+       {R('beta')} AS BETA FROM pv""")
 def association_summary(spark, sf_dir):
-    """Summary table of a single-site run: RSID, p_value (Student t, df), t-stat, phenotype, SE, MAF, BETA."""
+    """Summary table of the single-site runs of all cohorts: RSID, p_value (Student t, df), t-stat, phenotype, SE, MAF, BETA."""
     from ..operators.report import summarise
-    return summarise(single_site_association(spark, sf_dir))
+    return summarise(_site_effects(spark, sf_dir), keep=("cohort",))
 
 
-@query("p_values")
+@query("p_values", with_all(_BASE, MOMENTS_CTES, EFFECT_CTES, _TSTATS, _PV)
+       + f"""SELECT cohort, variant, phenotype, {R('tval')} AS t_stat, df, {R('p_value')} AS p_value, {R(p_normal_sql('tval'))} AS p_normal FROM pv""")
 def p_values(spark, sf_dir):
     """Two-sided p-values of the per-cohort t statistics: Student t with the cohort's df, and normal."""
     from ..functions.pvalues import p_value
-    smp, geno, phen = fx.cohort_data(spark, sf_dir)
-    eff = jobs.cohort_effects(smp, geno, phen, N_COV)
-    return eff.select("cohort", "variant", "phenotype", "t_stat", "df",
-                      p_value("t_stat", "df").alias("p_value"), p_value("t_stat").alias("p_normal"))
+    return _site_effects(spark, sf_dir).select("cohort", "variant", "phenotype", "t_stat", "df",
+                                               p_value("t_stat", "df").alias("p_value"), p_value("t_stat").alias("p_normal"))
 
 
 _SEED = 42
@@ -755,15 +764,19 @@ def pd_consistency(spark, sf_dir):
     return c.select("cohort", "n", F.col("cov_means")[1].alias("mean_x"), "mean_af", "mean_phenotype")
 
 
-@query("singular_designs", with_all(fixture_ctes(level="nation"), MOMENTS_CTES,
+_ONES_SQL = "geno1 AS (SELECT * FROM geno UNION ALL SELECT cohort, sample_id, x, 'vone' AS variant, 1.0 AS g FROM samples)"
+
+
+@query("singular_designs", with_all(fixture_ctes(level="nation"), _ONES_SQL, _moments_filtered(geno="geno1"),
                                     EFFECT_CTES.split(",\npt AS")[0])
        + "SELECT cohort, variant, n - 3 AS df FROM vt WHERE NOT (s > 1e-12 * sgg) OR n - 3 <= 0")
 def singular_designs(spark, sf_dir):
-    """Diagnostics: (cohort, variant) designs dropped as singular in the 25 nation cohorts."""
+    """Diagnostics: (cohort, variant) designs dropped as singular in the 25 nation cohorts, each with a variant that everyone carries."""
     from ..operators.checks import singular_variants
     from ..operators.moments import partial_derivatives
     from ..operators.regression import invert_cov, variant_terms
     smp, geno, phen = fx.cohort_data(spark, sf_dir, level="nation")
+    geno = geno.unionByName(smp.select("cohort", "sample_id", F.lit("vone").alias("variant"), F.lit(1.0).alias("dosage"), "x"))
     pd_ = partial_derivatives(smp, geno, phen, N_COV, with_b4=False)
     vt = variant_terms(pd_["pd_test"], invert_cov(pd_["pd_cov"]), keep_singular=True)
     return singular_variants(vt).select("cohort", "variant", "df")

@@ -135,7 +135,7 @@ def test_permutation_is_a_bijection_per_cohort(spark):
 
 
 def test_p_values():
-    from metassoc.functions.pvalues import normal_sf2, student_sf2
+    from helpers import normal_sf2, student_sf2
     assert normal_sf2(np.array([1.959963984540054]))[0] == pytest.approx(0.05, rel=1e-12)
     assert student_sf2(np.array([2.2281388519649385]), np.array([10.0]))[0] == pytest.approx(0.05, rel=1e-9)
     assert student_sf2(np.array([0.0]), np.array([5.0]))[0] == pytest.approx(1.0)
@@ -145,7 +145,7 @@ def test_p_values():
     assert np.isnan(student_sf2(np.array([np.nan]), np.array([3.0]))[0])
 
 
-def test_p_value_udf(spark):
+def test_p_value_columns(spark):
     from metassoc.functions.pvalues import p_value
     df = spark.createDataFrame([(2.2281388519649385, 10.0), (None, 3.0)], "t double, df double")
     r = df.select(p_value("t", "df").alias("p"), p_value("t").alias("pn")).collect()
