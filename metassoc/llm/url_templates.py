@@ -1,13 +1,18 @@
 """Operator 10: URL filter by rules and by a path-template tree (DataFrame functions only).
 
 Paths are cut into segments.  Numbers, long hexadecimal strings and UUIDs become wildcards at once (a file extension stays).
-Then the tree of every host is walked from its root down: a segment below a template becomes a wildcard where its
-parent has many children and the segment has only a small part of the parent's pages.  All work is done on distinct
-paths with counts.
+Then the tree of every host is walked from its root down, from one branching to the next whatever the depth: a segment below a
+template becomes a wildcard where its parent has many children and the segment has only a small part of the parent's pages.
+All work is done on distinct paths with counts.
 
-Pages that a rule decides are the labels.  From the deepest level up, labelled sibling branches whose share of blocked pages
-does not differ significantly from that of their parent's labelled pages (two-sided z-test) are merged into one branch
-``~``.  A template is rejected if it has enough labelled pages and its smoothed purity (blocked + 1) / (labelled + 2)
+Pages that a rule decides are the labels.  From the first branchings down, statistically similar siblings are merged
+into one branch ``~``, whose children are then compared together.  Siblings with the same most frequent child form a pool.  A branch is similar if
+
+* its pages fall on its children as those of the pool do (chi-square test),
+* its share of blocked labels does not differ from that of the pool (z-test) or, if it has no labels, its number of pages does
+  not differ from the mean of the labelled branches (Poisson test): so an unlabelled branch can join labelled ones.
+
+A template is rejected if it has enough labelled pages and its smoothed purity (blocked + 1) / (labelled + 2)
 reaches a threshold; a page without a rule gets its template's verdict.
 """
 
@@ -35,10 +40,9 @@ class Rule:
 
 RULES = (Rule("allow", "com", "/"), Rule("block", "example.com", "/en/"), Rule("allow", "www.example.com", "/en/"),
          Rule("block", "net", "/es/"), Rule("block", "net", "/fr/"))
-MAX_DEPTH = 8            # levels of the tree; deeper segments are one wildcard "**"
 MANY_CHILDREN = 16       # a parent with more children than this has variable segments
 SMALL_SHARE = 0.02       # of the parent's pages: a child with less is variable
-Z = 1.96                 # two-sided 5 % level of the merging test
+Z = 1.96                 # two-sided 5 % level of the merging tests
 MIN_LABELLED = 5         # labelled pages that a template needs to be rejected
 REJECT = 0.8             # smoothed purity from which it is rejected
 
@@ -65,47 +69,95 @@ def longest_rule(host: Column, path: Column, rules: tuple[Rule, ...] = RULES) ->
     return name, verdict
 
 
-def segments(path: Column, max_depth: int = MAX_DEPTH) -> Column:
-    """Non-empty segments with plain variables as ``*``, the rest beyond ``max_depth`` as ``**``."""
-    found = F.transform(F.filter(F.split(path, "/"), lambda s: s != ""), lambda s: F.regexp_replace(s, VARIABLE, r"*$1"))
-    return F.when(F.size(found) > max_depth, F.concat(F.slice(found, 1, max_depth), F.array(F.lit("**")))).otherwise(found)
+def segments(path: Column) -> Column:
+    """Non-empty segments, plain variables as ``*``."""
+    return F.transform(F.filter(F.split(path, "/"), lambda s: s != ""), lambda s: F.regexp_replace(s, VARIABLE, r"*$1"))
+
+
+def _common(lo: Column, hi: Column) -> Column:
+    """Length of the common beginning of two arrays."""
+    n = F.least(F.size(lo), F.size(hi))
+    same = F.zip_with(F.slice(lo, F.lit(1), n), F.slice(hi, F.lit(1), n), lambda a, b: a == b)
+    first = F.array_position(same, False)
+    return F.when(first > 0, first.cast("int") - 1).otherwise(n)
 
 
 def generalise(paths: DataFrame, many: int = MANY_CHILDREN, small: float = SMALL_SHARE) -> DataFrame:
-    """(host, segs, template) of distinct (host, segs, n): the tree's wildcards, level by level from the root."""
-    depth = paths.agg(F.max(F.size("segs"))).first()[0] or 0
-    now = paths.withColumn("template", F.array().cast("array<string>"))
-    for level in range(1, depth + 1):
-        seg = F.when(F.size("segs") >= level, F.element_at("segs", F.least(F.lit(level), F.size("segs"))))
-        now = now.withColumn("seg", seg)
-        child = now.where("seg is not null").groupBy("host", "template", "seg").agg(F.sum("n").alias("c"))
+    """(host, segs, n, labelled, blocked, template, cuts) of distinct (host, segs, n, labelled, blocked): the tree's wildcards, and the
+    places in the template where the tree branches.
+
+    A round takes every node to its next branching: what all paths below a node begin with (the common beginning of the
+    least and the greatest of them) is passed at once, so that long chains cost nothing."""
+    rest = F.slice("segs", F.col("at") + 1, F.greatest(F.size("segs") - F.col("at"), F.lit(0)))
+    columns = ["host", "segs", "n", "labelled", "blocked", "template", "cuts", "at"]
+    now = paths.select("host", "segs", "n", "labelled", "blocked", F.array().cast("array<string>").alias("template"),
+                       F.array().cast("array<int>").alias("cuts"), F.lit(0).alias("at"))
+    done = None
+    while True:
+        walked = now.withColumn("rest", rest)
+        node = walked.groupBy("host", "template").agg(F.min("rest").alias("lo"), F.max("rest").alias("hi")).select(
+            "host", "template", _common(F.col("lo"), F.col("hi")).alias("skip"))
+        walked = staged(walked.join(node, ["host", "template"]).select(
+            "host", "segs", "n", "labelled", "blocked", F.concat("template", F.slice("rest", F.lit(1), F.col("skip"))).alias("template"),
+            "cuts", (F.col("at") + F.col("skip")).alias("at")), "walked")
+        ended = walked.where(F.size("segs") <= F.col("at"))
+        done = ended if done is None else done.union(ended)
+        going = walked.where(F.size("segs") > F.col("at")).withColumn("seg", F.get("segs", F.col("at")))
+        if going.isEmpty():
+            return done.drop("at")
+        child = going.groupBy("host", "template", "seg").agg(F.sum("n").alias("c"))
         parent = child.groupBy("host", "template").agg(F.count("*").alias("children"), F.sum("c").alias("total"))
-        variable = staged(child.join(parent, ["host", "template"]).where(
-            (F.col("children") > many) & (F.col("c") < F.col("total") * small) & ~F.startswith("seg", F.lit("*"))).select("host", "template", "seg", F.lit(True).alias("v")), "variable")
+        variable = child.join(parent, ["host", "template"]).where(
+            (F.col("children") > many) & (F.col("c") < F.col("total") * small) & ~F.startswith("seg", F.lit("*"))).select(
+            "host", "template", "seg", F.lit(True).alias("v"))
         next_seg = F.when(F.col("v"), F.lit("*")).otherwise(F.col("seg"))
-        now = staged(now.join(variable, ["host", "template", "seg"], "left").select(
-            "host", "segs", "n", "labelled", "blocked",
-            F.when(F.col("seg").isNull(), F.col("template")).otherwise(F.concat("template", F.array(next_seg))).alias("template")), "templates")
-    return now
+        now = staged(going.join(variable, ["host", "template", "seg"], "left").select(
+            "host", "segs", "n", "labelled", "blocked", F.concat("template", F.array(next_seg)).alias("template"),
+            F.concat("cuts", F.array("at")).alias("cuts"), (F.col("at") + 1).alias("at")), "templates").select(*columns)
 
 
 def merge_branches(tree: DataFrame, z: float = Z) -> DataFrame:
-    """(host, template, branch, labelled, blocked): every template with the merged branch that it belongs to and that branch's labels."""
+    """(host, template, branch, labelled, blocked) of (host, template, cuts, n, labelled, blocked): every template with the merged branch
+    that it belongs to and that branch's labels."""
     now = tree.withColumn("branch", F.col("template"))
-    depth = tree.agg(F.max(F.size("template"))).first()[0] or 0
-    for level in range(depth, 0, -1):
-        # a branch of this level is a prefix of that many segments; what lies below it goes with it
-        at = now.where(F.size("branch") >= level).select("host", F.slice("branch", 1, level - 1).alias("up"), F.element_at("branch", level).alias("seg"), "labelled", "blocked")
-        side = at.groupBy("host", "up", "seg").agg(F.sum("labelled").alias("l"), F.sum("blocked").alias("b")).where("l > 0")
-        pool = side.groupBy("host", "up").agg((F.sum("b") / F.sum("l")).alias("p"), F.count("*").alias("k")).where("k > 1")
-        spread = F.sqrt(F.col("p") * (1 - F.col("p")) / F.col("l"))
-        alike = staged(side.join(pool, ["host", "up"]).where(F.abs(F.col("b") / F.col("l") - F.col("p")) <= z * spread).select(
-            "host", "up", "seg", F.lit(True).alias("same")), "alike")
-        now = (now.withColumn("up", F.slice("branch", 1, level - 1)).withColumn("seg", F.when(F.size("branch") >= level, F.get("branch", F.lit(level - 1))))
-               .join(alike, ["host", "up", "seg"], "left").withColumn("branch", F.when(F.col("same"), F.concat(
-                   "up", F.array(F.lit("~")), F.slice("branch", level + 1, MAX_DEPTH + 1))).otherwise(F.col("branch")))
-               .select("host", "template", "branch", "labelled", "blocked"))
-        now = staged(now, "branches")
+    rounds = tree.agg(F.max(F.size("cuts"))).first()[0] or 0
+    for r in range(1, rounds + 1):
+        place = F.get("cuts", F.lit(r - 1))
+        # a branch is a prefix that ends at this branching; what lies below it goes with it
+        at = now.where(F.size("cuts") >= r).select(
+            "host", F.slice("branch", F.lit(1), place).alias("up"), F.get("branch", place).alias("seg"),
+            F.coalesce(F.get("template", place + 1), F.lit("")).alias("child"), "n", "labelled", "blocked")
+        cells = at.groupBy("host", "up", "seg", "child").agg(*[F.sum(c).alias(c) for c in ("n", "labelled", "blocked")])
+        side = cells.groupBy("host", "up", "seg").agg(F.sum("n").alias("pages"), F.sum("labelled").alias("l"), F.sum("blocked").alias("b"),
+                                                      F.max_by("child", F.struct("n", "child")).alias("kind"))
+        side = staged(side, "siblings")
+        shared = cells.select("host", "up", "seg", "child", "n").join(side.select("host", "up", "seg", "kind", "pages"), ["host", "up", "seg"])
+        expected = shared.groupBy("host", "up", "kind", "child").agg(F.sum("n").alias("e"))
+        pool = side.groupBy("host", "up", "kind").agg(
+            F.count("*").alias("k"), F.sum("pages").alias("all"), F.sum("l").alias("pl"), F.sum("b").alias("pb"),
+            F.sum(F.when(F.col("l") > 0, F.col("pages"))).alias("lp"), F.sum((F.col("l") > 0).cast("long")).alias("lk"))
+        kinds = expected.groupBy("host", "up", "kind").agg((F.count("*") - 1).cast("double").alias("free"))
+        fit = (shared.join(expected, ["host", "up", "kind", "child"]).join(pool.select("host", "up", "kind", "all"), ["host", "up", "kind"])
+               .groupBy("host", "up", "seg").agg((F.sum(F.col("n") * F.col("n") / (F.col("pages") * F.col("e") / F.col("all"))) - F.max("pages")).alias("chi")))
+        found = side.join(pool, ["host", "up", "kind"]).join(kinds, ["host", "up", "kind"]).join(fit, ["host", "up", "seg"]).where("k > 1 AND pl > 0")
+        # chi-square as a normal deviate (Wilson and Hilferty)
+        width = F.lit(2.0) / (F.col("free") * 9)
+        shape = (F.col("free") == 0) | ((F.cbrt(F.greatest("chi", F.lit(0.0)) / F.col("free")) - 1 + width) <= z * F.sqrt(width))
+        p = F.col("pb") / F.col("pl")
+        said = F.abs(F.col("b") / F.col("l") - p) <= z * F.sqrt(p * (1 - p) / F.col("l"))
+        mean = F.col("lp") / F.col("lk")
+        sized = F.abs(F.col("pages") - mean) <= z * F.sqrt(F.col("pages") + mean)
+        alike = staged(found.where(shape & F.when(F.col("l") > 0, said).otherwise(sized)).select(
+            "host", "up", "seg", "kind", F.lit(True).alias("same")), "alike")
+        names = alike.groupBy("host", "up").agg(F.count_distinct("kind").alias("pools"))
+        # pools below one parent that each merge are told apart by their kind of child
+        alike = alike.join(names, ["host", "up"]).select(
+            "host", "up", "seg", F.when(F.col("pools") > 1, F.concat(F.lit("~"), "kind")).otherwise(F.lit("~")).alias("merged"))
+        keyed = now.withColumn("up", F.when(F.size("cuts") >= r, F.slice("branch", F.lit(1), place))).withColumn(
+            "seg", F.when(F.size("cuts") >= r, F.get("branch", place)))
+        now = staged(keyed.join(alike, ["host", "up", "seg"], "left").withColumn("branch", F.when(F.col("merged").isNotNull(), F.concat(
+            "up", F.array("merged"), F.slice("branch", place + 2, F.size("branch")))).otherwise(F.col("branch")))
+            .select("host", "template", "cuts", "n", "labelled", "blocked", "branch"), "branches")
     sums = now.groupBy("host", "branch").agg(F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked"))
     return now.select("host", "template", "branch").join(sums, ["host", "branch"])
 
@@ -127,8 +179,9 @@ def judge(df: DataFrame, id_col: str = "page_id", url_col: str = "url", rules: t
     paths = staged(pages.groupBy("host", "segs").agg(F.count("*").alias("n"), F.sum(label).alias("labelled"),
                                                      F.sum((F.col("said") == "block").cast("long")).alias("blocked")), "paths")
     paths = paths.withColumn("blocked", F.coalesce("blocked", F.lit(0).cast("long")))
-    templates = generalise(paths)
-    tree = staged(templates.groupBy("host", "template").agg(F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked")), "tree")
+    templates = staged(generalise(paths), "templates")
+    tree = staged(templates.groupBy("host", "template").agg(
+        F.first("cuts").alias("cuts"), *[F.sum(c).alias(c) for c in ("n", "labelled", "blocked")]), "tree")
     branches = merge_branches(tree)
     purity = (F.col("blocked") + 1) / (F.col("labelled") + 2)
     known = staged(templates.select("host", "segs", "template").join(branches, ["host", "template"]).select(

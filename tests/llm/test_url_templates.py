@@ -1,5 +1,6 @@
 """Parsing and rules against a plain version; wildcards, merging and rejection on small trees."""
 
+import random
 import re
 
 import pytest
@@ -75,5 +76,148 @@ def test_similar_branches_merge_and_impure_templates_are_rejected(spark):
     assert got == {"/~/bad/*", "/~/ok/*"}
 
 
+def plain_templates(paths):
+    """{host: {segs: (n, labelled, blocked)}} -> {(host, segs): (template, cuts)}, node by node."""
+    out = {}
+
+    def walk(host, prefix, cuts, rows, at):
+        while rows and len({r[at:at + 1] for r in rows}) == 1 and len(next(iter(rows))) > at:
+            prefix, at = (*prefix, next(iter(rows))[at]), at + 1
+        for r in [r for r in rows if len(r) == at]:
+            out[host, r] = (prefix, cuts)
+        rows = {r: c for r, c in rows.items() if len(r) > at}
+        total, by = sum(c[0] for c in rows.values()), {}
+        for r, c in rows.items():
+            by.setdefault(r[at], {})[r] = c
+        groups = {}
+        for seg, part in by.items():
+            few = len(by) > ut.MANY_CHILDREN and sum(c[0] for c in part.values()) < total * ut.SMALL_SHARE and not seg.startswith("*")
+            groups.setdefault("*" if few else seg, {}).update(part)
+        for seg, part in groups.items():
+            walk(host, (*prefix, seg), (*cuts, at), part, at + 1)
+
+    for host, rows in paths.items():
+        walk(host, (), (), rows, 0)
+    return out
+
+
+def plain_merge(tree, z=ut.Z):
+    """{(host, template): (cuts, n, labelled, blocked)} -> {(host, template): branch}"""
+    branch = {k: k[1] for k in tree}
+    for r in range(1, max((len(v[0]) for v in tree.values()), default=0) + 1):
+        side = {}
+        for (host, t), (cuts, n, l, b) in tree.items():
+            if len(cuts) >= r:
+                br, p = branch[host, t], cuts[r - 1]
+                s = side.setdefault((host, br[:p], br[p]), [0, 0, 0, {}])
+                s[0], s[1], s[2] = s[0] + n, s[1] + l, s[2] + b
+                child = t[p + 1] if len(t) > p + 1 else ""
+                s[3][child] = s[3].get(child, 0) + n
+        pools = {}
+        for (host, up, seg), s in side.items():
+            kind = max(s[3], key=lambda c: (s[3][c], c))
+            pools.setdefault((host, up), {}).setdefault(kind, {})[seg] = s
+        merged = {}
+        for (host, up), kinds in pools.items():
+            alike = {}
+            for kind, some in kinds.items():
+                labelled = [s for s in some.values() if s[1]]
+                if len(some) < 2 or not labelled:
+                    continue
+                share = sum(s[2] for s in labelled) / sum(s[1] for s in labelled)
+                mean, total = sum(s[0] for s in labelled) / len(labelled), sum(s[0] for s in some.values())
+                e = {}
+                for s in some.values():
+                    for c, n in s[3].items():
+                        e[c] = e.get(c, 0) + n
+                free = len(e) - 1
+                for seg, (n, l, b, children) in some.items():
+                    chi = sum(k * k / (n * e[c] / total) for c, k in children.items()) - n
+                    w = 2 / (9 * free) if free else 0
+                    shape = not free or (max(chi, 0) / free) ** (1 / 3) - 1 + w <= z * w**0.5
+                    ok = abs(b / l - share) <= z * (share * (1 - share) / l) ** 0.5 if l else abs(n - mean) <= z * (n + mean) ** 0.5
+                    if shape and ok:
+                        alike[seg] = kind
+            many = len(set(alike.values())) > 1
+            merged.update({(host, up, seg): "~" + kind if many else "~" for seg, kind in alike.items()})
+        for (host, t), (cuts, *_) in tree.items():
+            if len(cuts) >= r:
+                br, p = branch[host, t], cuts[r - 1]
+                if (host, br[:p], br[p]) in merged:
+                    branch[host, t] = (*br[:p], merged[host, br[:p], br[p]], *br[p + 1:])
+    return branch
+
+
+def plain_judge(rows):
+    paths, of = {}, {}
+    for i, u in rows:
+        host, path = split(u)
+        segs = tuple(re.sub(ut.VARIABLE, r"*\1", s) for s in path.split("/") if s)
+        said = rule_of(host, path)[1]
+        of[i] = (host, segs, said)
+        c = paths.setdefault(host, {}).setdefault(segs, [0, 0, 0])
+        c[0], c[1], c[2] = c[0] + 1, c[1] + bool(said), c[2] + (said == "block")
+    templates, tree = plain_templates(paths), {}
+    for (host, segs), (t, cuts) in templates.items():
+        c = tree.setdefault((host, t), [cuts, 0, 0, 0])
+        for j, x in enumerate(paths[host][segs]):
+            c[j + 1] += x
+    branch, sums = plain_merge(tree), {}
+    for k, (_, _, l, b) in tree.items():
+        s = sums.setdefault((k[0], branch[k]), [0, 0])
+        s[0], s[1] = s[0] + l, s[1] + b
+    out = {}
+    for i, (host, segs, said) in of.items():
+        br = branch[host, templates[host, segs][0]]
+        l, b = sums[host, br]
+        purity = (b + 1) / (l + 2)
+        out[i] = (said or ("block" if l >= ut.MIN_LABELLED and purity >= ut.REJECT else "allow"), "/" + "/".join(br), purity)
+    return out
+
+
+def close(got, want):
+    assert set(got) == set(want)
+    for i, (verdict, template, purity) in want.items():
+        assert (got[i].verdict, got[i].template) == (verdict, template) and got[i].purity == pytest.approx(purity), i
+
+
+def test_trees_against_a_plain_version(spark):
+    rng = random.Random(6)
+    rows = []
+    for host in ("a.net", "b.net", "c.org", "d.example.com"):
+        for top in ("es", "fr", "de", "en", "it", "tags", "p"):
+            for _ in range(rng.choice([2, 9, 30, 45])):
+                tail = rng.choice([f"/{rng.randint(1, 99)}", f"/{rng.randint(1, 99)}.html", "", f"/n{rng.randint(1, 60)}/view", "/a/b/c/d/e/f/g/h/i/" + rng.choice("xyz")])
+                rows.append(f"http://{host}/{top}{tail}")
+    rows = [*enumerate(rows), (None, "http://a.net/es/1")]
+    got = {r.page_id: r for r in ut.judge(spark.createDataFrame(rows, "page_id long, url string")).collect()}
+    want = plain_judge(rows)
+    close(got, want)
+    assert len({t for _, t, _ in want.values() if "~" in t}) > 3
+
+
+def test_driver_table_against_a_plain_version(spark):
+    d = "/root/testdata/sf0.1"
+    rows = [(r.page_id, r.url) for r in spark.read.parquet(f"{d}/pages.parquet").select("page_id", "url").collect()]
+    want = plain_judge(rows)
+    close({r.page_id: r for r in QUERIES["op10_url_filter"](spark, d).collect()}, want)
+    assert sum(rule_of(*split(u))[1] is None and want[i][0] == "block" for i, u in rows) > 10      # decided by the method itself
+
+
+def test_unlabelled_branches_of_the_same_shape_join_labelled_ones(spark):
+    urls = [f"http://u.net/{d}/{k}/{i}" for d in ("es", "fr", "xx", "yy") for k in ("a", "b") for i in range(10)]
+    urls += [f"http://u.net/zz/{i}.html" for i in range(20)] + [f"http://u.net/big/{k}/{i}" for k in ("a", "b") for i in range(300)]
+    got = {r.path: r for r in ut.judge(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")).collect()}
+    assert got["/xx/a/1"].verdict == got["/yy/b/1"].verdict == "block" and got["/xx/a/1"].rule is None
+    assert got["/zz/1.html"].verdict == got["/big/a/1"].verdict == "allow"         # another shape, another size
+
+
+def test_depth_is_real(spark):
+    deep = "/1a/2a/3a/4a/5a/6a/7a/8a/9a/"
+    urls = [f"http://d.net/es{deep}bad/{i}" for i in range(8)] + [f"http://d.net/en{deep}bad/{i}" for i in range(3)] + [f"http://d.net/en{deep}ok/{i}" for i in range(90)]
+    rows = list(enumerate(urls))
+    close({r.page_id: r for r in ut.judge(spark.createDataFrame(rows, "page_id long, url string")).collect()}, plain_judge(rows))
+
+
 def test_empty_table(spark):
     assert ut.judge(spark.createDataFrame([], "page_id long, url string")).count() == 0
