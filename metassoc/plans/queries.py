@@ -1138,3 +1138,143 @@ def mega_missingness(spark, sf_dir):
     smp, geno, phen = fx.cohort_data(spark, sf_dir, n_variants=None)
     eff = pairwise_effects(partial_derivatives(smp, geno, phen, N_COV))
     return eff.select("variant", "phenotype", "beta", "standard_error", "t_stat", "sample_size")
+
+
+# ---------------------------------------------------------------- files read back
+
+_CALLS_SQL = "SELECT cohort, CAST(vec_id AS VARCHAR) AS variant, unnest(range(0, len(c))) AS sample, unnest(c) AS dosage FROM ec"
+_IDS = [f"s{i}" for i in range(32)]
+
+
+def _numbered_calls(spark, sf_dir):
+    """(cohort, variant_idx, variant, dosage): the calls of the dense fixture, variants numbered by cohort in id order."""
+    from pyspark.sql.window import Window
+    geno, _, _ = fx.dense_calls(spark, sf_dir)
+    order = geno.select(F.col("variant").cast("long").alias("v")).distinct()
+    index = order.withColumn("variant_idx", F.row_number().over(Window.orderBy("v")).cast("long") - 1)      # as many rows as variants
+    return geno.join(index, geno["variant"].cast("long") == index["v"]).select("cohort", "variant_idx", "variant", "dosage")
+
+
+def _cells(rows):
+    return rows.select("cohort", "variant", F.posexplode("dosage").alias("sample", "dosage")).withColumn("sample", F.col("sample").cast("long"))
+
+
+def _text_file(df, order, path):
+    """The column ``value`` as the lines of one text file, in order."""
+    df.coalesce(1).sortWithinPartitions(order).select("value").write.text(path)
+
+
+@query("plink_roundtrip", with_all(call_ctes()) + f"SELECT cohort, variant, sample, {R('dosage')} AS dosage FROM ({_CALLS_SQL})")
+def plink_roundtrip(spark, sf_dir):
+    """Calls written as PLINK files (BED by cohort, FAM, BIM) to the shared folder, ingested again and put back under their ids."""
+    import uuid
+    from ..session import shared_path
+    from ..sources.bed import write_bed
+    from .ingest import ingest_plink
+    base = shared_path(spark, f"plink-{uuid.uuid4().hex}")
+    rows = _numbered_calls(spark, sf_dir)
+    cohorts = sorted(r.cohort for r in write_bed(rows, base).select("cohort").collect())
+    out = None
+    for c in cohorts:
+        fam = spark.range(32).select("id", F.format_string("f%d s%d 0 0 1 -9", "id", "id").alias("value"))
+        bim = rows.where(F.col("cohort") == c).select("variant_idx", F.concat_ws(
+            "\t", F.lit("1"), "variant", F.lit("0"), F.col("variant_idx").cast("string"), F.lit("A"), F.lit("G")).alias("value"))
+        _text_file(fam, "id", f"{base}/{c}.fam")
+        _text_file(bim, "variant_idx", f"{base}/{c}.bim")
+        t = ingest_plink(spark, f"{base}/{c}", c, variants_per_task=64)
+        back = _cells(t["genotype"].join(t["probes"].select("variant_idx", F.col("id").alias("variant")), "variant_idx"))
+        out = back if out is None else out.unionByName(back)
+    return out
+
+
+@query("vcf_ingest", with_all(call_ctes()) + f"""SELECT cohort, variant, sample, {R('dosage')} AS dosage, 's' || sample AS sample_id
+       FROM ({_CALLS_SQL})""")
+def vcf_ingest(spark, sf_dir):
+    """Calls written as one VCF per cohort (GT; missing as ./.) and read back: probes, samples and dosages 2 - alternate alleles."""
+    import uuid
+    from ..session import shared_path
+    from .ingest import ingest_vcf
+    base = shared_path(spark, f"vcf-{uuid.uuid4().hex}")
+    rows = _numbered_calls(spark, sf_dir)
+    head = "\t".join(["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT", *_IDS])
+    out = None
+    for c in ("A", "B"):
+        call = (lambda d: F.when(d == 9.0, F.lit("./.")).when(d == 2.0, F.lit("0/0")).when(d == 1.0, F.lit("0|1")).otherwise(F.lit("1/1")))
+        body = rows.where(F.col("cohort") == c).select(F.col("variant_idx").alias("o"), F.concat_ws(
+            "\t", F.lit("1"), F.col("variant_idx").cast("string"), "variant", F.lit("A"), F.lit("G"), F.lit("."), F.lit("PASS"), F.lit("."),
+            F.lit("GT"), F.transform("dosage", call)).alias("value"))
+        top = spark.createDataFrame([(-2, "##FORMAT=<ID=GT,Number=1,Type=String>"), (-1, head)], "o long, value string")
+        _text_file(body.unionByName(top), "o", f"{base}/{c}.vcf")
+        t = ingest_vcf(spark, f"{base}/{c}.vcf", c)
+        back = _cells(t["genotype"].join(t["probes"].select("variant_idx", F.col("id").alias("variant")), "variant_idx"))
+        back = back.join(t["samples"].select(F.col("sample_pos").alias("sample"), "sample_id"), "sample")
+        out = back if out is None else out.unionByName(back)
+    return out.select("cohort", "variant", "sample", "dosage", "sample_id")
+
+
+@query("minimac_transpose", with_all(call_ctes()) + f"""SELECT cohort, variant, sample,
+       {R('CASE WHEN dosage = 9 THEN -1 ELSE dosage END')} AS dosage FROM ({_CALLS_SQL})""")
+def minimac_transpose(spark, sf_dir):
+    """Calls written as Minimac info and dose files (a row per sample; missing as text) and transposed back to variant rows."""
+    import uuid
+    from ..session import shared_path
+    from .ingest import ingest_minimac
+    base = shared_path(spark, f"minimac-{uuid.uuid4().hex}")
+    rows = _numbered_calls(spark, sf_dir)
+    out = None
+    for c in ("A", "B"):
+        here = rows.where(F.col("cohort") == c)
+        info = here.select(F.col("variant_idx").alias("o"), F.concat_ws(" ", "variant", F.lit("A G 0.5 0.5 0.9 0.8")).alias("value"))
+        _text_file(info.unionByName(spark.createDataFrame([(-1, "SNP Al1 Al2 Freq1 MAF AvgCall Rsq")], "o long, value string")), "o", f"{base}/{c}.info")
+        cells = here.select("variant_idx", F.posexplode("dosage").alias("s", "d"))
+        said = F.when(F.col("d") == 9.0, F.lit("NA")).otherwise(F.col("d").cast("string"))
+        dose = cells.groupBy("s").agg(F.array_sort(F.collect_list(F.struct("variant_idx", said.alias("v")))).alias("r"))
+        dose = dose.select(F.col("s").alias("o"), F.concat_ws(" ", F.format_string("F%d->s%02d", "s", "s"), F.lit("DOSE"),
+                                                              F.transform("r", lambda e: e["v"])).alias("value"))
+        _text_file(dose, "o", f"{base}/{c}.dose")
+        t = ingest_minimac(spark, f"{base}/{c}.info", f"{base}/{c}.dose", c)
+        back = _cells(t["genotype"].join(t["probes"].select("variant_idx", F.col("id").alias("variant")), "variant_idx"))
+        out = back if out is None else out.unionByName(back)
+    return out
+
+
+# ---------------------------------------------------------------- log, subjects, ids on dense and long rows
+
+@query("dense_cohort_log", with_all(call_ctes(maf=_CALL_MAF), call_moments(call_covariate("s * s % 7")), EFFECT_CTES)
+       + f"""SELECT cohort, variant, phenotype, {R('beta')} AS beta, {R('se')} AS standard_error, {R('CAST(n AS DOUBLE)')} AS sample_size
+       FROM eff WHERE se > 0 AND CAST(phenotype AS BIGINT) % 7 = 1""")
+def dense_cohort_log(spark, sf_dir):
+    """Per-cohort log of a gene list on dense rows: the genes are chosen before the tiles, so nothing else is computed."""
+    geno, phen, cov = fx.dense_calls(spark, sf_dir)
+    genes = phen.select("phenotype").distinct().where(F.col("phenotype").cast("long") % 7 == 1)
+    eff = jobs.cohort_effects_dense(geno, phen, cov.where("covariate = 'c1'"), maf=_CALL_MAF, phenotype_include=genes)
+    return jobs.per_cohort_effects(eff, phenotypes=genes)
+
+
+_FEWER = "eq AS (SELECT * REPLACE (list_filter(v, lambda x, i: i % 8 <> 3) AS v) FROM ev)"
+
+
+@query("dense_subject_removal", with_all(embed_ctes(split=True).replace("eg AS (", _FEWER + ",\neg AS (", 1).replace(
+    "FROM ev WHERE", "FROM eq WHERE"), META_CTES) + META_SELECT)
+def dense_subject_removal(spark, sf_dir):
+    """Dense meta-analysis without listed subjects (every eighth sample of each cohort, from the third on)."""
+    from ..operators.blocks import dense_associate
+    geno, phen = fx.embedding_rows(spark, sf_dir, split=True)
+    pos = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(31).cast("long")))
+    samples = geno.select("cohort").distinct().select("cohort", pos.alias("sample_pos"))
+    samples = samples.withColumn("sample_id", F.concat("cohort", F.col("sample_pos").cast("string")))
+    removed = samples.where(F.col("sample_pos") % 8 == 2).select("cohort", "sample_id")
+    _, geno, phen = jobs.remove_subjects_dense(samples, removed, (geno, "dosage"), (phen, "values"))
+    return dense_associate(geno, phen)
+
+
+@query("harmonise_by_id", with_all(samples_cte(), _HARM_SQL.split(",\nmt AS")[0],
+       """mi AS (SELECT p.cohort, r.ref_idx, r.ref_id, p.variant_idx,
+                 CASE WHEN p.allele1 = r.allele1 AND p.allele2 = r.allele2 THEN 1 ELSE -1 END AS flip FROM probes p JOIN ref r ON p.id = r.ref_id
+                 AND ((p.allele1 = r.allele1 AND p.allele2 = r.allele2) OR (p.allele1 = r.allele2 AND p.allele2 = r.allele1)))""")
+       + """SELECT cohort, ref_idx, ref_id, arg_max(variant_idx, flip * 1e15 + variant_idx) AS variant_idx, max(flip) AS flip
+       FROM mi GROUP BY cohort, ref_idx, ref_id""")
+def harmonise_by_id(spark, sf_dir):
+    """Probe ↔ reference map by variant id and alleles."""
+    from ..operators.harmonise import harmonise
+    return harmonise(fx.cohort_probes(spark, sf_dir), fx.reference_panel(spark, sf_dir), by="id")

@@ -38,7 +38,7 @@ def test_every_query_has_docs_and_most_have_oracles():
     qs, oracle = E.queries(), E.oracle_sql()
     assert set(oracle) <= set(qs)
     from metassoc.plans.catalog import ORACLE, QUERIES      # the registry of this package, without the optional subpackage
-    assert len(ORACLE) >= 0.85 * len(QUERIES)
+    assert set(ORACLE) == set(QUERIES)
     assert all(q.__doc__ for q in qs.values())
 
 
@@ -48,7 +48,7 @@ def test_query_matches_oracle(spark, con, name):
     rows = [tuple(r) for r in df.collect()]
     oracle = E.oracle_sql().get(name)
     if oracle is None:
-        assert df.columns and rows is not None
+        assert name == "pipeline" or name.startswith("op"), f"{name} has no oracle"       # those are tested in tests/llm
         return
     rel = con.execute(oracle)
     ocols = [d[0] for d in rel.description]
