@@ -1,6 +1,8 @@
 """Extracted text against the marked article, and style trees of pages without one."""
 
 import html as std
+import math
+import random
 import re
 
 import pytest
@@ -89,3 +91,94 @@ def test_own_texts_at_a_repeated_path_and_copies_stay(spark):
         assert got[i] == f"day {i}\nOwn article {i}" and got[100 + i].endswith(f"Own article {i}") and got[200 + i] == f"T\nOwn article {i}"
     assert all(same in got[k + i] for k in (100, 200, 300) for i in range(45))
     assert all("Our site" not in got[k + i] for k in (0, 100) for i in range(50))
+
+
+def importance(counts):
+    """1 if all differ, 0 if all are one; counts: how many pages (or bodies) show each of the texts."""
+    m = sum(counts)
+    return 1 - sum(n * math.log(n) for n in counts) / (m * math.log(m)) if m > 1 else 1.0
+
+
+def plain_trees(pages):
+    """Marks of every host from its pages' blocks, by dictionaries of whole texts: (low, rich, copied) of (path, text), path, (path, text)."""
+    out = {}
+    for host in {h for h, _ in pages}:
+        nodes, bodies = {}, {}
+        for at, (h, html) in enumerate(pages):
+            if h != host:
+                continue
+            blocks, children = st.parse(html or "")
+            own = [b for b in blocks if not b[3]]
+            marked = any(b[1] for b in own)
+            body = tuple((b[0], b[4]) for b in own if b[1] or not marked)
+            bodies.setdefault(body, []).append(at)
+            for path in {b[0] for b in own}:
+                node = nodes.setdefault(path, {"text": {}, "shape": {}, "block": {}, "named": {}})
+                node["text"].setdefault("\n".join(b[4] for b in own if b[0] == path), []).append((body, at))
+                node["shape"].setdefault(tuple(children.get(path.rpartition("/")[0], [])), []).append((body, at))
+                for text in {b[4] for b in own if b[0] == path}:
+                    node["block"].setdefault(text, []).append((body, at))
+            for path in {b[0] for b in blocks if b[3]}:
+                node = nodes.setdefault(path, {"text": {}, "shape": {}, "block": {}, "named": {}})
+                node["named"].setdefault("\n".join(b[4] for b in blocks if b[0] == path and b[3]), []).append(at)
+        low, rich, copied = set(), set(), set()
+        by_body = lambda seen: [len({b for b, _ in x}) for x in seen.values()]
+        by_page = lambda seen: [len(x) for x in seen.values()]
+        for path, node in nodes.items():
+            if sum(by_page(node["named"])) >= st.MIN_PAGES and importance(by_page(node["named"])) >= 1 - st.LOW_IMPORTANCE:
+                rich.add(path)
+            m, all_pages = sum(by_body(node["text"])), sum(by_page(node["text"]))
+            few = m < st.MIN_PAGES
+            some, total, mark = (by_page, all_pages, copied) if few else (by_body, m, low)
+            if total >= st.MIN_PAGES and importance(some(node["text"])) <= st.LOW_IMPORTANCE and importance(some(node["shape"])) <= 1 - st.LOW_IMPORTANCE:
+                for text, where in node["block"].items():
+                    n = len(where) if few else len({b for b, _ in where})
+                    if len(where) > 1 and math.log(n) >= (1 - st.LOW_IMPORTANCE) * math.log(total):
+                        mark.add((path, text))
+        out[host] = (low, rich, copied)
+    return out
+
+
+def plain_text(html, low, rich, copied):
+    blocks = [b for b in st.parse(html or "")[0] if not b[3] or b[0] in rich]
+    marked = any(b[1] for b in blocks)
+    blocks = [b for b in blocks if (b[1] or not marked) and not ((b[2] or not marked) and (b[0], b[4]) in low)]
+    again = [b for b in blocks if marked and b[2] and (b[0], b[4]) in copied]
+    if sum(len(b[4]) for b in blocks if not b[2]) > sum(len(b[4]) for b in blocks if b not in again):
+        blocks = [b for b in blocks if b not in again]
+    return "\n".join(b[4] for b in blocks)
+
+
+def sites(rng):
+    """Pages of hosts without <article>: template boxes of unknown names, stories, boxes with known names, some copies."""
+    rows, planted = [], {}
+    for h in range(6):
+        names = [f"x{rng.randint(0, 999)}" for _ in range(4)]
+        fixed = [f"Template words {h} {k} " + "of the house " * rng.randint(1, 6) for k in range(3)]
+        wrap = rng.choice(["<article>{}</article>", "{}", "{}"])
+        for i in range(rng.choice([3, 12, 30])):
+            story = [f"Story {h}.{i}.{k} " + " ".join(rng.choice(["sun", "moon", "sea"]) for _ in range(rng.randint(3, 20))) for k in range(rng.randint(1, 4))]
+            if rng.random() < 0.2:
+                story = [f"A story of host {h} told again"]
+            boxes = [f"<div class='{n}'><p>{f}</p></div>" for n, f in zip(names, fixed, strict=False)]
+            boxes += [f"<div class='search'><p>{rng.choice(['Search', f'Found {i}'])}</p></div>", "<nav><p>Home</p></nav>"]
+            rng.shuffle(boxes) if h % 3 == 0 else None
+            page = f"<body>{boxes[0]}" + wrap.format(f"<div class='{names[3]}'>{''.join(f'<p>{s}</p>' for s in story)}</div>") + "".join(boxes[1:]) + "</body>"
+            rows.append((len(rows), f"https://h{h}.example/{i}", page, None))
+            planted[len(rows) - 1] = (story, fixed, i, wrap)
+    return rows, planted
+
+
+def test_trees_against_a_plain_version(spark):
+    removed = 0
+    for seed in (1, 2):
+        rows, planted = sites(random.Random(seed))
+        marks = plain_trees([(f"h{r[1].split('//h')[1].split('.')[0]}.example", r[2]) for r in rows])
+        got = {r.page_id: r.text for r in st.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
+        for i, url, page, _ in rows:
+            want = plain_text(page, *marks[url.split("/")[2]])
+            assert got[i] == want, url
+            removed += len(want) < len(plain_text(page, set(), set(), set()))
+            story = planted[i][0]
+            assert "told again" in story[0] or all(s.strip() in got[i] for s in story)
+    assert removed > 50                  # pages from which the tree itself took something
