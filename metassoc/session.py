@@ -75,10 +75,21 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession, size: str = "8m") -> None:
+    """Arrow batches of at most ``size`` where the launcher has left Spark's own bound of 64 MB: rows with long texts or arrays
+    would fill it, once in the JVM and several times in the Python worker."""
+    if spark.conf.get(BATCH_BYTES) == f"{64 << 20}b":
+        spark.conf.set(BATCH_BYTES, size)
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Checkpoint folder (from the session, or a scratch one where unset) and the package shipped."""
+    """Checkpoint folder (from the session, or a scratch one where unset), the package shipped, Arrow batches bounded."""
     ensure_checkpoint_dir(spark)
     ship_package(spark)
+    bound_batches(spark)
     return spark
 
 
