@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +31,46 @@ def slots(spark: SparkSession) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
 
 
+def lean_worker() -> Callable[[], None]:
+    """For the start of a task's function: arrays that are freed go back to the system, so that a Python worker that waits for
+    its next task holds little.  Returns a function for the task's end.  Does nothing where the C library has no such settings."""
+    import ctypes
+
+    import pyarrow as pa
+    pa.set_memory_pool(pa.system_memory_pool())
+    try:
+        libc = ctypes.CDLL(None)
+        libc.mallopt(-3, 1 << 17)          # fixed values: M_MMAP_THRESHOLD, M_TRIM_THRESHOLD
+        libc.mallopt(-1, 1 << 17)
+        return lambda: libc.malloc_trim(0) and None
+    except (OSError, AttributeError):
+        return lambda: None
+
+
+def lean(run):
+    """A task's function on batches that keeps its worker lean."""
+    @wraps(run)
+    def task(batches):
+        give_back = lean_worker()
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+    return task
+
+
+def lean_group(run):
+    """The same for a function on one group."""
+    @wraps(run)
+    def task(group):
+        give_back = lean_worker()
+        try:
+            return run(group)
+        finally:
+            give_back()
+    return task
+
+
 def text_key(text: Column) -> Column:
     """128-bit key of a text (two independent 64-bit hashes as one string)."""
     return F.md5(text)

@@ -26,14 +26,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from metassoc.llm.common import components, staged
+from metassoc.llm.common import components, lean, lean_group, staged
 from metassoc.llm.wordcache import blocks
 from metassoc.session import prepare
 
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 25, 5
-BLOCK_CHARS = 2_000_000
+BLOCK_CHARS = 500_000
 PAIR_BLOCK = 2048                # documents of a bucket compared with as many others in one block
 GROUP_ROWS = 20_000              # bucket entries in one group of buckets, on average
 SIGMAS = 4                       # standard deviations by which an estimate may fall short of the threshold
@@ -162,7 +162,7 @@ def _sign(df: DataFrame) -> DataFrame:
                     pa.ListArray.from_arrays(pa.array(np.arange(len(some) + 1, dtype=np.int32) * BANDS), pa.array(band.ravel()))],
                     names=["key", "sig", "bands"])
 
-    return df.mapInArrow(run, "key binary, sig binary, bands array<long>")
+    return df.mapInArrow(lean(run), "key binary, sig binary, bands array<long>")
 
 
 def _shingle_sets(df: DataFrame) -> DataFrame:
@@ -176,7 +176,7 @@ def _shingle_sets(df: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([keys.slice(lo, hi - lo), pa.ListArray.from_arrays(
                     pa.array(ends), pa.array((key >> U64(32)).astype(np.uint32).view(np.int32)))], names=["key", "strips"])
 
-    return df.mapInArrow(run, "key binary, strips array<int>")
+    return df.mapInArrow(lean(run), "key binary, strips array<int>")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -245,7 +245,7 @@ def _forest_pairs(rows: DataFrame, n_rows: int, threshold: float) -> DataFrame:
         return pa.table({"a": pa.array([a for a, _ in found], pa.binary()), "b": pa.array([b for _, b in found], pa.binary()),
                          "est": pa.array(list(found.values()), pa.int32())})
 
-    return _dealt(rows, n_rows, GROUP_ROWS, "sig").groupBy("g").applyInArrow(run, "a binary, b binary, est int").distinct()
+    return _dealt(rows, n_rows, GROUP_ROWS, "sig").groupBy("g").applyInArrow(lean_group(run), "a binary, b binary, est int").distinct()
 
 
 def cross_links(sig: np.ndarray, bands: np.ndarray, band: int, label: np.ndarray, sets: list[np.ndarray], least: int,
@@ -291,7 +291,7 @@ def _cross_links(rows: DataFrame, n_rows: int, threshold: float) -> DataFrame:
         return pa.table({"a": pa.array([a for a, _ in found], pa.binary()), "b": pa.array([b for _, b in found], pa.binary())})
 
     dealt = _dealt(rows, n_rows, GROUP_ROWS // 4, "sig", "bands", "label", "strips")
-    return dealt.groupBy("g").applyInArrow(run, "a binary, b binary").distinct()
+    return dealt.groupBy("g").applyInArrow(lean_group(run), "a binary, b binary").distinct()
 
 
 def _links(signed: DataFrame, texts: DataFrame, reps: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:

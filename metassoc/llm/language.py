@@ -19,11 +19,13 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from metassoc.llm.wordcache import blocks
+from metassoc.llm.common import lean
+from metassoc.llm.wordcache import row_blocks
 from metassoc.session import prepare
 
 MAX_TRAIN_DOCS = 1000      # whole documents per language that the model is fitted on (expected; chosen by hash)
@@ -35,8 +37,8 @@ LEAST_WORDS = 20           # texts with fewer words are too short for a floor on
 LEAST_TEXTS = 20           # a language with fewer labelled held-out texts has the lowest floor of the others
 FLOOR_SHARE = 0.7          # of the fifth percentile of labelled texts
 UNDETERMINED = "und"
-BLOCK_CHARS = 2_000_000
-CACHE_WORDS = 250_000
+BLOCK_CHARS = 500_000
+CACHE_WORDS = 150_000
 
 words_of = re.compile(r"[^\W\d_]+").findall
 
@@ -120,7 +122,7 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
                                               pa.array(list(out.values()), pa.int64())], names=["n", "l", "k", "c"])
 
     by_lang = [F.sum(F.when(F.col("l") == k, F.col("c")).otherwise(0)).alias(f"c{i}") for i, k in enumerate(langs)]
-    counted = (sample.mapInArrow(count, "n int, l string, k string, c long").groupBy("n", "k").agg(F.sum("c").alias("total"), *by_lang)
+    counted = (sample.mapInArrow(lean(count), "n int, l string, k string, c long").groupBy("n", "k").agg(F.sum("c").alias("total"), *by_lang)
                .where(F.col("total") >= MIN_COUNT).drop("total").sort("n", "k").toArrow())
     length = counted["n"].to_numpy()
     counts = []
@@ -132,31 +134,41 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
 
 
 class Scorer:
-    """Scores of blocks of texts; word scores are kept and dropped when there are too many."""
+    """Scores of blocks of texts; word scores are kept, in arrays made once, and dropped when there are too many."""
 
     def __init__(self, model: Model, limit: int = CACHE_WORDS, with_support: bool = False):
         self.model, self.limit, self.with_support = model, limit, with_support
-        self.supports = np.zeros((0, len(model.langs)))
         self.support, self.n_words = np.zeros(0), np.zeros(0, int)          # of the last block, if asked for
         self.slot: dict[str, int] = {}
-        self.scores = np.zeros((0, len(model.langs)))
+        self.scores = np.zeros((limit, len(model.langs)))
+        self.supports = np.zeros((limit if with_support else 0, len(model.langs)))
+
+    def _room(self, n: int) -> None:
+        """A block of more different words than the limit makes the arrays larger."""
+        if n > len(self.scores):
+            more = n - len(self.scores)
+            self.scores = np.concatenate((self.scores, np.zeros((more, self.scores.shape[1]))))
+            if self.with_support:
+                self.supports = np.concatenate((self.supports, np.zeros((more, self.scores.shape[1]))))
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         model = self.model
         lower = [(t or "").lower() for t in texts]
         lettered = np.array([any(map(str.isalpha, t)) for t in lower], bool) if model.langs else np.zeros(len(texts), bool)
         docs = [words_of(t) for t in lower]
-        new = list({w for words in docs for w in words}.difference(self.slot))
+        del lower
+        distinct = {w for words in docs for w in words}
+        new = [w for w in distinct if w not in self.slot]
         if len(self.slot) + len(new) > self.limit:
             self.slot.clear()
-            self.scores, self.supports = self.scores[:0], self.supports[:0]
-            new = list({w for words in docs for w in words})
+            new = list(distinct)
         first = len(self.slot)
-        self.slot.update(zip(new, range(first, first + len(new)), strict=True))
-        if new and model.langs:
-            self.scores = np.concatenate((self.scores, np.array([model.score_word(w) for w in new])))
+        self._room(first + len(new))
+        for i, w in enumerate(new if model.langs else [], first):
+            self.scores[i] = model.score_word(w)
             if self.with_support:
-                self.supports = np.concatenate((self.supports, np.array([model.support_of(w) for w in new])))
+                self.supports[i] = model.support_of(w)
+        self.slot.update(zip(new, range(first, first + len(new)), strict=True))
         self.support, self.n_words = np.zeros(len(texts)), np.array([len(words) for words in docs], int)
         lang, score = [UNDETERMINED] * len(texts), np.zeros(len(texts))
         slot = self.slot
@@ -169,15 +181,19 @@ class Scorer:
         return lang, score
 
 
-def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (),
+def shared(df: DataFrame, model: Model) -> Broadcast:
+    """The model broadcast once, for several predictions."""
+    return prepare(df.sparkSession).sparkContext.broadcast(model)
+
+
+def predict(df: DataFrame, model: Model | Broadcast, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (),
             with_support: bool = False) -> DataFrame:
     """(id_col, *keep, lang_pred, score) and, if asked for, (support, n_words) for every row: a learned language and its posterior, or ``und`` and 0 where the
     text is null, has no letter, or no language was learned.  Equal scores go to the first language by name.  Repeated
     rows and null ids are kept; columns not in ``keep`` are not read; an empty table gives no rows.
 
-    The model is broadcast; its size is bounded by ``MAX_TRAIN_DOCS`` (see ``fit``)."""
-    spark = prepare(df.sparkSession)
-    sent = spark.sparkContext.broadcast(model)
+    The model is broadcast (see ``shared``); its size is bounded by ``MAX_TRAIN_DOCS`` (see ``fit``)."""
+    sent = model if isinstance(model, Broadcast) else shared(df, model)
     names = [id_col, *[k for k in keep if k != id_col]]
     added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
     if with_support:
@@ -186,26 +202,30 @@ def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     if {f.name for f in added} & set(names):
         raise ValueError(f"keep must not hold {', '.join(f.name for f in added)}")
 
+    text_at = names.index(text_col) if text_col in names else len(names)        # a text that is kept is sent once
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(sent.value, with_support=with_support)
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
-            for lo, hi in blocks([t or "" for t in texts], BLOCK_CHARS):
-                lang, score = scorer.predict(texts[lo:hi])
+            texts = batch.column(text_at)
+            for lo, hi in row_blocks(texts, BLOCK_CHARS):
+                lang, score = scorer.predict(texts.slice(lo, hi - lo).to_pylist())
                 more = [pa.array(scorer.support), pa.array(scorer.n_words, pa.int64())] if with_support else []
                 yield pa.RecordBatch.from_arrays([*[batch.column(i).slice(lo, hi - lo) for i in range(len(names))],
                                                   pa.array(lang, pa.string()), pa.array(score), *more], names=schema.names)
 
-    return df.select(*[F.col(k) for k in names], F.col(text_col).alias("__text")).mapInArrow(run, schema)
+    more = [F.col(text_col).alias("__text")] if text_at == len(names) else []
+    return df.select(*[F.col(k) for k in names], *more).mapInArrow(lean(run), schema)
 
 
-def floors(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+def floors(df: DataFrame, model: Model | Broadcast, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
            max_docs: int = MAX_TRAIN_DOCS) -> dict[str, float]:
     """Least support by language: ``FLOOR_SHARE`` of the fifth percentile of labelled texts, so that a few wrong labels do
     not move it.  From about ``max_docs`` held-out texts a language, chosen by hash, of ``LEAST_WORDS`` words or more;
     empty if no language has ``LEAST_TEXTS`` of them."""
     prepare(df.sparkSession)
-    usable = df.where(F.col(text_col).isNotNull() & F.col(lang_col).isin(model.langs) & is_held_out(F.col(id_col))).select(
+    langs = (model.value if isinstance(model, Broadcast) else model).langs
+    usable = df.where(F.col(text_col).isNotNull() & F.col(lang_col).isin(langs) & is_held_out(F.col(id_col))).select(
         F.col(id_col).alias("i"), F.col(text_col).alias("t"), F.col(lang_col).alias("l"))
     docs = {r.l: r.n for r in usable.groupBy("l").agg(F.count("*").alias("n")).collect()}
     if not docs:
@@ -216,4 +236,4 @@ def floors(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     ranges = found.where((F.col("l") == F.col("lang_pred")) & (F.col("n_words") >= LEAST_WORDS)).groupBy("l").agg(
         F.count("*").alias("n"), F.percentile("support", 0.05).alias("q"))
     own = {r.l: FLOOR_SHARE * r.q for r in ranges.collect() if r.n >= LEAST_TEXTS}
-    return {k: own.get(k, min(own.values())) for k in model.langs} if own else {}
+    return {k: own.get(k, min(own.values())) for k in langs} if own else {}

@@ -21,13 +21,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from metassoc.llm.common import staged
+from metassoc.llm.common import lean, staged
 from metassoc.llm.wordcache import ArrowWordCache, row_blocks, worker_cache
 from metassoc.session import prepare
 
 LENGTH = 2048
-BLOCK_CHARS = 2_000_000
-CACHE_WORDS = 300_000
+BLOCK_CHARS = 1_000_000
+CACHE_WORDS = 250_000
 CACHE_PIECES = 100_000
 
 # capital dotted I, and everything from the combining marks on
@@ -136,7 +136,7 @@ def tokenize(df: DataFrame, tokenizer_path: str, end_id: int = 1, id_col: str =
                     names=[id_col, "ids", "part", "part_start"])
                 total += int(ends[-1])
 
-    return staged(df.select(id_col, text_col).mapInArrow(run, schema), "tokens")
+    return staged(df.select(id_col, text_col).mapInArrow(lean(run), schema), "tokens")
 
 
 def pack(tokens: DataFrame, length: int = LENGTH, id_col: str = "doc_id", with_ids: bool = True) -> DataFrame:
@@ -158,7 +158,7 @@ def pack(tokens: DataFrame, length: int = LENGTH, id_col: str = "doc_id", with_i
             for lo in range(0, batch.num_rows, 1000):
                 yield cut(batch.slice(lo, 1000), length, names)
 
-    return placed.mapInArrow(run, schema)
+    return placed.mapInArrow(lean(run), schema)
 
 
 def cut(batch: pa.RecordBatch, length: int, names: list[str]) -> pa.RecordBatch:
