@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
 from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,27 +30,23 @@ def slots(spark: SparkSession) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
 
 
-def lean_worker() -> Callable[[], None]:
-    """For the start of a task's function: arrays that are freed go back to the system, so that a Python worker that waits for
-    its next task holds little.  Returns a function for the task's end.  Does nothing where the C library has no such settings."""
+def give_back() -> None:
+    """What a task has freed goes back to the system at its end, so that a Python worker that waits for its next task holds
+    little.  Does nothing where the C library cannot."""
     import ctypes
 
     import pyarrow as pa
-    pa.set_memory_pool(pa.system_memory_pool())
+    pa.default_memory_pool().release_unused()
     try:
-        libc = ctypes.CDLL(None)
-        libc.mallopt(-3, 1 << 17)          # fixed values: M_MMAP_THRESHOLD, M_TRIM_THRESHOLD
-        libc.mallopt(-1, 1 << 17)
-        return lambda: libc.malloc_trim(0) and None
+        ctypes.CDLL(None).malloc_trim(0)
     except (OSError, AttributeError):
-        return lambda: None
+        pass
 
 
 def lean(run):
-    """A task's function on batches that keeps its worker lean."""
+    """A task's function on batches that gives memory back in the end."""
     @wraps(run)
     def task(batches):
-        give_back = lean_worker()
         try:
             yield from run(batches)
         finally:
@@ -63,7 +58,6 @@ def lean_group(run):
     """The same for a function on one group."""
     @wraps(run)
     def task(group):
-        give_back = lean_worker()
         try:
             return run(group)
         finally:
