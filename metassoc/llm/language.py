@@ -36,6 +36,7 @@ SUPPORT_N = 4
 LEAST_WORDS = 20           # texts with fewer words are too short for a floor on their support
 LEAST_TEXTS = 20           # a language with fewer labelled held-out texts has the lowest floor of the others
 FLOOR_SHARE = 0.7          # of the fifth percentile of labelled texts
+SUPPORT_STEPS = 10_000     # supports are counted in steps of this fineness
 UNDETERMINED = "und"
 BLOCK_CHARS = 500_000
 CACHE_WORDS = 150_000
@@ -218,22 +219,19 @@ def predict(df: DataFrame, model: Model | Broadcast, id_col: str = "doc_id", tex
     return df.select(*[F.col(k) for k in names], *more).mapInArrow(lean(run), schema)
 
 
-def floors(df: DataFrame, model: Model | Broadcast, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-           max_docs: int = MAX_TRAIN_DOCS) -> dict[str, float]:
+def floors(df: DataFrame, model: Model | Broadcast, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict[str, float]:
     """Least support by language: ``FLOOR_SHARE`` of the fifth percentile of labelled texts, so that a few wrong labels do
-    not move it.  From about ``max_docs`` held-out texts a language, chosen by hash, of ``LEAST_WORDS`` words or more;
-    empty if no language has ``LEAST_TEXTS`` of them."""
+    not move it.  From all held-out texts of ``LEAST_WORDS`` words or more; empty if no language has ``LEAST_TEXTS`` of them.
+
+    The percentile is that of supports in steps of one ``SUPPORT_STEPS``-th, rounded down, so that what is counted is bounded
+    by the steps and not by the texts."""
     prepare(df.sparkSession)
     langs = (model.value if isinstance(model, Broadcast) else model).langs
     usable = df.where(F.col(text_col).isNotNull() & F.col(lang_col).isin(langs) & is_held_out(F.col(id_col))).select(
         F.col(id_col).alias("i"), F.col(text_col).alias("t"), F.col(lang_col).alias("l"))
-    docs = {r.l: r.n for r in usable.groupBy("l").agg(F.count("*").alias("n")).collect()}
-    if not docs:
-        return {}
-    share = F.create_map(*[F.lit(x) for k in docs for x in (k, min(1.0, max_docs / docs[k]))])
-    drawn = F.pmod(F.xxhash64(F.col("i").cast("string"), F.lit("floor")), F.lit(1 << 30)) / float(1 << 30)
-    found = predict(usable.where(drawn < share[F.col("l")]), model, "i", "t", keep=("l",), with_support=True)
-    ranges = found.where((F.col("l") == F.col("lang_pred")) & (F.col("n_words") >= LEAST_WORDS)).groupBy("l").agg(
-        F.count("*").alias("n"), F.percentile("support", 0.05).alias("q"))
-    own = {r.l: FLOOR_SHARE * r.q for r in ranges.collect() if r.n >= LEAST_TEXTS}
+    found = predict(usable, model, "i", "t", keep=("l",), with_support=True)
+    steps = found.where((F.col("l") == F.col("lang_pred")) & (F.col("n_words") >= LEAST_WORDS)).groupBy(
+        "l", F.floor(F.col("support") * SUPPORT_STEPS).alias("s")).agg(F.count("*").alias("n"))
+    ranges = steps.groupBy("l").agg(F.sum("n").alias("n"), F.percentile("s", 0.05, F.col("n")).alias("q"))
+    own = {r.l: FLOOR_SHARE * r.q / SUPPORT_STEPS for r in ranges.collect() if r.n >= LEAST_TEXTS}
     return {k: own.get(k, min(own.values())) for k in langs} if own else {}

@@ -51,3 +51,18 @@ def test_held_out_accuracy(spark, sf):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
     held = [r for r in rows if r.held_out and truth[r.doc_id]]
     assert np.mean([r.lang_pred == truth[r.doc_id] for r in held]) >= 0.97
+
+
+def test_floors_come_from_all_labelled_texts(spark):
+    """3000 held-out texts of one language, each with a support of its own: the fifth percentile is that of all of them."""
+    known = ["the", "cat", "and", "dog", "sat", "mat"]
+    ids = [i for i in range(16000) if zlib.crc32(str(i).encode()) % 4 == 2][:3000]
+    unknown = np.round(720 / np.linspace(0.3, 0.99, 3000) - 720).astype(int)
+    rows = [(i, " ".join(known * 40 + ["α" * int(k)]), "en") for i, k in zip(ids, unknown, strict=True)]
+    train = [(-i, " ".join(known), "en") for i in range(1, 40) if zlib.crc32(str(-i).encode()) % 4 != 2]
+    df = spark.createDataFrame(rows + train, "doc_id long, text string, lang string").repartition(4)
+    model = language.fit(df)
+    supports = 720 / (720 + unknown)
+    found = language.predict(df, model, with_support=True).where(f"doc_id IN ({ids[0]}, {ids[-1]})").orderBy("support").collect()
+    assert [r.support for r in found] == pytest.approx([supports[0], supports[-1]])
+    assert language.floors(df, model)["en"] == pytest.approx(language.FLOOR_SHARE * np.percentile(supports, 5), abs=1e-4)
