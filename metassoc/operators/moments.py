@@ -13,7 +13,9 @@ Outputs (the partial-derivative tables, all additive over samples and over cohor
 * ``pd_pheno`` (cohort, phenotype, b array<double>, c)                b = X̃ᵀy, c = yᵀy
 * ``pd_b4``    (cohort, variant, phenotype, gy)                        gy = gᵀy
 
-Every table is one aggregate with map-side partial aggregation; nothing is collected per group.
+Every table is one aggregate with map-side partial aggregation; nothing is collected per group.  With ``by_variant`` the
+rows of pd_test and pd_b4 meet by variant alone: for tables with many variants, where sums before the shuffle save nothing,
+all that follows (pairs, pooling over cohorts) then finds its rows in place.
 """
 
 from __future__ import annotations
@@ -47,10 +49,13 @@ def _with_x(df: DataFrame, samples: DataFrame) -> DataFrame:
     return df.join(samples.select("cohort", "sample_id", "x"), ["cohort", "sample_id"])
 
 
-def variant_moments(genotype: DataFrame, samples: DataFrame, n_cov: int, pd_cov: DataFrame | None = None) -> DataFrame:
+def variant_moments(genotype: DataFrame, samples: DataFrame, n_cov: int, pd_cov: DataFrame | None = None,
+                    by_variant: bool = False) -> DataFrame:
     """pd_test: per (cohort, variant) a = X̃ᵀg, gg = Σg², maf = Σg/(2n)."""
     g = _with_x(genotype, samples)
     t = _terms("x", n_cov)
+    if by_variant:
+        g = g.select("cohort", "variant", "dosage", "x").repartition("variant")
     out = g.groupBy("cohort", "variant").agg(
         F.array(*[F.sum(F.col("dosage") * ti) for ti in t]).alias("a"),
         F.sum(F.col("dosage") * F.col("dosage")).alias("gg"),
@@ -73,27 +78,30 @@ def phenotype_moments(phenotype: DataFrame, samples: DataFrame, n_cov: int) -> D
     )
 
 
-def cross_moments(genotype: DataFrame, phenotype: DataFrame) -> DataFrame:
+def cross_moments(genotype: DataFrame, phenotype: DataFrame, by_variant: bool = False) -> DataFrame:
     """pd_b4: per (cohort, variant, phenotype) gy = Σ g·y over samples (sparse rows only)."""
     g = genotype.select("cohort", "sample_id", "variant", "dosage")
     y = phenotype.select("cohort", "sample_id", "phenotype", "y")
-    return (g.join(y, ["cohort", "sample_id"])
-            .groupBy("cohort", "variant", "phenotype")
-            .agg(F.sum(F.col("dosage") * F.col("y")).alias("gy")))
+    products = g.join(y, ["cohort", "sample_id"]).select("cohort", "variant", "phenotype", (F.col("dosage") * F.col("y")).alias("gy"))
+    if by_variant:
+        products = products.repartition("variant")
+    return products.groupBy("cohort", "variant", "phenotype").agg(F.sum("gy").alias("gy"))
 
 
 def partial_derivatives(samples: DataFrame, genotype: DataFrame, phenotype: DataFrame, n_cov: int,
-                        with_b4: bool = True) -> dict:
+                        with_b4: bool = True, by_variant: bool = False) -> dict:
     """All PD tables of one or many cohorts (cohort is a grouping key everywhere), plus ``p``."""
     pd_cov = covariate_moments(samples, n_cov)
     out = {
         "pd_cov": pd_cov,
-        "pd_test": variant_moments(genotype, samples, n_cov, pd_cov),
+        "pd_test": variant_moments(genotype, samples, n_cov, pd_cov, by_variant),
         "pd_pheno": phenotype_moments(phenotype, samples, n_cov),
         "p": n_cov + 1,            # number of constant terms (intercept + covariates)
     }
+    if by_variant:
+        out["by_variant"] = True
     if with_b4:
-        out["pd_b4"] = cross_moments(genotype, phenotype)
+        out["pd_b4"] = cross_moments(genotype, phenotype, by_variant)
     return out
 
 

@@ -66,8 +66,24 @@ def effects_from_terms(pairs: DataFrame, p: int | None = None) -> DataFrame:
             .withColumn("sample_size", F.col("n").cast("double")))
 
 
+def with_products(grid: DataFrame, pd_b4: DataFrame, in_place: bool = False) -> DataFrame:
+    """Pairs (cohort, variant, phenotype, …) with their gᵀy, 0 where pd_b4 has none.
+
+    ``in_place``: both tables lie by variant (``by_variant`` of the moments), so their rows are put together and summed where
+    they are; a join would send both again by all three keys."""
+    keys = ["cohort", "variant", "phenotype"]
+    b4 = pd_b4.select(*keys, "gy")
+    if not in_place:
+        return grid.join(b4, keys, "left").withColumn("gy", F.coalesce(F.col("gy"), F.lit(0.0)))
+    rest = [c for c in grid.columns if c not in keys]
+    both = grid.select(*keys, *rest, F.lit(0.0).alias("gy"), F.lit(1).alias("_pair")).unionByName(
+        b4.withColumn("_pair", F.lit(0)), allowMissingColumns=True)
+    summed = both.groupBy(*keys).agg(*[F.max(c).alias(c) for c in rest], F.sum("gy").alias("gy"), F.max("_pair").alias("_pair"))
+    return summed.where("_pair = 1").drop("_pair")
+
+
 def cohort_effects(vt: DataFrame, pt: DataFrame, pd_b4: DataFrame | None,
-                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, p: int | None = None) -> DataFrame:
+                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, p: int | None = None, in_place: bool = False) -> DataFrame:
     """Every variant × every phenotype inside each cohort, with β, SE, t.
 
     The phenotype side (cohorts × phenotypes rows) is broadcast after a size check, else the
@@ -75,9 +91,7 @@ def cohort_effects(vt: DataFrame, pt: DataFrame, pd_b4: DataFrame | None,
     """
     grid = join_small(vt, pt, "cohort", max_rows=max_broadcast_rows, salt_by="variant")
     if pd_b4 is not None:
-        grid = (grid.join(pd_b4.select("cohort", "variant", "phenotype", "gy"),
-                          ["cohort", "variant", "phenotype"], "left")
-                .withColumn("gy", F.coalesce(F.col("gy"), F.lit(0.0))))
+        grid = with_products(grid, pd_b4, in_place)
         if "flip" in vt.columns:   # flipped allele: (2 − g)ᵀy = 2·Σy − gᵀy
             grid = grid.withColumn("gy", F.when(F.col("flip") == -1, 2.0 * F.col("b")[0] - F.col("gy"))
                                    .otherwise(F.col("gy")))
@@ -92,7 +106,7 @@ def associate_pd(pd: dict[str, DataFrame], tol: float = SINGULAR_TOL,
     inv = invert_cov(pd["pd_cov"])
     vt = variant_terms(pd["pd_test"], inv, tol, p=p)
     pt = phenotype_terms(pd["pd_pheno"], inv, p=p)
-    return cohort_effects(vt, pt, pd.get("pd_b4"), max_broadcast_rows, p=p)
+    return cohort_effects(vt, pt, pd.get("pd_b4"), max_broadcast_rows, p, pd.get("by_variant", False))
 
 
 def flip_effects(effects: DataFrame, flips: DataFrame) -> DataFrame:

@@ -23,12 +23,13 @@ def cohort_effects(samples: DataFrame, genotype: DataFrame, phenotype: DataFrame
                    phenotype_include: DataFrame | None = None, phenotype_exclude: DataFrame | None = None,
                    maf: float = 0.0, maf_mode: str = "inclusive", drop_half: bool = True,
                    availability: str = "any", tol: float = SINGULAR_TOL, cov_index: DataFrame | None = None,
-                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, by_variant: bool = False) -> DataFrame:
     """Per-cohort β/SE for every variant × phenotype after include/exclude, MAF and availability
-    filters; ``cov_index`` (cohort, idx) keeps the intercept plus the listed covariates per cohort."""
+    filters; ``cov_index`` (cohort, idx) keeps the intercept plus the listed covariates per cohort;
+    ``by_variant`` is for tables with many variants (see ``moments``)."""
     genotype = align.filter_variants(genotype, variant_include, variant_exclude)
     phenotype = align.filter_phenotypes(phenotype, phenotype_include, phenotype_exclude)
-    pd = align.select_covariates(_pd(samples, genotype, phenotype, n_cov), cov_index)
+    pd = align.select_covariates(_pd(samples, genotype, phenotype, n_cov, by_variant=by_variant), cov_index)
     test = pd["pd_test"]
     if maf:
         test = test.where(align.maf_predicate("maf", maf, maf_mode, drop_half))

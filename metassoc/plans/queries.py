@@ -28,7 +28,7 @@ def meta_ivw_parts(spark, sf_dir):
     """Meta-analysis with one variant per part (dosage = least(2, lineitems of the part)): the
     large sparse workload, thousands of variants × 5 phenotypes × 5 cohorts."""
     smp, geno, phen = fx.cohort_data(spark, sf_dir, n_variants=None)
-    return jobs.meta_analyse(smp, geno, phen, N_COV)
+    return jobs.meta_analyse(smp, geno, phen, N_COV, by_variant=True)
 
 
 def _vkey(col="variant"):
@@ -866,8 +866,8 @@ def meta_harmonised(spark, sf_dir):
     raw = raw.withColumn("variant_idx", F.substring("variant", 2, 20).cast("long")).drop("variant")
     vmap = harmonise(fx.cohort_probes(spark, sf_dir), fx.reference_panel(spark, sf_dir))
     mapped, phen = fx.reused(apply_variant_map(raw, vmap), fx.phenotype(spark, sf_dir, smp=smp))
-    eff = associate_pd(partial_derivatives(smp, mapped.drop("flip", "variant_idx"), phen, N_COV))
-    flips = vmap.select("cohort", F.col("ref_id").alias("variant"), "flip")
+    eff = associate_pd(partial_derivatives(smp, mapped.drop("flip", "variant_idx"), phen, N_COV, by_variant=True))
+    flips = vmap.select("cohort", F.col("ref_id").alias("variant"), "flip").repartition("variant")       # where the effects are
     return drop_empty(inverse_variance(flip_effects(eff, flips)))
 
 
@@ -1136,7 +1136,7 @@ def mega_missingness(spark, sf_dir):
     from ..operators.meta import pairwise_effects
     from ..operators.moments import partial_derivatives
     smp, geno, phen = fx.cohort_data(spark, sf_dir, n_variants=None)
-    eff = pairwise_effects(partial_derivatives(smp, geno, phen, N_COV))
+    eff = pairwise_effects(partial_derivatives(smp, geno, phen, N_COV, by_variant=True))
     return eff.select("variant", "phenotype", "beta", "standard_error", "t_stat", "sample_size")
 
 

@@ -42,3 +42,16 @@ def test_a_sample_met_twice_is_an_error(spark):
     p = spark.createDataFrame([("A", 1, "p", 1.0)], "cohort string, sample_id long, phenotype string, y double")
     with pytest.raises(Exception, match="twice"):
         encode(s, g, p, seed=5)["genotype"].collect()
+
+
+@pytest.mark.parametrize("name", ["meta_ivw_parts", "mega_missingness"])
+def test_pairs_of_many_variants_are_not_sent_again(spark, name):
+    """Rows meet once by variant; neither the pairs with their products nor the pooling over cohorts send them by more keys."""
+    import re
+
+    import __spark_entry__ as E
+    from conftest import SF001
+    plan = E.queries()[name](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    sent = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    assert any(s.startswith("variant#") for s in sent)
+    assert not [s for s in sent if "phenotype#" in s and "variant#" in s]
