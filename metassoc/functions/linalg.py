@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -32,3 +32,28 @@ def spd_inverse(m, tol: float = 1e-12) -> Column:
     inv = F.transform(res, lambda row: F.slice(row, p + 1, p))
     bad = F.exists(F.flatten(inv), lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     return F.when(bad, F.lit(None)).otherwise(inv)
+
+
+UNROLLED = 8              # largest p whose inverse is written out entry by entry
+
+
+def with_inverse_n(df: DataFrame, m: str, out: str, p: int, tol: float = 1e-12) -> DataFrame:
+    """``df`` with the inverse of the p×p column ``m`` as ``out``, without the rows whose matrix is singular: ``spd_inverse`` written
+    out for a small p known when the plan is built, one projection per pivot, which whole-stage codegen compiles."""
+    names = [f"_{out}_{i}_{j}" for i in range(p) for j in range(p)]
+    at = lambda i, j: F.col(names[i * p + j])
+    rest = df.columns
+    df = df.select("*", *[F.col(m)[i][j].alias(names[i * p + j]) for i in range(p) for j in range(p)])
+    for k in range(p):
+        pivot = F.when(at(k, k) > F.lit(tol) * F.abs(F.col(m)[k][k]), at(k, k))
+        df = df.select(*rest, *names, pivot.alias("_pivot")).where(F.col("_pivot").isNotNull())
+        row = [F.lit(1.0) if j == k else at(k, j) for j in range(p)]
+        df = df.select(*rest, *names, *[(e / F.col("_pivot")).alias(f"_row_{j}") for j, e in enumerate(row)])
+        r = [F.col(f"_row_{j}") for j in range(p)]
+        df = df.select(*rest, *[(r[j] if i == k else (F.lit(0.0) if j == k else at(i, j)) - at(i, k) * r[j]).alias(names[i * p + j])
+                                for i in range(p) for j in range(p)])
+    finite = F.lit(True)
+    for n in names:
+        finite &= ~F.isnan(n) & (F.abs(F.col(n)) != float("inf"))
+    rows = [F.array(*[at(i, j) for j in range(p)]) for i in range(p)]
+    return df.where(finite).select(*rest, F.array(*rows).alias(out))

@@ -130,18 +130,28 @@ def pairwise_effects(pd: dict, tol: float = SINGULAR_TOL, max_broadcast_rows: in
 
     The grid of pairs comes from the per-cohort grid (variant terms ⋈ phenotype terms on cohort) and one groupBy per
     pair; a pair's row then holds its whole design and is inverted and solved in place, with no further join."""
-    from ..functions.columns import array_dot, mat_vec, quad_form
-    from ..functions.linalg import spd_inverse
+    from ..functions.columns import array_dot, dot_n, mat_vec, mat_vec_n, quad_form, quad_form_n
+    from ..functions.linalg import UNROLLED, spd_inverse, with_inverse_n
     from .joins import join_small
-    from .regression import effects_from_terms
+    from .regression import with_products
     cov = pd["pd_cov"].select("cohort", "n", "a_cov")
-    test = pd["pd_test"].select("cohort", "variant", "a", "gg").join(cov, "cohort")         # one row per cohort
+    test = pd["pd_test"].select("cohort", "variant", "a", "gg")
     pheno = pd["pd_pheno"].select("cohort", "phenotype", "b", "c")
     grid = join_small(test, pheno, "cohort", max_rows=max_broadcast_rows, salt_by="variant")
     if "pd_b4" in pd:
-        grid = (grid.join(pd["pd_b4"].select("cohort", "variant", "phenotype", "gy"),
-                          ["cohort", "variant", "phenotype"], "left")
-                .withColumn("gy", F.coalesce(F.col("gy"), F.lit(0.0))))
+        grid = with_products(grid, pd["pd_b4"], pd.get("by_variant", False))
+    grid = grid.join(F.broadcast(cov), "cohort")         # one row per cohort
+    p = pd.get("p")
+    if p and p <= UNROLLED:         # sums entry by entry, which Spark compiles, instead of lists of matrices
+        sums = {(i, j): F.sum(F.col("a_cov")[i][j]) for i in range(p) for j in range(p)}
+        g = grid.groupBy("variant", "phenotype").agg(
+            F.sum("n").alias("n"), F.sum("gg").alias("gg"), F.sum("c").alias("c"), F.sum("gy").alias("gy"),
+            F.array(*[F.array(*[sums[i, j] for j in range(p)]) for i in range(p)]).alias("a_cov"),
+            F.array(*[F.sum(F.col("a")[i]) for i in range(p)]).alias("a"), F.array(*[F.sum(F.col("b")[i]) for i in range(p)]).alias("b"))
+        g = with_inverse_n(g, "a_cov", "m", p)
+        g = (g.withColumn("maf", F.col("a")[0] / (2.0 * F.col("n"))).withColumn("u", mat_vec_n("m", "a", p))
+             .withColumn("s", F.col("gg") - dot_n("a", "u", p)).withColumn("rss0", F.col("c") - quad_form_n("m", "b", p)))
+        return _solved_pairs(g, p, p, tol)
     g = grid.groupBy("variant", "phenotype").agg(           # ≤ K rows per pair: bounded lists
         F.sum("n").alias("n"), F.collect_list("a_cov").alias("_m"), F.collect_list("a").alias("_a"),
         F.collect_list("b").alias("_b"), F.sum("gg").alias("gg"), F.sum("c").alias("c"), F.sum("gy").alias("gy"))
@@ -149,7 +159,13 @@ def pairwise_effects(pd: dict, tol: float = SINGULAR_TOL, max_broadcast_rows: in
                  _sum_vectors("_a").alias("a"), _sum_vectors("_b").alias("b"))
     g = g.withColumn("m", spd_inverse("a_cov")).where(F.col("m").isNotNull())
     g = (g.withColumn("maf", F.col("a")[0] / (2.0 * F.col("n"))).withColumn("u", mat_vec("m", "a"))
-         .withColumn("s", F.col("gg") - array_dot("a", "u")).withColumn("rss0", F.col("c") - quad_form("m", "b"))
-         .withColumn("df", F.col("n") - F.size("a") - 1))
+         .withColumn("s", F.col("gg") - array_dot("a", "u")).withColumn("rss0", F.col("c") - quad_form("m", "b")))
+    return _solved_pairs(g, F.size("a"), None, tol)
+
+
+def _solved_pairs(g: DataFrame, terms, p: int | None, tol: float) -> DataFrame:
+    """Effects of pairs that hold their whole design, of ``terms`` constant terms."""
+    from .regression import effects_from_terms
+    g = g.withColumn("df", F.col("n") - terms - 1)
     g = g.where((F.col("s") > F.lit(tol) * F.col("gg")) & (F.col("df") > 0))
-    return effects_from_terms(g).select("variant", "phenotype", "beta", "standard_error", "t_stat", "sample_size", "df", "maf")
+    return effects_from_terms(g, p).select("variant", "phenotype", "beta", "standard_error", "t_stat", "sample_size", "df", "maf")
