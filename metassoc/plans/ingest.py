@@ -43,15 +43,17 @@ def ingest_vcf(spark: SparkSession, path: str, cohort: str) -> dict[str, DataFra
 
 def ingest_minimac(spark: SparkSession, info_path: str, dose_path: str, cohort: str) -> dict[str, DataFrame]:
     info = rd.read_minimac_info(spark, info_path)
-    dose = rd.read_minimac_dose(spark, dose_path)
-    samples = row_index(dose.select("sample_id").distinct().orderBy("sample_id"), "sample_pos")
+    lines = rd.read_minimac_lines(spark, dose_path).where(F.size("dosages") > 0)
+    samples = row_index(lines.select("sample_id").distinct().orderBy("sample_id"), "sample_pos")
+    # samples get their places line by line, not entry by entry
+    placed = lines.join(samples, "sample_id").select("sample_pos", "dosages")
     c = F.lit(cohort)
     return {
         "samples": samples.select(c.alias("cohort"), "sample_pos", "sample_id"),
         "probes": info.select(c.alias("cohort"), "variant_idx", F.col("ID").alias("id"),
                               F.lit(None).cast("string").alias("chr"), F.lit(None).cast("long").alias("bp"),
                               "allele1", "allele2"),
-        "genotype": rd.to_dense(dose, samples).select(c.alias("cohort"), "variant_idx", "dosage"),
+        "genotype": rd.to_dense(rd.dose_cells(placed), samples).select(c.alias("cohort"), "variant_idx", "dosage"),
     }
 
 

@@ -55,3 +55,28 @@ def test_pairs_of_many_variants_are_not_sent_again(spark, name):
     sent = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
     assert any(s.startswith("variant#") for s in sent)
     assert not [s for s in sent if "phenotype#" in s and "variant#" in s]
+
+
+def test_dose_lines_are_cut_once(spark, tmp_path):
+    """A dose line is as long as there are variants: nothing may split it again for each of its entries, and samples get their
+    places line by line."""
+    import re
+
+    from metassoc.plans.ingest import ingest_minimac
+    (tmp_path / "m.info").write_text("SNP Al1 Al2 Freq1 MAF AvgCall Rsq\n" + "".join(f"rs{i} A G 0.5 0.5 0.9 0.8\n" for i in range(3)))
+    (tmp_path / "m.dose").write_text("F->B DOSE 1.5 x 2\nF->A DOSE 0.5 0 1\nF->none DOSE\n\nC DOSE 1 1\n")
+    t = ingest_minimac(spark, str(tmp_path / "m.info"), str(tmp_path / "m.dose"), "M")
+    assert [r.sample_id for r in t["samples"].orderBy("sample_pos").collect()] == ["A", "B", "C"]
+    assert {r.variant_idx: r.dosage for r in t["genotype"].collect()} == {0: [0.5, 1.5, 1.0], 1: [0.0, -1.0, 1.0], 2: [1.0, 2.0, 0.0]}
+    plan = t["genotype"]._jdf.queryExecution().optimizedPlan().toString()
+    above, below = re.split(r"Generate posexplode", plan, maxsplit=1)
+    assert "split(" not in above and "Join" not in above and "split(" in below
+
+
+def test_numbering_of_variants_is_no_row_number_over_all_rows(spark):
+    from conftest import SF001
+    from metassoc.plans.queries import _numbered_calls
+    rows = _numbered_calls(spark, SF001)
+    assert "row_number" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    got = sorted((r.variant_idx, int(r.variant)) for r in rows.where("cohort = 'A'").select("variant_idx", "variant").collect())
+    assert [i for i, _ in got] == list(range(len(got))) and [v for _, v in got] == sorted(v for _, v in got)
