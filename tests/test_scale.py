@@ -80,3 +80,32 @@ def test_numbering_of_variants_is_no_row_number_over_all_rows(spark):
     assert "row_number" not in rows._jdf.queryExecution().optimizedPlan().toString()
     got = sorted((r.variant_idx, int(r.variant)) for r in rows.where("cohort = 'A'").select("variant_idx", "variant").collect())
     assert [i for i, _ in got] == list(range(len(got))) and [v for _, v in got] == sorted(v for _, v in got)
+
+
+def test_cohort_log_of_few_pairs_computes_no_tile_and_sends_no_effect(spark):
+    """Within the limit by its variants × phenotypes, the log is not computed to be counted; the list of genes goes to the effects,
+    even where its size is unknown to the planner."""
+    from pyspark.sql import functions as F
+
+    from metassoc.plans import jobs
+
+    def broken(batches):
+        for _ in batches:
+            raise ValueError("effects were computed")
+        yield from ()
+    names = spark.createDataFrame([("A", f"{i}") for i in range(9)] + [("B", "1")], "cohort string, name string")
+    geno, phen = names.withColumnRenamed("name", "variant"), names.withColumnRenamed("name", "phenotype")
+    eff = geno.join(phen, "cohort").mapInArrow(broken, "cohort string, variant string, phenotype string, beta double, "
+                                                       "standard_error double, sample_size double")
+    genes = phen.select("phenotype").where(F.col("phenotype") < "3")
+    pairs = jobs.pairs_per_cohort(geno, phen, phenotypes=genes)
+    assert {r.cohort: r.pairs for r in pairs.collect()} == {"A": 27, "B": 1}
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = jobs.per_cohort_effects(eff, phenotypes=genes, max_effects=27, pairs=pairs)
+        assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    with pytest.raises(Exception, match="effects were computed"):         # above it they are counted, as before
+        jobs.per_cohort_effects(eff, phenotypes=genes, max_effects=26, pairs=pairs)
