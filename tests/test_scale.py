@@ -109,3 +109,18 @@ def test_cohort_log_of_few_pairs_computes_no_tile_and_sends_no_effect(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     with pytest.raises(Exception, match="effects were computed"):         # above it they are counted, as before
         jobs.per_cohort_effects(eff, phenotypes=genes, max_effects=26, pairs=pairs)
+
+
+def test_rounding_of_every_pair_needs_no_decimals(spark):
+    from pyspark.sql import functions as F
+
+    import __spark_entry__ as E
+    from conftest import SF001
+    from metassoc.functions.columns import rounded_half_up
+    x = [0.0, -0.0, 1.25, -1.25, 0.1234565, -0.1234565, 4.9e-7, 5.1e-7, -5.1e-7, 1e12 + 0.5, -3e15, float("inf"), None]
+    x += [random.Random(1).uniform(-3, 3) for _ in range(1000)]
+    d = spark.createDataFrame([(v,) for v in x], "x double")
+    assert d.where(~F.round("x", 6).eqNullSafe(rounded_half_up("x", 6))).count() == 0
+    shown = E.queries()["encode_full_key"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    import re
+    assert re.search(r"FLOOR|floor", shown) and re.search(r"abs\(dot#\d+\) < 1\.0E9", shown)
