@@ -124,3 +124,38 @@ def test_rounding_of_every_pair_needs_no_decimals(spark):
     shown = E.queries()["encode_full_key"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
     import re
     assert re.search(r"FLOOR|floor", shown) and re.search(r"abs\(dot#\d+\) < 1\.0E9", shown)
+
+
+@pytest.mark.parametrize("case", ["pooled", "cohort", "factors", "mega", "dots"])
+def test_strips_of_tiles_equal_single_tiles(spark, monkeypatch, case):
+    """Tiles made from rows sent once for a strip of blocks give the rows of tiles sent one by one, bit for bit, with variants and
+    phenotypes that some cohort lacks and several sample blocks; and fewer rows are sent."""
+    from metassoc.operators import blocks, tiles
+    r = random.Random(8)
+    def rows(n, lack, name, values):
+        data = [(c, f"{i}", [float(r.randint(0, 2)) + 0.1 * r.random() for _ in range(w)])
+                for c, w in (("A", 11), ("B", 9), ("C", 14)) for i in range(n) if (i + len(lack)) % 5 or c not in lack]
+        return spark.createDataFrame(data, f"cohort string, {name} string, {values} array<double>").cache()
+    geno, phen, cov = rows(40, "B", "variant", "dosage"), rows(30, "CA", "phenotype", "values"), rows(2, "", "covariate", "values")
+    size = dict(variants_per_block=4, phenotypes_per_block=3, sample_block=5)
+    grids, sent = [], []
+    send, made = tiles.run, tiles.grid_for
+    monkeypatch.setattr(tiles, "grid_for", lambda *a, **k: grids.append(made(*a, **k)) or grids[-1])
+    monkeypatch.setattr(tiles, "run", lambda d, *a: sent.append(d.count()) or send(d, *a))
+
+    def result():
+        if case == "dots":
+            d = blocks.dot_products(geno.withColumnRenamed("dosage", "vec"), phen.withColumnRenamed("values", "vec"), **size)
+        elif case == "mega":
+            d = blocks.dense_mega(geno, phen, cov, intercepts=True, **size)
+        else:
+            d = blocks.dense_associate(geno, phen, cov, pooled=case == "pooled", factors=("0",) if case == "factors" else (), **size)
+        return sorted(map(repr, d.collect()))
+    monkeypatch.setattr(tiles, "STRIP_BYTES", 0)
+    one = result()
+    monkeypatch.setattr(tiles, "STRIP_BYTES", 1 << 20)
+    monkeypatch.setattr(tiles, "TASKS_PER_CORE", 0.5)
+    monkeypatch.setattr(tiles.math, "isqrt", lambda x: 3)
+    strips = result()
+    assert [g.strip for g in grids] == [1, 3] and sent[1] < sent[0] / 2
+    assert one and one == strips
