@@ -15,7 +15,8 @@ Outputs (the partial-derivative tables, all additive over samples and over cohor
 
 Every table is one aggregate with map-side partial aggregation; nothing is collected per group.  With ``by_variant`` the
 rows of pd_test and pd_b4 meet by variant alone: for tables with many variants, where sums before the shuffle save nothing,
-all that follows (pairs, pooling over cohorts) then finds its rows in place.
+all that follows (pairs, pooling over cohorts) then finds its rows in place.  Genotype rows may carry ``orientation`` (the flip ±1 of
+their cohort and variant, see ``align.apply_variant_map``): pd_test keeps it, so that no effect is sent to meet the map again.
 """
 
 from __future__ import annotations
@@ -49,16 +50,24 @@ def _with_x(df: DataFrame, samples: DataFrame) -> DataFrame:
     return df.join(samples.select("cohort", "sample_id", "x"), ["cohort", "sample_id"])
 
 
+def _only_value(name: str) -> F.Column:
+    """The value that all rows of a cohort and variant have; two are an error."""
+    two = F.raise_error(F.concat(F.lit(f"two values of {name} in cohort "), F.first("cohort"), F.lit(", variant "), F.first("variant")))
+    return F.when(F.min(name) == F.max(name), F.max(name)).otherwise(two.cast("int")).alias(name)
+
+
 def variant_moments(genotype: DataFrame, samples: DataFrame, n_cov: int, pd_cov: DataFrame | None = None,
                     by_variant: bool = False) -> DataFrame:
     """pd_test: per (cohort, variant) a = X̃ᵀg, gg = Σg², maf = Σg/(2n)."""
     g = _with_x(genotype, samples)
     t = _terms("x", n_cov)
+    turned = ["orientation"] if "orientation" in g.columns else []
     if by_variant:
-        g = g.select("cohort", "variant", "dosage", "x").repartition("variant")
+        g = g.select("cohort", "variant", "dosage", "x", *turned).repartition("variant")
     out = g.groupBy("cohort", "variant").agg(
         F.array(*[F.sum(F.col("dosage") * ti) for ti in t]).alias("a"),
         F.sum(F.col("dosage") * F.col("dosage")).alias("gg"),
+        *[_only_value(c) for c in turned],
     )
     if pd_cov is None:
         pd_cov = covariate_moments(samples, n_cov)

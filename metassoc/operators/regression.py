@@ -96,7 +96,8 @@ def cohort_effects(vt: DataFrame, pt: DataFrame, pd_b4: DataFrame | None,
             grid = grid.withColumn("gy", F.when(F.col("flip") == -1, 2.0 * F.col("b")[0] - F.col("gy"))
                                    .otherwise(F.col("gy")))
     return effects_from_terms(grid, p).select(
-        "cohort", "variant", "phenotype", "beta", "standard_error", "t_stat", "sample_size", "df", "maf")
+        "cohort", "variant", "phenotype", "beta", "standard_error", "t_stat", "sample_size", "df", "maf",
+        *[c for c in ("orientation",) if c in grid.columns])
 
 
 def associate_pd(pd: dict[str, DataFrame], tol: float = SINGULAR_TOL,
@@ -109,14 +110,18 @@ def associate_pd(pd: dict[str, DataFrame], tol: float = SINGULAR_TOL,
     return cohort_effects(vt, pt, pd.get("pd_b4"), max_broadcast_rows, p, pd.get("by_variant", False))
 
 
-def flip_effects(effects: DataFrame, flips: DataFrame) -> DataFrame:
+def flip_effects(effects: DataFrame, flips: DataFrame | None = None) -> DataFrame:
     """Orient per-cohort effects to the reference allele: where the cohort's alleles are swapped
     (flip = −1) β and t change sign and MAF becomes 1 − MAF; SE, df and n are unchanged.
 
     Exact because the model has an intercept (regressing on 2 − g gives −β with the same residuals),
     and numerically preferable to flipping the sums: Σ(2 − g)² = 4n − 4Σg + Σg² cancels badly when
-    the flipped genotype is nearly constant (rare variants).  ``flips``: (cohort, variant, flip)."""
-    j = effects.join(flips.select("cohort", "variant", "flip"), ["cohort", "variant"], "left")
+    the flipped genotype is nearly constant (rare variants).  ``flips``: (cohort, variant, flip); without it the effects bring
+    their flip as ``orientation`` (see ``moments``) and stay where they are."""
+    if flips is None:
+        j = effects.withColumnRenamed("orientation", "flip")
+    else:
+        j = effects.join(flips.select("cohort", "variant", "flip"), ["cohort", "variant"], "left")
     f = F.coalesce(F.col("flip"), F.lit(1))
     out = j.withColumn("beta", F.col("beta") * f)
     if "t_stat" in effects.columns:

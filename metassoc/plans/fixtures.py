@@ -68,8 +68,10 @@ def calls(spark: SparkSession, sf_dir: str, n_variants: int | None = N_VARIANTS)
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_returnflag")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     vkey = F.col("l_partkey") if n_variants is None else F.col("l_partkey") % n_variants
-    return (li.join(o, li.l_orderkey == o.o_orderkey)
-            .groupBy(F.col("o_custkey").alias("sample_id"), vkey.alias("vkey"))
+    sold = li.join(o, li.l_orderkey == o.o_orderkey)
+    if n_variants is None:          # sums before the shuffle save nothing: rows meet where samples are joined next
+        sold = sold.repartition("o_custkey")
+    return (sold.groupBy(F.col("o_custkey").alias("sample_id"), vkey.alias("vkey"))
             .agg(F.count(F.lit(1)).alias("cnt"),
                  F.bool_and(F.col("l_returnflag") == RETURNED_FLAG).alias("all_returned")))
 
@@ -177,7 +179,7 @@ def sold_parts(spark: SparkSession, sf_dir: str, level: str = "region") -> DataF
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     smp = samples(spark, sf_dir, level).select("cohort", "sample_id")
     per_cust = (li.join(o, li.l_orderkey == o.o_orderkey)
-                .select(F.col("o_custkey").alias("sample_id"), F.col("l_partkey").alias("partkey")).distinct())
+                .select(F.col("o_custkey").alias("sample_id"), F.col("l_partkey").alias("partkey")))
     return per_cust.join(smp, "sample_id").select("cohort", "partkey").distinct()
 
 

@@ -866,9 +866,8 @@ def meta_harmonised(spark, sf_dir):
     raw = raw.withColumn("variant_idx", F.substring("variant", 2, 20).cast("long")).drop("variant")
     vmap = harmonise(fx.cohort_probes(spark, sf_dir), fx.reference_panel(spark, sf_dir))
     mapped, phen = fx.reused(apply_variant_map(raw, vmap), fx.phenotype(spark, sf_dir, smp=smp))
-    eff = associate_pd(partial_derivatives(smp, mapped.drop("flip", "variant_idx"), phen, N_COV, by_variant=True))
-    flips = vmap.select("cohort", F.col("ref_id").alias("variant"), "flip").repartition("variant")       # where the effects are
-    return drop_empty(inverse_variance(flip_effects(eff, flips)))
+    mapped = mapped.drop("variant_idx").withColumnRenamed("flip", "orientation")
+    return drop_empty(inverse_variance(flip_effects(associate_pd(partial_derivatives(smp, mapped, phen, N_COV, by_variant=True)))))
 
 
 

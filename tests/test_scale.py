@@ -57,6 +57,42 @@ def test_pairs_of_many_variants_are_not_sent_again(spark, name):
     assert not [s for s in sent if "phenotype#" in s and "variant#" in s]
 
 
+def test_effects_of_mapped_variants_stay_where_they_are(spark):
+    """The flip comes with the rows of its cohort and variant: no effect is sent to meet the map again, nor to be pooled."""
+    import re
+
+    import __spark_entry__ as E
+    from conftest import SF001
+    plan = E.queries()["meta_harmonised"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    sent = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    assert any(s.startswith("variant#") for s in sent)
+    assert not [s for s in sent if re.match(r"cohort#\d+, variant#|variant#\d+, phenotype#", s)]
+
+
+def test_carried_flips_orient_effects_as_the_map_does(spark):
+    """Effects that bring their flip equal those that meet it by a join, by cohort and variant; two flips of one variant are an error."""
+    from metassoc.operators.moments import partial_derivatives
+    from metassoc.operators.regression import associate_pd, flip_effects
+    samples, geno, phen = _long_rows(40, 4)
+    r = random.Random(6)
+    s = spark.createDataFrame([(c, i, [r.random()]) for c, i, _ in samples], "cohort string, sample_id long, x array<double>")
+    g = spark.createDataFrame(geno, "cohort string, sample_id long, variant string, dosage double")
+    p = spark.createDataFrame(phen, "cohort string, sample_id long, phenotype string, y double")
+    flips = spark.createDataFrame([("A", "v1", -1), ("A", "v2", 1), ("A", "last", 1), ("B", "v1", 1), ("B", "v2", -1)],
+                                  "cohort string, variant string, flip int")
+    carried = g.join(flips.withColumnRenamed("flip", "orientation"), ["cohort", "variant"])
+    for by_variant in (False, True):
+        want = flip_effects(associate_pd(partial_derivatives(s, g, p, 1, by_variant=by_variant)), flips)
+        got = flip_effects(associate_pd(partial_derivatives(s, carried, p, 1, by_variant=by_variant)))
+        assert got.columns == want.columns
+        want, got = ({(e.cohort, e.variant, e.phenotype): (e.beta, e.t_stat, e.standard_error, e.maf) for e in d.collect()} for d in (want, got))
+        assert set(got) == set(want) and len(want) >= 4
+        assert all(got[k] == pytest.approx(want[k], rel=1e-9) for k in want)
+    two = carried.unionByName(carried.where("variant = 'v1'").withColumn("orientation", -carried["orientation"]))
+    with pytest.raises(Exception, match="two values of orientation in cohort"):
+        partial_derivatives(s, two, p, 1)["pd_test"].collect()
+
+
 def test_dose_lines_are_cut_once(spark, tmp_path):
     """A dose line is as long as there are variants: nothing may split it again for each of its entries, and samples get their
     places line by line."""
