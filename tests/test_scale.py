@@ -195,3 +195,44 @@ def test_strips_of_tiles_equal_single_tiles(spark, monkeypatch, case):
     strips = result()
     assert [g.strip for g in grids] == [1, 3] and sent[1] < sent[0] / 2
     assert one and one == strips
+
+
+@pytest.mark.parametrize("name", ["dense_association"])
+def test_rows_of_all_pairs_are_written_by_an_entropy_coder(spark, name, tmp_path):
+    """Where no codec is named, their doubles are not left to Snappy, which finds no runs in them; a codec that is named stays."""
+    import pyarrow.parquet as pq
+
+    import __spark_entry__ as E
+    from conftest import SF001
+    from metassoc.session import CODEC
+    old = spark.conf.get(CODEC)
+
+    def written(at):
+        E.queries()[name](spark, SF001).limit(1000).write.parquet(str(tmp_path / at))
+        return {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in (tmp_path / at).glob("*.parquet")}
+    try:
+        spark.conf.unset(CODEC)
+        assert written("unnamed") == {"ZSTD"}
+        if name == "dense_meta":
+            spark.conf.set(CODEC, "gzip")
+            assert written("named") == {"GZIP"}
+    finally:
+        spark.conf.set(CODEC, old)
+
+
+@pytest.mark.parametrize("case", ["cohort", "factors", "pooled", "mega"])
+def test_only_wanted_columns_leave_a_task(spark, case):
+    from metassoc.operators import blocks
+    r = random.Random(9)
+    rows = lambda n, name, values: spark.createDataFrame(
+        [(c, f"{i}", [r.random() for _ in range(12)]) for c in "AB" for i in range(n)], f"cohort string, {name} string, {values} array<double>").cache()
+    geno, phen, cov = rows(7, "variant", "dosage"), rows(5, "phenotype", "values"), rows(1, "covariate", "values")
+    names = ("phenotype", "variant", "beta") + (("ses_interaction",) if case == "factors" else ())
+
+    def result(**kw):
+        if case == "mega":
+            return blocks.dense_mega(geno, phen, cov, intercepts=True, **kw)
+        return blocks.dense_associate(geno, phen, cov, pooled=case == "pooled", factors=("0",) if case == "factors" else (), **kw)
+    some, every = result(columns=names), result()
+    assert some.columns == list(names) and len(every.columns) > len(names)
+    assert sorted(map(repr, some.collect())) == sorted(map(repr, every.select(*names).collect())) != []
