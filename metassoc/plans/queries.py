@@ -259,7 +259,7 @@ def dense_association(spark, sf_dir):
     return dense_associate(geno, phen, pooled=False, columns=("variant", "phenotype", "beta", "standard_error", "sample_size"))
 
 
-@query("dense_meta", with_all(embed_ctes(split=True), META_CTES) + META_SELECT)
+@query("dense_meta", with_all(embed_ctes(split=True), META_CTES) + META_SELECT, pairs=True)
 def dense_meta(spark, sf_dir):
     """Two dense cohorts (vector halves) analysed in the block path and pooled inside each task."""
     from ..operators.blocks import dense_associate
