@@ -197,7 +197,7 @@ def test_strips_of_tiles_equal_single_tiles(spark, monkeypatch, case):
     assert one and one == strips
 
 
-@pytest.mark.parametrize("name", ["dense_association", "dense_interactions", "dense_mega_intercepts", "dense_meta"])
+@pytest.mark.parametrize("name", ["dense_association", "dense_interactions", "dense_mega_intercepts", "dense_meta", "encode_full_key"])
 def test_rows_of_all_pairs_are_written_by_an_entropy_coder(spark, name, tmp_path):
     """Where no codec is named, their doubles are not left to Snappy, which finds no runs in them; a codec that is named stays."""
     import pyarrow.parquet as pq
