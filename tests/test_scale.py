@@ -236,3 +236,42 @@ def test_only_wanted_columns_leave_a_task(spark, case):
     some, every = result(columns=names), result()
     assert some.columns == list(names) and len(every.columns) > len(names)
     assert sorted(map(repr, some.collect())) == sorted(map(repr, every.select(*names).collect())) != []
+
+
+@pytest.mark.parametrize("output", ["pooled", "cohort", "mega"])
+def test_strips_of_shared_statistics_equal_single_tiles(spark, monkeypatch, output):
+    """Partial derivatives and encoded rows sent once for a strip of blocks give the rows of tiles sent one by one, bit for bit, and
+    encoded rows that have no statistics left after a filter are not sent."""
+    from metassoc.operators import blocks, tiles
+    from metassoc.operators.encode import encode_dense
+    r = random.Random(11)
+    def rows(n, lack, name, values):
+        data = [(c, f"{i}", [float(r.randint(0, 2)) + 0.1 * r.random() for _ in range(w)])
+                for c, w in (("A", 11), ("B", 9), ("C", 14)) for i in range(n) if (i + len(lack)) % 5 or c not in lack]
+        return spark.createDataFrame(data, f"cohort string, {name} string, {values} array<double>").cache()
+    geno, phen, cov = rows(40, "B", "variant", "dosage"), rows(30, "CA", "phenotype", "values"), rows(1, "", "covariate", "values")
+    pd = blocks.dense_partial_derivatives(geno, phen, cov, with_b4=False)
+    pd = {k: d.cache() for k, d in dict(pd, pd_test=pd["pd_test"].where("variant % 3 != 0 or cohort = 'C'")).items() if k != "p"}
+    enc = {k: d.cache() for k, d in encode_dense(geno, phen, seed=3, block=4).items()}
+    grids, sent = [], []
+    send, made = tiles.run, tiles.grid_for
+    monkeypatch.setattr(tiles, "grid_for", lambda *a, **k: grids.append(made(*a, **k)) or grids[-1])
+    monkeypatch.setattr(tiles, "run", lambda d, *a: sent.append(d.groupBy("kind").count().collect()) or send(d, *a))
+
+    def result():
+        d = blocks.associate_shared(pd, enc["genotype"], enc["phenotype"], output=output, variants_per_block=4, phenotypes_per_block=3,
+                                    sample_block=5, need=3 if output == "mega" else 0)
+        return sorted(map(repr, d.collect()))
+    monkeypatch.setattr(tiles, "STRIP_BYTES", 0)
+    one = result()
+    monkeypatch.setattr(tiles, "STRIP_BYTES", 1 << 20)
+    monkeypatch.setattr(tiles, "TASKS_PER_CORE", 0.5)
+    monkeypatch.setattr(tiles.math, "isqrt", lambda x: 3)
+    strips = result()
+    few, many = ({r["kind"]: r["count"] for r in s} for s in reversed(sent))
+    assert [g.strip for g in grids] == [1, 3]
+    assert all(few[k] < many[k] / 2 for k in (tiles.VARIANT_TERMS, tiles.PHENOTYPE_TERMS, tiles.G, tiles.Y))
+    blocks_of_a_row = {"A": 3, "B": 2, "C": 3}        # sample blocks of 5
+    left = {r.cohort: r["count"] for r in pd["pd_test"].groupBy("cohort").count().collect()}
+    assert many[tiles.G] == sum(left[c] * blocks_of_a_row[c] for c in left) * grids[0].gblocks
+    assert one and one == strips
